@@ -1,0 +1,147 @@
+"""Sources, sinks, the pipeline, and validation into a reject table."""
+
+from __future__ import annotations
+
+import pytest
+from conftest import parse, rows
+from pyspark.sql import functions as F
+
+from tierwise import sinks
+from tierwise.operators import quality
+from tierwise.plans.pipeline import Pipeline, entity_summary
+from tierwise.schemas import INVOICE, TIER
+from tierwise.session import scratch_path
+from tierwise.sources import files, tables
+
+
+def test_csv_with_bare_carriage_returns(spark, data_dir, invoices, tiers):
+    assert invoices.count() == 18
+    assert tiers.count() == 6
+    assert invoices.schema == INVOICE
+    assert invoices.filter(F.col("invoice_id") == 11).first().value == 1000
+
+
+def test_csv_inferred_types(spark, data_dir):
+    df = files.read_csv(spark, str(data_dir / "dataset1.csv"), infer=True)
+    assert dict(df.dtypes)["value"] == "int"
+    assert df.count() == 18
+
+
+def test_json_array_of_records(spark, data_dir):
+    df = files.read_json_records(spark, str(data_dir / "dataset2.json"), TIER)
+    assert rows(df, ["counter_party", "tier"]) == [(f"C{i}", i) for i in range(1, 7)]
+
+
+def test_tolerant_read_separates_wrong_width_rows(spark, data_dir):
+    raw = files.read_csv_tolerant(spark, str(data_dir / "dataset1_val.csv"), INVOICE)
+    good, bad = files.split_corrupt(raw)
+    assert good.count() == 25
+    assert sorted(r.raw_line for r in bad.collect()) == ["21,L2,C2,3,ACCR,40,1"] * 2
+
+
+def test_validation_positions_and_reasons(spark, data_dir):
+    raw = files.read_csv_tolerant(spark, str(data_dir / "dataset1_val.csv"), INVOICE)
+    good = raw.filter(F.col(files.EXTRA).isNull()).drop(files.EXTRA)
+    checked = quality.validate(quality.with_position(good), INVOICE)
+    bad = sorted(rows(quality.invalid_rows(checked, ["position", "invoice_id"]), ["position", "invoice_id", "first_reason"]))
+    assert bad == [
+        (5, "5", "missing value"),
+        (20, "20", "not an integer"),
+        (23, "20", "not an integer"),
+        (24, "5", "missing value"),
+    ]
+    # Structural only: a status of 3 and a counter party of 2 pass.
+    assert quality.valid_rows(checked, INVOICE).count() == 21
+    rej = sorted(rows(quality.rejects(checked, ["position"]), ["position", "column", "raw_value", "reason"]))
+    assert rej[1] == (20, "value", "10e", "not an integer")
+
+
+def test_positions_are_dense_over_many_splits(spark, tmp_path):
+    path = str(tmp_path / "many")
+    spark.range(0, 5000, 1, 7).select(F.col("id").cast("string").alias("v")).write.csv(path)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2048")
+    try:
+        df = spark.read.schema("v string").csv(path)
+        assert df.rdd.getNumPartitions() > 7
+        out = quality.with_position(df)
+        # Parts are written in id order, so file order is id order.
+        assert out.filter(F.col("position") != F.col("v").cast("long") + 1).count() == 0
+        assert out.count() == 5000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_missing_required_column_rejects_every_row(spark, invoices):
+    text = invoices.select([F.col(c).cast("string") for c in invoices.columns if c != "rating"])
+    checked = quality.validate(text, INVOICE)
+    reasons = {r.first_reason for r in checked.select("first_reason").collect()}
+    assert reasons == {quality.REASON_MISSING_COLUMN}
+    assert checked.filter(F.size("errors") == 0).count() == 0
+
+
+@pytest.mark.parametrize(
+    "text,reason",
+    [(" 12 ", None), ("+3", None), ("-7", None), ("10.5", "not an integer"), ("1_0", "not an integer"),
+     ("10e", "not an integer"), (None, "missing value"), ("9223372036854775808", "integer out of range")],
+)
+def test_integer_rule(spark, text, reason):
+    df = spark.createDataFrame([(text,)], "v string")
+    assert df.select(quality.integer_reason(F.col("v")).alias("r")).first().r == reason
+
+
+def test_csv_sink_roundtrip(spark, enriched):
+    from tierwise.functions.metrics import invoice_metrics
+    from tierwise.operators.totals import totals
+    from tierwise.plans.catalog import TOTALS_SCHEMA
+
+    out = totals(enriched, ["legal_entity", "counter_party", "tier"], invoice_metrics())
+    path = scratch_path(spark, "sink-test")
+    sinks.write_csv(out, path)
+    back = files.read_csv(spark, path, TOTALS_SCHEMA)
+    assert rows(back) == rows(out)
+    with pytest.raises(Exception):
+        sinks.write_csv(out, path)  # default mode fails on an existing target
+
+
+def test_table_sink_and_source(spark, invoices):
+    name = "tierwise_test_invoices"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    sinks.write_table(invoices, name, format=None)
+    try:
+        back = tables.read_table(spark, name)
+        assert rows(back) == rows(invoices)
+        with pytest.raises(Exception):
+            sinks.write_table(invoices, name)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_views(spark, invoices, tiers):
+    tables.register_views(df_main=invoices, df_dict=tiers)
+    n = spark.sql("SELECT count(*) AS n FROM df_main JOIN df_dict USING (counter_party)").first().n
+    assert n == 18
+
+
+def test_pipeline_csv_and_json_sources_to_csv_sink(spark, data_dir):
+    path = scratch_path(spark, "pipeline-test")
+    Pipeline(
+        sources=[
+            lambda: files.read_csv(spark, str(data_dir / "dataset1.csv"), INVOICE),
+            lambda: files.read_json_records(spark, str(data_dir / "dataset2.json"), TIER),
+        ],
+        transformations=[entity_summary],
+        sink=lambda df: sinks.write_csv(df, path),
+    ).run(merge_on="counter_party")
+    schema = "legal_entity string, counter_party string, count_rating long, max_tier long, sum_value long"
+    back = spark.read.option("header", True).schema(schema).csv(path)
+    assert rows(back) == parse(
+        "L1 C1 3 1 40; L1 C3 1 3 5; L1 C4 2 4 140; L2 C2 2 2 60; L2 C3 1 3 52; L2 C5 3 5 1115; L3 C3 3 3 145; L3 C6 3 6 205",
+        (str, str, int, int, int),
+    )
+
+
+def test_pipeline_folds_three_sources(spark, invoices, tiers):
+    ratings = spark.createDataFrame([(f"C{i}", f"grade{i % 2}") for i in range(1, 7)], "counter_party string, grade string")
+    out = Pipeline(sources=[invoices, tiers, ratings]).run(merge_on="counter_party")
+    assert out.count() == 18 and "grade" in out.columns and "tier" in out.columns

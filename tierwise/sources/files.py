@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from ..schemas import all_strings
 
-CORRUPT = "_corrupt_record"
+EXTRA = "_extra"
 
 
 def read_csv(
@@ -51,27 +51,35 @@ def read_json_lines(spark: SparkSession, path, schema: T.StructType | None = Non
 
 
 def read_csv_tolerant(spark: SparkSession, path, schema: T.StructType, header: bool = True, **options) -> DataFrame:
-    """Every field as text plus ``_corrupt_record``, which holds the raw line of
-    any record whose field count differs from the schema (null otherwise).
+    """Every field as text plus ``_extra``, the first field beyond the schema.
 
-    Type errors are not detected here: fields are read as text so a validator
-    can report them; only structural faults mark a record corrupt.
+    A record with more fields than the schema is a bad line: its ``_extra`` is
+    not null. A record with fewer fields is padded with nulls and left to the
+    validator, as a reader that only skips over-long lines would do. Type
+    errors are not detected here; fields stay text so a validator can report
+    them.
     """
-    text_schema = all_strings(schema).add(T.StructField(CORRUPT, T.StringType()))
+    text_schema = all_strings(schema).add(T.StructField(EXTRA, T.StringType()))
     return (
         spark.read.option("header", header)
         .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
         .schema(text_schema)
         .options(**options)
         .csv(path)
     )
 
 
-def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``(well_formed_rows, corrupt_lines)`` of a tolerant read."""
-    good = df.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
-    bad = df.filter(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("raw_line"))
+def split_corrupt(df: DataFrame, sep: str = ",") -> tuple[DataFrame, DataFrame]:
+    """``(well_formed_rows, bad_lines)`` of a tolerant read.
+
+    Bad lines keep their parsed fields and ``raw_line``, the fields joined by
+    ``sep`` (fields past the first extra one are not kept by the reader).
+    """
+    fields = [c for c in df.columns if c != EXTRA]
+    good = df.filter(F.col(EXTRA).isNull()).drop(EXTRA)
+    bad = df.filter(F.col(EXTRA).isNotNull()).select(
+        *fields, F.concat_ws(sep, *[F.coalesce(F.col(c), F.lit("")) for c in fields + [EXTRA]]).alias("raw_line")
+    )
     return good, bad
 
 
