@@ -1,0 +1,136 @@
+"""Flat-cell reshaping, and the physical plans the operators produce."""
+
+from __future__ import annotations
+
+from conftest import INVOICE_ROWS, rows
+from pyspark.sql import functions as F
+
+from tierwise.functions.metrics import invoice_metrics
+from tierwise.operators import joins, reshape
+from tierwise.operators import totals as T
+from tierwise.plans import catalog
+from tierwise.schemas import INVOICE
+
+DIMS = ["legal_entity", "counter_party", "tier"]
+SF = "/root/testdata/sf0.001"
+
+
+def plan_text(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def formatted(df) -> str:
+    import contextlib
+    import io
+
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain("formatted")
+    return buf.getvalue()
+
+
+def scans(df) -> int:
+    import re
+
+    return len(re.findall(r"^\(\d+\) Scan parquet", formatted(df), flags=re.M))
+
+
+def test_whole_text_flat_cells_become_rows(spark, data_dir, invoices):
+    text = spark.read.text(str(data_dir / "dataset1.csv"), wholetext=True)
+    names = [f.name for f in INVOICE.fields]
+    cells = reshape.records_from_cells(text, "value", names, skip=len(names), record_sep="\r\n|\r")
+    typed = cells.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in INVOICE.fields])
+    assert rows(typed) == rows(invoices)
+
+
+def test_chunks_keep_a_short_tail(spark):
+    df = spark.createDataFrame([("h1,h2\ra,1\rb,2\rc",)], "t string")
+    out = reshape.records_from_cells(df, "t", ["k", "v"], skip=2)
+    assert [tuple(r) for r in out.collect()] == [("a", "1"), ("b", "2"), ("c", None)]
+
+
+def test_read_flat_records_drops_headers(spark, data_dir, invoices):
+    out = reshape.read_flat_records(spark, str(data_dir / "dataset1.csv"), INVOICE, record_sep="\r")
+    # The last record ends in CR LF, so its value text carries a trailing LF.
+    assert out.count() == len(INVOICE_ROWS)
+
+
+def test_reshape_record_to_key_value(spark, invoices):
+    kv = reshape.reshape_record(invoices, ["legal_entity", "status"], ["rating", "value"])
+    assert kv.columns == ["key", "value"]
+    assert kv.count() == 18
+
+
+def test_totals_is_one_scan_one_expand_one_shuffle(spark):
+    df = catalog.totals_count_label(spark, SF)
+    plan = plan_text(df)
+    assert plan.count("Expand") == 1
+    assert scans(df) == 2  # lineitem once, supplier once
+    assert "BroadcastHashJoin" in plan or "BroadcastHashJoin" in formatted(df)
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_union_form_scans_once_per_set(spark):
+    df = catalog.totals_union_form(spark, SF)
+    assert scans(df) >= 6
+
+
+def test_preaggregation_adds_one_shuffle(spark):
+    df = catalog.totals_preaggregated(spark, SF)
+    assert plan_text(df).count("Exchange hashpartitioning") == 2
+
+
+def test_scan_reads_only_needed_columns(spark):
+    text = formatted(catalog.totals_count_label(spark, SF))
+    lineitem_schema = [line for line in text.splitlines() if "ReadSchema" in line and "l_suppkey" in line][0]
+    assert "l_shipdate" not in lineitem_schema and "l_extendedprice" not in lineitem_schema
+    assert "PushedFilters: [IsNotNull(s_acctbal), GreaterThan(s_acctbal,5000.0)" in text
+
+
+def test_checked_broadcast_falls_back_when_too_large(spark):
+    sf = "/root/testdata/sf0.01"  # 48 dictionary rows
+    fact = catalog.inv.invoices(spark, sf)
+    dictionary = catalog.inv.tiers(spark, sf)
+    _, ok = joins.checked_broadcast(dictionary, max_rows=10)
+    assert not ok
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        small = joins.enrich(fact, dictionary, "counter_party", broadcast=True, max_broadcast_rows=1000)
+        assert "BroadcastHashJoin" in formatted(small)
+        large = joins.enrich(fact, dictionary, "counter_party", broadcast=True, max_broadcast_rows=10)
+        assert "SortMergeJoin" in formatted(large)
+        assert rows(small) == rows(large)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_salted_join_on_a_hot_key_equals_plain_join(spark):
+    # One key holds a third of all fact rows.
+    fact = spark.range(0, 3000).select(
+        F.col("id"), F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 50).alias("k")
+    )
+    dictionary = spark.range(0, 50).select(F.col("id").alias("k"), (F.col("id") * 10).alias("w"))
+    plain = joins.enrich(fact, dictionary, "k")
+    salted = joins.enrich(fact, dictionary, "k", salt=8, hot_rows=500)
+    assert rows(salted, ["id", "k", "w"]) == rows(plain, ["id", "k", "w"])
+
+
+def test_first_by_is_a_partial_aggregate_not_a_window(spark):
+    d = catalog.inv.suppliers_by_nation(spark, SF)
+    plan = plan_text(joins.first_by(d, "nationkey", "suppkey"))
+    assert "Window" not in plan
+    assert "HashAggregate" in plan or "SortAggregate" in plan
+
+
+def test_totals_preaggregate_matches_on_real_tables(spark):
+    a = rows(catalog.totals_cube_label(spark, SF))
+    b = rows(catalog.totals_preaggregated(spark, SF))
+    assert a == b
+
+
+def test_totals_union_matches_on_real_tables(spark):
+    e = catalog.enriched(spark, SF)
+    a = rows(T.totals(e, DIMS, invoice_metrics(), "pairs", "count"))
+    b = rows(T.totals_union(e, DIMS, invoice_metrics(), "pairs", "count"))
+    assert a == b

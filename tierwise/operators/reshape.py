@@ -23,8 +23,13 @@ from pyspark.sql import types as T
 
 
 def cells(text: Column, sep: str = ",", record_sep: str = "\r") -> Column:
-    """All cells of ``text`` as one array, records joined end to end."""
-    return F.split(F.regexp_replace(text, record_sep, sep), _regex_literal(sep))
+    """All cells of ``text`` as one array, records joined end to end.
+
+    ``record_sep`` is a regular expression; separators at the very end of the
+    text are dropped first, as a line reader drops the final line break.
+    """
+    body = F.regexp_replace(text, f"(?:{record_sep})+$", "")
+    return F.split(F.regexp_replace(body, record_sep, sep), _regex_literal(sep))
 
 
 def _regex_literal(s: str) -> str:
@@ -46,7 +51,7 @@ def chunks(cell_array: Column, width: int, skip: int = 0) -> Column:
 def to_rows(df: DataFrame, chunk_col: str, names: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
     """Explode an array-of-chunks column into one row per chunk with named fields."""
     exploded = df.select(*keep, F.explode(chunk_col).alias("__cells"))
-    return exploded.select(*keep, *[F.col("__cells")[i].alias(n) for i, n in enumerate(names)])
+    return exploded.select(*keep, *[F.get(F.col("__cells"), i).alias(n) for i, n in enumerate(names)])
 
 
 def records_from_cells(
@@ -81,7 +86,7 @@ def read_flat_records(
     text = spark.read.option("lineSep", record_sep).text(path)
     if header:
         text = text.filter(F.col("value") != F.lit(sep.join(names)))
-    text = text.filter(F.length("value") > 0)
+    text = text.select(F.regexp_replace("value", r"[\r\n]+$", "").alias("value")).filter(F.length("value") > 0)
     rows = records_from_cells(text, "value", names, 0, sep, record_sep)
     return rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
