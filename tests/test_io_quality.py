@@ -78,6 +78,7 @@ def test_missing_required_column_rejects_every_row(spark, invoices):
     reasons = {r.first_reason for r in checked.select("first_reason").collect()}
     assert reasons == {quality.REASON_MISSING_COLUMN}
     assert checked.filter(F.size("errors") == 0).count() == 0
+    assert checked.filter("valid").count() == 0
 
 
 @pytest.mark.parametrize(

@@ -12,10 +12,11 @@ this rule does not.)
 
 Output of ``validate``: the input columns plus
 
+* ``valid``         true when no rule fails;
+* ``first_reason``  the first failing field's reason in schema order (the one
+                    a record constructor stops at), or null;
 * ``errors``        array of ``struct(column, raw_value, reason)`` in schema
-                    field order, empty for a valid row;
-* ``first_reason``  the first error's reason (the one a record constructor
-                    stops at), or null.
+                    field order, empty for a valid row.
 """
 
 from __future__ import annotations
@@ -43,7 +44,12 @@ ERROR = T.StructType(
 
 
 def integer_reason(text: Column) -> Column:
-    """Null when ``text`` is valid integer text, else the reason it is not."""
+    """Null when ``text`` is valid integer text, else the reason it is not.
+
+    The pattern test runs first, so the bigint cast only ever sees well-formed
+    digits (a failing cast is far more expensive than the test) and is only
+    there to catch values out of range.
+    """
     trimmed = F.trim(text)
     return (
         F.when(text.isNull(), F.lit(REASON_MISSING_VALUE))
@@ -56,40 +62,47 @@ def _is_integer_type(dt: T.DataType) -> bool:
     return isinstance(dt, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
 
 
+def _checked_fields(df: DataFrame, schema: T.StructType):
+    """(field, raw text column, reason expression) for every field with a rule."""
+    out = []
+    for field in schema.fields:
+        if field.name not in df.columns:
+            out.append((field.name, F.lit(None).cast("string"), F.lit(REASON_MISSING_COLUMN)))
+        elif _is_integer_type(field.dataType):
+            raw = F.col(field.name).cast("string")
+            out.append((field.name, raw, integer_reason(raw)))
+    return out
+
+
 def validate(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Attach ``errors`` and ``first_reason`` to every row of ``df``.
+    """Attach ``valid``, ``first_reason`` and ``errors`` to every row of ``df``.
 
-    ``df`` holds the fields as text (see ``sources.read_csv_tolerant``).
+    ``df`` holds the fields as text (see ``sources.read_csv_tolerant``). Each
+    field's reason is computed once, as its own column; the flags and the
+    error array are derived from those columns, so filtering on ``valid``
+    never rebuilds the array for rows that pass.
     """
-    checks = []
-    for field in schema.fields:
-        if field.name not in df.columns:
-            checks.append(
-                F.struct(
-                    F.lit(field.name).alias("column"),
-                    F.lit(None).cast("string").alias("raw_value"),
-                    F.lit(REASON_MISSING_COLUMN).alias("reason"),
-                )
-            )
-            continue
-        if not _is_integer_type(field.dataType):
-            continue
-        raw = F.col(field.name).cast("string")
-        reason = integer_reason(raw)
-        checks.append(
-            F.when(
-                reason.isNotNull(),
-                F.struct(F.lit(field.name).alias("column"), raw.alias("raw_value"), reason.alias("reason")),
-            )
-        )
-    errors = F.array_compact(F.array(*checks)) if checks else F.array().cast(T.ArrayType(ERROR))
-    out = df.withColumn("errors", errors)
-    return out.withColumn("first_reason", F.col("errors")[0]["reason"])
+    checked = _checked_fields(df, schema)
+    reason_cols = [f"_reason_{name}" for name, _, _ in checked]
+    with_reasons = df.select("*", *[reason.alias(rc) for (_, _, reason), rc in zip(checked, reason_cols)])
+    errors = [
+        F.when(F.col(rc).isNotNull(), F.struct(F.lit(name).alias("column"), raw.alias("raw_value"), F.col(rc).alias("reason")))
+        for (name, raw, _), rc in zip(checked, reason_cols)
+    ]
+    valid = F.lit(True)
+    for rc in reason_cols:
+        valid = valid & F.col(rc).isNull()
+    return with_reasons.select(
+        *df.columns,
+        valid.alias("valid"),
+        (F.coalesce(*[F.col(rc) for rc in reason_cols]) if reason_cols else F.lit(None).cast("string")).alias("first_reason"),
+        (F.array_compact(F.array(*errors)) if errors else F.array().cast(T.ArrayType(ERROR))).alias("errors"),
+    )
 
 
 def valid_rows(validated: DataFrame, schema: T.StructType) -> DataFrame:
     """The rows without errors, cast to ``schema``."""
-    ok = validated.filter(F.size("errors") == 0)
+    ok = validated.filter(F.col("valid"))
     typed = []
     for f in schema.fields:
         c = F.trim(F.col(f.name)) if _is_integer_type(f.dataType) else F.col(f.name)
@@ -99,13 +112,13 @@ def valid_rows(validated: DataFrame, schema: T.StructType) -> DataFrame:
 
 def invalid_rows(validated: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row per invalid input row: ``keys``, ``n_errors``, ``first_reason``."""
-    bad = validated.filter(F.size("errors") > 0)
+    bad = validated.filter(~F.col("valid"))
     return bad.select(*keys, F.size("errors").alias("n_errors"), "first_reason")
 
 
 def rejects(validated: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The reject table: one row per failing field, ``keys`` + column, raw value, reason."""
-    bad = validated.filter(F.size("errors") > 0)
+    bad = validated.filter(~F.col("valid"))
     return bad.select(*keys, F.explode("errors").alias("e")).select(
         *keys, F.col("e.column").alias("column"), F.col("e.raw_value").alias("raw_value"), F.col("e.reason").alias("reason")
     )

@@ -80,14 +80,21 @@ def read_flat_records(
 
     Each record is split into cells; a record holding several rows' worth of
     cells is cut into ``len(schema)``-cell chunks. Header records (the field
-    names joined by ``sep``) are dropped wherever they occur.
+    names joined by ``sep``) are dropped wherever they occur. A record with at
+    most one row's cells skips the chunking lambdas, which Spark interprets
+    rather than compiles.
     """
     names = [f.name for f in schema.fields]
+    width = len(names)
     text = spark.read.option("lineSep", record_sep).text(path)
+    # A final line break left on the last record is not part of its text.
+    value = F.rtrim(F.col("value"), F.lit("\r\n"))
+    text = text.select(value.alias("value")).filter(F.length("value") > 0)
     if header:
         text = text.filter(F.col("value") != F.lit(sep.join(names)))
-    text = text.select(F.regexp_replace("value", r"[\r\n]+$", "").alias("value")).filter(F.length("value") > 0)
-    rows = records_from_cells(text, "value", names, 0, sep, record_sep)
+    arr = F.split(F.col("value"), _regex_literal(sep))
+    per_row = F.when(F.size(arr) <= width, F.array(arr)).otherwise(chunks(arr, width))
+    rows = to_rows(text.select(per_row.alias("__chunks")), "__chunks", names)
     return rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
