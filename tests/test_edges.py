@@ -143,3 +143,21 @@ def test_set_generator_order():
     assert T.complements(["a", "b", "c"], "singles")[0] == (("a",), ("b", "c"))
     assert len(T.grouping_sets(["a", "b", "c"], "cube")) == 8
     assert T.grouping_sets(["a", "b", "c"], "rollup") == [("a", "b", "c"), ("a", "b"), ("a",), ()]
+
+
+def test_aggregating_before_the_join_equals_joining_first(edge_fact, edge_dict):
+    dictionary = edge_dict.drop("priority")
+    metrics = invoice_metrics() + [count_rows()]
+    for how in ("inner", "left"):
+        for label in ("count", "total", "null"):
+            direct = T.totals(joins.enrich(edge_fact, dictionary, "counter_party", how), DIMS, metrics, "cube", label, grouping_id="g")
+            eager = T.totals_over_join(edge_fact, dictionary, "counter_party", DIMS, metrics, "cube", label, how=how, grouping_id="g")
+            assert rows(direct) == rows(eager)
+    direct = T.totals(joins.enrich(edge_fact, dictionary, "counter_party", null_safe=True), DIMS, metrics, "pairs", "count")
+    eager = T.totals_over_join(edge_fact, dictionary, "counter_party", DIMS, metrics, "pairs", "count", null_safe=True)
+    assert rows(direct) == rows(eager)
+
+
+def test_aggregating_before_the_join_rejects_unknown_columns(edge_fact, edge_dict):
+    with pytest.raises(ValueError):
+        T.totals_over_join(edge_fact, edge_dict, "counter_party", ["legal_entity", "nope"], invoice_metrics())

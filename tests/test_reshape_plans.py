@@ -61,15 +61,26 @@ def test_reshape_record_to_key_value(spark, invoices):
     assert kv.count() == 18
 
 
-def test_totals_is_one_scan_one_expand_one_shuffle(spark):
-    df = catalog.totals_count_label(spark, SF)
+def test_totals_after_join_is_one_scan_one_expand_one_shuffle(spark):
+    df = catalog.totals_after_join(spark, SF)
     plan = plan_text(df)
     assert plan.count("Expand") == 1
     assert scans(df) == 2  # lineitem once, supplier once
-    assert "BroadcastHashJoin" in plan or "BroadcastHashJoin" in formatted(df)
+    assert "BroadcastHashJoin" in formatted(df)
     assert plan.count("Exchange hashpartitioning") == 1
 
 
+def test_totals_aggregate_fact_rows_before_the_join(spark):
+    df = catalog.totals_count_label(spark, SF)
+    text = formatted(df)
+    assert plan_text(df).count("Expand") == 1 and scans(df) == 2
+    # The fact side of the join is a final aggregate over (legal_entity, counter_party).
+    tree = text.split("\n\n")[0]
+    join_at = tree.index("BroadcastHashJoin")
+    assert "HashAggregate" in tree[join_at:]
+    assert plan_text(df).count("Exchange hashpartitioning") == 2
+
+
 def test_union_form_scans_once_per_set(spark):
     df = catalog.totals_union_form(spark, SF)
     assert scans(df) >= 6

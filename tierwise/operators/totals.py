@@ -125,29 +125,23 @@ def totals(
     ``grouping_id`` when named.
     """
     dims, keys = list(dims), list(keys)
-    gsets = [list(s) + keys for s in grouping_sets(dims, sets)]
     group_cols = dims + keys
     # Project each metric's input once, before the Expand multiplies the rows,
     # so the Expand carries only grouping columns and narrow inputs.
     narrow, metrics = _narrow(df, group_cols, metrics)
+    if preaggregate:
+        return _roll_partials(_partials(narrow, group_cols, metrics), dims, keys, metrics, sets, label, total_label, grouping_id)
+
     flags = [F.grouping(c).alias(f"__g_{c}") for c in dims]
     gid = [F.grouping_id().alias(grouping_id)] if grouping_id else []
+    # count(c) reads the input column, not the copy Expand nulls for the set.
+    counts = [F.count(c).alias(f"__n_{c}") for c in dims] if label == "count" else []
+    gsets = [list(s) + keys for s in grouping_sets(dims, sets)]
+    rolled = narrow.groupingSets(gsets, *group_cols).agg(*[m.column() for m in metrics], *flags, *counts, *gid)
+    return _labelled(rolled, dims, keys, metrics, label, total_label, grouping_id)
 
-    if preaggregate:
-        source = narrow.groupBy(*group_cols).agg(*[m.partial() for m in metrics], F.count(F.lit(1)).alias("__rows"))
-        aggs = [m.final() for m in metrics]
-        # Inside one finest group a dimension is constant, so its non-null count
-        # is either all rows of the group or none.
-        counts = [F.sum(F.when(F.col(c).isNotNull(), F.col("__rows")).otherwise(0)).alias(f"__n_{c}") for c in dims]
-    else:
-        source = narrow
-        aggs = [m.column() for m in metrics]
-        # count(c) reads the input column, not the copy Expand nulls for the set.
-        counts = [F.count(c).alias(f"__n_{c}") for c in dims]
-    if label != "count":
-        counts = []
-
-    rolled = source.groupingSets(gsets, *group_cols).agg(*aggs, *flags, *counts, *gid)
+
+def _labelled(rolled, dims, keys, metrics, label, total_label, grouping_id) -> DataFrame:
     return rolled.select(
         *[_label(c, label, total_label) for c in dims],
         *keys,
@@ -168,6 +162,73 @@ def _narrow(df: DataFrame, group_cols: Sequence[str], metrics: Sequence[Metric])
     return df.select(*group_cols, *inputs), rebound
 
 
+def _partials(narrow: DataFrame, grain: Sequence[str], metrics: Sequence[Metric]) -> DataFrame:
+    """One row per distinct ``grain``: each metric's partial plus the row count."""
+    return narrow.groupBy(*grain).agg(*[m.partial() for m in metrics], F.count(F.lit(1)).alias("__rows"))
+
+
+def _roll_partials(source, dims, keys, metrics, sets, label, total_label, grouping_id) -> DataFrame:
+    """Grouping sets over partial rows, merging partials with ``Metric.final``."""
+    group_cols = list(dims) + list(keys)
+    flags = [F.grouping(c).alias(f"__g_{c}") for c in dims]
+    gid = [F.grouping_id().alias(grouping_id)] if grouping_id else []
+    # Inside one partial row a dimension is constant, so its non-null count is
+    # either all the rows behind it or none.
+    counts = (
+        [F.sum(F.when(F.col(c).isNotNull(), F.col("__rows")).otherwise(0)).alias(f"__n_{c}") for c in dims]
+        if label == "count"
+        else []
+    )
+    gsets = [list(s) + list(keys) for s in grouping_sets(dims, sets)]
+    rolled = source.groupingSets(gsets, *group_cols).agg(*[m.final() for m in metrics], *flags, *counts, *gid)
+    return _labelled(rolled, dims, keys, metrics, label, total_label, grouping_id)
+
+
+def totals_over_join(
+    fact: DataFrame,
+    dictionary: DataFrame,
+    on,
+    dims: Sequence[str],
+    metrics: Sequence[Metric],
+    sets="pairs",
+    label: str = "count",
+    keys: Sequence[str] = (),
+    how: str = "inner",
+    total_label: str = "Total",
+    grouping_id: str | None = None,
+    **join_options,
+) -> DataFrame:
+    """Totals of ``fact`` enriched by ``dictionary``, aggregating before the join.
+
+    The fact rows are first reduced to one partial row per distinct
+    (fact-side dimensions, join key); only those partial rows meet the
+    dictionary, and the grouping sets roll the joined partials up. The result
+    equals ``totals(enrich(fact, dictionary, on), ...)``, including the row
+    multiplication an inner join gives duplicate dictionary keys, because each
+    partial row is duplicated exactly as its member rows would have been.
+
+    At scale this is the plan to use: the map-side partial aggregate collapses
+    a hot join key (one key holding a third of the rows becomes one row per
+    map task) before any shuffle, and the join then moves partial rows, not
+    fact rows. Metrics must read fact columns only; dimensions may come from
+    either side.
+    """
+    on = [on] if isinstance(on, str) else list(on)
+    dims, keys = list(dims), list(keys)
+    fact_side = [c for c in dims + keys if c in fact.columns]
+    dict_side = [c for c in dims + keys if c not in fact.columns]
+    missing = [c for c in dict_side if c not in dictionary.columns]
+    if missing:
+        raise ValueError(f"columns in neither table: {missing}")
+    grain = list(dict.fromkeys(fact_side + on))
+    narrow, metrics = _narrow(fact, grain, metrics)
+    partial = _partials(narrow, grain, metrics)
+    from .joins import enrich
+
+    joined = enrich(partial, dictionary.select(*on, *[c for c in dict_side if c not in on]), on, how, **join_options)
+    return _roll_partials(joined, dims, keys, metrics, sets, label, total_label, grouping_id)
+
+
 def totals_union(
     df: DataFrame,
     dims: Sequence[str],

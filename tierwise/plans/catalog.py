@@ -103,26 +103,42 @@ def entity_summary_query(spark, sf_dir):
 # --- multi-level totals -----------------------------------------------------
 
 
+def joined_totals(spark, sf_dir, sets, label, fact=None, **options):
+    """Totals of invoices enriched by tiers, aggregated before the join."""
+    fact = inv.invoices(spark, sf_dir) if fact is None else fact
+    return totals.totals_over_join(
+        fact, inv.tiers(spark, sf_dir), "counter_party", DIMS, options.pop("metrics", invoice_metrics()), sets, label, **options
+    )
+
+
 def totals_count_label(spark, sf_dir):
-    return totals.totals(enriched(spark, sf_dir), DIMS, invoice_metrics(), sets="pairs", label="count")
+    return joined_totals(spark, sf_dir, "pairs", "count")
 
 
 def totals_singles(spark, sf_dir):
-    return totals.totals(enriched(spark, sf_dir), DIMS, invoice_metrics(), sets="singles", label="count")
+    return joined_totals(spark, sf_dir, "singles", "count")
 
 
 def totals_cube_label(spark, sf_dir):
-    return totals.totals(enriched(spark, sf_dir), DIMS, invoice_metrics(), sets="cube", label="total")
+    return joined_totals(spark, sf_dir, "cube", "total")
 
 
 def totals_rollup_label(spark, sf_dir):
-    return totals.totals(enriched(spark, sf_dir), DIMS, invoice_metrics(), sets="rollup", label="total")
+    return joined_totals(spark, sf_dir, "rollup", "total")
 
 
 def totals_by_status(spark, sf_dir):
-    rows = enriched(spark, sf_dir).filter(F.col("status").isin(*INVOICE_STATUSES))
+    # The status filter reads a fact column, so it runs in the fact scan stage.
+    fact = inv.invoices(spark, sf_dir).filter(F.col("status").isin(*INVOICE_STATUSES))
     metrics = [count_rows("n_rows"), max_of("rating", "max_rating"), sum_of("value", "sum_value")]
-    return totals.totals(rows, DIMS, metrics, sets="pairs", label="null", keys=["status"], grouping_id="grouping_id")
+    return joined_totals(
+        spark, sf_dir, "pairs", "null", fact=fact, metrics=metrics, keys=["status"], grouping_id="grouping_id"
+    )
+
+
+def totals_after_join(spark, sf_dir):
+    """The same cube aggregated after the join: one Expand over enriched rows."""
+    return totals.totals(enriched(spark, sf_dir), DIMS, invoice_metrics(), sets="cube", label="total")
 
 
 def totals_union_form(spark, sf_dir):
@@ -216,6 +232,7 @@ QUERIES = {
     "totals_cube_label": totals_cube_label,
     "totals_rollup_label": totals_rollup_label,
     "totals_by_status": totals_by_status,
+    "totals_after_join": totals_after_join,
     "totals_union_form": totals_union_form,
     "totals_preaggregated": totals_preaggregated,
     "validate_rows": validate_rows,
@@ -340,6 +357,7 @@ FROM enriched
 WHERE status IN ('ARAP', 'ACCR')
 GROUP BY GROUPING SETS ((legal_entity, status), (legal_entity, counter_party, status), (legal_entity, tier, status),
                         (counter_party, status), (counter_party, tier, status), (tier, status))""",
+    "totals_after_join": _CUBE_SQL,
     "totals_union_form": _COUNT_LABEL_SQL,
     "totals_preaggregated": _CUBE_SQL,
     "validate_rows": f"""WITH {_INVOICE_TEXT}
