@@ -146,3 +146,27 @@ def test_pipeline_folds_three_sources(spark, invoices, tiers):
     ratings = spark.createDataFrame([(f"C{i}", f"grade{i % 2}") for i in range(1, 7)], "counter_party string, grade string")
     out = Pipeline(sources=[invoices, tiers, ratings]).run(merge_on="counter_party")
     assert out.count() == 18 and "grade" in out.columns and "tier" in out.columns
+
+
+def test_materialize_checkpoints_to_the_shared_folder(spark, enriched):
+    from tierwise.operators.reuse import materialize
+
+    reused = materialize(enriched, "checkpoint")
+    assert "LogicalRDD" in reused._jdf.queryExecution().optimizedPlan().toString()
+    assert rows(reused) == rows(enriched)
+    cached = materialize(enriched, "cache")
+    assert cached.count() == 18
+    cached.unpersist()
+
+
+def test_public_api_imports():
+    import tierwise
+
+    for name in ("totals", "totals_over_join", "enrich", "validate", "read_csv", "write_csv", "Pipeline"):
+        assert hasattr(tierwise, name)
+
+
+def test_show_prints_a_bounded_preview(enriched, capsys):
+    sinks.show(enriched, 3)
+    out = capsys.readouterr().out
+    assert "only showing top 3 rows" in out

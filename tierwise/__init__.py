@@ -1 +1,47 @@
-"""Multi-level business totals on Spark DataFrames."""
+"""Multi-level business totals on Spark DataFrames.
+
+Typical use::
+
+    from tierwise import read_csv, totals_over_join, invoice_metrics, INVOICE, TIER
+
+    facts = read_csv(spark, "invoices/", INVOICE)
+    tiers = read_csv(spark, "tiers/", TIER)
+    out = totals_over_join(facts, tiers, "counter_party",
+                           ["legal_entity", "counter_party", "tier"],
+                           invoice_metrics(), sets="cube", label="total")
+    write_csv(out, "totals/")
+"""
+
+from .functions.metrics import (
+    Metric,
+    count_of,
+    count_rows,
+    invoice_metrics,
+    max_of,
+    metric_set,
+    min_of,
+    sum_if,
+    sum_of,
+)
+from .operators.joins import (
+    checked_broadcast,
+    enrich,
+    first_by,
+    keys_in_dictionary,
+    lookup,
+    merge_right_wins,
+    missing_keys,
+    require_keys,
+)
+from .operators.quality import invalid_rows, rejects, valid_rows, validate, with_position
+from .operators.reshape import read_flat_records, records_from_cells
+from .operators.reuse import materialize
+from .operators.totals import grand_total, group_metrics, grouping_sets, totals, totals_over_join, totals_union
+from .plans.pipeline import Pipeline, entity_summary
+from .schemas import INVOICE, TIER
+from .session import configure, local_session
+from .sinks import format_lines, show, write_csv, write_lines, write_parquet, write_table
+from .sources.files import read_csv, read_csv_tolerant, read_json_lines, read_json_records, split_corrupt
+from .sources.tables import read_table, register_views
+
+__all__ = [name for name in dir() if not name.startswith("_")]

@@ -1 +1,9 @@
+"""Streaming: deliberately empty.
 
+The exercise this library rebuilds reads bounded files and tables only; it has
+no stream source, watermark, window, state or late-data handling. Nothing is
+built here, so that the library does not claim operators it was never asked
+to provide. Every operator in ``tierwise`` is a DataFrame transformation, so
+the batch plans apply unchanged to a ``readStream`` DataFrame where Structured
+Streaming supports the operator (aggregations in complete or update mode).
+"""
