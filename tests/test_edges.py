@@ -7,7 +7,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from tierwise.functions.metrics import count_rows, invoice_metrics, max_of, metric_set, sum_if
+from tierwise.functions.metrics import count_rows, invoice_metrics, max_of, metric_set, sum_if, sum_of
 from tierwise.operators import joins
 from tierwise.operators import totals as T
 
@@ -161,3 +161,25 @@ def test_aggregating_before_the_join_equals_joining_first(edge_fact, edge_dict):
 def test_aggregating_before_the_join_rejects_unknown_columns(edge_fact, edge_dict):
     with pytest.raises(ValueError):
         T.totals_over_join(edge_fact, edge_dict, "counter_party", ["legal_entity", "nope"], invoice_metrics())
+
+
+def test_single_level_over_join_with_dictionary_metrics(edge_fact, edge_dict):
+    from tierwise.functions.metrics import count_of, min_of
+
+    dictionary = edge_dict.drop("priority")
+    metrics = [
+        count_of("rating", "n_rating"),
+        max_of("tier", "max_tier"),
+        min_of("tier", "min_tier"),
+        sum_of("tier", "sum_tier"),
+        count_of("tier", "n_tier"),
+        sum_if("value", F.col("status") == "ARAP", "arap"),
+        count_rows(),
+    ]
+    for how in ("inner", "left"):
+        direct = T.group_metrics(joins.enrich(edge_fact, dictionary, "counter_party", how), ["legal_entity"], metrics)
+        eager = T.group_over_join(edge_fact, dictionary, "counter_party", ["legal_entity"], metrics, how=how)
+        assert rows(direct) == rows(eager)
+        cube = T.totals(joins.enrich(edge_fact, dictionary, "counter_party", how), DIMS, metrics, "cube", "count")
+        cube_eager = T.totals_over_join(edge_fact, dictionary, "counter_party", DIMS, metrics, "cube", "count", how=how)
+        assert rows(cube) == rows(cube_eager)

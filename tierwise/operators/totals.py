@@ -167,8 +167,13 @@ def _partials(narrow: DataFrame, grain: Sequence[str], metrics: Sequence[Metric]
     return narrow.groupBy(*grain).agg(*[m.partial() for m in metrics], F.count(F.lit(1)).alias("__rows"))
 
 
-def _roll_partials(source, dims, keys, metrics, sets, label, total_label, grouping_id) -> DataFrame:
-    """Grouping sets over partial rows, merging partials with ``Metric.final``."""
+def _roll_partials(source, dims, keys, metrics, sets, label, total_label, grouping_id, merged=None) -> DataFrame:
+    """Grouping sets over partial rows, merging partials with ``Metric.final``.
+
+    ``merged`` optionally maps a metric name to a ready merge expression (used
+    for metrics over dictionary columns that only exist after the join).
+    """
+    merged = merged or {}
     group_cols = list(dims) + list(keys)
     flags = [F.grouping(c).alias(f"__g_{c}") for c in dims]
     gid = [F.grouping_id().alias(grouping_id)] if grouping_id else []
@@ -179,11 +184,64 @@ def _roll_partials(source, dims, keys, metrics, sets, label, total_label, groupi
         if label == "count"
         else []
     )
+    aggs = [merged[m.name].alias(m.name) if m.name in merged else m.final() for m in metrics]
     gsets = [list(s) + list(keys) for s in grouping_sets(dims, sets)]
-    rolled = source.groupingSets(gsets, *group_cols).agg(*[m.final() for m in metrics], *flags, *counts, *gid)
+    rolled = source.groupingSets(gsets, *group_cols).agg(*aggs, *flags, *counts, *gid)
     return _labelled(rolled, dims, keys, metrics, label, total_label, grouping_id)
 
 
+def _reads_only(df: DataFrame, expr: Column) -> bool:
+    try:
+        df.select(expr).schema
+        return True
+    except Exception:
+        return False
+
+
+def _dictionary_merge(m: Metric) -> Column:
+    """How a metric over a dictionary column merges joined partial rows, each
+    standing for ``__rows`` fact rows that share the column's value."""
+    c = F.col(m.source)
+    if m.kind == "max":
+        return F.max(c)
+    if m.kind == "min":
+        return F.min(c)
+    if m.kind == "sum":
+        return F.sum(c * F.col("__rows"))
+    if m.kind == "count":
+        return F.sum(F.when(c.isNotNull(), F.col("__rows")).otherwise(0))
+    raise ValueError(f"a {m.kind!r} metric over a dictionary column cannot be aggregated before the join")
+
+
+def _prepare_join_aggregation(fact, dictionary, on, group_cols, metrics):
+    """Split metrics by side, reduce the fact to partial rows, and return
+    (partial fact rows, dictionary columns to join, fact-side metrics rebound
+    to the partial columns, merge expressions for dictionary-side metrics)."""
+    on = [on] if isinstance(on, str) else list(on)
+    fact_side = [c for c in group_cols if c in fact.columns]
+    dict_cols = [c for c in group_cols if c not in fact.columns]
+    fact_metrics, merged = [], {}
+    for m in metrics:
+        named = isinstance(m.source, str)
+        if m.kind == "rows" or (m.source in fact.columns if named else _reads_only(fact, m.input())):
+            fact_metrics.append(m)
+        elif named and m.source in dictionary.columns:
+            merged[m.name] = _dictionary_merge(m)
+            dict_cols.append(m.source)
+        else:
+            raise ValueError(f"metric {m.name!r} reads columns of neither table alone")
+    missing = [c for c in dict_cols if c not in dictionary.columns]
+    if missing:
+        raise ValueError(f"columns in neither table: {missing}")
+    grain = list(dict.fromkeys(fact_side + on))
+    narrow, rebound = _narrow(fact, grain, fact_metrics)
+    partial = _partials(narrow, grain, rebound)
+    dict_keep = list(dict.fromkeys(on + [c for c in dict_cols if c not in on]))
+    by_name = {m.name: m for m in rebound}
+    ordered = [by_name.get(m.name, m) for m in metrics]
+    return partial, dictionary.select(*dict_keep), on, ordered, merged
+
+
 def totals_over_join(
     fact: DataFrame,
     dictionary: DataFrame,
@@ -210,23 +268,36 @@ def totals_over_join(
     At scale this is the plan to use: the map-side partial aggregate collapses
     a hot join key (one key holding a third of the rows becomes one row per
     map task) before any shuffle, and the join then moves partial rows, not
-    fact rows. Metrics must read fact columns only; dimensions may come from
-    either side.
+    fact rows. Dimensions may come from either side. Metrics over fact columns
+    may be any expression; metrics over a dictionary column may be max, min,
+    sum or count of that column.
     """
-    on = [on] if isinstance(on, str) else list(on)
+    from .joins import enrich
+
     dims, keys = list(dims), list(keys)
-    fact_side = [c for c in dims + keys if c in fact.columns]
-    dict_side = [c for c in dims + keys if c not in fact.columns]
-    missing = [c for c in dict_side if c not in dictionary.columns]
-    if missing:
-        raise ValueError(f"columns in neither table: {missing}")
-    grain = list(dict.fromkeys(fact_side + on))
-    narrow, metrics = _narrow(fact, grain, metrics)
-    partial = _partials(narrow, grain, metrics)
+    partial, dict_cols, on, metrics, merged = _prepare_join_aggregation(fact, dictionary, on, dims + keys, metrics)
+    joined = enrich(partial, dict_cols, on, how, **join_options)
+    return _roll_partials(joined, dims, keys, metrics, sets, label, total_label, grouping_id, merged)
+
+
+def group_over_join(
+    fact: DataFrame,
+    dictionary: DataFrame,
+    on,
+    keys: Sequence[str],
+    metrics: Sequence[Metric],
+    how: str = "inner",
+    **join_options,
+) -> DataFrame:
+    """One grouping level of ``fact`` enriched by ``dictionary``, aggregating
+    before the join (see ``totals_over_join``); no ``Expand`` is involved."""
     from .joins import enrich
 
-    joined = enrich(partial, dictionary.select(*on, *[c for c in dict_side if c not in on]), on, how, **join_options)
-    return _roll_partials(joined, dims, keys, metrics, sets, label, total_label, grouping_id)
+    keys = list(keys)
+    partial, dict_cols, on, metrics, merged = _prepare_join_aggregation(fact, dictionary, on, keys, metrics)
+    joined = enrich(partial, dict_cols, on, how, **join_options)
+    aggs = [merged[m.name].alias(m.name) if m.name in merged else m.final() for m in metrics]
+    return joined.groupBy(*keys).agg(*aggs)
 
 
 def totals_union(

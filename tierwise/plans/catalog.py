@@ -21,7 +21,7 @@ from ..schemas import INVOICE
 from ..session import scratch_path
 from ..sources import files
 from . import invoices as inv
-from .pipeline import Pipeline, entity_summary
+from .pipeline import ENTITY_METRICS, Pipeline, entity_summary
 
 DIMS = list(inv.DIMS)
 
@@ -84,20 +84,25 @@ def key_in_dictionary(spark, sf_dir):
 # --- metrics at one level ---------------------------------------------------
 
 
+def joined_level(spark, sf_dir, keys, metrics):
+    """One grouping level of invoices enriched by tiers, aggregated before the join."""
+    return totals.group_over_join(inv.invoices(spark, sf_dir), inv.tiers(spark, sf_dir), "counter_party", keys, metrics)
+
+
 def metrics_by_one_key(spark, sf_dir):
-    return totals.group_metrics(enriched(spark, sf_dir), ["legal_entity"], invoice_metrics())
+    return joined_level(spark, sf_dir, ["legal_entity"], invoice_metrics())
 
 
 def metrics_by_two_keys(spark, sf_dir):
-    return totals.group_metrics(enriched(spark, sf_dir), ["legal_entity", "counter_party"], invoice_metrics())
+    return joined_level(spark, sf_dir, ["legal_entity", "counter_party"], invoice_metrics())
 
 
 def metrics_by_three_keys(spark, sf_dir):
-    return totals.group_metrics(enriched(spark, sf_dir), DIMS, invoice_metrics())
+    return joined_level(spark, sf_dir, DIMS, invoice_metrics())
 
 
 def entity_summary_query(spark, sf_dir):
-    return entity_summary(enriched(spark, sf_dir))
+    return joined_level(spark, sf_dir, ["legal_entity", "counter_party"], ENTITY_METRICS)
 
 
 # --- multi-level totals -----------------------------------------------------
@@ -178,8 +183,9 @@ def flat_cell_reshape(spark, sf_dir):
 def format_rows(spark, sf_dir):
     """Per (legal_entity, counter_party): tier, max rating and the two status sums,
     printed as one line with eleven spaces between fields."""
-    per_entity = totals.group_metrics(
-        enriched(spark, sf_dir),
+    per_entity = joined_level(
+        spark,
+        sf_dir,
         ["legal_entity", "counter_party"],
         [
             max_of("tier", "tier"),

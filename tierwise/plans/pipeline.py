@@ -39,10 +39,9 @@ class Pipeline:
         return data
 
 
+ENTITY_METRICS = [count_of("rating", "count_rating"), max_of("tier", "max_tier"), sum_of("value", "sum_value")]
+
+
 def entity_summary(df: DataFrame) -> DataFrame:
     """Per (legal_entity, counter_party): count_rating, max_tier, sum_value."""
-    return group_metrics(
-        df,
-        ["legal_entity", "counter_party"],
-        [count_of("rating", "count_rating"), max_of("tier", "max_tier"), sum_of("value", "sum_value")],
-    )
+    return group_metrics(df, ["legal_entity", "counter_party"], ENTITY_METRICS)
