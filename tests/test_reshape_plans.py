@@ -125,6 +125,19 @@ def test_salted_join_on_a_hot_key_equals_plain_join(spark):
     plain = joins.enrich(fact, dictionary, "k")
     salted = joins.enrich(fact, dictionary, "k", salt=8, hot_rows=500)
     assert rows(salted, ["id", "k", "w"]) == rows(plain, ["id", "k", "w"])
+    assert [r.k for r in joins.hot_keys(fact, "k", 500).collect()] == [0]
+    # Hot rows are tagged by a broadcast join: the fact is shuffled once, for the salted join.
+    text = formatted(salted)
+    assert text.count("BroadcastHashJoin") >= 1
+
+
+def test_salted_join_refuses_too_many_hot_keys(spark):
+    import pytest
+
+    fact = spark.range(0, 1000).select((F.col("id") % 10).alias("k"))
+    dictionary = spark.range(0, 10).select(F.col("id").alias("k"))
+    with pytest.raises(ValueError):
+        joins.enrich(fact, dictionary, "k", salt=4, hot_rows=10, max_hot_keys=5)
 
 
 def test_first_by_is_a_partial_aggregate_not_a_window(spark):

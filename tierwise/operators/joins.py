@@ -10,8 +10,10 @@ dictionary is larger. ``False`` never broadcasts.
 Skew: with a shuffle join, one key may hold a large share of the fact rows.
 AQE's skew-join handling splits such partitions by itself; ``salt`` makes it
 explicit: keys with at least ``hot_rows`` fact rows are found exactly by an
-aggregate, their fact rows are spread over ``salt`` buckets by a hash of the
-row, and only those keys' dictionary rows are copied into every bucket.
+aggregate (stored once in the shared checkpoint folder and broadcast only
+below a checked size), their fact rows are spread over ``salt`` buckets by a
+hash of the row, and only those keys' dictionary rows are copied into every
+bucket.
 """
 
 from __future__ import annotations
@@ -62,6 +64,7 @@ def enrich(
     strict: bool = False,
     salt: int = 0,
     hot_rows: int = 1_000_000,
+    max_hot_keys: int | None = None,
 ) -> DataFrame:
     """Equi-join ``fact`` with ``dictionary`` on shared key names.
 
@@ -77,7 +80,7 @@ def enrich(
     if salt and salt > 1:
         if null_safe or how != "inner":
             raise ValueError("salting is implemented for inner joins with SQL key equality")
-        return _salted_join(fact, dictionary, keys, salt, hot_rows)
+        return _salted_join(fact, dictionary, keys, salt, hot_rows, max_hot_keys or DEFAULT_MAX_HOT_KEYS)
     right = _prepare(dictionary, broadcast, max_broadcast_rows)
     if not null_safe:
         return fact.join(right, keys, how)
@@ -190,12 +193,30 @@ def merge_right_wins(
     return joined.select(*out)
 
 
-def _salted_join(fact: DataFrame, dictionary: DataFrame, keys: list[str], buckets: int, hot_rows: int) -> DataFrame:
-    # Hot keys are found exactly. There are at most (fact rows / hot_rows) of
-    # them; AQE measures that small aggregate and broadcasts it at run time.
-    hot = (
-        fact.groupBy(*keys).count().filter(F.col("count") >= hot_rows).select(*keys).withColumn("__hot", F.lit(True))
-    )
+def hot_keys(fact: DataFrame, on, hot_rows: int) -> DataFrame:
+    """Keys carrying at least ``hot_rows`` fact rows, found exactly by an aggregate
+    (partial counts per map task, so the hot keys themselves are cheap to count)."""
+    keys = _keys(on)
+    return fact.groupBy(*keys).count().filter(F.col("count") >= hot_rows).select(*keys)
+
+
+# Largest number of hot keys the salted join will broadcast back into the scans.
+DEFAULT_MAX_HOT_KEYS = 100_000
+
+
+def _salted_join(
+    fact: DataFrame, dictionary: DataFrame, keys: list[str], buckets: int, hot_rows: int,
+    max_hot_keys: int = DEFAULT_MAX_HOT_KEYS,
+) -> DataFrame:
+    from .reuse import materialize
+
+    # The hot-key table is computed once and kept in the shared checkpoint
+    # folder, then broadcast only after its size is checked, so tagging hot
+    # rows never shuffles the fact.
+    hot = materialize(hot_keys(fact, keys, hot_rows).withColumn("__hot", F.lit(True)), "checkpoint")
+    hot, small = checked_broadcast(hot, max_hot_keys)
+    if not small:
+        raise ValueError(f"more than {max_hot_keys} keys have {hot_rows}+ rows; raise hot_rows")
     tagged = fact.join(hot, keys, "left")
     # The bucket comes from a hash of the whole row, so a recomputed task puts
     # every row back into the same bucket.
@@ -203,6 +224,7 @@ def _salted_join(fact: DataFrame, dictionary: DataFrame, keys: list[str], bucket
     salted_fact = tagged.withColumn(
         "__salt", F.when(F.col("__hot"), F.pmod(row_hash, F.lit(buckets))).otherwise(F.lit(0).cast("bigint"))
     ).drop("__hot")
+    # Only hot keys' dictionary rows are copied into every bucket.
     dict_tagged = dictionary.join(hot, keys, "left")
     salted_dict = dict_tagged.withColumn(
         "__salt",
