@@ -170,3 +170,15 @@ def test_show_prints_a_bounded_preview(enriched, capsys):
     sinks.show(enriched, 3)
     out = capsys.readouterr().out
     assert "only showing top 3 rows" in out
+
+
+def test_missing_connector_surfaces_sparks_error(spark):
+    with pytest.raises(Exception, match="DATA_SOURCE_NOT_FOUND|Failed to find the data source"):
+        tables.read_table(spark, "project.dataset.table", format="org.example.absent").schema
+
+
+def test_json_lines(spark, tiers, tmp_path):
+    path = str(tmp_path / "tiers-jsonl")
+    tiers.write.json(path)
+    back = files.read_json_lines(spark, path, TIER)
+    assert rows(back) == rows(tiers)

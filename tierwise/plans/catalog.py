@@ -108,12 +108,11 @@ def entity_summary_query(spark, sf_dir):
 # --- multi-level totals -----------------------------------------------------
 
 
-def joined_totals(spark, sf_dir, sets, label, fact=None, **options):
+def joined_totals(spark, sf_dir, sets, label, fact=None, metrics=None, **options):
     """Totals of invoices enriched by tiers, aggregated before the join."""
     fact = inv.invoices(spark, sf_dir) if fact is None else fact
-    return totals.totals_over_join(
-        fact, inv.tiers(spark, sf_dir), "counter_party", DIMS, options.pop("metrics", invoice_metrics()), sets, label, **options
-    )
+    metrics = invoice_metrics() if metrics is None else metrics
+    return totals.totals_over_join(fact, inv.tiers(spark, sf_dir), "counter_party", DIMS, metrics, sets, label, **options)
 
 
 def totals_count_label(spark, sf_dir):
