@@ -158,3 +158,30 @@ def test_totals_union_matches_on_real_tables(spark):
     a = rows(T.totals(e, DIMS, invoice_metrics(), "pairs", "count"))
     b = rows(T.totals_union(e, DIMS, invoice_metrics(), "pairs", "count"))
     assert a == b
+
+
+def test_bucketed_tables_join_and_preaggregate_without_a_shuffle(spark):
+    from tierwise import sinks
+
+    sf = "/root/testdata/sf0.01"
+    for name in ("inv_bucketed", "tier_bucketed"):
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    sinks.write_table(catalog.inv.invoices(spark, sf), "inv_bucketed", bucket_by="counter_party", buckets=8)
+    sinks.write_table(catalog.inv.tiers(spark, sf), "tier_bucketed", bucket_by="counter_party", buckets=8)
+    old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")}
+    try:
+        for k in old:
+            spark.conf.set(k, "-1")  # force a shuffle-free sort-merge join, not a broadcast
+        df = T.totals_over_join(
+            spark.table("inv_bucketed"), spark.table("tier_bucketed"), "counter_party", DIMS, invoice_metrics(), "cube", "total"
+        )
+        plan = plan_text(df)
+        assert "SortMergeJoin" in plan
+        # One shuffle in all: the grouping sets. The pre-aggregate and the join run per bucket.
+        assert plan.count("Exchange hashpartitioning") == 1
+        assert rows(df) == rows(catalog.totals_cube_label(spark, sf))
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+        for name in ("inv_bucketed", "tier_bucketed"):
+            spark.sql(f"DROP TABLE IF EXISTS {name}")

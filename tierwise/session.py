@@ -32,13 +32,17 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "tierwise") -> SparkSession:
-    """A local session for tests and benches; clusters build their own."""
+    """A local session for tests and benches; clusters build their own.
+
+    Catalog tables go to a fresh temporary warehouse, not the working folder.
+    """
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
+        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="tierwise-warehouse-"))
     )
     for key, value in DEFAULTS.items():
         builder = builder.config(key, value)

@@ -15,14 +15,29 @@ def write_csv(df: DataFrame, path: str, mode: str = "errorifexists", header: boo
     df.write.mode(mode).option("header", header).options(**options).csv(path)
 
 
-def write_table(df: DataFrame, target: str, format: str | None = None, mode: str | None = None, **options) -> None:
+def write_table(
+    df: DataFrame,
+    target: str,
+    format: str | None = None,
+    mode: str | None = None,
+    bucket_by=None,
+    buckets: int | None = None,
+    **options,
+) -> None:
     """Save into a catalog table (``format=None``) or through a connector.
 
     The default mode is Spark's ``errorifexists``: an existing target fails.
+    ``bucket_by`` with ``buckets`` stores a catalog table hash-bucketed on the
+    given columns: a fact and a dictionary bucketed alike on the join key are
+    later joined, and aggregated by groups that include the key, without a
+    shuffle.
     """
     writer = df.write
     if mode:
         writer = writer.mode(mode)
+    if bucket_by:
+        cols = [bucket_by] if isinstance(bucket_by, str) else list(bucket_by)
+        writer = writer.bucketBy(buckets, *cols)
     if format is None:
         writer.options(**options).saveAsTable(target)
     else:
