@@ -38,3 +38,19 @@ def test_by_status_and_summary(spark, data_dir):
 def test_validate(spark, data_dir):
     out = cli.run(["validate", "--facts", str(data_dir / "dataset1_val.csv")], spark)
     assert sorted(r.position for r in out.collect()) == [5, 20, 23, 24]
+
+
+def test_totals_over_validated_rows_with_a_reject_table(spark, data_dir):
+    rejects = scratch_path(spark, "cli-rejects")
+    out = cli.run(
+        ["totals", "--facts", str(data_dir / "dataset1_val.csv"), "--dictionary", str(data_dir / "dataset2.csv"),
+         "--validate", "--rejects", rejects, "--sets", "cube", "--label", "total"],
+        spark,
+    )
+    grand = out.filter("legal_entity = 'Total' AND counter_party = 'Total' AND tier = 'Total'").first()
+    # 21 valid rows. Against the clean file: invoice 18 appears twice (+65 ARAP);
+    # invoice 5 has no value (-50 ACCR), invoice 14 has status 3 (-52 ACCR), the
+    # repeated invoice 6 names C2 (+60 ACCR), and counter party '2' has no tier.
+    assert (grand.sum_value_ARAP, grand.sum_value_ACCR) == (1250 + 65, 512 - 50 - 52 + 60)
+    back = spark.read.option("header", True).csv(rejects)
+    assert sorted(int(r.position) for r in back.collect()) == [5, 20, 23, 24]

@@ -22,7 +22,7 @@ from . import sinks
 from .functions.metrics import count_rows, max_of, metric_set, sum_of
 from .operators import quality
 from .operators.totals import SHAPES, totals_over_join
-from .plans.pipeline import Pipeline, entity_summary
+from .plans.pipeline import Pipeline, entity_summary, validated_rows
 from .schemas import INVOICE, TIER
 from .session import configure
 from .sources import files
@@ -56,6 +56,8 @@ def run(argv=None, spark: SparkSession | None = None) -> DataFrame:
     p.add_argument("--label", default="count", choices=["count", "total", "null"])
     p.add_argument("--statuses", default="ARAP,ACCR")
     p.add_argument("--infer", action="store_true")
+    p.add_argument("--validate", action="store_true", help="drop invalid fact rows before the totals")
+    p.add_argument("--rejects", help="with --validate, also write the reject table here")
     p.add_argument("--out")
     p.add_argument("--mode", default="errorifexists")
     p.add_argument("--rows", type=int, default=20)
@@ -74,7 +76,13 @@ def run(argv=None, spark: SparkSession | None = None) -> DataFrame:
     else:
         if not args.dictionary:
             p.error("--dictionary is required")
-        facts, dictionary = _read_facts(spark, args), _read_dictionary(spark, args)
+        dictionary = _read_dictionary(spark, args)
+        if args.validate:
+            facts, rejected, _ = validated_rows(spark, args.facts, INVOICE)
+            if args.rejects:
+                sinks.write_csv(rejected, args.rejects, mode=args.mode)
+        else:
+            facts = _read_facts(spark, args)
         if args.command == "totals":
             metrics = metric_set("rating", "value", "status", *statuses)
             out = totals_over_join(facts, dictionary, args.on, dims, metrics, args.sets, args.label)

@@ -15,8 +15,10 @@ from typing import Callable, Sequence
 from pyspark.sql import DataFrame
 
 from ..functions.metrics import count_of, max_of, sum_of
+from ..operators import quality
 from ..operators.joins import enrich
-from ..operators.totals import group_metrics
+from ..operators.totals import group_metrics, totals_over_join
+from ..sources import files
 
 
 @dataclass
@@ -45,3 +47,24 @@ ENTITY_METRICS = [count_of("rating", "count_rating"), max_of("tier", "max_tier")
 def entity_summary(df: DataFrame) -> DataFrame:
     """Per (legal_entity, counter_party): count_rating, max_tier, sum_value."""
     return group_metrics(df, ["legal_entity", "counter_party"], ENTITY_METRICS)
+
+
+def validated_rows(spark, path, schema) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Read delimited text tolerantly and validate it against ``schema``.
+
+    Returns ``(typed valid rows, reject table, bad lines)``. The reject table
+    has the row's file position, the failing column, its raw text and the
+    reason; bad lines are records with more fields than the schema.
+    """
+    raw = files.read_csv_tolerant(spark, path, schema)
+    good, bad_lines = files.split_corrupt(raw)
+    checked = quality.validate(quality.with_position(good), schema)
+    return quality.valid_rows(checked, schema), quality.rejects(checked, ["position"]), bad_lines
+
+
+def validated_totals(spark, path, schema, dictionary, on, dims, metrics, sets="pairs", label="count", **options):
+    """The whole job as one lazy plan: tolerant read → validation → enrichment →
+    totals. Invalid rows are left out of the totals; see ``validated_rows`` for
+    the reject table."""
+    valid, _, _ = validated_rows(spark, path, schema)
+    return totals_over_join(valid, dictionary, on, dims, metrics, sets, label, **options)
