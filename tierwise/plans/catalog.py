@@ -168,6 +168,15 @@ def reject_reasons(spark, sf_dir):
     return quality.rejects(checked, REJECT_KEYS)
 
 
+def validated_totals(spark, sf_dir):
+    """Validation, enrichment and totals as one plan: invalid text rows are
+    left out, valid ones typed, then the Total-labelled cube."""
+    checked = quality.validate(inv.invoice_text(spark, sf_dir), INVOICE)
+    valid = quality.valid_rows(checked, INVOICE)
+    dictionary = inv.tiers(spark, sf_dir).withColumn("counter_party", F.col("counter_party").cast("string"))
+    return totals.totals_over_join(valid, dictionary, "counter_party", DIMS, invoice_metrics(), "cube", "total")
+
+
 # --- reshaping, formatting, sinks, pipeline --------------------------------------
 
 
@@ -242,6 +251,7 @@ QUERIES = {
     "totals_preaggregated": totals_preaggregated,
     "validate_rows": validate_rows,
     "reject_reasons": reject_reasons,
+    "validated_totals": validated_totals,
     "flat_cell_reshape": flat_cell_reshape,
     "format_rows": format_rows,
     "sink_roundtrip_csv": sink_roundtrip_csv,
@@ -378,6 +388,27 @@ UNION ALL
 SELECT invoice_id, counter_party, rating, 'rating', rating, r_rating FROM r WHERE r_rating IS NOT NULL
 UNION ALL
 SELECT invoice_id, counter_party, rating, 'value', value, r_value FROM r WHERE r_value IS NOT NULL""",
+    "validated_totals": f"""WITH t AS (
+    SELECT CAST(l_orderkey AS VARCHAR) AS invoice_id, l_linestatus AS legal_entity,
+           CAST(l_suppkey AS VARCHAR) AS counter_party, CAST(l_linenumber AS VARCHAR) AS rating,
+           CASE WHEN l_returnflag = 'A' THEN 'ARAP' WHEN l_returnflag = 'R' THEN 'ACCR' ELSE l_returnflag END AS status,
+           CASE WHEN l_linenumber = 6 THEN NULL
+                WHEN l_linenumber = 7 THEN CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) || 'e'
+                ELSE CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) END AS value
+    FROM lineitem),
+v AS (
+    SELECT legal_entity, counter_party, CAST(trim(rating) AS BIGINT) AS rating, status, CAST(trim(value) AS BIGINT) AS value
+    FROM t
+    WHERE regexp_matches(trim(invoice_id), '^[+-]?[0-9]+$') AND TRY_CAST(trim(invoice_id) AS BIGINT) IS NOT NULL
+      AND regexp_matches(trim(rating), '^[+-]?[0-9]+$') AND TRY_CAST(trim(rating) AS BIGINT) IS NOT NULL
+      AND regexp_matches(trim(value), '^[+-]?[0-9]+$') AND TRY_CAST(trim(value) AS BIGINT) IS NOT NULL),
+tiers AS (SELECT CAST(s_suppkey AS VARCHAR) AS counter_party, CAST(s_nationkey AS BIGINT) AS tier
+          FROM supplier WHERE s_acctbal > 5000),
+enriched AS (SELECT v.*, tiers.tier FROM v JOIN tiers ON v.counter_party = tiers.counter_party)
+SELECT {_TOTAL_LABELS},
+       {_METRICS}
+FROM enriched
+GROUP BY CUBE (legal_entity, counter_party, tier)""",
     "flat_cell_reshape": """SELECT l_orderkey AS invoice_id, l_linestatus AS legal_entity, CAST(l_suppkey AS VARCHAR) AS counter_party,
        CAST(l_linenumber AS BIGINT) AS rating,
        CASE WHEN l_returnflag = 'A' THEN 'ARAP' WHEN l_returnflag = 'R' THEN 'ACCR' ELSE l_returnflag END AS status,
