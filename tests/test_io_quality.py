@@ -182,3 +182,20 @@ def test_json_lines(spark, tiers, tmp_path):
     tiers.write.json(path)
     back = files.read_json_lines(spark, path, TIER)
     assert rows(back) == rows(tiers)
+
+
+def test_typed_read_fails_on_a_field_that_does_not_parse(spark, data_dir):
+    df = files.read_csv(spark, str(data_dir / "dataset1_val.csv"), INVOICE)
+    with pytest.raises(Exception, match="(?i)malformed|FAILFAST"):
+        df.collect()
+    permissive = files.read_csv(spark, str(data_dir / "dataset1_val.csv"), INVOICE, mode="PERMISSIVE")
+    assert permissive.count() == 27
+
+
+def test_formatted_lines_written_as_text(spark, enriched, tmp_path):
+    path = str(tmp_path / "lines")
+    lines = sinks.format_lines(enriched.select("legal_entity", "counter_party", "value"))
+    sinks.write_lines(lines, path)
+    back = sorted(r.value for r in spark.read.text(path).collect())
+    assert back == sorted(r.line for r in lines.collect())
+    assert back[0].count(" " * 11) == 2

@@ -23,12 +23,20 @@ def read_csv(
     schema: T.StructType | None = None,
     header: bool = True,
     infer: bool = False,
+    mode: str | None = None,
     **options,
 ) -> DataFrame:
-    """Delimited text with a header row, typed by ``schema`` (or inferred)."""
+    """Delimited text with a header row, typed by ``schema`` (or inferred).
+
+    With a declared schema the read fails on a field that does not parse
+    (``FAILFAST``) instead of silently turning it into null; dirty input goes
+    through ``read_csv_tolerant`` and the validator, which report every fault.
+    """
     reader = spark.read.option("header", header)
     if schema is not None:
-        reader = reader.schema(schema)
+        reader = reader.schema(schema).option("mode", mode or "FAILFAST")
+    elif mode:
+        reader = reader.option("mode", mode)
     elif infer:
         reader = reader.option("inferSchema", True)
     return reader.options(**options).csv(path)
