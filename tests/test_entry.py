@@ -53,3 +53,11 @@ def test_query_matches_oracle(spark, con, name):
     expected = res.fetchall()
     assert sorted(df.columns) == sorted(cols)
     assert multiset(df.columns, got) == multiset(cols, expected)
+
+
+@pytest.mark.parametrize("name", sorted(entry.queries()))
+def test_query_reads_whole_tables(spark, name):
+    # No registered query caps or samples its rows.
+    plan = entry.queries()[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    for node in ("GlobalLimit", "LocalLimit", "Sample", "Tail"):
+        assert node not in plan, f"{name} plan contains {node}"
