@@ -1 +1 @@
-
+"""Column-level building blocks: aggregate metrics (``metrics``)."""

@@ -1 +1 @@
-
+"""DataFrame operators: joins, totals, validation, reshaping and reuse."""
