@@ -84,7 +84,10 @@ def test_missing_required_column_rejects_every_row(spark, invoices):
 @pytest.mark.parametrize(
     "text,reason",
     [(" 12 ", None), ("+3", None), ("-7", None), ("10.5", "not an integer"), ("1_0", "not an integer"),
-     ("10e", "not an integer"), (None, "missing value"), ("9223372036854775808", "integer out of range")],
+     ("10e", "not an integer"), (None, "missing value"), ("9223372036854775808", "integer out of range"),
+     ("", "not an integer"), ("+", "not an integer"), ("+-1", "not an integer"), ("1.0", "not an integer"),
+     ("1 2", "not an integer"), ("\uff11\uff12", "not an integer"), ("00012", None), ("-0", None),
+     ("-9223372036854775809", "integer out of range"), ("9223372036854775807", None)],
 )
 def test_integer_rule(spark, text, reason):
     df = spark.createDataFrame([(text,)], "v string")

@@ -46,9 +46,11 @@ ERROR = T.StructType(
 def integer_reason(text: Column) -> Column:
     """Null when ``text`` is valid integer text, else the reason it is not.
 
-    The pattern test runs first, so the bigint cast only ever sees well-formed
-    digits (a failing cast is far more expensive than the test) and is only
-    there to catch values out of range.
+    The pattern test runs first and guards the bigint cast, so the cast only
+    ever sees well-formed digits and merely catches values out of range. (A
+    failing cast throws inside the JVM: casting first is faster on clean data
+    but twice as slow once a sizeable share of rows is dirty; testing the
+    pattern first costs the same either way.)
     """
     trimmed = F.trim(text)
     return (
