@@ -177,6 +177,32 @@ def validated_totals(spark, sf_dir):
     return totals.totals_over_join(valid, dictionary, "counter_party", DIMS, invoice_metrics(), "cube", "total")
 
 
+# Fixed value: the extra field appended to over-long derived records.
+EXTRA_FIELD = "1"
+
+
+def _written_invoice_lines(spark, sf_dir) -> str:
+    """Invoice text written as comma-separated lines without a header; records of
+    line 7 carry one field too many, records of line 6 an empty value."""
+    path = scratch_path(spark, "tolerant")
+    text = inv.invoice_text(spark, sf_dir)
+    fields = [F.coalesce(F.col(c), F.lit("")) for c in text.columns]
+    line = F.concat_ws(",", *fields)
+    line = F.when(F.col("rating") == inv.BAD_VALUE_LINE, F.concat(line, F.lit("," + EXTRA_FIELD))).otherwise(line)
+    sinks.write_lines(text.select(line.alias("value")), path)
+    return path
+
+
+def tolerant_read_rows(spark, sf_dir):
+    good, _ = files.split_corrupt(files.read_csv_tolerant(spark, _written_invoice_lines(spark, sf_dir), INVOICE, header=False))
+    return good
+
+
+def tolerant_read_bad_lines(spark, sf_dir):
+    _, bad = files.split_corrupt(files.read_csv_tolerant(spark, _written_invoice_lines(spark, sf_dir), INVOICE, header=False))
+    return bad
+
+
 # --- reshaping, formatting, sinks, pipeline --------------------------------------
 
 
@@ -252,6 +278,8 @@ QUERIES = {
     "validate_rows": validate_rows,
     "reject_reasons": reject_reasons,
     "validated_totals": validated_totals,
+    "tolerant_read_rows": tolerant_read_rows,
+    "tolerant_read_bad_lines": tolerant_read_bad_lines,
     "flat_cell_reshape": flat_cell_reshape,
     "format_rows": format_rows,
     "sink_roundtrip_csv": sink_roundtrip_csv,
@@ -409,6 +437,26 @@ SELECT {_TOTAL_LABELS},
        {_METRICS}
 FROM enriched
 GROUP BY CUBE (legal_entity, counter_party, tier)""",
+    "tolerant_read_rows": """WITH t AS (
+    SELECT CAST(l_orderkey AS VARCHAR) AS invoice_id, l_linestatus AS legal_entity,
+           CAST(l_suppkey AS VARCHAR) AS counter_party, l_linenumber,
+           CAST(l_linenumber AS VARCHAR) AS rating,
+           CASE WHEN l_returnflag = 'A' THEN 'ARAP' WHEN l_returnflag = 'R' THEN 'ACCR' ELSE l_returnflag END AS status,
+           CASE WHEN l_linenumber = 6 THEN NULL
+                WHEN l_linenumber = 7 THEN CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) || 'e'
+                ELSE CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) END AS value
+    FROM lineitem)
+SELECT invoice_id, legal_entity, counter_party, rating, status, value FROM t WHERE l_linenumber <> 7""",
+    "tolerant_read_bad_lines": """WITH t AS (
+    SELECT CAST(l_orderkey AS VARCHAR) AS invoice_id, l_linestatus AS legal_entity,
+           CAST(l_suppkey AS VARCHAR) AS counter_party, l_linenumber,
+           CAST(l_linenumber AS VARCHAR) AS rating,
+           CASE WHEN l_returnflag = 'A' THEN 'ARAP' WHEN l_returnflag = 'R' THEN 'ACCR' ELSE l_returnflag END AS status,
+           CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) || 'e' AS value
+    FROM lineitem)
+SELECT invoice_id, legal_entity, counter_party, rating, status, value,
+       concat_ws(',', invoice_id, legal_entity, counter_party, rating, status, value, '1') AS raw_line
+FROM t WHERE l_linenumber = 7""",
     "flat_cell_reshape": """SELECT l_orderkey AS invoice_id, l_linestatus AS legal_entity, CAST(l_suppkey AS VARCHAR) AS counter_party,
        CAST(l_linenumber AS BIGINT) AS rating,
        CASE WHEN l_returnflag = 'A' THEN 'ARAP' WHEN l_returnflag = 'R' THEN 'ACCR' ELSE l_returnflag END AS status,
