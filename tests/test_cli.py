@@ -32,7 +32,9 @@ def test_count_labelled_totals_to_csv(spark, data_dir):
 def test_by_status_and_summary(spark, data_dir):
     facts, dictionary = str(data_dir / "dataset1.csv"), str(data_dir / "dataset2.csv")
     assert cli.run(["by-status", "--facts", facts, "--dictionary", dictionary], spark).count() == 63
-    assert cli.run(["summary", "--facts", facts, "--dictionary", dictionary], spark).count() == 8
+    summary = cli.run(["summary", "--facts", facts, "--dictionary", dictionary], spark)
+    got = sorted(tuple(r) for r in summary.select("legal_entity", "counter_party", "count_rating", "max_tier", "sum_value").collect())
+    assert got[:3] == [("L1", "C1", 3, 1, 40), ("L1", "C3", 1, 3, 5), ("L1", "C4", 2, 4, 140)] and len(got) == 8
 
 
 def test_validate(spark, data_dir):

@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 from . import sinks
 from .functions.metrics import count_rows, max_of, metric_set, sum_of
 from .operators import quality
-from .operators.totals import SHAPES, totals_over_join
-from .plans.pipeline import Pipeline, entity_summary, validated_rows
+from .operators.totals import SHAPES, group_over_join, totals_over_join
+from .plans.pipeline import ENTITY_METRICS, validated_rows
 from .schemas import INVOICE, TIER
 from .session import configure
 from .sources import files
@@ -93,7 +93,8 @@ def run(argv=None, spark: SparkSession | None = None) -> DataFrame:
                 keys=["status"], grouping_id="grouping_id",
             )
         else:
-            out = Pipeline([facts, dictionary], [entity_summary]).plan(args.on)
+            # Same result as merging then summarising, aggregated before the join.
+            out = group_over_join(facts, dictionary, args.on, ["legal_entity", "counter_party"], ENTITY_METRICS)
     _emit(out, args)
     return out
 
