@@ -71,3 +71,53 @@ def test_each_level_adds_up_to_the_grand_total(spark, records):
         if pd.notna(grand.max_rating):
             assert level.max_rating.max() == grand.max_rating
     assert set(out.g) == set(range(8))
+
+
+dict_row = st.tuples(st.sampled_from(["C1", "C2", "C3", None]), st.sampled_from([1, 2, 3, None]))
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    records=st.lists(row, min_size=1, max_size=20),
+    dictionary=st.lists(dict_row, min_size=0, max_size=6),
+    how=st.sampled_from(["inner", "left"]),
+    shape=st.sampled_from(["pairs", "cube"]),
+    label=st.sampled_from(["count", "total", "null"]),
+)
+def test_aggregating_before_the_join_equals_joining_first(spark, records, dictionary, how, shape, label):
+    from tierwise.functions.metrics import count_of, max_of
+    from tierwise.operators.joins import enrich
+
+    fact = spark.createDataFrame(records, SCHEMA).drop("tier")
+    tiers = spark.createDataFrame(dictionary, "counter_party string, tier long")
+    metrics = invoice_metrics() + [count_rows(), max_of("tier", "max_tier"), count_of("tier", "n_tier")]
+    direct = T.totals(enrich(fact, tiers, "counter_party", how), DIMS, metrics, shape, label, grouping_id="g")
+    eager = T.totals_over_join(fact, tiers, "counter_party", DIMS, metrics, shape, label, how=how, grouping_id="g")
+    key = lambda r: repr(tuple(r))
+    assert sorted(direct.collect(), key=key) == sorted(eager.collect(), key=key)
+
+
+def python_integer_reason(text):
+    """The integer rule written out in plain Python, as the specification."""
+    import re
+
+    if text is None:
+        return "missing value"
+    t = text.strip(" ")
+    if not re.fullmatch(r"[+-]?[0-9]+", t):
+        return "not an integer"
+    if not -(2**63) <= int(t) < 2**63:
+        return "integer out of range"
+    return None
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(texts=st.lists(st.none() | st.text(alphabet="0123456789+-. _e", max_size=24), min_size=1, max_size=60))
+def test_integer_rule_matches_its_specification(spark, texts):
+    from pyspark.sql import functions as F
+
+    from tierwise.operators.quality import integer_reason
+
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, v string")
+    got = {r.i: r.r for r in df.select("i", integer_reason(F.col("v")).alias("r")).collect()}
+    assert got == {i: python_integer_reason(t) for i, t in enumerate(texts)}
