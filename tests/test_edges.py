@@ -183,3 +183,19 @@ def test_single_level_over_join_with_dictionary_metrics(edge_fact, edge_dict):
         cube = T.totals(joins.enrich(edge_fact, dictionary, "counter_party", how), DIMS, metrics, "cube", "count")
         cube_eager = T.totals_over_join(edge_fact, dictionary, "counter_party", DIMS, metrics, "cube", "count", how=how)
         assert rows(cube) == rows(cube_eager)
+
+
+@pytest.mark.parametrize(
+    "dims,keys,names,label",
+    [
+        (["legal_entity", "legal_entity"], [], ["a"], "count"),
+        (["legal_entity"], ["legal_entity"], ["a"], "count"),
+        (["legal_entity"], [], ["a", "a"], "count"),
+        (["legal_entity"], [], ["legal_entity"], "count"),
+        (["legal_entity"], [], ["a"], "sum"),
+    ],
+)
+def test_totals_rejects_ambiguous_requests(edge_fact, dims, keys, names, label):
+    metrics = [sum_of("value", n) for n in names]
+    with pytest.raises(ValueError):
+        T.totals(edge_fact, dims, metrics, "singles", label, keys=keys)

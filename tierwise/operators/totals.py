@@ -88,6 +88,19 @@ def complements(dims: Sequence[str], sets) -> list[tuple[tuple[str, ...], tuple[
     return [(s, tuple(c for c in dims if c not in s)) for s in grouping_sets(dims, sets)]
 
 
+def _check_columns(dims, keys, metrics, label) -> None:
+    if label not in LABELS:
+        raise ValueError(f"unknown label {label!r}; expected one of {LABELS}")
+    if len(set(dims)) != len(dims):
+        raise ValueError(f"dimensions repeat: {dims}")
+    if set(dims) & set(keys):
+        raise ValueError(f"columns are both dimensions and keys: {sorted(set(dims) & set(keys))}")
+    names = [m.name for m in metrics]
+    clash = [n for n in names if names.count(n) > 1 or n in dims or n in keys]
+    if clash:
+        raise ValueError(f"metric names must be unique and differ from grouping columns: {sorted(set(clash))}")
+
+
 def _label(c: str, label: str, total_label: str) -> Column:
     rolled = F.col(f"__g_{c}") == 1
     if label == "count":
@@ -125,6 +138,7 @@ def totals(
     ``grouping_id`` when named.
     """
     dims, keys = list(dims), list(keys)
+    _check_columns(dims, keys, metrics, label)
     group_cols = dims + keys
     # Project each metric's input once, before the Expand multiplies the rows,
     # so the Expand carries only grouping columns and narrow inputs.
@@ -275,6 +289,7 @@ def totals_over_join(
     from .joins import enrich
 
     dims, keys = list(dims), list(keys)
+    _check_columns(dims, keys, metrics, label)
     partial, dict_cols, on, metrics, merged = _prepare_join_aggregation(fact, dictionary, on, dims + keys, metrics)
     joined = enrich(partial, dict_cols, on, how, **join_options)
     return _roll_partials(joined, dims, keys, metrics, sets, label, total_label, grouping_id, merged)
