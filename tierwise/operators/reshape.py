@@ -63,7 +63,12 @@ def records_from_cells(
     record_sep: str = "\r",
     keep: Sequence[str] = (),
 ) -> DataFrame:
-    """Reshape the flat text in ``text_col`` into rows of ``len(names)`` text fields."""
+    """Reshape the flat text in ``text_col`` into rows of ``len(names)`` text fields.
+
+    Works per value: over a whole-file text column (``wholetext``) each file is
+    one value held by one task, so for large files use ``read_flat_records``,
+    which splits on record separators while reading.
+    """
     arr = chunks(cells(F.col(text_col), sep, record_sep), len(names), skip)
     return to_rows(df.select(*keep, arr.alias("__chunks")), "__chunks", names, keep)
 
