@@ -56,3 +56,13 @@ def test_totals_over_validated_rows_with_a_reject_table(spark, data_dir):
     assert (grand.sum_value_ARAP, grand.sum_value_ACCR) == (1250 + 65, 512 - 50 - 52 + 60)
     back = spark.read.option("header", True).csv(rejects)
     assert sorted(int(r.position) for r in back.collect()) == [5, 20, 23, 24]
+
+
+def test_help_runs_without_spark():
+    import os
+    import subprocess
+    import sys
+
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    out = subprocess.run([sys.executable, "-m", "tierwise", "--help"], cwd=repo, capture_output=True, text=True, timeout=120)
+    assert out.returncode == 0 and "totals" in out.stdout and "--validate" in out.stdout
