@@ -202,3 +202,14 @@ def test_formatted_lines_written_as_text(spark, enriched, tmp_path):
     back = sorted(r.value for r in spark.read.text(path).collect())
     assert back == sorted(r.line for r in lines.collect())
     assert back[0].count(" " * 11) == 2
+
+
+def test_format_based_table_sink_and_source(spark, invoices, tmp_path):
+    path = str(tmp_path / "invoices-parquet")
+    sinks.write_table(invoices, path, format="parquet")
+    back = tables.read_table(spark, format="parquet", path=path)
+    assert rows(back) == rows(invoices)
+    with pytest.raises(Exception):
+        sinks.write_table(invoices, path, format="parquet")  # default mode: target exists
+    sinks.write_table(invoices, path, format="parquet", mode="overwrite")
+    assert tables.read_table(spark, format="parquet", path=path).count() == 18

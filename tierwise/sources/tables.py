@@ -11,11 +11,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
-def read_table(spark: SparkSession, table: str, format: str | None = None, **options) -> DataFrame:
-    """``spark.read.table(table)``, or ``format(...).option("table", table)`` for a connector."""
+def read_table(
+    spark: SparkSession, table: str | None = None, format: str | None = None, path: str | None = None, **options
+) -> DataFrame:
+    """A catalog table by name, or a data source by format.
+
+    * ``read_table(spark, "db.t")``: the session catalog;
+    * ``read_table(spark, "project.dataset.t", format=...)``: a connector that
+      takes the table as its ``table`` option;
+    * ``read_table(spark, format=..., path=...)``: a path-based source.
+    """
     if format is None:
         return spark.read.options(**options).table(table)
-    return spark.read.format(format).option("table", table).options(**options).load()
+    reader = spark.read.format(format).options(**options)
+    if table is not None:
+        reader = reader.option("table", table)
+    return reader.load(path) if path is not None else reader.load()
 
 
 def read_parquet(spark: SparkSession, path, columns=None) -> DataFrame:
