@@ -19,7 +19,7 @@ from ..functions.metrics import INVOICE_STATUSES, count_rows, invoice_metrics, m
 from ..operators import joins, quality, reshape, totals
 from ..schemas import INVOICE
 from ..session import scratch_path
-from ..sources import files
+from ..sources import files, tables
 from . import invoices as inv
 from .pipeline import ENTITY_METRICS, Pipeline, entity_summary
 
@@ -245,6 +245,14 @@ def sink_roundtrip_csv(spark, sf_dir):
     return files.read_csv(spark, path, TOTALS_SCHEMA)
 
 
+def table_roundtrip(spark, sf_dir):
+    """The Total-labelled cube saved through the table sink (a data-source
+    format, default save mode) and read back through the table source."""
+    path = scratch_path(spark, "totals-table")
+    sinks.write_table(totals_cube_label(spark, sf_dir), path, format="parquet")
+    return tables.read_table(spark, format="parquet", path=path)
+
+
 def pipeline_run(spark, sf_dir):
     path = scratch_path(spark, "pipeline")
     Pipeline(
@@ -283,6 +291,7 @@ QUERIES = {
     "flat_cell_reshape": flat_cell_reshape,
     "format_rows": format_rows,
     "sink_roundtrip_csv": sink_roundtrip_csv,
+    "table_roundtrip": table_roundtrip,
     "pipeline_run": pipeline_run,
 }
 
@@ -469,5 +478,6 @@ FROM lineitem""",
                  CAST(COALESCE(SUM(value) FILTER (WHERE status = 'ACCR'), 0) AS VARCHAR)) AS line
 FROM enriched GROUP BY legal_entity, counter_party""",
     "sink_roundtrip_csv": _COUNT_LABEL_SQL,
+    "table_roundtrip": _CUBE_SQL,
     "pipeline_run": _ENTITY_SQL,
 }
