@@ -185,3 +185,17 @@ def test_bucketed_tables_join_and_preaggregate_without_a_shuffle(spark):
             spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
         for name in ("inv_bucketed", "tier_bucketed"):
             spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_salted_null_safe_join_with_a_hot_null_key(spark):
+    # A third of the fact rows have no key; under null-safe matching they all
+    # meet the dictionary's null-key row, the hottest key of all.
+    fact = spark.range(0, 3000).select(
+        F.col("id"), F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise(F.col("id") % 50).cast("bigint").alias("k")
+    )
+    dictionary = spark.createDataFrame([(None, -1)] + [(i, i * 10) for i in range(50)], "k bigint, w bigint")
+    plain = joins.enrich(fact, dictionary, "k", null_safe=True)
+    salted = joins.enrich(fact, dictionary, "k", null_safe=True, salt=8, hot_rows=500)
+    assert salted.columns == plain.columns
+    assert rows(salted, ["id", "k", "w"]) == rows(plain, ["id", "k", "w"])
+    assert salted.filter(F.col("k").isNull()).count() == 1000

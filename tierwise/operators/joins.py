@@ -22,6 +22,7 @@ from typing import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Largest dictionary, in rows, that ``broadcast=True`` will send to every executor.
 DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
@@ -78,9 +79,9 @@ def enrich(
     if strict:
         require_keys(fact, dictionary, keys, null_safe=null_safe)
     if salt and salt > 1:
-        if null_safe or how != "inner":
-            raise ValueError("salting is implemented for inner joins with SQL key equality")
-        return _salted_join(fact, dictionary, keys, salt, hot_rows, max_hot_keys or DEFAULT_MAX_HOT_KEYS)
+        if how != "inner":
+            raise ValueError("salting is implemented for inner joins")
+        return _salted_join(fact, dictionary, keys, salt, hot_rows, max_hot_keys or DEFAULT_MAX_HOT_KEYS, null_safe)
     right = _prepare(dictionary, broadcast, max_broadcast_rows)
     if not null_safe:
         return fact.join(right, keys, how)
@@ -204,28 +205,56 @@ def hot_keys(fact: DataFrame, on, hot_rows: int) -> DataFrame:
 DEFAULT_MAX_HOT_KEYS = 100_000
 
 
+def _null_safe_keys(df: DataFrame, keys: list[str]) -> tuple[DataFrame, list[str]]:
+    """Plain-equality stand-ins for null-safe keys: each key becomes
+    (its value or a typed default, whether it is null), as Spark itself plans
+    a ``<=>`` join key."""
+    out = []
+    for i, k in enumerate(keys):
+        dtype = df.schema[k].dataType
+        if isinstance(dtype, T.StringType):
+            default = F.lit("")
+        elif isinstance(dtype, T.NumericType):
+            default = F.lit(0).cast(dtype)
+        elif isinstance(dtype, T.BooleanType):
+            default = F.lit(False)
+        else:
+            raise ValueError(f"null-safe salting does not support key type {dtype.simpleString()}")
+        df = df.withColumn(f"__k{i}", F.coalesce(F.col(k), default)).withColumn(f"__z{i}", F.col(k).isNull())
+        out += [f"__k{i}", f"__z{i}"]
+    return df, out
+
+
 def _salted_join(
     fact: DataFrame, dictionary: DataFrame, keys: list[str], buckets: int, hot_rows: int,
-    max_hot_keys: int = DEFAULT_MAX_HOT_KEYS,
+    max_hot_keys: int = DEFAULT_MAX_HOT_KEYS, null_safe: bool = False,
 ) -> DataFrame:
     from .reuse import materialize
 
+    fact_cols, dict_rest = list(fact.columns), [c for c in dictionary.columns if c not in keys]
+    if null_safe:
+        # A null key is a key like any other here, hot or not.
+        fact, join_keys = _null_safe_keys(fact, keys)
+        dictionary, _ = _null_safe_keys(dictionary, keys)
+        dictionary = dictionary.drop(*keys)
+    else:
+        join_keys = list(keys)
     # The hot-key table is computed once and kept in the shared checkpoint
     # folder, then broadcast only after its size is checked, so tagging hot
     # rows never shuffles the fact.
-    hot = materialize(hot_keys(fact, keys, hot_rows).withColumn("__hot", F.lit(True)), "checkpoint")
+    hot = materialize(hot_keys(fact, join_keys, hot_rows).withColumn("__hot", F.lit(True)), "checkpoint")
     hot, small = checked_broadcast(hot, max_hot_keys)
     if not small:
         raise ValueError(f"more than {max_hot_keys} keys have {hot_rows}+ rows; raise hot_rows")
-    tagged = fact.join(hot, keys, "left")
+    tagged = fact.join(hot, join_keys, "left")
     # The bucket comes from a hash of the whole row, so a recomputed task puts
     # every row back into the same bucket.
-    row_hash = F.xxhash64(*[F.col(c) for c in fact.columns])
+    row_hash = F.xxhash64(*[F.col(c) for c in fact_cols])
     salted_fact = tagged.withColumn(
         "__salt", F.when(F.col("__hot"), F.pmod(row_hash, F.lit(buckets))).otherwise(F.lit(0).cast("bigint"))
     ).drop("__hot")
     # Only hot keys' dictionary rows are copied into every bucket.
-    dict_tagged = dictionary.join(hot, keys, "left")
+    dict_tagged = dictionary.join(hot, join_keys, "left")
     salted_dict = dict_tagged.withColumn(
         "__salt",
         F.explode(
@@ -234,4 +263,5 @@ def _salted_join(
             )
         ),
     ).drop("__hot")
-    return salted_fact.join(salted_dict, keys + ["__salt"], "inner").drop("__salt")
+    joined = salted_fact.join(salted_dict, join_keys + ["__salt"], "inner")
+    return joined.select(*keys, *[c for c in fact_cols if c not in keys], *dict_rest)
