@@ -30,7 +30,8 @@ def write_table(
     ``bucket_by`` with ``buckets`` stores a catalog table hash-bucketed on the
     given columns: a fact and a dictionary bucketed alike on the join key are
     later joined, and aggregated by groups that include the key, without a
-    shuffle.
+    shuffle. A bucketed scan reads each bucket in one task, so do not bucket
+    a fact on a key that holds a large share of its rows.
     """
     writer = df.write
     if mode:
