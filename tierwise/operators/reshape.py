@@ -21,6 +21,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..sources.files import read_records_text
+
 
 def cells(text: Column, sep: str = ",", record_sep: str = "\r") -> Column:
     """All cells of ``text`` as one array, records joined end to end.
@@ -91,7 +93,7 @@ def read_flat_records(
     """
     names = [f.name for f in schema.fields]
     width = len(names)
-    text = spark.read.option("lineSep", record_sep).text(path)
+    text = read_records_text(spark, path, record_sep)
     # A final line break left on the last record is not part of its text.
     value = F.rtrim(F.col("value"), F.lit("\r\n"))
     text = text.select(value.alias("value")).filter(F.length("value") > 0)

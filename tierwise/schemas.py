@@ -28,14 +28,7 @@ TIER = T.StructType(
     ]
 )
 
-# Column names the integer rule applies to in the invoice record.
-INVOICE_INTEGER_FIELDS = ("invoice_id", "rating", "value")
-
 
 def all_strings(schema: T.StructType) -> T.StructType:
     """Same field names, every field a string: the shape of raw text before validation."""
     return T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
-
-
-def integer_fields(schema: T.StructType) -> list[str]:
-    return [f.name for f in schema.fields if isinstance(f.dataType, (T.IntegerType, T.LongType, T.ShortType))]

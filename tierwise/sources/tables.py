@@ -29,11 +29,6 @@ def read_table(
     return reader.load(path) if path is not None else reader.load()
 
 
-def read_parquet(spark: SparkSession, path, columns=None) -> DataFrame:
-    df = spark.read.parquet(path)
-    return df.select(*columns) if columns else df
-
-
 def register_views(**frames: DataFrame) -> None:
     """Expose DataFrames to SQL under the given names."""
     for name, df in frames.items():
