@@ -26,6 +26,7 @@ from .functions.metrics import (
 from .operators.joins import (
     checked_broadcast,
     enrich,
+    hot_keys,
     first_by,
     keys_in_dictionary,
     lookup,
@@ -36,8 +37,16 @@ from .operators.joins import (
 from .operators.quality import invalid_rows, rejects, valid_rows, validate, with_position
 from .operators.reshape import read_flat_records, records_from_cells
 from .operators.reuse import materialize
-from .operators.totals import grand_total, group_metrics, grouping_sets, totals, totals_over_join, totals_union
-from .plans.pipeline import Pipeline, entity_summary
+from .operators.totals import (
+    grand_total,
+    group_metrics,
+    group_over_join,
+    grouping_sets,
+    totals,
+    totals_over_join,
+    totals_union,
+)
+from .plans.pipeline import Pipeline, entity_summary, validated_rows, validated_totals
 from .schemas import INVOICE, TIER
 from .session import configure, local_session
 from .sinks import format_lines, show, write_csv, write_lines, write_parquet, write_table
