@@ -26,8 +26,8 @@ from .functions.metrics import (
 from .operators.joins import (
     checked_broadcast,
     enrich,
-    hot_keys,
     first_by,
+    hot_keys,
     keys_in_dictionary,
     lookup,
     merge_right_wins,
