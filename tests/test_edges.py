@@ -199,3 +199,8 @@ def test_totals_rejects_ambiguous_requests(edge_fact, dims, keys, names, label):
     metrics = [sum_of("value", n) for n in names]
     with pytest.raises(ValueError):
         T.totals(edge_fact, dims, metrics, "singles", label, keys=keys)
+
+
+def test_first_by_rejects_ordering_by_the_key(edge_dict):
+    with pytest.raises(ValueError):
+        joins.first_by(edge_dict, "counter_party", "counter_party")

@@ -141,6 +141,8 @@ def first_by(dictionary: DataFrame, on, order_by: Sequence[str] | str) -> DataFr
     """
     keys = _keys(on)
     order = [order_by] if isinstance(order_by, str) else list(order_by)
+    if set(order) & set(keys):
+        raise ValueError("order_by must name columns other than the key: within a key the key is constant")
     rest = [c for c in dictionary.columns if c not in keys and c not in order]
     ordered = [F.col(c).alias(f"__o{i}") for i, c in enumerate(order)]
     best = dictionary.groupBy(*keys).agg(F.min(F.struct(*ordered, *[F.col(c) for c in rest])).alias("__best"))
