@@ -213,3 +213,8 @@ def test_format_based_table_sink_and_source(spark, invoices, tmp_path):
         sinks.write_table(invoices, path, format="parquet")  # default mode: target exists
     sinks.write_table(invoices, path, format="parquet", mode="overwrite")
     assert tables.read_table(spark, format="parquet", path=path).count() == 18
+
+
+def test_positions_need_a_file_source(spark):
+    with pytest.raises(ValueError, match="read from files"):
+        quality.with_position(spark.range(3))

@@ -136,6 +136,10 @@ def with_position(df: DataFrame, name: str = "position") -> DataFrame:
     counts (one row per file split) is turned into running offsets by a window
     and joined back, which AQE broadcasts once it has measured it.
     """
+    try:
+        df.select("_metadata.file_path").schema
+    except Exception as e:
+        raise ValueError("with_position needs rows read from files (a file scan, possibly filtered)") from e
     tagged = df.select(
         "*",
         F.col("_metadata.file_path").alias("__file"),
