@@ -153,6 +153,39 @@ def totals_preaggregated(spark, sf_dir):
     return totals.totals(enriched(spark, sf_dir), DIMS, invoice_metrics(), sets="cube", label="total", preaggregate=True)
 
 
+def totals_sql(spark, sf_dir):
+    """The six-set totals written in Spark SQL over temporary views of the
+    invoice and tier frames; Catalyst plans it like the DataFrame form."""
+    tables.register_views(tw_invoices=inv.invoices(spark, sf_dir), tw_tiers=inv.tiers(spark, sf_dir))
+    return spark.sql(_TOTALS_SQL_SPARK)
+
+
+# Spark SQL over the views; the aggregate before the join is written as a
+# subquery, so the plan matches totals_over_join.
+_TOTALS_SQL_SPARK = """
+SELECT CASE WHEN grouping(legal_entity) = 1 THEN CAST(coalesce(sum(CASE WHEN legal_entity IS NOT NULL THEN n END), 0) AS STRING)
+            ELSE legal_entity END AS legal_entity,
+       CASE WHEN grouping(counter_party) = 1 THEN CAST(coalesce(sum(CASE WHEN counter_party IS NOT NULL THEN n END), 0) AS STRING)
+            ELSE CAST(counter_party AS STRING) END AS counter_party,
+       CASE WHEN grouping(tier) = 1 THEN CAST(coalesce(sum(CASE WHEN tier IS NOT NULL THEN n END), 0) AS STRING)
+            ELSE CAST(tier AS STRING) END AS tier,
+       max(max_rating) AS max_rating,
+       coalesce(sum(arap), 0) AS sum_value_ARAP,
+       coalesce(sum(accr), 0) AS sum_value_ACCR
+FROM (
+  SELECT p.legal_entity, p.counter_party, t.tier, p.n, p.max_rating, p.arap, p.accr
+  FROM (
+    SELECT legal_entity, counter_party, count(1) AS n, max(rating) AS max_rating,
+           sum(CASE WHEN status = 'ARAP' THEN value END) AS arap,
+           sum(CASE WHEN status = 'ACCR' THEN value END) AS accr
+    FROM tw_invoices GROUP BY legal_entity, counter_party
+  ) p JOIN tw_tiers t ON p.counter_party = t.counter_party
+)
+GROUP BY GROUPING SETS ((legal_entity), (legal_entity, counter_party), (legal_entity, tier),
+                        (counter_party), (counter_party, tier), (tier))
+"""
+
+
 # --- validation ---------------------------------------------------------------
 
 REJECT_KEYS = ["invoice_id", "counter_party", "rating"]
@@ -163,6 +196,13 @@ def validate_rows(spark, sf_dir):
     return quality.invalid_rows(checked, REJECT_KEYS)
 
 
+def validate_missing_column(spark, sf_dir):
+    """Invoice text without its rating column: every row is invalid, and the
+    missing column is the first reason."""
+    checked = quality.validate(inv.invoice_text(spark, sf_dir).drop("rating"), INVOICE)
+    return quality.invalid_rows(checked, ["invoice_id", "counter_party"])
+
+
 def reject_reasons(spark, sf_dir):
     checked = quality.validate(inv.invoice_text(spark, sf_dir), INVOICE)
     return quality.rejects(checked, REJECT_KEYS)
@@ -281,10 +321,12 @@ QUERIES = {
     "totals_rollup_label": totals_rollup_label,
     "totals_by_status": totals_by_status,
     "totals_after_join": totals_after_join,
+    "totals_sql": totals_sql,
     "totals_union_form": totals_union_form,
     "totals_preaggregated": totals_preaggregated,
     "validate_rows": validate_rows,
     "reject_reasons": reject_reasons,
+    "validate_missing_column": validate_missing_column,
     "validated_totals": validated_totals,
     "tolerant_read_rows": tolerant_read_rows,
     "tolerant_read_bad_lines": tolerant_read_bad_lines,
@@ -410,6 +452,7 @@ WHERE status IN ('ARAP', 'ACCR')
 GROUP BY GROUPING SETS ((legal_entity, status), (legal_entity, counter_party, status), (legal_entity, tier, status),
                         (counter_party, status), (counter_party, tier, status), (tier, status))""",
     "totals_after_join": _CUBE_SQL,
+    "totals_sql": _COUNT_LABEL_SQL,
     "totals_union_form": _COUNT_LABEL_SQL,
     "totals_preaggregated": _CUBE_SQL,
     "validate_rows": f"""WITH {_INVOICE_TEXT}
@@ -418,6 +461,11 @@ SELECT invoice_id, counter_party, rating,
        COALESCE(r_invoice_id, r_rating, r_value) AS first_reason
 FROM r
 WHERE r_invoice_id IS NOT NULL OR r_rating IS NOT NULL OR r_value IS NOT NULL""",
+    "validate_missing_column": f"""WITH {_INVOICE_TEXT}
+SELECT invoice_id, counter_party,
+       CAST(1 + (r_invoice_id IS NOT NULL)::INTEGER + (r_value IS NOT NULL)::INTEGER AS INTEGER) AS n_errors,
+       COALESCE(r_invoice_id, 'missing column') AS first_reason
+FROM r""",
     "reject_reasons": f"""WITH {_INVOICE_TEXT}
 SELECT invoice_id, counter_party, rating, 'invoice_id' AS "column", invoice_id AS raw_value, r_invoice_id AS reason
 FROM r WHERE r_invoice_id IS NOT NULL
