@@ -66,3 +66,10 @@ def test_help_runs_without_spark():
     repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     out = subprocess.run([sys.executable, "-m", "tierwise", "--help"], cwd=repo, capture_output=True, text=True, timeout=120)
     assert out.returncode == 0 and "totals" in out.stdout and "--validate" in out.stdout
+
+
+def test_detail_lines(spark, data_dir):
+    out = cli.run(["detail", "--facts", str(data_dir / "dataset1.csv"), "--dictionary", str(data_dir / "dataset2.csv")], spark)
+    lines = sorted(r.line for r in out.collect())
+    assert len(lines) == 8
+    assert "L1           C1           1           3           40           0" in lines

@@ -3,6 +3,7 @@
     python -m tierwise totals    --facts F --dictionary D [--sets cube --label total] [--out DIR]
     python -m tierwise by-status --facts F --dictionary D [--out DIR]
     python -m tierwise summary   --facts F --dictionary D [--out DIR]
+    python -m tierwise detail    --facts F --dictionary D [--out DIR]
     python -m tierwise validate  --facts F [--out DIR]
 
 Inputs are read with the declared invoice and tier schemas (``--infer`` to
@@ -47,7 +48,7 @@ def _emit(df: DataFrame, args) -> None:
 
 def run(argv=None, spark: SparkSession | None = None) -> DataFrame:
     p = argparse.ArgumentParser(prog="tierwise", description=__doc__.split("\n\n")[0])
-    p.add_argument("command", choices=["totals", "by-status", "summary", "validate"])
+    p.add_argument("command", choices=["totals", "by-status", "summary", "detail", "validate"])
     p.add_argument("--facts", required=True)
     p.add_argument("--dictionary")
     p.add_argument("--on", default="counter_party")
@@ -92,6 +93,17 @@ def run(argv=None, spark: SparkSession | None = None) -> DataFrame:
                 facts.filter(F.col("status").isin(*statuses)), dictionary, args.on, dims, metrics, args.sets, "null",
                 keys=["status"], grouping_id="grouping_id",
             )
+        elif args.command == "detail":
+            # One line per (legal_entity, counter_party): tier, max rating and
+            # the status sums, fields separated by eleven spaces.
+            metrics = [max_of("tier", "tier"), *metric_set("rating", "value", "status", *statuses)]
+            per_pair = group_over_join(facts, dictionary, args.on, ["legal_entity", "counter_party"], metrics)
+            lines = sinks.format_lines(per_pair, ["legal_entity", "counter_party", *[m.name for m in metrics]])
+            if args.out:
+                sinks.write_lines(lines, args.out, mode=args.mode)
+            else:
+                sinks.show(lines, args.rows, truncate=False)
+            return lines
         else:
             # Same result as merging then summarising, aggregated before the join.
             out = group_over_join(facts, dictionary, args.on, ["legal_entity", "counter_party"], ENTITY_METRICS)
