@@ -73,13 +73,13 @@ def spark():
 @pytest.fixture(scope="session")
 def data_dir(tmp_path_factory):
     d = tmp_path_factory.mktemp("data")
-    with open(d / "dataset1.csv", "w", newline="") as f:
+    with open(d / "invoices.csv", "w", newline="") as f:
         f.write("\r".join([INVOICE_HEADER] + INVOICE_ROWS) + "\r\n")
-    with open(d / "dataset2.csv", "w", newline="") as f:
+    with open(d / "tiers.csv", "w", newline="") as f:
         f.write("\r".join([TIER_HEADER] + TIER_ROWS))
-    with open(d / "dataset1_val.csv", "w", newline="") as f:
+    with open(d / "invoices_dirty.csv", "w", newline="") as f:
         f.write("\r".join([INVOICE_HEADER] + DIRTY_ROWS))
-    with open(d / "dataset2.json", "w", newline="") as f:
+    with open(d / "tiers.json", "w", newline="") as f:
         f.write(TIER_JSON)
     return d
 
@@ -89,7 +89,7 @@ def invoices(spark, data_dir):
     from tierwise.schemas import INVOICE
     from tierwise.sources.files import read_csv
 
-    return read_csv(spark, str(data_dir / "dataset1.csv"), INVOICE)
+    return read_csv(spark, str(data_dir / "invoices.csv"), INVOICE)
 
 
 @pytest.fixture(scope="session")
@@ -97,7 +97,7 @@ def tiers(spark, data_dir):
     from tierwise.schemas import TIER
     from tierwise.sources.files import read_csv
 
-    return read_csv(spark, str(data_dir / "dataset2.csv"), TIER)
+    return read_csv(spark, str(data_dir / "tiers.csv"), TIER)
 
 
 @pytest.fixture(scope="session")

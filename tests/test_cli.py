@@ -10,7 +10,7 @@ from tierwise.session import scratch_path
 
 def test_totals_cube_with_total_labels(spark, data_dir, capsys):
     out = cli.run(
-        ["totals", "--facts", str(data_dir / "dataset1.csv"), "--dictionary", str(data_dir / "dataset2.csv"),
+        ["totals", "--facts", str(data_dir / "invoices.csv"), "--dictionary", str(data_dir / "tiers.csv"),
          "--sets", "cube", "--label", "total", "--rows", "50"],
         spark,
     )
@@ -21,7 +21,7 @@ def test_totals_cube_with_total_labels(spark, data_dir, capsys):
 def test_count_labelled_totals_to_csv(spark, data_dir):
     path = scratch_path(spark, "cli")
     out = cli.run(
-        ["totals", "--facts", str(data_dir / "dataset1.csv"), "--dictionary", str(data_dir / "dataset2.json"),
+        ["totals", "--facts", str(data_dir / "invoices.csv"), "--dictionary", str(data_dir / "tiers.json"),
          "--out", path],
         spark,
     )
@@ -30,7 +30,7 @@ def test_count_labelled_totals_to_csv(spark, data_dir):
 
 
 def test_by_status_and_summary(spark, data_dir):
-    facts, dictionary = str(data_dir / "dataset1.csv"), str(data_dir / "dataset2.csv")
+    facts, dictionary = str(data_dir / "invoices.csv"), str(data_dir / "tiers.csv")
     assert cli.run(["by-status", "--facts", facts, "--dictionary", dictionary], spark).count() == 63
     summary = cli.run(["summary", "--facts", facts, "--dictionary", dictionary], spark)
     got = sorted(tuple(r) for r in summary.select("legal_entity", "counter_party", "count_rating", "max_tier", "sum_value").collect())
@@ -38,14 +38,14 @@ def test_by_status_and_summary(spark, data_dir):
 
 
 def test_validate(spark, data_dir):
-    out = cli.run(["validate", "--facts", str(data_dir / "dataset1_val.csv")], spark)
+    out = cli.run(["validate", "--facts", str(data_dir / "invoices_dirty.csv")], spark)
     assert sorted(r.position for r in out.collect()) == [5, 20, 23, 24]
 
 
 def test_totals_over_validated_rows_with_a_reject_table(spark, data_dir):
     rejects = scratch_path(spark, "cli-rejects")
     out = cli.run(
-        ["totals", "--facts", str(data_dir / "dataset1_val.csv"), "--dictionary", str(data_dir / "dataset2.csv"),
+        ["totals", "--facts", str(data_dir / "invoices_dirty.csv"), "--dictionary", str(data_dir / "tiers.csv"),
          "--validate", "--rejects", rejects, "--sets", "cube", "--label", "total"],
         spark,
     )
@@ -69,7 +69,7 @@ def test_help_runs_without_spark():
 
 
 def test_detail_lines(spark, data_dir):
-    out = cli.run(["detail", "--facts", str(data_dir / "dataset1.csv"), "--dictionary", str(data_dir / "dataset2.csv")], spark)
+    out = cli.run(["detail", "--facts", str(data_dir / "invoices.csv"), "--dictionary", str(data_dir / "tiers.csv")], spark)
     lines = sorted(r.line for r in out.collect())
     assert len(lines) == 8
     assert "L1           C1           1           3           40           0" in lines

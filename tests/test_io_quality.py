@@ -22,25 +22,25 @@ def test_csv_with_bare_carriage_returns(spark, data_dir, invoices, tiers):
 
 
 def test_csv_inferred_types(spark, data_dir):
-    df = files.read_csv(spark, str(data_dir / "dataset1.csv"), infer=True)
+    df = files.read_csv(spark, str(data_dir / "invoices.csv"), infer=True)
     assert dict(df.dtypes)["value"] == "int"
     assert df.count() == 18
 
 
 def test_json_array_of_records(spark, data_dir):
-    df = files.read_json_records(spark, str(data_dir / "dataset2.json"), TIER)
+    df = files.read_json_records(spark, str(data_dir / "tiers.json"), TIER)
     assert rows(df, ["counter_party", "tier"]) == [(f"C{i}", i) for i in range(1, 7)]
 
 
 def test_tolerant_read_separates_wrong_width_rows(spark, data_dir):
-    raw = files.read_csv_tolerant(spark, str(data_dir / "dataset1_val.csv"), INVOICE)
+    raw = files.read_csv_tolerant(spark, str(data_dir / "invoices_dirty.csv"), INVOICE)
     good, bad = files.split_corrupt(raw)
     assert good.count() == 25
     assert sorted(r.raw_line for r in bad.collect()) == ["21,L2,C2,3,ACCR,40,1"] * 2
 
 
 def test_validation_positions_and_reasons(spark, data_dir):
-    raw = files.read_csv_tolerant(spark, str(data_dir / "dataset1_val.csv"), INVOICE)
+    raw = files.read_csv_tolerant(spark, str(data_dir / "invoices_dirty.csv"), INVOICE)
     good = raw.filter(F.col(files.EXTRA).isNull()).drop(files.EXTRA)
     checked = quality.validate(quality.with_position(good), INVOICE)
     bad = sorted(rows(quality.invalid_rows(checked, ["position", "invoice_id"]), ["position", "invoice_id", "first_reason"]))
@@ -131,8 +131,8 @@ def test_pipeline_csv_and_json_sources_to_csv_sink(spark, data_dir):
     path = scratch_path(spark, "pipeline-test")
     Pipeline(
         sources=[
-            lambda: files.read_csv(spark, str(data_dir / "dataset1.csv"), INVOICE),
-            lambda: files.read_json_records(spark, str(data_dir / "dataset2.json"), TIER),
+            lambda: files.read_csv(spark, str(data_dir / "invoices.csv"), INVOICE),
+            lambda: files.read_json_records(spark, str(data_dir / "tiers.json"), TIER),
         ],
         transformations=[entity_summary],
         sink=lambda df: sinks.write_csv(df, path),
@@ -188,10 +188,10 @@ def test_json_lines(spark, tiers, tmp_path):
 
 
 def test_typed_read_fails_on_a_field_that_does_not_parse(spark, data_dir):
-    df = files.read_csv(spark, str(data_dir / "dataset1_val.csv"), INVOICE)
+    df = files.read_csv(spark, str(data_dir / "invoices_dirty.csv"), INVOICE)
     with pytest.raises(Exception, match="(?i)malformed|FAILFAST"):
         df.collect()
-    permissive = files.read_csv(spark, str(data_dir / "dataset1_val.csv"), INVOICE, mode="PERMISSIVE")
+    permissive = files.read_csv(spark, str(data_dir / "invoices_dirty.csv"), INVOICE, mode="PERMISSIVE")
     assert permissive.count() == 27
 
 

@@ -36,7 +36,7 @@ def scans(df) -> int:
 
 
 def test_whole_text_flat_cells_become_rows(spark, data_dir, invoices):
-    text = spark.read.text(str(data_dir / "dataset1.csv"), wholetext=True)
+    text = spark.read.text(str(data_dir / "invoices.csv"), wholetext=True)
     names = [f.name for f in INVOICE.fields]
     cells = reshape.records_from_cells(text, "value", names, skip=len(names), record_sep="\r\n|\r")
     typed = cells.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in INVOICE.fields])
@@ -50,7 +50,7 @@ def test_chunks_keep_a_short_tail(spark):
 
 
 def test_read_flat_records_drops_headers(spark, data_dir, invoices):
-    out = reshape.read_flat_records(spark, str(data_dir / "dataset1.csv"), INVOICE, record_sep="\r")
+    out = reshape.read_flat_records(spark, str(data_dir / "invoices.csv"), INVOICE, record_sep="\r")
     # The last record ends in CR LF, so its value text carries a trailing LF.
     assert out.count() == len(INVOICE_ROWS)
 
