@@ -121,3 +121,20 @@ def test_integer_rule_matches_its_specification(spark, texts):
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, v string")
     got = {r.i: r.r for r in df.select("i", integer_reason(F.col("v")).alias("r")).collect()}
     assert got == {i: python_integer_reason(t) for i, t in enumerate(texts)}
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    records=st.lists(row, min_size=1, max_size=20),
+    shape=st.sampled_from(["pairs", "singles", "cube", "rollup"]),
+    label=st.sampled_from(["count", "total", "null"]),
+    keyed=st.booleans(),
+)
+def test_union_form_equals_one_pass(spark, records, shape, label, keyed):
+    df = spark.createDataFrame(records, SCHEMA)
+    metrics = invoice_metrics() + [count_rows()]
+    keys = ["status"] if keyed else []
+    one_pass = T.totals(df, DIMS, metrics, shape, label, keys=keys)
+    union = T.totals_union(df, DIMS, metrics, shape, label, keys=keys)
+    key = lambda r: repr(tuple(r))
+    assert sorted(one_pass.collect(), key=key) == sorted(union.select(*one_pass.columns).collect(), key=key)
