@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import pytest
 from conftest import parse, rows
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tierwise import sinks
@@ -56,18 +57,24 @@ def test_validation_positions_and_reasons(spark, data_dir):
     assert rej[1] == (20, "value", "10e", "not an integer")
 
 
-def test_positions_are_dense_over_many_splits(spark, tmp_path):
-    path = str(tmp_path / "many")
-    spark.range(0, 5000, 1, 7).select(F.col("id").cast("string").alias("v")).write.csv(path)
+@pytest.mark.parametrize("files_n,split_bytes", [(1, 1024), (7, 2048), (7, 1 << 20), (3, 4096)])
+def test_positions_are_exact_over_splits_and_files(spark, tmp_path, files_n, split_bytes):
+    path = str(tmp_path / f"rows-{files_n}-{split_bytes}")
+    spark.range(0, 5000, 1, files_n).select(F.col("id").cast("string").alias("v")).write.csv(path)
     old = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "2048")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(split_bytes))
     try:
         df = spark.read.schema("v string").csv(path)
-        assert df.rdd.getNumPartitions() > 7
-        out = quality.with_position(df)
-        # Parts are written in id order, so file order is id order.
-        assert out.filter(F.col("position") != F.col("v").cast("long") + 1).count() == 0
-        assert out.count() == 5000
+        # Drop some rows first: positions count the rows that are left.
+        kept = df.filter(F.col("v").cast("long") % 7 != 3)
+        out = quality.with_position(kept)
+        expected = spark.range(0, 5000).filter(F.col("id") % 7 != 3).count()
+        got = out.agg(F.min("position"), F.max("position"), F.countDistinct("position"), F.count("*")).first()
+        assert tuple(got) == (1, expected, expected, expected)
+        # Parts are written in id order, so positions follow the ids.
+        ordered = out.select(F.col("v").cast("long").alias("id"), "position")
+        w = ordered.withColumn("prev", F.lag("id").over(Window.orderBy("position")))
+        assert w.filter(F.col("prev") >= F.col("id")).count() == 0
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
 
