@@ -158,6 +158,16 @@ def test_aggregating_before_the_join_equals_joining_first(edge_fact, edge_dict):
     assert rows(direct) == rows(eager)
 
 
+def test_metrics_reading_both_tables_join_first(edge_fact, edge_dict):
+    dictionary = edge_dict.drop("priority")
+    metrics = [sum_if("value", F.col("tier") > 1, "value_above_tier_1"), count_rows()]
+    direct = T.totals(joins.enrich(edge_fact, dictionary, "counter_party"), DIMS, metrics, "cube", "total")
+    eager = T.totals_over_join(edge_fact, dictionary, "counter_party", DIMS, metrics, "cube", "total")
+    assert rows(direct) == rows(eager)
+    level = T.group_over_join(edge_fact, dictionary, "counter_party", ["legal_entity"], metrics)
+    assert rows(level) == rows(T.group_metrics(joins.enrich(edge_fact, dictionary, "counter_party"), ["legal_entity"], metrics))
+
+
 def test_aggregating_before_the_join_rejects_unknown_columns(edge_fact, edge_dict):
     with pytest.raises(ValueError):
         T.totals_over_join(edge_fact, edge_dict, "counter_party", ["legal_entity", "nope"], invoice_metrics())

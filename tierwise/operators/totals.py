@@ -227,6 +227,10 @@ def _dictionary_merge(m: Metric) -> Column:
     raise ValueError(f"a {m.kind!r} metric over a dictionary column cannot be aggregated before the join")
 
 
+class _JoinFirst(Exception):
+    """A metric needs columns of both tables in one row: join before aggregating."""
+
+
 def _prepare_join_aggregation(fact, dictionary, on, group_cols, metrics):
     """Split metrics by side, reduce the fact to partial rows, and return
     (partial fact rows, dictionary columns to join, fact-side metrics rebound
@@ -239,11 +243,11 @@ def _prepare_join_aggregation(fact, dictionary, on, group_cols, metrics):
         named = isinstance(m.source, str)
         if m.kind == "rows" or (m.source in fact.columns if named else _reads_only(fact, m.input())):
             fact_metrics.append(m)
-        elif named and m.source in dictionary.columns:
+        elif named and m.source in dictionary.columns and m.kind in ("max", "min", "sum", "count"):
             merged[m.name] = _dictionary_merge(m)
             dict_cols.append(m.source)
         else:
-            raise ValueError(f"metric {m.name!r} reads columns of neither table alone")
+            raise _JoinFirst(m.name)
     missing = [c for c in dict_cols if c not in dictionary.columns]
     if missing:
         raise ValueError(f"columns in neither table: {missing}")
@@ -284,15 +288,21 @@ def totals_over_join(
     map task) before any shuffle, and the join then moves partial rows, not
     fact rows. Dimensions may come from either side. Metrics over fact columns
     may be any expression; metrics over a dictionary column may be max, min,
-    sum or count of that column.
+    sum or count of that column. A metric that needs both tables in one row
+    (say a sum of a fact value under a condition on a dictionary column) makes
+    the plan join first and aggregate after, with the same result.
     """
     from .joins import enrich
 
     dims, keys = list(dims), list(keys)
     _check_columns(dims, keys, metrics, label)
-    partial, dict_cols, on, metrics, merged = _prepare_join_aggregation(fact, dictionary, on, dims + keys, metrics)
+    try:
+        partial, dict_cols, on, rebound, merged = _prepare_join_aggregation(fact, dictionary, on, dims + keys, metrics)
+    except _JoinFirst:
+        joined_rows = enrich(fact, dictionary, on, how, **join_options)
+        return totals(joined_rows, dims, metrics, sets, label, keys, total_label=total_label, grouping_id=grouping_id)
     joined = enrich(partial, dict_cols, on, how, **join_options)
-    return _roll_partials(joined, dims, keys, metrics, sets, label, total_label, grouping_id, merged)
+    return _roll_partials(joined, dims, keys, rebound, sets, label, total_label, grouping_id, merged)
 
 
 def group_over_join(
@@ -309,9 +319,12 @@ def group_over_join(
     from .joins import enrich
 
     keys = list(keys)
-    partial, dict_cols, on, metrics, merged = _prepare_join_aggregation(fact, dictionary, on, keys, metrics)
+    try:
+        partial, dict_cols, on, rebound, merged = _prepare_join_aggregation(fact, dictionary, on, keys, metrics)
+    except _JoinFirst:
+        return group_metrics(enrich(fact, dictionary, on, how, **join_options), keys, metrics)
     joined = enrich(partial, dict_cols, on, how, **join_options)
-    aggs = [merged[m.name].alias(m.name) if m.name in merged else m.final() for m in metrics]
+    aggs = [merged[m.name].alias(m.name) if m.name in merged else m.final() for m in rebound]
     return joined.groupBy(*keys).agg(*aggs)
 
 
