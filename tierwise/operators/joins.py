@@ -71,7 +71,8 @@ def enrich(
 
     Null keys never match under SQL rules; ``null_safe=True`` makes a null key
     match a null key. ``strict=True`` raises when a fact key is absent from the
-    dictionary (checked by an anti join that stops at the first few keys).
+    dictionary: an extra pass (an anti join over the distinct fact keys, whose
+    map side keeps one row per key) names up to ten missing keys.
     Output: key columns once, then the other fact columns, then the other
     dictionary columns.
     """
