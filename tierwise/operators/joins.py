@@ -110,15 +110,17 @@ def keys_in_dictionary(fact: DataFrame, dictionary: DataFrame, on, broadcast="au
 def missing_keys(fact: DataFrame, dictionary: DataFrame, on, null_safe: bool = False) -> DataFrame:
     """Distinct fact keys with no dictionary row."""
     keys = _keys(on)
-    left = fact.select(*keys)
+    # Distinct first: the map-side aggregate leaves one row per key, so the
+    # anti join sees keys, not fact rows (a hot key costs nothing extra).
+    left = fact.select(*keys).distinct()
     right = dictionary.select(*keys)
     if null_safe:
         cond = None
         for k in keys:
             c = left[k].eqNullSafe(right[k])
             cond = c if cond is None else cond & c
-        return left.join(right, cond, "left_anti").distinct()
-    return left.join(right, keys, "left_anti").distinct()
+        return left.join(right, cond, "left_anti")
+    return left.join(right, keys, "left_anti")
 
 
 class MissingKeyError(ValueError):
