@@ -140,6 +140,25 @@ def totals_by_status(spark, sf_dir):
     )
 
 
+def _invoices_with_null_entity(spark, sf_dir):
+    # Line 7 loses its legal entity, so null data values meet rolled-up rows.
+    return inv.invoices(spark, sf_dir).withColumn(
+        "legal_entity", F.when(F.col("rating") != NULL_KEY_LINE, F.col("legal_entity"))
+    )
+
+
+def totals_null_dims_cube(spark, sf_dir):
+    """Total-labelled cube where some dimension values are null: a null value
+    stays null, only rolled-up columns read Total, and grouping_id tells them apart."""
+    return joined_totals(spark, sf_dir, "cube", "total", fact=_invoices_with_null_entity(spark, sf_dir), grouping_id="grouping_id")
+
+
+def totals_null_dims_count(spark, sf_dir):
+    """Count-labelled six sets where some dimension values are null: the
+    labels count non-null values only."""
+    return joined_totals(spark, sf_dir, "pairs", "count", fact=_invoices_with_null_entity(spark, sf_dir))
+
+
 def totals_after_join(spark, sf_dir):
     """The same cube aggregated after the join: one Expand over enriched rows."""
     return totals.totals(enriched(spark, sf_dir), DIMS, invoice_metrics(), sets="cube", label="total")
@@ -321,6 +340,8 @@ QUERIES = {
     "totals_rollup_label": totals_rollup_label,
     "totals_by_status": totals_by_status,
     "totals_after_join": totals_after_join,
+    "totals_null_dims_cube": totals_null_dims_cube,
+    "totals_null_dims_count": totals_null_dims_count,
     "totals_sql": totals_sql,
     "totals_union_form": totals_union_form,
     "totals_preaggregated": totals_preaggregated,
@@ -400,6 +421,15 @@ r AS (
            WHEN TRY_CAST(trim(value) AS BIGINT) IS NULL THEN 'integer out of range' END AS r_value
     FROM t)"""
 
+_WITH_NULL_ENTITY = f"""WITH {_INVOICES},
+{_TIERS},
+blanked AS (SELECT invoice_id, CASE WHEN rating <> 7 THEN legal_entity END AS legal_entity,
+                   counter_party, rating, status, value FROM invoices),
+enriched AS (
+    SELECT b.counter_party, b.invoice_id, b.legal_entity, b.rating, b.status, b.value, t.tier
+    FROM blanked b JOIN tiers t ON b.counter_party = t.counter_party)
+"""
+
 _ENRICH_SQL = _WITH + "SELECT * FROM enriched"
 _COUNT_LABEL_SQL = _WITH + f"SELECT {_COUNT_LABELS},\n       {_METRICS}\nFROM enriched\nGROUP BY {_PAIRS}"
 _CUBE_SQL = _WITH + f"SELECT {_TOTAL_LABELS},\n       {_METRICS}\nFROM enriched\nGROUP BY CUBE (legal_entity, counter_party, tier)"
@@ -452,6 +482,14 @@ WHERE status IN ('ARAP', 'ACCR')
 GROUP BY GROUPING SETS ((legal_entity, status), (legal_entity, counter_party, status), (legal_entity, tier, status),
                         (counter_party, status), (counter_party, tier, status), (tier, status))""",
     "totals_after_join": _CUBE_SQL,
+    "totals_null_dims_cube": _WITH_NULL_ENTITY
+    + f"""SELECT {_TOTAL_LABELS},
+       {_METRICS},
+       CAST(GROUPING(legal_entity, counter_party, tier) AS BIGINT) AS grouping_id
+FROM enriched
+GROUP BY CUBE (legal_entity, counter_party, tier)""",
+    "totals_null_dims_count": _WITH_NULL_ENTITY
+    + f"SELECT {_COUNT_LABELS},\n       {_METRICS}\nFROM enriched\nGROUP BY {_PAIRS}",
     "totals_sql": _COUNT_LABEL_SQL,
     "totals_union_form": _COUNT_LABEL_SQL,
     "totals_preaggregated": _CUBE_SQL,
