@@ -225,3 +225,26 @@ def test_format_based_table_sink_and_source(spark, invoices, tmp_path):
 def test_positions_need_a_file_source(spark):
     with pytest.raises(ValueError, match="read from files"):
         quality.with_position(spark.range(3))
+
+
+def test_checkpoint_folder_without_a_spark_context():
+    from tierwise.session import checkpoint_dir
+
+    class Conf:
+        def __init__(self, value):
+            self.value = value
+
+        def get(self, key, default=None):
+            return self.value if key == "spark.checkpoint.dir" else default
+
+    class RemoteSession:  # the shape of a Spark Connect session
+        def __init__(self, value):
+            self.conf = Conf(value)
+
+        @property
+        def sparkContext(self):
+            raise RuntimeError("not available")
+
+    assert checkpoint_dir(RemoteSession("s3a://shared/ckpt")) == "s3a://shared/ckpt"
+    with pytest.raises(RuntimeError):
+        checkpoint_dir(RemoteSession(None))

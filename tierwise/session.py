@@ -57,7 +57,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
     On a cluster this setting points at storage every executor can reach. Only
     when it is unset (local tests) is a local folder created and registered.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a Spark Connect session has no context on the client
+        sc = None
+    if sc is None:
+        current = spark.conf.get("spark.checkpoint.dir", None)
+        if not current:
+            raise RuntimeError("spark.checkpoint.dir is unset; set it to a folder every executor can reach")
+        return current
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if current:
         if sc.getCheckpointDir() is None:
