@@ -152,3 +152,20 @@ def test_detail_lines_with_eleven_spaces(enriched):
 def test_grand_total(enriched):
     r = T.grand_total(enriched, invoice_metrics() + [count_of("rating", "n")]).first()
     assert (r.max_rating, r.sum_value_ARAP, r.sum_value_ACCR, r.n) == (6, 1250, 512, 18)
+
+
+def test_joined_rows_carry_their_tier(enriched):
+    got = rows(enriched, ["invoice_id", "counter_party", "tier"])
+    assert len(got) == 18
+    assert all(tier == int(cp[1:]) for _, cp, tier in got)
+
+
+def test_inferred_schema_broadcast_join_and_union_reproduce_the_count_labelled_output(spark, data_dir):
+    from tierwise.operators.joins import enrich
+    from tierwise.sources.files import read_csv
+
+    facts = read_csv(spark, str(data_dir / "invoices.csv"), infer=True)
+    tiers = read_csv(spark, str(data_dir / "tiers.csv"), infer=True)
+    joined = enrich(facts, tiers, "counter_party", broadcast=True)
+    got = rows(T.totals_union(joined, DIMS, invoice_metrics(), "pairs", "count"), COLS)
+    assert got == count_labelled()
