@@ -248,3 +248,14 @@ def test_checkpoint_folder_without_a_spark_context():
     assert checkpoint_dir(RemoteSession("s3a://shared/ckpt")) == "s3a://shared/ckpt"
     with pytest.raises(RuntimeError):
         checkpoint_dir(RemoteSession(None))
+
+
+def test_integer_range_follows_the_field_type(spark):
+    from pyspark.sql import types as T
+
+    schema = T.StructType([T.StructField("small", T.IntegerType()), T.StructField("big", T.LongType())])
+    df = spark.createDataFrame([("3000000000", "3000000000"), ("7", "7")], "small string, big string")
+    checked = quality.validate(df, schema)
+    got = sorted((r.small, r.first_reason) for r in checked.collect())
+    assert got == [("3000000000", "integer out of range"), ("7", None)]
+    assert [tuple(r) for r in quality.valid_rows(checked, schema).collect()] == [(7, 7)]

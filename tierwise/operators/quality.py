@@ -6,8 +6,8 @@ column missing from the input makes every row invalid. All rules are column
 expressions evaluated inside the scan's code-generated stage; no row goes
 through Python.
 
-Integer rule: the trimmed text matches ``^[+-]?[0-9]+$`` and fits a signed
-64-bit integer. (Python's ``int()`` also accepts ``1_0`` and non-ASCII digits;
+Integer rule: the trimmed text matches ``^[+-]?[0-9]+$`` and fits the
+field's integer type (64 bits for the invoice record). (Python's ``int()`` also accepts ``1_0`` and non-ASCII digits;
 this rule does not.)
 
 Output of ``validate``: the input columns plus
@@ -43,8 +43,8 @@ ERROR = T.StructType(
 )
 
 
-def integer_reason(text: Column) -> Column:
-    """Null when ``text`` is valid integer text, else the reason it is not.
+def integer_reason(text: Column, target: T.DataType = T.LongType()) -> Column:
+    """Null when ``text`` is valid integer text for ``target``, else the reason it is not.
 
     The pattern test runs first and guards the bigint cast, so the cast only
     ever sees well-formed digits and merely catches values out of range. (A
@@ -56,7 +56,7 @@ def integer_reason(text: Column) -> Column:
     return (
         F.when(text.isNull(), F.lit(REASON_MISSING_VALUE))
         .when(~trimmed.rlike(INTEGER_TEXT), F.lit(REASON_NOT_INTEGER))
-        .when(trimmed.try_cast("bigint").isNull(), F.lit(REASON_OUT_OF_RANGE))
+        .when(trimmed.try_cast(target).isNull(), F.lit(REASON_OUT_OF_RANGE))
     )
 
 
@@ -72,7 +72,7 @@ def _checked_fields(df: DataFrame, schema: T.StructType):
             out.append((field.name, F.lit(None).cast("string"), F.lit(REASON_MISSING_COLUMN)))
         elif _is_integer_type(field.dataType):
             raw = F.col(field.name).cast("string")
-            out.append((field.name, raw, integer_reason(raw)))
+            out.append((field.name, raw, integer_reason(raw, field.dataType)))
     return out
 
 
