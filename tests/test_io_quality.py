@@ -259,3 +259,16 @@ def test_integer_range_follows_the_field_type(spark):
     got = sorted((r.small, r.first_reason) for r in checked.collect())
     assert got == [("3000000000", "integer out of range"), ("7", None)]
     assert [tuple(r) for r in quality.valid_rows(checked, schema).collect()] == [(7, 7)]
+
+
+def test_other_typed_fields_must_cast_cleanly(spark):
+    from pyspark.sql import types as T
+
+    schema = T.StructType([T.StructField("amount", T.DoubleType()), T.StructField("day", T.DateType())])
+    df = spark.createDataFrame([("1.5", "2024-01-31"), ("abc", "2024-02-30"), (None, "2024-03-01")], "amount string, day string")
+    checked = quality.validate(df, schema)
+    got = sorted(((r.amount, r.first_reason, r.valid) for r in checked.collect()), key=repr)
+    assert got == sorted([("1.5", None, True), ("abc", "not a double", False), (None, "missing value", False)], key=repr)
+    bad_day = [e.reason for r in checked.collect() for e in r.errors if e.column == "day"]
+    assert bad_day == ["not a date"]
+    assert quality.valid_rows(checked, schema).count() == 1

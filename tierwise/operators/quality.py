@@ -2,7 +2,8 @@
 
 Validation is structural, as in the typed-record check it mirrors: integer
 fields must hold integer text, text fields are not checked, and a required
-column missing from the input makes every row invalid. All rules are column
+column missing from the input makes every row invalid. Fields of any other
+type must be present and cast cleanly to it (reason ``not a <type>``). All rules are column
 expressions evaluated inside the scan's code-generated stage; no row goes
 through Python.
 
@@ -60,6 +61,13 @@ def integer_reason(text: Column, target: T.DataType = T.LongType()) -> Column:
     )
 
 
+def typed_reason(text: Column, target: T.DataType) -> Column:
+    """Null when ``text`` casts to ``target`` (after trimming), else the reason."""
+    return F.when(text.isNull(), F.lit(REASON_MISSING_VALUE)).when(
+        F.trim(text).try_cast(target).isNull(), F.lit(f"not a {target.simpleString()}")
+    )
+
+
 def _is_integer_type(dt: T.DataType) -> bool:
     return isinstance(dt, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
 
@@ -73,6 +81,9 @@ def _checked_fields(df: DataFrame, schema: T.StructType):
         elif _is_integer_type(field.dataType):
             raw = F.col(field.name).cast("string")
             out.append((field.name, raw, integer_reason(raw, field.dataType)))
+        elif not isinstance(field.dataType, T.StringType):
+            raw = F.col(field.name).cast("string")
+            out.append((field.name, raw, typed_reason(raw, field.dataType)))
     return out
 
 
@@ -107,7 +118,7 @@ def valid_rows(validated: DataFrame, schema: T.StructType) -> DataFrame:
     ok = validated.filter(F.col("valid"))
     typed = []
     for f in schema.fields:
-        c = F.trim(F.col(f.name)) if _is_integer_type(f.dataType) else F.col(f.name)
+        c = F.col(f.name) if isinstance(f.dataType, T.StringType) else F.trim(F.col(f.name))
         typed.append(c.cast(f.dataType).alias(f.name))
     return ok.select(*typed)
 
