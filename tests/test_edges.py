@@ -221,3 +221,27 @@ def test_missing_keys_are_distinct_and_follow_the_null_rule(edge_fact, edge_dict
     assert len(plain) == 2 and set(plain) == {None, "C9"}  # under SQL rules a null key never finds its row
     safe = [r.counter_party for r in joins.missing_keys(edge_fact, edge_dict, "counter_party", null_safe=True).collect()]
     assert safe == ["C9"]  # the dictionary has a null-key row
+
+
+def test_totals_maintained_from_appended_partials(spark):
+    from tierwise.functions.metrics import count_of, min_of
+    from tierwise.plans import invoices as inv
+
+    sf = "/root/testdata/sf0.01"
+    fact, tiers = inv.invoices(spark, sf), inv.tiers(spark, sf)
+    metrics = invoice_metrics() + [count_rows(), max_of("tier", "max_tier"), min_of("tier", "min_tier"), count_of("tier", "n_tier")]
+    # Two batches, as two days of data would arrive; they share grains.
+    day1, day2 = fact.filter(F.col("rating") <= 3), fact.filter(F.col("rating") > 3)
+    stored = T.partial_totals(day1, tiers, "counter_party", DIMS, metrics)
+    appended = stored.unionByName(T.partial_totals(day2, tiers, "counter_party", DIMS, metrics))
+    whole = T.totals_over_join(fact, tiers, "counter_party", DIMS, metrics, "cube", "count", grouping_id="g")
+    assert rows(T.totals_from_partials(appended, DIMS, metrics, "cube", "count", grouping_id="g")) == rows(whole)
+    compacted = T.compact_partials(appended, metrics)
+    assert compacted.columns == appended.columns
+    assert compacted.count() < appended.count()
+    assert rows(T.totals_from_partials(compacted, DIMS, metrics, "cube", "count", grouping_id="g")) == rows(whole)
+
+
+def test_partials_refuse_metrics_that_need_both_tables(edge_fact, edge_dict):
+    with pytest.raises(ValueError):
+        T.partial_totals(edge_fact, edge_dict, "counter_party", DIMS, [sum_if("value", F.col("tier") > 1, "x")])

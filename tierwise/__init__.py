@@ -38,11 +38,14 @@ from .operators.quality import invalid_rows, rejects, valid_rows, validate, with
 from .operators.reshape import read_flat_records, records_from_cells
 from .operators.reuse import materialize
 from .operators.totals import (
+    compact_partials,
     grand_total,
     group_metrics,
     group_over_join,
     grouping_sets,
+    partial_totals,
     totals,
+    totals_from_partials,
     totals_over_join,
     totals_union,
 )

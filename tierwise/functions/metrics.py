@@ -65,6 +65,20 @@ class Metric:
             agg = Metric(self._partial_name(), self.kind, self.source).column()
         return agg.alias(self._partial_name())
 
+    def merge(self) -> Column:
+        """Partials merged into coarser partials (same column name): used to
+        compact stored partial rows without finishing the metric."""
+        p = F.col(self._partial_name())
+        if self.kind == "max":
+            agg = F.max(p)
+        elif self.kind == "min":
+            agg = F.min(p)
+        elif self.kind in ("sum", "sum0", "count", "rows"):
+            agg = F.sum(p)
+        else:
+            raise ValueError(f"unknown metric kind {self.kind!r}")
+        return agg.alias(self._partial_name())
+
     def final(self) -> Column:
         p = F.col(self._partial_name())
         if self.kind == "max":

@@ -328,6 +328,73 @@ def group_over_join(
     return joined.groupBy(*keys).agg(*aggs)
 
 
+def partial_totals(
+    fact: DataFrame,
+    dictionary: DataFrame,
+    on,
+    dims: Sequence[str],
+    metrics: Sequence[Metric],
+    keys: Sequence[str] = (),
+    how: str = "inner",
+    **join_options,
+) -> DataFrame:
+    """The partial rows ``totals_over_join`` rolls up, as a table of their own.
+
+    One row per distinct (fact-side dimensions and keys, join key) joined to
+    its dictionary row: the grouping columns, any dictionary columns the
+    metrics read, ``__p_<metric>`` partials and ``__rows``. Because every
+    metric here is decomposable, partial tables of different batches can be
+    stored, appended and rolled up together with ``totals_from_partials``, so
+    a day's update costs in proportion to the day's rows, not the history.
+    """
+    from .joins import enrich
+
+    dims, keys = list(dims), list(keys)
+    try:
+        partial, dict_cols, on, _, _ = _prepare_join_aggregation(fact, dictionary, on, dims + keys, metrics)
+    except _JoinFirst as e:
+        raise ValueError(f"metric {e} needs both tables in one row; it has no partial form") from e
+    return enrich(partial, dict_cols, on, how, **join_options)
+
+
+def _partial_merges(partials: DataFrame, metrics: Sequence[Metric]) -> dict:
+    merged = {}
+    for m in metrics:
+        if m._partial_name() in partials.columns:
+            continue
+        if isinstance(m.source, str) and m.source in partials.columns:
+            merged[m.name] = _dictionary_merge(m)
+        else:
+            raise ValueError(f"partial rows carry nothing for metric {m.name!r}")
+    return merged
+
+
+def totals_from_partials(
+    partials: DataFrame,
+    dims: Sequence[str],
+    metrics: Sequence[Metric],
+    sets="pairs",
+    label: str = "count",
+    keys: Sequence[str] = (),
+    total_label: str = "Total",
+    grouping_id: str | None = None,
+) -> DataFrame:
+    """Totals rolled up from (any union of) ``partial_totals`` tables."""
+    dims, keys = list(dims), list(keys)
+    _check_columns(dims, keys, metrics, label)
+    merged = _partial_merges(partials, metrics)
+    return _roll_partials(partials, dims, keys, list(metrics), sets, label, total_label, grouping_id, merged)
+
+
+def compact_partials(partials: DataFrame, metrics: Sequence[Metric]) -> DataFrame:
+    """Merge partial rows that share their grain (for example after appending
+    a batch), keeping the partial-table shape."""
+    value_cols = {m._partial_name() for m in metrics} | {"__rows"}
+    grain = [c for c in partials.columns if c not in value_cols]
+    merges = [m.merge() for m in metrics if m._partial_name() in partials.columns]
+    return partials.groupBy(*grain).agg(*merges, F.sum("__rows").alias("__rows")).select(*partials.columns)
+
+
 def totals_union(
     df: DataFrame,
     dims: Sequence[str],
