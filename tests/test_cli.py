@@ -73,3 +73,16 @@ def test_detail_lines(spark, data_dir):
     lines = sorted(r.line for r in out.collect())
     assert len(lines) == 8
     assert "L1           C1           1           3           40           0" in lines
+
+
+def test_totals_from_stored_partials(spark, data_dir):
+    a, b = scratch_path(spark, "cli-partials-a"), scratch_path(spark, "cli-partials-b")
+    facts, dictionary = str(data_dir / "invoices.csv"), str(data_dir / "tiers.csv")
+    cli.run(["partials", "--facts", facts, "--dictionary", dictionary, "--out", a], spark)
+    cli.run(["partials", "--facts", facts, "--dictionary", dictionary, "--out", b], spark)
+    twice = cli.run(["totals", "--partials", f"{a},{b}", "--sets", "cube", "--label", "total"], spark)
+    grand = twice.filter("legal_entity = 'Total' AND counter_party = 'Total' AND tier = 'Total'").first()
+    # The same batch stored twice counts twice.
+    assert (grand.max_rating, grand.sum_value_ARAP, grand.sum_value_ACCR) == (6, 2 * 1250, 2 * 512)
+    once = cli.run(["totals", "--partials", a, "--sets", "cube", "--label", "total"], spark)
+    assert once.count() == 46

@@ -5,6 +5,8 @@
     python -m tierwise summary   --facts F --dictionary D [--out DIR]
     python -m tierwise detail    --facts F --dictionary D [--out DIR]
     python -m tierwise validate  --facts F [--out DIR]
+    python -m tierwise partials  --facts F --dictionary D --out DIR       (a batch's partial rows, parquet)
+    python -m tierwise totals    --partials DIR[,DIR...] [--sets ...]     (totals from stored batches)
 
 Inputs are read with the declared invoice and tier schemas (``--infer`` to
 infer instead); a dictionary ending in ``.json`` is read as an array of
@@ -22,7 +24,7 @@ from pyspark.sql import functions as F
 from . import sinks
 from .functions.metrics import count_rows, max_of, metric_set, sum_of
 from .operators import quality
-from .operators.totals import SHAPES, group_over_join, totals_over_join
+from .operators.totals import SHAPES, group_over_join, partial_totals, totals_from_partials, totals_over_join
 from .plans.pipeline import ENTITY_METRICS, validated_rows
 from .schemas import INVOICE, TIER
 from .session import configure
@@ -48,8 +50,9 @@ def _emit(df: DataFrame, args) -> None:
 
 def run(argv=None, spark: SparkSession | None = None) -> DataFrame:
     p = argparse.ArgumentParser(prog="tierwise", description=__doc__.split("\n\n")[0])
-    p.add_argument("command", choices=["totals", "by-status", "summary", "detail", "validate"])
-    p.add_argument("--facts", required=True)
+    p.add_argument("command", choices=["totals", "by-status", "summary", "detail", "validate", "partials"])
+    p.add_argument("--facts")
+    p.add_argument("--partials", help="comma-separated folders written by the partials command")
     p.add_argument("--dictionary")
     p.add_argument("--on", default="counter_party")
     p.add_argument("--dims", default="legal_entity,counter_party,tier")
@@ -69,6 +72,14 @@ def run(argv=None, spark: SparkSession | None = None) -> DataFrame:
     dims = args.dims.split(",")
     statuses = args.statuses.split(",")
 
+    if args.command == "totals" and args.partials:
+        metrics = metric_set("rating", "value", "status", *statuses)
+        stored = spark.read.parquet(*args.partials.split(","))
+        out = totals_from_partials(stored, dims, metrics, args.sets, args.label)
+        _emit(out, args)
+        return out
+    if not args.facts:
+        p.error("--facts is required")
     if args.command == "validate":
         raw = files.read_csv_tolerant(spark, args.facts, INVOICE)
         good = raw.filter(F.col(files.EXTRA).isNull()).drop(files.EXTRA)
@@ -84,6 +95,13 @@ def run(argv=None, spark: SparkSession | None = None) -> DataFrame:
                 sinks.write_csv(rejected, args.rejects, mode=args.mode)
         else:
             facts = _read_facts(spark, args)
+        if args.command == "partials":
+            if not args.out:
+                p.error("--out is required for partials")
+            metrics = metric_set("rating", "value", "status", *statuses)
+            out = partial_totals(facts, dictionary, args.on, dims, metrics)
+            sinks.write_parquet(out, args.out, mode=args.mode)
+            return out
         if args.command == "totals":
             metrics = metric_set("rating", "value", "status", *statuses)
             out = totals_over_join(facts, dictionary, args.on, dims, metrics, args.sets, args.label)
