@@ -159,6 +159,24 @@ def totals_null_dims_count(spark, sf_dir):
     return joined_totals(spark, sf_dir, "pairs", "count", fact=_invoices_with_null_entity(spark, sf_dir))
 
 
+# Fixed value: the rating that splits invoices into two arriving batches.
+BATCH_SPLIT_RATING = 3
+
+
+def totals_from_batches(spark, sf_dir):
+    """The Total-labelled cube maintained incrementally: invoices arrive in two
+    complementary batches (every row in exactly one); each batch's partial rows
+    are appended to the other's, compacted, and rolled up."""
+    fact, tiers = inv.invoices(spark, sf_dir), inv.tiers(spark, sf_dir)
+    metrics = invoice_metrics()
+    batches = [fact.filter(F.col("rating") <= BATCH_SPLIT_RATING), fact.filter(F.col("rating") > BATCH_SPLIT_RATING)]
+    stored = None
+    for batch in batches:
+        part = totals.partial_totals(batch, tiers, "counter_party", DIMS, metrics)
+        stored = part if stored is None else stored.unionByName(part)
+    return totals.totals_from_partials(totals.compact_partials(stored, metrics), DIMS, metrics, "cube", "total")
+
+
 def totals_after_join(spark, sf_dir):
     """The same cube aggregated after the join: one Expand over enriched rows."""
     return totals.totals(enriched(spark, sf_dir), DIMS, invoice_metrics(), sets="cube", label="total")
@@ -340,6 +358,7 @@ QUERIES = {
     "totals_rollup_label": totals_rollup_label,
     "totals_by_status": totals_by_status,
     "totals_after_join": totals_after_join,
+    "totals_from_batches": totals_from_batches,
     "totals_null_dims_cube": totals_null_dims_cube,
     "totals_null_dims_count": totals_null_dims_count,
     "totals_sql": totals_sql,
@@ -482,6 +501,7 @@ WHERE status IN ('ARAP', 'ACCR')
 GROUP BY GROUPING SETS ((legal_entity, status), (legal_entity, counter_party, status), (legal_entity, tier, status),
                         (counter_party, status), (counter_party, tier, status), (tier, status))""",
     "totals_after_join": _CUBE_SQL,
+    "totals_from_batches": _CUBE_SQL,
     "totals_null_dims_cube": _WITH_NULL_ENTITY
     + f"""SELECT {_TOTAL_LABELS},
        {_METRICS},
