@@ -1,11 +1,10 @@
-"""Registered queries over the driver's tables, each with its SQL oracle.
+"""Registered queries over the driver's tables.
 
 Every query reads whole tables (see ``plans.invoices`` for the mapping onto
-the invoice model) and returns a lazy DataFrame. ``ORACLE_SQL`` holds, per
-query, an independent ANSI-SQL statement over the same tables (DuckDB
-dialect) that must return the same multiset of rows with the same column
-names. Queries that write files first (sink round trips) write below the
-session's shared checkpoint folder.
+the invoice model) and returns a lazy DataFrame. ``plans.oracles`` holds, per
+query, the independent SQL statement it is checked against. Queries that
+write files first (sink round trips) write below the session's shared
+checkpoint folder.
 """
 
 from __future__ import annotations
@@ -376,214 +375,3 @@ QUERIES = {
     "table_roundtrip": table_roundtrip,
     "pipeline_run": pipeline_run,
 }
-
-
-# --- oracle SQL ------------------------------------------------------------------
-
-_INVOICES = """invoices AS (
-    SELECT l_orderkey AS invoice_id,
-           l_linestatus AS legal_entity,
-           l_suppkey AS counter_party,
-           CAST(l_linenumber AS BIGINT) AS rating,
-           CASE WHEN l_returnflag = 'A' THEN 'ARAP' WHEN l_returnflag = 'R' THEN 'ACCR' ELSE l_returnflag END AS status,
-           CAST(l_quantity AS BIGINT) AS value
-    FROM lineitem)"""
-
-_TIERS = """tiers AS (
-    SELECT s_suppkey AS counter_party, CAST(s_nationkey AS BIGINT) AS tier
-    FROM supplier WHERE s_acctbal > 5000)"""
-
-_ENRICHED = """enriched AS (
-    SELECT i.counter_party, i.invoice_id, i.legal_entity, i.rating, i.status, i.value, t.tier
-    FROM invoices i JOIN tiers t ON i.counter_party = t.counter_party)"""
-
-_WITH = f"WITH {_INVOICES},\n{_TIERS},\n{_ENRICHED}\n"
-
-_METRICS = """MAX(rating) AS max_rating,
-       CAST(COALESCE(SUM(value) FILTER (WHERE status = 'ARAP'), 0) AS BIGINT) AS sum_value_ARAP,
-       CAST(COALESCE(SUM(value) FILTER (WHERE status = 'ACCR'), 0) AS BIGINT) AS sum_value_ACCR"""
-
-_COUNT_LABELS = """CASE WHEN GROUPING(legal_entity) = 1 THEN CAST(COUNT(legal_entity) AS VARCHAR) ELSE CAST(legal_entity AS VARCHAR) END AS legal_entity,
-       CASE WHEN GROUPING(counter_party) = 1 THEN CAST(COUNT(counter_party) AS VARCHAR) ELSE CAST(counter_party AS VARCHAR) END AS counter_party,
-       CASE WHEN GROUPING(tier) = 1 THEN CAST(COUNT(tier) AS VARCHAR) ELSE CAST(tier AS VARCHAR) END AS tier"""
-
-_TOTAL_LABELS = """CASE WHEN GROUPING(legal_entity) = 1 THEN 'Total' ELSE CAST(legal_entity AS VARCHAR) END AS legal_entity,
-       CASE WHEN GROUPING(counter_party) = 1 THEN 'Total' ELSE CAST(counter_party AS VARCHAR) END AS counter_party,
-       CASE WHEN GROUPING(tier) = 1 THEN 'Total' ELSE CAST(tier AS VARCHAR) END AS tier"""
-
-_PAIRS = """GROUPING SETS ((legal_entity), (legal_entity, counter_party), (legal_entity, tier),
-                        (counter_party), (counter_party, tier), (tier))"""
-
-_SUPPLIER_FIRST = """d AS (
-    SELECT s_nationkey AS nationkey, s_suppkey AS suppkey, s_name AS name, s_acctbal AS acctbal,
-           ROW_NUMBER() OVER (PARTITION BY s_nationkey ORDER BY s_suppkey, s_name, s_acctbal) AS rn
-    FROM supplier WHERE s_acctbal > 5000)"""
-
-_INVOICE_TEXT = """t AS (
-    SELECT CAST(l_orderkey AS VARCHAR) AS invoice_id,
-           CAST(l_suppkey AS VARCHAR) AS counter_party,
-           CAST(l_linenumber AS VARCHAR) AS rating,
-           CASE WHEN l_linenumber = 6 THEN NULL
-                WHEN l_linenumber = 7 THEN CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) || 'e'
-                ELSE CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) END AS value
-    FROM lineitem),
-r AS (
-    SELECT *,
-      CASE WHEN invoice_id IS NULL THEN 'missing value'
-           WHEN NOT regexp_matches(trim(invoice_id), '^[+-]?[0-9]+$') THEN 'not an integer'
-           WHEN TRY_CAST(trim(invoice_id) AS BIGINT) IS NULL THEN 'integer out of range' END AS r_invoice_id,
-      CASE WHEN rating IS NULL THEN 'missing value'
-           WHEN NOT regexp_matches(trim(rating), '^[+-]?[0-9]+$') THEN 'not an integer'
-           WHEN TRY_CAST(trim(rating) AS BIGINT) IS NULL THEN 'integer out of range' END AS r_rating,
-      CASE WHEN value IS NULL THEN 'missing value'
-           WHEN NOT regexp_matches(trim(value), '^[+-]?[0-9]+$') THEN 'not an integer'
-           WHEN TRY_CAST(trim(value) AS BIGINT) IS NULL THEN 'integer out of range' END AS r_value
-    FROM t)"""
-
-_WITH_NULL_ENTITY = f"""WITH {_INVOICES},
-{_TIERS},
-blanked AS (SELECT invoice_id, CASE WHEN rating <> 7 THEN legal_entity END AS legal_entity,
-                   counter_party, rating, status, value FROM invoices),
-enriched AS (
-    SELECT b.counter_party, b.invoice_id, b.legal_entity, b.rating, b.status, b.value, t.tier
-    FROM blanked b JOIN tiers t ON b.counter_party = t.counter_party)
-"""
-
-_ENRICH_SQL = _WITH + "SELECT * FROM enriched"
-_COUNT_LABEL_SQL = _WITH + f"SELECT {_COUNT_LABELS},\n       {_METRICS}\nFROM enriched\nGROUP BY {_PAIRS}"
-_CUBE_SQL = _WITH + f"SELECT {_TOTAL_LABELS},\n       {_METRICS}\nFROM enriched\nGROUP BY CUBE (legal_entity, counter_party, tier)"
-_ENTITY_SQL = _WITH + """SELECT legal_entity, counter_party, COUNT(rating) AS count_rating, MAX(tier) AS max_tier,
-       CAST(SUM(value) AS BIGINT) AS sum_value
-FROM enriched GROUP BY legal_entity, counter_party"""
-
-ORACLE_SQL = {
-    "enrich_inner": _ENRICH_SQL,
-    "enrich_broadcast": _ENRICH_SQL,
-    "enrich_salted": _ENRICH_SQL,
-    "enrich_lookup_dedup": f"""WITH {_SUPPLIER_FIRST}
-SELECT c.c_nationkey AS nationkey, c.c_custkey AS custkey, c.c_name AS name, c.c_acctbal AS acctbal,
-       d.suppkey, d.name AS supplier_name
-FROM customer c JOIN d ON c.c_nationkey = d.nationkey
-WHERE d.rn = 1""",
-    "enrich_first_match": f"""WITH {_SUPPLIER_FIRST}
-SELECT c.c_nationkey AS nationkey, c.c_custkey AS custkey, d.name, d.acctbal, d.suppkey
-FROM customer c JOIN d ON c.c_nationkey = d.nationkey
-WHERE d.rn = 1""",
-    "enrich_null_safe": f"""WITH {_INVOICES},
-{_TIERS},
-fact AS (SELECT CASE WHEN rating <> 7 THEN counter_party END AS counter_party,
-                invoice_id, legal_entity, rating, status, value FROM invoices),
-dict AS (SELECT counter_party, tier FROM tiers UNION ALL SELECT CAST(NULL AS BIGINT), CAST(-1 AS BIGINT))
-SELECT f.counter_party, f.invoice_id, f.legal_entity, f.rating, f.status, f.value, d.tier
-FROM fact f JOIN dict d ON f.counter_party IS NOT DISTINCT FROM d.counter_party""",
-    "key_in_dictionary": f"""WITH {_INVOICES},
-{_TIERS}
-SELECT * FROM invoices WHERE counter_party IN (SELECT counter_party FROM tiers)""",
-    "metrics_by_one_key": _WITH + f"SELECT legal_entity, {_METRICS}\nFROM enriched GROUP BY legal_entity",
-    "metrics_by_two_keys": _WITH
-    + f"SELECT legal_entity, counter_party, {_METRICS}\nFROM enriched GROUP BY legal_entity, counter_party",
-    "metrics_by_three_keys": _WITH
-    + f"SELECT legal_entity, counter_party, tier, {_METRICS}\nFROM enriched GROUP BY legal_entity, counter_party, tier",
-    "entity_summary": _ENTITY_SQL,
-    "totals_count_label": _COUNT_LABEL_SQL,
-    "totals_singles": _WITH
-    + f"SELECT {_COUNT_LABELS},\n       {_METRICS}\nFROM enriched\nGROUP BY GROUPING SETS ((legal_entity), (counter_party), (tier))",
-    "totals_cube_label": _CUBE_SQL,
-    "totals_rollup_label": _WITH
-    + f"SELECT {_TOTAL_LABELS},\n       {_METRICS}\nFROM enriched\nGROUP BY ROLLUP (legal_entity, counter_party, tier)",
-    "totals_by_status": _WITH
-    + f"""SELECT CAST(legal_entity AS VARCHAR) AS legal_entity, CAST(counter_party AS VARCHAR) AS counter_party,
-       CAST(tier AS VARCHAR) AS tier, status,
-       COUNT(*) AS n_rows, MAX(rating) AS max_rating, CAST(SUM(value) AS BIGINT) AS sum_value,
-       CAST(GROUPING(legal_entity, counter_party, tier, status) AS BIGINT) AS grouping_id
-FROM enriched
-WHERE status IN ('ARAP', 'ACCR')
-GROUP BY GROUPING SETS ((legal_entity, status), (legal_entity, counter_party, status), (legal_entity, tier, status),
-                        (counter_party, status), (counter_party, tier, status), (tier, status))""",
-    "totals_after_join": _CUBE_SQL,
-    "totals_from_batches": _CUBE_SQL,
-    "totals_null_dims_cube": _WITH_NULL_ENTITY
-    + f"""SELECT {_TOTAL_LABELS},
-       {_METRICS},
-       CAST(GROUPING(legal_entity, counter_party, tier) AS BIGINT) AS grouping_id
-FROM enriched
-GROUP BY CUBE (legal_entity, counter_party, tier)""",
-    "totals_null_dims_count": _WITH_NULL_ENTITY
-    + f"SELECT {_COUNT_LABELS},\n       {_METRICS}\nFROM enriched\nGROUP BY {_PAIRS}",
-    "totals_sql": _COUNT_LABEL_SQL,
-    "totals_union_form": _COUNT_LABEL_SQL,
-    "totals_preaggregated": _CUBE_SQL,
-    "validate_rows": f"""WITH {_INVOICE_TEXT}
-SELECT invoice_id, counter_party, rating,
-       CAST((r_invoice_id IS NOT NULL)::INTEGER + (r_rating IS NOT NULL)::INTEGER + (r_value IS NOT NULL)::INTEGER AS INTEGER) AS n_errors,
-       COALESCE(r_invoice_id, r_rating, r_value) AS first_reason
-FROM r
-WHERE r_invoice_id IS NOT NULL OR r_rating IS NOT NULL OR r_value IS NOT NULL""",
-    "validate_missing_column": f"""WITH {_INVOICE_TEXT}
-SELECT invoice_id, counter_party,
-       CAST(1 + (r_invoice_id IS NOT NULL)::INTEGER + (r_value IS NOT NULL)::INTEGER AS INTEGER) AS n_errors,
-       COALESCE(r_invoice_id, 'missing column') AS first_reason
-FROM r""",
-    "reject_reasons": f"""WITH {_INVOICE_TEXT}
-SELECT invoice_id, counter_party, rating, 'invoice_id' AS "column", invoice_id AS raw_value, r_invoice_id AS reason
-FROM r WHERE r_invoice_id IS NOT NULL
-UNION ALL
-SELECT invoice_id, counter_party, rating, 'rating', rating, r_rating FROM r WHERE r_rating IS NOT NULL
-UNION ALL
-SELECT invoice_id, counter_party, rating, 'value', value, r_value FROM r WHERE r_value IS NOT NULL""",
-    "validated_totals": f"""WITH t AS (
-    SELECT CAST(l_orderkey AS VARCHAR) AS invoice_id, l_linestatus AS legal_entity,
-           CAST(l_suppkey AS VARCHAR) AS counter_party, CAST(l_linenumber AS VARCHAR) AS rating,
-           CASE WHEN l_returnflag = 'A' THEN 'ARAP' WHEN l_returnflag = 'R' THEN 'ACCR' ELSE l_returnflag END AS status,
-           CASE WHEN l_linenumber = 6 THEN NULL
-                WHEN l_linenumber = 7 THEN CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) || 'e'
-                ELSE CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) END AS value
-    FROM lineitem),
-v AS (
-    SELECT legal_entity, counter_party, CAST(trim(rating) AS BIGINT) AS rating, status, CAST(trim(value) AS BIGINT) AS value
-    FROM t
-    WHERE regexp_matches(trim(invoice_id), '^[+-]?[0-9]+$') AND TRY_CAST(trim(invoice_id) AS BIGINT) IS NOT NULL
-      AND regexp_matches(trim(rating), '^[+-]?[0-9]+$') AND TRY_CAST(trim(rating) AS BIGINT) IS NOT NULL
-      AND regexp_matches(trim(value), '^[+-]?[0-9]+$') AND TRY_CAST(trim(value) AS BIGINT) IS NOT NULL),
-tiers AS (SELECT CAST(s_suppkey AS VARCHAR) AS counter_party, CAST(s_nationkey AS BIGINT) AS tier
-          FROM supplier WHERE s_acctbal > 5000),
-enriched AS (SELECT v.*, tiers.tier FROM v JOIN tiers ON v.counter_party = tiers.counter_party)
-SELECT {_TOTAL_LABELS},
-       {_METRICS}
-FROM enriched
-GROUP BY CUBE (legal_entity, counter_party, tier)""",
-    "tolerant_read_rows": """WITH t AS (
-    SELECT CAST(l_orderkey AS VARCHAR) AS invoice_id, l_linestatus AS legal_entity,
-           CAST(l_suppkey AS VARCHAR) AS counter_party, l_linenumber,
-           CAST(l_linenumber AS VARCHAR) AS rating,
-           CASE WHEN l_returnflag = 'A' THEN 'ARAP' WHEN l_returnflag = 'R' THEN 'ACCR' ELSE l_returnflag END AS status,
-           CASE WHEN l_linenumber = 6 THEN NULL
-                WHEN l_linenumber = 7 THEN CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) || 'e'
-                ELSE CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) END AS value
-    FROM lineitem)
-SELECT invoice_id, legal_entity, counter_party, rating, status, value FROM t WHERE l_linenumber <> 7""",
-    "tolerant_read_bad_lines": """WITH t AS (
-    SELECT CAST(l_orderkey AS VARCHAR) AS invoice_id, l_linestatus AS legal_entity,
-           CAST(l_suppkey AS VARCHAR) AS counter_party, l_linenumber,
-           CAST(l_linenumber AS VARCHAR) AS rating,
-           CASE WHEN l_returnflag = 'A' THEN 'ARAP' WHEN l_returnflag = 'R' THEN 'ACCR' ELSE l_returnflag END AS status,
-           CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) || 'e' AS value
-    FROM lineitem)
-SELECT invoice_id, legal_entity, counter_party, rating, status, value,
-       concat_ws(',', invoice_id, legal_entity, counter_party, rating, status, value, '1') AS raw_line
-FROM t WHERE l_linenumber = 7""",
-    "flat_cell_reshape": """SELECT l_orderkey AS invoice_id, l_linestatus AS legal_entity, CAST(l_suppkey AS VARCHAR) AS counter_party,
-       CAST(l_linenumber AS BIGINT) AS rating,
-       CASE WHEN l_returnflag = 'A' THEN 'ARAP' WHEN l_returnflag = 'R' THEN 'ACCR' ELSE l_returnflag END AS status,
-       CAST(l_quantity AS BIGINT) AS value
-FROM lineitem""",
-    "format_rows": _WITH
-    + """SELECT concat_ws('           ', legal_entity, CAST(counter_party AS VARCHAR), CAST(MAX(tier) AS VARCHAR),
-                 CAST(MAX(rating) AS VARCHAR),
-                 CAST(COALESCE(SUM(value) FILTER (WHERE status = 'ARAP'), 0) AS VARCHAR),
-                 CAST(COALESCE(SUM(value) FILTER (WHERE status = 'ACCR'), 0) AS VARCHAR)) AS line
-FROM enriched GROUP BY legal_entity, counter_party""",
-    "sink_roundtrip_csv": _COUNT_LABEL_SQL,
-    "table_roundtrip": _CUBE_SQL,
-    "pipeline_run": _ENTITY_SQL,
-}
