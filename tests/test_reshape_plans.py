@@ -199,3 +199,12 @@ def test_salted_null_safe_join_with_a_hot_null_key(spark):
     assert salted.columns == plain.columns
     assert rows(salted, ["id", "k", "w"]) == rows(plain, ["id", "k", "w"])
     assert salted.filter(F.col("k").isNull()).count() == 1000
+
+
+def test_broadcast_check_bounds_bytes_as_well_as_rows(spark):
+    wide = spark.range(0, 100).select(F.col("id").alias("k"), F.repeat(F.lit("x"), 1000).alias("payload"))
+    n, size = joins.measure(wide, 1000)
+    assert n == 100 and size == 100 * (8 + 1000)
+    assert joins.checked_broadcast(wide, max_rows=1000, max_bytes=200_000)[1]
+    assert not joins.checked_broadcast(wide, max_rows=1000, max_bytes=50_000)[1]
+    assert not joins.checked_broadcast(wide, max_rows=50, max_bytes=10**9)[1]

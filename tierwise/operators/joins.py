@@ -3,9 +3,9 @@
 Broadcasting: a dictionary is broadcast only behind a size check. ``"auto"``
 leaves the choice to Catalyst's size estimate and to AQE, which measures the
 shuffled dictionary at run time before turning a shuffle join into a broadcast
-join. ``True`` checks the row count with a bounded scan first
-(``limit(max_rows + 1).count()``) and falls back to a shuffle join when the
-dictionary is larger. ``False`` never broadcasts.
+join. ``True`` first measures rows and data bytes with one bounded job
+(over ``limit(max_rows + 1)``) and falls back to a shuffle join when the
+dictionary exceeds either bound. ``False`` never broadcasts.
 
 Skew: with a shuffle join, one key may hold a large share of the fact rows.
 AQE's skew-join handling splits such partitions by itself; ``salt`` makes it
@@ -24,22 +24,57 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Largest dictionary, in rows, that ``broadcast=True`` will send to every executor.
+# Largest dictionary, in rows and in bytes of data, that ``broadcast=True``
+# will send to every executor.
 DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
+DEFAULT_MAX_BROADCAST_BYTES = 256 * 1024 * 1024
+
+# Fixed widths, in bytes, used to size values of non-text types.
+_FIXED_WIDTH = {
+    T.BooleanType: 1, T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.LongType: 8,
+    T.FloatType: 4, T.DoubleType: 8, T.DecimalType: 16, T.DateType: 4, T.TimestampType: 8,
+}
 
 
 def _keys(on) -> list[str]:
     return [on] if isinstance(on, str) else list(on)
 
 
-def fits(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows; reads at most ``max_rows + 1``."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
-    """``(broadcast(df), True)`` if the size bound holds, else ``(df, False)``."""
-    if fits(df, max_rows):
+def _value_bytes(field: T.StructField):
+    c = F.col(field.name)
+    for kind, width in _FIXED_WIDTH.items():
+        if isinstance(field.dataType, kind):
+            return F.lit(width)
+    if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(c), F.lit(0))
+    return F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0))  # nested values, by their JSON size
+
+
+def measure(df: DataFrame, max_rows: int) -> tuple[int, int]:
+    """``(rows, data bytes)`` of ``df``, reading at most ``max_rows + 1`` rows per
+    input partition: one bounded job."""
+    width = None
+    for field in df.schema.fields:
+        w = _value_bytes(field)
+        width = w if width is None else width + w
+    sized = df.limit(max_rows + 1)
+    row = sized.agg(
+        F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(width if width is not None else F.lit(0)), F.lit(0)).alias("b")
+    ).first()
+    return int(row["n"]), int(row["b"])
+
+
+def fits(df: DataFrame, max_rows: int, max_bytes: int | None = None) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows and ``max_bytes`` bytes of data."""
+    n, size = measure(df, max_rows)
+    return n <= max_rows and (max_bytes is None or size <= max_bytes)
+
+
+def checked_broadcast(
+    df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES
+) -> tuple[DataFrame, bool]:
+    """``(broadcast(df), True)`` if both size bounds hold, else ``(df, False)``."""
+    if fits(df, max_rows, max_bytes):
         return F.broadcast(df), True
     return df, False
 
