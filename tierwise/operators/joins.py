@@ -134,7 +134,9 @@ def enrich(
     )
 
 
-def keys_in_dictionary(fact: DataFrame, dictionary: DataFrame, on, broadcast="auto", max_broadcast_rows=DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+def keys_in_dictionary(
+    fact: DataFrame, dictionary: DataFrame, on, broadcast="auto", max_broadcast_rows=DEFAULT_MAX_BROADCAST_ROWS
+) -> DataFrame:
     """Fact rows whose key exists in the dictionary; dictionary columns are not added
     and duplicate dictionary keys do not multiply rows (a left semi join)."""
     keys = _keys(on)
@@ -221,7 +223,9 @@ def merge_right_wins(
     keys = _keys(on)
     unique = first_by(dictionary, keys, order_by)
     renamed = unique.select(*keys, *[F.col(c).alias(f"__r_{c}") for c in unique.columns if c not in keys])
-    joined = enrich(fact, renamed, keys, "inner", broadcast=broadcast, max_broadcast_rows=max_broadcast_rows, strict=strict)
+    joined = enrich(
+        fact, renamed, keys, "inner", broadcast=broadcast, max_broadcast_rows=max_broadcast_rows, strict=strict
+    )
     shared = set(fact.columns) & set(dictionary.columns)
     out = [F.col(k) for k in keys]
     for c in fact.columns:

@@ -99,7 +99,10 @@ def validate(df: DataFrame, schema: T.StructType) -> DataFrame:
     reason_cols = [f"_reason_{name}" for name, _, _ in checked]
     with_reasons = df.select("*", *[reason.alias(rc) for (_, _, reason), rc in zip(checked, reason_cols)])
     errors = [
-        F.when(F.col(rc).isNotNull(), F.struct(F.lit(name).alias("column"), raw.alias("raw_value"), F.col(rc).alias("reason")))
+        F.when(
+            F.col(rc).isNotNull(),
+            F.struct(F.lit(name).alias("column"), raw.alias("raw_value"), F.col(rc).alias("reason")),
+        )
         for (name, raw, _), rc in zip(checked, reason_cols)
     ]
     valid = F.lit(True)
@@ -108,7 +111,9 @@ def validate(df: DataFrame, schema: T.StructType) -> DataFrame:
     return with_reasons.select(
         *df.columns,
         valid.alias("valid"),
-        (F.coalesce(*[F.col(rc) for rc in reason_cols]) if reason_cols else F.lit(None).cast("string")).alias("first_reason"),
+        (F.coalesce(*[F.col(rc) for rc in reason_cols]) if reason_cols else F.lit(None).cast("string")).alias(
+            "first_reason"
+        ),
         (F.array_compact(F.array(*errors)) if errors else F.array().cast(T.ArrayType(ERROR))).alias("errors"),
     )
 
@@ -133,7 +138,10 @@ def rejects(validated: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The reject table: one row per failing field, ``keys`` + column, raw value, reason."""
     bad = validated.filter(~F.col("valid"))
     return bad.select(*keys, F.explode("errors").alias("e")).select(
-        *keys, F.col("e.column").alias("column"), F.col("e.raw_value").alias("raw_value"), F.col("e.reason").alias("reason")
+        *keys,
+        F.col("e.column").alias("column"),
+        F.col("e.raw_value").alias("raw_value"),
+        F.col("e.reason").alias("reason"),
     )
 
 
@@ -161,7 +169,8 @@ def with_position(df: DataFrame, name: str = "position") -> DataFrame:
         F.count(F.lit(1)).alias("__n"), F.min("__rowid").alias("__first")
     )
     order = Window.orderBy("__file", "__start").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = splits.select("__file", "__start", "__first", F.coalesce(F.sum("__n").over(order), F.lit(0)).alias("__before"))
+    before = F.coalesce(F.sum("__n").over(order), F.lit(0)).alias("__before")
+    offsets = splits.select("__file", "__start", "__first", before)
     return (
         tagged.join(offsets, ["__file", "__start"])
         .withColumn(name, F.col("__before") + (F.col("__rowid") - F.col("__first")) + 1)

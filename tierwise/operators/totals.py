@@ -144,7 +144,8 @@ def totals(
     # so the Expand carries only grouping columns and narrow inputs.
     narrow, metrics = _narrow(df, group_cols, metrics)
     if preaggregate:
-        return _roll_partials(_partials(narrow, group_cols, metrics), dims, keys, metrics, sets, label, total_label, grouping_id)
+        partials = _partials(narrow, group_cols, metrics)
+        return _roll_partials(partials, dims, keys, metrics, sets, label, total_label, grouping_id)
 
     flags = [F.grouping(c).alias(f"__g_{c}") for c in dims]
     gid = [F.grouping_id().alias(grouping_id)] if grouping_id else []

@@ -111,7 +111,8 @@ def joined_totals(spark, sf_dir, sets, label, fact=None, metrics=None, **options
     """Totals of invoices enriched by tiers, aggregated before the join."""
     fact = inv.invoices(spark, sf_dir) if fact is None else fact
     metrics = invoice_metrics() if metrics is None else metrics
-    return totals.totals_over_join(fact, inv.tiers(spark, sf_dir), "counter_party", DIMS, metrics, sets, label, **options)
+    tiers = inv.tiers(spark, sf_dir)
+    return totals.totals_over_join(fact, tiers, "counter_party", DIMS, metrics, sets, label, **options)
 
 
 def totals_count_label(spark, sf_dir):
@@ -149,7 +150,8 @@ def _invoices_with_null_entity(spark, sf_dir):
 def totals_null_dims_cube(spark, sf_dir):
     """Total-labelled cube where some dimension values are null: a null value
     stays null, only rolled-up columns read Total, and grouping_id tells them apart."""
-    return joined_totals(spark, sf_dir, "cube", "total", fact=_invoices_with_null_entity(spark, sf_dir), grouping_id="grouping_id")
+    fact = _invoices_with_null_entity(spark, sf_dir)
+    return joined_totals(spark, sf_dir, "cube", "total", fact=fact, grouping_id="grouping_id")
 
 
 def totals_null_dims_count(spark, sf_dir):
@@ -186,7 +188,8 @@ def totals_union_form(spark, sf_dir):
 
 
 def totals_preaggregated(spark, sf_dir):
-    return totals.totals(enriched(spark, sf_dir), DIMS, invoice_metrics(), sets="cube", label="total", preaggregate=True)
+    rows = enriched(spark, sf_dir)
+    return totals.totals(rows, DIMS, invoice_metrics(), sets="cube", label="total", preaggregate=True)
 
 
 def totals_sql(spark, sf_dir):
@@ -270,12 +273,14 @@ def _written_invoice_lines(spark, sf_dir) -> str:
 
 
 def tolerant_read_rows(spark, sf_dir):
-    good, _ = files.split_corrupt(files.read_csv_tolerant(spark, _written_invoice_lines(spark, sf_dir), INVOICE, header=False))
+    read = files.read_csv_tolerant(spark, _written_invoice_lines(spark, sf_dir), INVOICE, header=False)
+    good, _ = files.split_corrupt(read)
     return good
 
 
 def tolerant_read_bad_lines(spark, sf_dir):
-    _, bad = files.split_corrupt(files.read_csv_tolerant(spark, _written_invoice_lines(spark, sf_dir), INVOICE, header=False))
+    read = files.read_csv_tolerant(spark, _written_invoice_lines(spark, sf_dir), INVOICE, header=False)
+    _, bad = files.split_corrupt(read)
     return bad
 
 
