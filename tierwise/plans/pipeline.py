@@ -58,8 +58,10 @@ def validated_rows(spark, path, schema) -> tuple[DataFrame, DataFrame, DataFrame
     """
     raw = files.read_csv_tolerant(spark, path, schema)
     good, bad_lines = files.split_corrupt(raw)
-    checked = quality.validate(quality.with_position(good), schema)
-    return quality.valid_rows(checked, schema), quality.rejects(checked, ["position"]), bad_lines
+    valid = quality.valid_rows(quality.validate(good, schema), schema)
+    # Only the reject table needs file positions (a second read of the file).
+    rejected = quality.rejects(quality.validate(quality.with_position(good), schema), ["position"])
+    return valid, rejected, bad_lines
 
 
 def validated_totals(spark, path, schema, dictionary, on, dims, metrics, sets="pairs", label="count", **options):
