@@ -272,3 +272,16 @@ def test_other_typed_fields_must_cast_cleanly(spark):
     bad_day = [e.reason for r in checked.collect() for e in r.errors if e.column == "day"]
     assert bad_day == ["not a date"]
     assert quality.valid_rows(checked, schema).count() == 1
+
+
+def test_validated_totals_do_not_compute_positions(spark, data_dir, tiers):
+    from tierwise.functions.metrics import invoice_metrics
+    from tierwise.plans.pipeline import validated_totals
+
+    out = validated_totals(
+        spark, str(data_dir / "invoices_dirty.csv"), INVOICE, tiers, "counter_party",
+        ["legal_entity", "counter_party", "tier"], invoice_metrics(), "cube", "total",
+    )
+    assert "Window" not in out._jdf.queryExecution().optimizedPlan().toString()
+    grand = out.filter("legal_entity = 'Total' AND counter_party = 'Total' AND tier = 'Total'").first()
+    assert (grand.sum_value_ARAP, grand.sum_value_ACCR) == (1250 + 65, 512 - 50 - 52 + 60)
