@@ -1,10 +1,12 @@
 """Scale probe: the totals plans over k copies of the sf0.1 fact.
 
-Usage: python scripts/scale_probe.py [sf_dir] [k ...]
+Usage: python scripts/scale_probe.py [--no-broadcast] [sf_dir] [k ...]
 
 Each invoice row is repeated k times with ``explode(sequence(1, k))`` (no
 cross join), so rows grow k-fold while groups stay the same, as they do when
-more days of data arrive. Prints one JSON line of median seconds per plan and k.
+more days of data arrive. ``--no-broadcast`` disables broadcast joins, as for
+a dictionary too large to broadcast. Prints one JSON line of median seconds
+per plan and k.
 """
 
 from __future__ import annotations
@@ -28,9 +30,15 @@ DIMS = list(inv.DIMS)
 
 
 def main() -> None:
-    sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
-    ks = [int(k) for k in sys.argv[2:]] or [1, 4, 16]
+    args = sys.argv[1:]
+    no_broadcast = "--no-broadcast" in args
+    args = [a for a in args if a != "--no-broadcast"]
+    sf_dir = args[0] if args else "/root/testdata/sf0.1"
+    ks = [int(k) for k in args[1:]] or [1, 4, 16]
     spark = local_session(8, 16)
+    if no_broadcast:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     tiers = inv.tiers(spark, sf_dir)
     out = {}
     for k in ks:
@@ -49,7 +57,7 @@ def main() -> None:
                 mk().write.format("noop").mode("overwrite").save()
                 ts.append(time.perf_counter() - t0)
             out.setdefault(name, {})[f"x{k}"] = round(statistics.median(ts), 3)
-    print(json.dumps({"sf_dir": sf_dir, "rows_base": 600000, "median_sec": out}))
+    print(json.dumps({"sf_dir": sf_dir, "broadcast": not no_broadcast, "rows_base": 600000, "median_sec": out}))
     spark.stop()
 
 
