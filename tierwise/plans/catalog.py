@@ -178,6 +178,35 @@ def totals_from_batches(spark, sf_dir):
     return totals.totals_from_partials(totals.compact_partials(stored, metrics), DIMS, metrics, "cube", "total")
 
 
+# Fixed value: how many files the invoices arrive in for the streamed totals.
+STREAM_FILES = 4
+
+
+def totals_streamed(spark, sf_dir):
+    """The Total-labelled cube kept by a stream: invoices arrive as files in a
+    folder, one file per micro-batch; each batch's partial rows are stored,
+    and the totals are rolled up from the stored table."""
+    from ..streaming import read_partials, stream_partials
+
+    incoming = scratch_path(spark, "incoming-invoices")
+    invoices = inv.invoices(spark, sf_dir)
+    invoices.repartition(STREAM_FILES).write.option("header", True).csv(incoming)
+    facts = (
+        spark.readStream.schema(invoices.schema)
+        .option("header", True)
+        .option("maxFilesPerTrigger", 1)
+        .csv(incoming)
+    )
+    partials_path = scratch_path(spark, "streamed-partials")
+    metrics = invoice_metrics()
+    tiers = inv.tiers(spark, sf_dir)
+    query = stream_partials(facts, tiers, "counter_party", DIMS, metrics, partials_path, available_now=True)
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise RuntimeError(f"streamed totals failed: {query.exception()}")
+    return totals.totals_from_partials(read_partials(spark, partials_path), DIMS, metrics, "cube", "total")
+
+
 def totals_after_join(spark, sf_dir):
     """The same cube aggregated after the join: one Expand over enriched rows."""
     return totals.totals(enriched(spark, sf_dir), DIMS, invoice_metrics(), sets="cube", label="total")
@@ -363,6 +392,7 @@ QUERIES = {
     "totals_by_status": totals_by_status,
     "totals_after_join": totals_after_join,
     "totals_from_batches": totals_from_batches,
+    "totals_streamed": totals_streamed,
     "totals_null_dims_cube": totals_null_dims_cube,
     "totals_null_dims_count": totals_null_dims_count,
     "totals_sql": totals_sql,

@@ -130,6 +130,7 @@ GROUP BY GROUPING SETS ((legal_entity, status), (legal_entity, counter_party, st
                         (counter_party, status), (counter_party, tier, status), (tier, status))""",
     "totals_after_join": _CUBE_SQL,
     "totals_from_batches": _CUBE_SQL,
+    "totals_streamed": _CUBE_SQL,
     "totals_null_dims_cube": _WITH_NULL_ENTITY
     + f"""SELECT {_TOTAL_LABELS},
        {_METRICS},

@@ -1,9 +1,13 @@
-"""Streaming: deliberately empty.
+"""Streaming: incremental totals over arriving fact files.
 
-The exercise this library rebuilds reads bounded files and tables only; it has
-no stream source, watermark, window, state or late-data handling. Nothing is
-built here, so that the library does not claim operators it was never asked
-to provide. Every operator in ``tierwise`` is a DataFrame transformation, so
-the batch plans apply unchanged to a ``readStream`` DataFrame where Structured
-Streaming supports the operator (aggregations in complete or update mode).
+The exercise reads bounded files, and no stream operator of its own exists;
+nothing here adds one. What Structured Streaming adds is delivery: fact files
+that keep arriving in a folder are turned, micro-batch by micro-batch, into
+the partial rows of ``operators.totals.partial_totals`` and appended to a
+stored partial table, from which ``totals_from_partials`` rolls up the totals
+at any time. See ``partials.stream_partials``.
 """
+
+from .partials import read_partials, stream_partials
+
+__all__ = ["read_partials", "stream_partials"]
