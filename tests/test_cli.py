@@ -86,3 +86,15 @@ def test_totals_from_stored_partials(spark, data_dir):
     assert (grand.max_rating, grand.sum_value_ARAP, grand.sum_value_ACCR) == (6, 2 * 1250, 2 * 512)
     once = cli.run(["totals", "--partials", a, "--sets", "cube", "--label", "total"], spark)
     assert once.count() == 46
+
+
+def test_stream_then_totals_from_the_stored_partials(spark, data_dir, tmp_path):
+    import shutil
+
+    incoming = tmp_path / "incoming"
+    incoming.mkdir()
+    shutil.copy(data_dir / "invoices.csv", incoming / "day1.csv")
+    out = scratch_path(spark, "cli-stream")
+    cli.run(["stream", "--incoming", str(incoming), "--dictionary", str(data_dir / "tiers.csv"), "--out", out, "--once"], spark)
+    cube = cli.run(["totals", "--partials", out, "--sets", "cube", "--label", "total"], spark)
+    assert cube.count() == 46

@@ -7,6 +7,7 @@
     python -m tierwise validate  --facts F [--out DIR]
     python -m tierwise partials  --facts F --dictionary D --out DIR       (a batch's partial rows, parquet)
     python -m tierwise totals    --partials DIR[,DIR...] [--sets ...]     (totals from stored batches)
+    python -m tierwise stream    --incoming DIR --dictionary D --out DIR [--once]  (arriving files → partials)
 
 Inputs are read with the declared invoice and tier schemas (``--infer`` to
 infer instead); a dictionary ending in ``.json`` is read as an array of
@@ -29,6 +30,7 @@ from .plans.pipeline import ENTITY_METRICS, validated_rows
 from .schemas import INVOICE, TIER
 from .session import configure
 from .sources import files
+from .streaming.partials import BATCH_COLUMN, read_partials, stream_partials
 
 
 def _read_facts(spark, args) -> DataFrame:
@@ -50,7 +52,9 @@ def _emit(df: DataFrame, args) -> None:
 
 def run(argv=None, spark: SparkSession | None = None) -> DataFrame:
     p = argparse.ArgumentParser(prog="tierwise", description=__doc__.split("\n\n")[0])
-    p.add_argument("command", choices=["totals", "by-status", "summary", "detail", "validate", "partials"])
+    p.add_argument("command", choices=["totals", "by-status", "summary", "detail", "validate", "partials", "stream"])
+    p.add_argument("--incoming", help="folder the stream command watches for fact files")
+    p.add_argument("--once", action="store_true", help="stream: process the files present, then stop")
     p.add_argument("--facts")
     p.add_argument("--partials", help="comma-separated folders written by the partials command")
     p.add_argument("--dictionary")
@@ -72,9 +76,19 @@ def run(argv=None, spark: SparkSession | None = None) -> DataFrame:
     dims = args.dims.split(",")
     statuses = args.statuses.split(",")
 
+    if args.command == "stream":
+        if not (args.incoming and args.dictionary and args.out):
+            p.error("stream needs --incoming, --dictionary and --out")
+        facts = spark.readStream.schema(INVOICE).option("header", True).csv(args.incoming)
+        metrics = metric_set("rating", "value", "status", *statuses)
+        query = stream_partials(
+            facts, _read_dictionary(spark, args), args.on, dims, metrics, args.out, available_now=args.once
+        )
+        query.awaitTermination()
+        return read_partials(spark, args.out)
     if args.command == "totals" and args.partials:
         metrics = metric_set("rating", "value", "status", *statuses)
-        stored = spark.read.parquet(*args.partials.split(","))
+        stored = spark.read.parquet(*args.partials.split(",")).drop(BATCH_COLUMN)
         out = totals_from_partials(stored, dims, metrics, args.sets, args.label)
         _emit(out, args)
         return out
