@@ -98,3 +98,19 @@ def test_stream_then_totals_from_the_stored_partials(spark, data_dir, tmp_path):
     cli.run(["stream", "--incoming", str(incoming), "--dictionary", str(data_dir / "tiers.csv"), "--out", out, "--once"], spark)
     cube = cli.run(["totals", "--partials", out, "--sets", "cube", "--label", "total"], spark)
     assert cube.count() == 46
+
+
+def test_module_runs_end_to_end_in_a_fresh_process(data_dir, tmp_path):
+    import os
+    import subprocess
+    import sys
+
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    out = tmp_path / "cube"
+    cmd = [sys.executable, "-m", "tierwise", "totals", "--facts", str(data_dir / "invoices.csv"),
+           "--dictionary", str(data_dir / "tiers.json"), "--sets", "cube", "--label", "total", "--out", str(out)]
+    done = subprocess.run(cmd, cwd=repo, capture_output=True, text=True, timeout=300)
+    assert done.returncode == 0, done.stderr[-2000:]
+    lines = [line for p in sorted(out.glob("part-*.csv")) for line in p.read_text().splitlines()]
+    assert sum(1 for line in lines if line != "legal_entity,counter_party,tier,max_rating,sum_value_ARAP,sum_value_ACCR") == 46
+    assert "Total,Total,Total,6,1250,512" in lines
