@@ -208,3 +208,14 @@ def test_broadcast_check_bounds_bytes_as_well_as_rows(spark):
     assert joins.checked_broadcast(wide, max_rows=1000, max_bytes=200_000)[1]
     assert not joins.checked_broadcast(wide, max_rows=1000, max_bytes=50_000)[1]
     assert not joins.checked_broadcast(wide, max_rows=50, max_bytes=10**9)[1]
+
+
+def test_salted_left_join_keeps_unmatched_rows(spark):
+    fact = spark.range(0, 3000).select(
+        F.col("id"), F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 60).alias("k")
+    )
+    dictionary = spark.range(0, 50).select(F.col("id").alias("k"), (F.col("id") * 10).alias("w"))
+    plain = joins.enrich(fact, dictionary, "k", "left")
+    salted = joins.enrich(fact, dictionary, "k", "left", salt=8, hot_rows=500)
+    assert rows(salted, ["id", "k", "w"]) == rows(plain, ["id", "k", "w"])
+    assert salted.filter(F.col("w").isNull()).count() > 0

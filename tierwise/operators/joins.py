@@ -115,9 +115,11 @@ def enrich(
     if strict:
         require_keys(fact, dictionary, keys, null_safe=null_safe)
     if salt and salt > 1:
-        if how != "inner":
-            raise ValueError("salting is implemented for inner joins")
-        return _salted_join(fact, dictionary, keys, salt, hot_rows, max_hot_keys or DEFAULT_MAX_HOT_KEYS, null_safe)
+        if how not in ("inner", "left", "left_outer"):
+            raise ValueError("salting is implemented for inner and left joins")
+        return _salted_join(
+            fact, dictionary, keys, salt, hot_rows, max_hot_keys or DEFAULT_MAX_HOT_KEYS, null_safe, how
+        )
     right = _prepare(dictionary, broadcast, max_broadcast_rows)
     if not null_safe:
         return fact.join(right, keys, how)
@@ -271,7 +273,7 @@ def _null_safe_keys(df: DataFrame, keys: list[str]) -> tuple[DataFrame, list[str
 
 def _salted_join(
     fact: DataFrame, dictionary: DataFrame, keys: list[str], buckets: int, hot_rows: int,
-    max_hot_keys: int = DEFAULT_MAX_HOT_KEYS, null_safe: bool = False,
+    max_hot_keys: int = DEFAULT_MAX_HOT_KEYS, null_safe: bool = False, how: str = "inner",
 ) -> DataFrame:
     from .reuse import materialize
 
@@ -307,5 +309,7 @@ def _salted_join(
             )
         ),
     ).drop("__hot")
-    joined = salted_fact.join(salted_dict, join_keys + ["__salt"], "inner")
+    # Each fact row meets one copy of each matching dictionary row, in its own
+    # bucket; a left join keeps the rows that meet none.
+    joined = salted_fact.join(salted_dict, join_keys + ["__salt"], how)
     return joined.select(*keys, *[c for c in fact_cols if c not in keys], *dict_rest)
