@@ -95,14 +95,17 @@ class Metric:
 
 
 def max_of(source, name: str | None = None) -> Metric:
+    """Largest value of ``source``; named ``max_<source>`` unless ``name`` is given."""
     return Metric(name or f"max_{source}", "max", source)
 
 
 def min_of(source, name: str | None = None) -> Metric:
+    """Smallest value of ``source``; named ``min_<source>`` unless ``name`` is given."""
     return Metric(name or f"min_{source}", "min", source)
 
 
 def sum_of(source, name: str | None = None) -> Metric:
+    """Sum of ``source`` (null when every value is null); named ``sum_<source>`` by default."""
     return Metric(name or f"sum_{source}", "sum", source)
 
 
@@ -112,6 +115,7 @@ def count_of(source, name: str | None = None) -> Metric:
 
 
 def count_rows(name: str = "n_rows") -> Metric:
+    """Number of rows in the group."""
     return Metric(name, "rows")
 
 

@@ -21,6 +21,7 @@ from ..session import checkpoint_dir
 
 
 def materialize(df: DataFrame, mode: str = "checkpoint") -> DataFrame:
+    """``df`` computed once: cached (``"cache"``) or written to the shared checkpoint folder."""
     if mode == "cache":
         return df.persist(StorageLevel.MEMORY_AND_DISK)
     if mode == "checkpoint":

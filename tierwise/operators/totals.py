@@ -433,4 +433,5 @@ def group_metrics(df: DataFrame, keys: Sequence[str], metrics: Sequence[Metric])
 
 
 def grand_total(df: DataFrame, metrics: Sequence[Metric]) -> DataFrame:
+    """The metrics over all rows: one row."""
     return df.agg(*[m.column() for m in metrics])

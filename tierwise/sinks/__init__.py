@@ -46,6 +46,7 @@ def write_table(
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "errorifexists", partition_by=None) -> None:
+    """A directory of parquet parts, optionally partitioned by columns."""
     writer = df.write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
