@@ -114,3 +114,9 @@ def test_module_runs_end_to_end_in_a_fresh_process(data_dir, tmp_path):
     lines = [line for p in sorted(out.glob("part-*.csv")) for line in p.read_text().splitlines()]
     assert sum(1 for line in lines if line != "legal_entity,counter_party,tier,max_rating,sum_value_ARAP,sum_value_ACCR") == 46
     assert "Total,Total,Total,6,1250,512" in lines
+
+
+def test_sorted_preview(spark, data_dir, capsys):
+    cli.run(["summary", "--facts", str(data_dir / "invoices.csv"), "--dictionary", str(data_dir / "tiers.csv"), "--sort"], spark)
+    lines = [line for line in capsys.readouterr().out.splitlines() if line.startswith("|L")]
+    assert lines == sorted(lines) and len(lines) == 8

@@ -44,6 +44,9 @@ def _read_dictionary(spark, args) -> DataFrame:
 
 
 def _emit(df: DataFrame, args) -> None:
+    if args.sort:
+        # A global sort for reading; totals outputs are small.
+        df = df.orderBy(*[c for c in df.columns[:3]])
     if args.out:
         sinks.write_csv(df, args.out, mode=args.mode)
     else:
@@ -69,6 +72,7 @@ def run(argv=None, spark: SparkSession | None = None) -> DataFrame:
     p.add_argument("--out")
     p.add_argument("--mode", default="errorifexists")
     p.add_argument("--rows", type=int, default=20)
+    p.add_argument("--sort", action="store_true", help="order the output by its leading columns")
     args = p.parse_args(argv)
 
     spark = spark or SparkSession.builder.appName("tierwise").getOrCreate()
