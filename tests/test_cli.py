@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pytest
 from conftest import rows
 
 from tierwise import cli
@@ -120,3 +121,19 @@ def test_sorted_preview(spark, data_dir, capsys):
     cli.run(["summary", "--facts", str(data_dir / "invoices.csv"), "--dictionary", str(data_dir / "tiers.csv"), "--sort"], spark)
     lines = [line for line in capsys.readouterr().out.splitlines() if line.startswith("|L")]
     assert lines == sorted(lines) and len(lines) == 8
+
+
+@pytest.mark.parametrize(
+    "argv",
+    [
+        ["totals"],  # no facts and no partials
+        ["totals", "--facts", "x.csv"],  # no dictionary
+        ["partials", "--facts", "x.csv", "--dictionary", "d.csv"],  # no output folder
+        ["stream", "--incoming", "in/"],  # no dictionary, no output folder
+        ["totals", "--facts", "x.csv", "--dictionary", "d.csv", "--label", "sum"],  # unknown label
+    ],
+)
+def test_usage_errors_exit_cleanly(spark, argv):
+    with pytest.raises(SystemExit) as e:
+        cli.run(argv, spark)
+    assert e.value.code == 2

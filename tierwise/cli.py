@@ -53,6 +53,27 @@ def _emit(df: DataFrame, args) -> None:
         sinks.show(df, args.rows, truncate=False)
 
 
+# Arguments each command needs, checked before any Spark work starts.
+_REQUIRED = {
+    "partials": ("facts", "dictionary", "out"),
+    "stream": ("incoming", "dictionary", "out"),
+    "by-status": ("facts", "dictionary"),
+    "summary": ("facts", "dictionary"),
+    "detail": ("facts", "dictionary"),
+    "validate": ("facts",),
+}
+
+
+def _check_args(p: argparse.ArgumentParser, args) -> None:
+    if args.command == "totals":
+        if not args.partials and not (args.facts and args.dictionary):
+            p.error("totals needs --facts and --dictionary, or --partials")
+        return
+    missing = [f"--{name}" for name in _REQUIRED[args.command] if not getattr(args, name)]
+    if missing:
+        p.error(f"{args.command} needs {', '.join(missing)}")
+
+
 def run(argv=None, spark: SparkSession | None = None) -> DataFrame:
     p = argparse.ArgumentParser(prog="tierwise", description=__doc__.split("\n\n")[0])
     p.add_argument("command", choices=["totals", "by-status", "summary", "detail", "validate", "partials", "stream"])
@@ -74,6 +95,7 @@ def run(argv=None, spark: SparkSession | None = None) -> DataFrame:
     p.add_argument("--rows", type=int, default=20)
     p.add_argument("--sort", action="store_true", help="order the output by its leading columns")
     args = p.parse_args(argv)
+    _check_args(p, args)
 
     spark = spark or SparkSession.builder.appName("tierwise").getOrCreate()
     configure(spark)
