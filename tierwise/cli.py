@@ -103,8 +103,6 @@ def run(argv=None, spark: SparkSession | None = None) -> DataFrame:
     statuses = args.statuses.split(",")
 
     if args.command == "stream":
-        if not (args.incoming and args.dictionary and args.out):
-            p.error("stream needs --incoming, --dictionary and --out")
         facts = spark.readStream.schema(INVOICE).option("header", True).csv(args.incoming)
         metrics = metric_set("rating", "value", "status", *statuses)
         query = stream_partials(
@@ -118,16 +116,12 @@ def run(argv=None, spark: SparkSession | None = None) -> DataFrame:
         out = totals_from_partials(stored, dims, metrics, args.sets, args.label)
         _emit(out, args)
         return out
-    if not args.facts:
-        p.error("--facts is required")
     if args.command == "validate":
         raw = files.read_csv_tolerant(spark, args.facts, INVOICE)
         good = raw.filter(F.col(files.EXTRA).isNull()).drop(files.EXTRA)
         checked = quality.validate(quality.with_position(good), INVOICE)
         out = quality.invalid_rows(checked, ["position", "invoice_id"])
     else:
-        if not args.dictionary:
-            p.error("--dictionary is required")
         dictionary = _read_dictionary(spark, args)
         if args.validate:
             facts, rejected, _ = validated_rows(spark, args.facts, INVOICE)
@@ -136,8 +130,6 @@ def run(argv=None, spark: SparkSession | None = None) -> DataFrame:
         else:
             facts = _read_facts(spark, args)
         if args.command == "partials":
-            if not args.out:
-                p.error("--out is required for partials")
             metrics = metric_set("rating", "value", "status", *statuses)
             out = partial_totals(facts, dictionary, args.on, dims, metrics)
             sinks.write_parquet(out, args.out, mode=args.mode)
