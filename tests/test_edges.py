@@ -143,6 +143,12 @@ def test_set_generator_order():
     assert T.complements(["a", "b", "c"], "singles")[0] == (("a",), ("b", "c"))
     assert len(T.grouping_sets(["a", "b", "c"], "cube")) == 8
     assert T.grouping_sets(["a", "b", "c"], "rollup") == [("a", "b", "c"), ("a", "b"), ("a",), ()]
+    # Sets chosen by size, as combinations of r dimensions.
+    assert T.grouping_sets(["a", "b", "c"], [1, 2]) == T.grouping_sets(["a", "b", "c"], "pairs")
+    assert T.grouping_sets(["a", "b", "c"], [3, 0]) == [(), ("a", "b", "c")]
+    assert T.grouping_sets(["a", "b", "c"], ["a", ["b", "c"]]) == [("a",), ("b", "c")]
+    with pytest.raises(ValueError):
+        T.grouping_sets(["a", "b"], [["a", "z"]])
 
 
 def test_aggregating_before_the_join_equals_joining_first(edge_fact, edge_dict):
