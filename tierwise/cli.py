@@ -108,7 +108,7 @@ def run(argv=None, spark: SparkSession | None = None) -> DataFrame:
         query = stream_partials(
             facts, _read_dictionary(spark, args), args.on, dims, metrics, args.out, available_now=args.once
         )
-        query.awaitTermination()
+        query.awaitTermination()  # with --once the stream stops by itself; otherwise it runs until stopped
         return read_partials(spark, args.out)
     if args.command == "totals" and args.partials:
         metrics = metric_set("rating", "value", "status", *statuses)

@@ -178,8 +178,10 @@ def totals_from_batches(spark, sf_dir):
     return totals.totals_from_partials(totals.compact_partials(stored, metrics), DIMS, metrics, "cube", "total")
 
 
-# Fixed value: how many files the invoices arrive in for the streamed totals.
+# How many files the invoices arrive in for the streamed totals,
+# and how long the stream may take to process them.
 STREAM_FILES = 4
+STREAM_TIMEOUT_SEC = 1800
 
 
 def totals_streamed(spark, sf_dir):
@@ -201,7 +203,9 @@ def totals_streamed(spark, sf_dir):
     metrics = invoice_metrics()
     tiers = inv.tiers(spark, sf_dir)
     query = stream_partials(facts, tiers, "counter_party", DIMS, metrics, partials_path, available_now=True)
-    query.awaitTermination()
+    if not query.awaitTermination(STREAM_TIMEOUT_SEC):
+        query.stop()
+        raise RuntimeError(f"streamed totals did not finish within {STREAM_TIMEOUT_SEC} s")
     if query.exception() is not None:
         raise RuntimeError(f"streamed totals failed: {query.exception()}")
     return totals.totals_from_partials(read_partials(spark, partials_path), DIMS, metrics, "cube", "total")
