@@ -219,3 +219,15 @@ def test_salted_left_join_keeps_unmatched_rows(spark):
     salted = joins.enrich(fact, dictionary, "k", "left", salt=8, hot_rows=500)
     assert rows(salted, ["id", "k", "w"]) == rows(plain, ["id", "k", "w"])
     assert salted.filter(F.col("w").isNull()).count() > 0
+
+
+def test_read_flat_records_cuts_long_records_into_rows(spark, tmp_path):
+    from conftest import INVOICE_HEADER
+
+    path = tmp_path / "flat.csv"
+    # The second record holds two rows' cells end to end, the third one row.
+    path.write_text("\r".join([INVOICE_HEADER, "1,L1,C1,1,ARAP,10,2,L2,C2,2,ARAP,20", "3,L3,C3,4,ACCR,30"]))
+    out = reshape.read_flat_records(spark, str(path), INVOICE, record_sep="\r")
+    assert sorted(tuple(r) for r in out.collect()) == [
+        (1, "L1", "C1", 1, "ARAP", 10), (2, "L2", "C2", 2, "ARAP", 20), (3, "L3", "C3", 4, "ACCR", 30)
+    ]
