@@ -126,7 +126,15 @@ def test_count_label_counts_non_null_values(edge_fact, edge_dict):
 
 def test_preaggregated_equals_direct_with_nulls(edge_fact, edge_dict):
     joined = joins.lookup(edge_fact, edge_dict, "counter_party", order_by="priority")
-    metrics = invoice_metrics() + [count_rows(), max_of("value", "max_value"), sum_if("value", F.col("rating") > 0, "pos")]
+    from tierwise.functions.metrics import count_of, min_of
+
+    metrics = invoice_metrics() + [
+        count_rows(),
+        max_of("value", "max_value"),
+        min_of("rating", "min_rating"),
+        count_of("value", "n_value"),
+        sum_if("value", F.col("rating") > 0, "pos"),
+    ]
     for label in ("count", "total", "null"):
         direct = T.totals(joined, DIMS, metrics, "cube", label, grouping_id="g")
         pre = T.totals(joined, DIMS, metrics, "cube", label, grouping_id="g", preaggregate=True)

@@ -231,3 +231,9 @@ def test_read_flat_records_cuts_long_records_into_rows(spark, tmp_path):
     assert sorted(tuple(r) for r in out.collect()) == [
         (1, "L1", "C1", 1, "ARAP", 10), (2, "L2", "C2", 2, "ARAP", 20), (3, "L3", "C3", 4, "ACCR", 30)
     ]
+
+
+def test_records_from_cells_keeps_carried_columns(spark):
+    df = spark.createDataFrame([("f1", "a,1\rb,2"), ("f2", "c,3")], "file string, t string")
+    out = reshape.records_from_cells(df, "t", ["k", "v"], keep=["file"])
+    assert sorted(tuple(r) for r in out.collect()) == [("f1", "a", "1"), ("f1", "b", "2"), ("f2", "c", "3")]
