@@ -285,3 +285,8 @@ def test_validated_totals_do_not_compute_positions(spark, data_dir, tiers):
     assert "Window" not in out._jdf.queryExecution().optimizedPlan().toString()
     grand = out.filter("legal_entity = 'Total' AND counter_party = 'Total' AND tier = 'Total'").first()
     assert (grand.sum_value_ARAP, grand.sum_value_ACCR) == (1250 + 65, 512 - 50 - 52 + 60)
+
+
+def test_bucketing_needs_a_catalog_table(invoices, tmp_path):
+    with pytest.raises(ValueError, match="catalog table"):
+        sinks.write_table(invoices, str(tmp_path / "b"), format="parquet", bucket_by="counter_party", buckets=4)

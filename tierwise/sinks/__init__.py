@@ -33,6 +33,8 @@ def write_table(
     shuffle. A bucketed scan reads each bucket in one task, so do not bucket
     a fact on a key that holds a large share of its rows.
     """
+    if bucket_by and format is not None:
+        raise ValueError("bucketing needs a catalog table (format=None): Spark buckets only saveAsTable output")
     writer = df.write
     if mode:
         writer = writer.mode(mode)
