@@ -6,6 +6,13 @@ keyed by the grouping columns plus the grouping id. A hot key, or the grand
 total that every row rolls into, costs one partial row per map task, never a
 hot reduce task.
 
+``totals_over_join`` (and ``group_over_join`` for one level) computes the
+totals of a fact enriched by a dictionary while aggregating the fact before
+the join, so only partial rows meet the dictionary. ``partial_totals``,
+``totals_from_partials`` and ``compact_partials`` expose those partial rows
+as a table that can be stored and appended to batch by batch. ``totals_union``
+keeps the one-aggregate-per-set shape for comparison.
+
 Rolled-up dimension columns are labelled in one of three ways:
 
 * ``"count"``  the non-null count of that column in the group (the labelled
