@@ -290,3 +290,14 @@ def test_validated_totals_do_not_compute_positions(spark, data_dir, tiers):
 def test_bucketing_needs_a_catalog_table(invoices, tmp_path):
     with pytest.raises(ValueError, match="catalog table"):
         sinks.write_table(invoices, str(tmp_path / "b"), format="parquet", bucket_by="counter_party", buckets=4)
+
+
+def test_pipeline_left_merge_and_chained_steps(spark, invoices):
+    partial_tiers = spark.createDataFrame([("C1", 1), ("C2", 2)], "counter_party string, tier long")
+    steps = [
+        lambda df: df.filter(F.col("status") == "ARAP"),
+        lambda df: df.groupBy("counter_party").agg(F.count(F.lit(1)).alias("n"), F.max("tier").alias("tier")),
+    ]
+    out = Pipeline([invoices, partial_tiers], steps).plan("counter_party", how="left")
+    got = {r.counter_party: (r.n, r.tier) for r in out.collect()}
+    assert got["C1"] == (3, 1) and got["C5"] == (1, None)  # C5 has no tier but is kept
