@@ -23,3 +23,17 @@ SOURCE = sorted((pathlib.Path(__file__).resolve().parent.parent / "tierwise").rg
 def test_library_avoids(pattern, why):
     hits = [f"{p.name}:{i}" for p in SOURCE for i, line in enumerate(p.read_text().splitlines(), 1) if re.search(pattern, line)]
     assert not hits, f"{why}: {hits}"
+
+
+def test_coverage_document_is_current():
+    root = pathlib.Path(__file__).resolve().parent.parent
+    doc = (root / "docs" / "COVERAGE.md").read_text()
+    defined = {m for p in (root / "tests").glob("test_*.py") for m in re.findall(r"def (test_[a-z0-9_]+)", p.read_text())}
+    cited = set(re.findall(r"`(test_[a-z0-9_]+)`", doc))
+    assert cited <= defined, f"coverage cites missing tests: {sorted(cited - defined)}"
+    import __spark_entry__ as entry
+
+    named = set(re.findall(r"`([a-z_]+)`", doc))
+    patterns = [n[:-1] for n in re.findall(r"`([a-z_]+\*)`", doc)]
+    uncited = [q for q in entry.queries() if q not in named and not any(q.startswith(p) for p in patterns)]
+    assert not uncited, f"coverage does not cite registered queries: {uncited}"
