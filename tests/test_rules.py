@@ -37,3 +37,13 @@ def test_coverage_document_is_current():
     patterns = [n[:-1] for n in re.findall(r"`([a-z_]+\*)`", doc)]
     uncited = [q for q in entry.queries() if q not in named and not any(q.startswith(p) for p in patterns)]
     assert not uncited, f"coverage does not cite registered queries: {uncited}"
+
+
+def test_explicit_broadcasts_only_behind_the_size_check():
+    hits = []
+    for p in SOURCE:
+        text = p.read_text()
+        for m in re.finditer(r"F\.broadcast\(|\.hint\(\s*[\"']broadcast", text):
+            enclosing = re.findall(r"^def (\w+)", text[: m.start()], flags=re.M)
+            hits.append((p.name, enclosing[-1] if enclosing else None))
+    assert hits == [("joins.py", "checked_broadcast")]
