@@ -137,3 +137,13 @@ def test_usage_errors_exit_cleanly(spark, argv):
     with pytest.raises(SystemExit) as e:
         cli.run(argv, spark)
     assert e.value.code == 2
+
+
+def test_parquet_output(spark, data_dir):
+    out = scratch_path(spark, "cli-parquet")
+    cube = cli.run(
+        ["totals", "--facts", str(data_dir / "invoices.csv"), "--dictionary", str(data_dir / "tiers.csv"),
+         "--sets", "cube", "--label", "total", "--out", out, "--format", "parquet"],
+        spark,
+    )
+    assert rows(spark.read.parquet(out)) == rows(cube)

@@ -47,8 +47,10 @@ def _emit(df: DataFrame, args) -> None:
     if args.sort:
         # A global sort for reading; totals outputs are small.
         df = df.orderBy(*[c for c in df.columns[:3]])
-    if args.out:
+    if args.out and args.format == "csv":
         sinks.write_csv(df, args.out, mode=args.mode)
+    elif args.out:
+        sinks.write_table(df, args.out, format=args.format, mode=args.mode)
     else:
         sinks.show(df, args.rows, truncate=False)
 
@@ -92,6 +94,7 @@ def run(argv=None, spark: SparkSession | None = None) -> DataFrame:
     p.add_argument("--rejects", help="with --validate, also write the reject table here")
     p.add_argument("--out")
     p.add_argument("--mode", default="errorifexists")
+    p.add_argument("--format", default="csv", choices=["csv", "parquet", "json"], help="format of --out")
     p.add_argument("--rows", type=int, default=20)
     p.add_argument("--sort", action="store_true", help="order the output by its leading columns")
     args = p.parse_args(argv)
