@@ -1,15 +1,14 @@
-"""Flat-cell reshaping, and the physical plans the operators produce."""
+"""The physical plans the operators produce: scans, Expand, shuffles, joins, skew."""
 
 from __future__ import annotations
 
-from conftest import INVOICE_ROWS, rows
+from conftest import rows
 from pyspark.sql import functions as F
 
 from tierwise.functions.metrics import invoice_metrics
-from tierwise.operators import joins, reshape
+from tierwise.operators import joins
 from tierwise.operators import totals as T
 from tierwise.plans import catalog
-from tierwise.schemas import INVOICE
 
 DIMS = ["legal_entity", "counter_party", "tier"]
 SF = "/root/testdata/sf0.001"
@@ -35,32 +34,6 @@ def scans(df) -> int:
     return len(re.findall(r"^\(\d+\) Scan parquet", formatted(df), flags=re.M))
 
 
-def test_whole_text_flat_cells_become_rows(spark, data_dir, invoices):
-    text = spark.read.text(str(data_dir / "invoices.csv"), wholetext=True)
-    names = [f.name for f in INVOICE.fields]
-    cells = reshape.records_from_cells(text, "value", names, skip=len(names), record_sep="\r\n|\r")
-    typed = cells.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in INVOICE.fields])
-    assert rows(typed) == rows(invoices)
-
-
-def test_chunks_keep_a_short_tail(spark):
-    df = spark.createDataFrame([("h1,h2\ra,1\rb,2\rc",)], "t string")
-    out = reshape.records_from_cells(df, "t", ["k", "v"], skip=2)
-    assert [tuple(r) for r in out.collect()] == [("a", "1"), ("b", "2"), ("c", None)]
-
-
-def test_read_flat_records_drops_headers(spark, data_dir, invoices):
-    out = reshape.read_flat_records(spark, str(data_dir / "invoices.csv"), INVOICE, record_sep="\r")
-    # The last record ends in CR LF, so its value text carries a trailing LF.
-    assert out.count() == len(INVOICE_ROWS)
-
-
-def test_reshape_record_to_key_value(spark, invoices):
-    kv = reshape.reshape_record(invoices, ["legal_entity", "status"], ["rating", "value"])
-    assert kv.columns == ["key", "value"]
-    assert kv.count() == 18
-
-
 def test_totals_after_join_is_one_scan_one_expand_one_shuffle(spark):
     df = catalog.totals_after_join(spark, SF)
     plan = plan_text(df)
@@ -219,21 +192,3 @@ def test_salted_left_join_keeps_unmatched_rows(spark):
     salted = joins.enrich(fact, dictionary, "k", "left", salt=8, hot_rows=500)
     assert rows(salted, ["id", "k", "w"]) == rows(plain, ["id", "k", "w"])
     assert salted.filter(F.col("w").isNull()).count() > 0
-
-
-def test_read_flat_records_cuts_long_records_into_rows(spark, tmp_path):
-    from conftest import INVOICE_HEADER
-
-    path = tmp_path / "flat.csv"
-    # The second record holds two rows' cells end to end, the third one row.
-    path.write_text("\r".join([INVOICE_HEADER, "1,L1,C1,1,ARAP,10,2,L2,C2,2,ARAP,20", "3,L3,C3,4,ACCR,30"]))
-    out = reshape.read_flat_records(spark, str(path), INVOICE, record_sep="\r")
-    assert sorted(tuple(r) for r in out.collect()) == [
-        (1, "L1", "C1", 1, "ARAP", 10), (2, "L2", "C2", 2, "ARAP", 20), (3, "L3", "C3", 4, "ACCR", 30)
-    ]
-
-
-def test_records_from_cells_keeps_carried_columns(spark):
-    df = spark.createDataFrame([("f1", "a,1\rb,2"), ("f2", "c,3")], "file string, t string")
-    out = reshape.records_from_cells(df, "t", ["k", "v"], keep=["file"])
-    assert sorted(tuple(r) for r in out.collect()) == [("f1", "a", "1"), ("f1", "b", "2"), ("f2", "c", "3")]
