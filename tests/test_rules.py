@@ -47,3 +47,14 @@ def test_explicit_broadcasts_only_behind_the_size_check():
             enclosing = re.findall(r"^def (\w+)", text[: m.start()], flags=re.M)
             hits.append((p.name, enclosing[-1] if enclosing else None))
     assert hits == [("joins.py", "checked_broadcast")]
+
+
+def test_api_reference_is_current(capsys):
+    import importlib.util
+
+    root = pathlib.Path(__file__).resolve().parent.parent
+    spec = importlib.util.spec_from_file_location("api_doc", root / "scripts" / "api_doc.py")
+    module = importlib.util.module_from_spec(spec)
+    spec.loader.exec_module(module)
+    module.main()
+    assert capsys.readouterr().out == (root / "docs" / "API.md").read_text(), "regenerate: python scripts/api_doc.py > docs/API.md"
