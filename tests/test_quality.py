@@ -113,3 +113,18 @@ def test_validated_totals_do_not_compute_positions(spark, data_dir, tiers):
     assert "Window" not in out._jdf.queryExecution().optimizedPlan().toString()
     grand = out.filter("legal_entity = 'Total' AND counter_party = 'Total' AND tier = 'Total'").first()
     assert (grand.sum_value_ARAP, grand.sum_value_ACCR) == (1250 + 65, 512 - 50 - 52 + 60)
+
+
+def test_domain_rules_are_optional_extra_checks(spark, data_dir):
+    raw = files.read_csv_tolerant(spark, str(data_dir / "invoices_dirty.csv"), INVOICE)
+    good = raw.filter(F.col(files.EXTRA).isNull()).drop(files.EXTRA)
+    rules = {"status": F.col("status").isin("ARAP", "ACCR"), "counter_party": F.col("counter_party").rlike("^C[0-9]+$")}
+    checked = quality.validate(quality.with_position(good), INVOICE, rules)
+    bad = sorted(rows(quality.invalid_rows(checked, ["position", "invoice_id"]), ["position", "first_reason"]))
+    # Structural faults as before, plus invoice 14's status 3 and invoice 19's counter party 2 (twice).
+    assert bad == [
+        (5, "missing value"), (14, quality.REASON_NOT_ALLOWED), (19, quality.REASON_NOT_ALLOWED),
+        (20, "not an integer"), (22, quality.REASON_NOT_ALLOWED), (23, "not an integer"), (24, "missing value"),
+    ]
+    with pytest.raises(ValueError):
+        quality.validate(good, INVOICE, {"nope": F.lit(True)})

@@ -34,6 +34,7 @@ REASON_MISSING_VALUE = "missing value"
 REASON_NOT_INTEGER = "not an integer"
 REASON_OUT_OF_RANGE = "integer out of range"
 REASON_MISSING_COLUMN = "missing column"
+REASON_NOT_ALLOWED = "not an allowed value"
 
 ERROR = T.StructType(
     [
@@ -72,30 +73,46 @@ def _is_integer_type(dt: T.DataType) -> bool:
     return isinstance(dt, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
 
 
-def _checked_fields(df: DataFrame, schema: T.StructType):
+def _checked_fields(df: DataFrame, schema: T.StructType, rules: dict | None = None):
     """(field, raw text column, reason expression) for every field with a rule."""
+    rules = rules or {}
+    unknown = [name for name in rules if name not in schema.fieldNames()]
+    if unknown:
+        raise ValueError(f"rules name fields outside the schema: {unknown}")
     out = []
     for field in schema.fields:
         if field.name not in df.columns:
             out.append((field.name, F.lit(None).cast("string"), F.lit(REASON_MISSING_COLUMN)))
-        elif _is_integer_type(field.dataType):
-            raw = F.col(field.name).cast("string")
-            out.append((field.name, raw, integer_reason(raw, field.dataType)))
+            continue
+        raw = F.col(field.name).cast("string")
+        if _is_integer_type(field.dataType):
+            reason = integer_reason(raw, field.dataType)
         elif not isinstance(field.dataType, T.StringType):
-            raw = F.col(field.name).cast("string")
-            out.append((field.name, raw, typed_reason(raw, field.dataType)))
+            reason = typed_reason(raw, field.dataType)
+        else:
+            reason = None
+        if field.name in rules:
+            # A domain rule is checked once the field's type is right; a null
+            # rule result (for example on a null value) counts as a failure.
+            broken = F.when(F.coalesce(rules[field.name], F.lit(False)), F.lit(None)).otherwise(F.lit(REASON_NOT_ALLOWED))
+            reason = broken if reason is None else F.coalesce(reason, broken)
+        if reason is not None:
+            out.append((field.name, raw, reason))
     return out
 
 
-def validate(df: DataFrame, schema: T.StructType) -> DataFrame:
+def validate(df: DataFrame, schema: T.StructType, rules: dict | None = None) -> DataFrame:
     """Attach ``valid``, ``first_reason`` and ``errors`` to every row of ``df``.
 
-    ``df`` holds the fields as text (see ``sources.read_csv_tolerant``). Each
+    ``df`` holds the fields as text (see ``sources.read_csv_tolerant``).
+    ``rules`` optionally maps a field name to a condition that must hold (a
+    domain set such as ``F.col("status").isin("ARAP", "ACCR")``); validation
+    stays structural without it. Each
     field's reason is computed once, as its own column; the flags and the
     error array are derived from those columns, so filtering on ``valid``
     never rebuilds the array for rows that pass.
     """
-    checked = _checked_fields(df, schema)
+    checked = _checked_fields(df, schema, rules)
     reason_cols = [f"_reason_{name}" for name, _, _ in checked]
     with_reasons = df.select("*", *[reason.alias(rc) for (_, _, reason), rc in zip(checked, reason_cols)])
     errors = [
