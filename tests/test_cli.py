@@ -147,3 +147,10 @@ def test_parquet_output(spark, data_dir):
         spark,
     )
     assert rows(spark.read.parquet(out)) == rows(cube)
+
+
+def test_validate_with_allowed_values(spark, data_dir):
+    out = cli.run(["validate", "--facts", str(data_dir / "invoices_dirty.csv"), "--allow", "status=ARAP,ACCR"], spark)
+    assert sorted(r.position for r in out.collect()) == [5, 14, 20, 23, 24]
+    with pytest.raises(SystemExit):
+        cli.run(["validate", "--facts", "x.csv", "--allow", "colour=red"], spark)

@@ -66,6 +66,16 @@ _REQUIRED = {
 }
 
 
+def _rules(p: argparse.ArgumentParser, allow: list[str]) -> dict:
+    rules = {}
+    for item in allow:
+        field, sep, values = item.partition("=")
+        if not sep or field not in INVOICE.fieldNames():
+            p.error(f"--allow expects FIELD=V1,V2 with a field of the invoice record, got {item!r}")
+        rules[field] = F.col(field).isin(*values.split(","))
+    return rules
+
+
 def _check_args(p: argparse.ArgumentParser, args) -> None:
     if args.command == "totals":
         if not args.partials and not (args.facts and args.dictionary):
@@ -92,6 +102,8 @@ def run(argv=None, spark: SparkSession | None = None) -> DataFrame:
     p.add_argument("--infer", action="store_true")
     p.add_argument("--validate", action="store_true", help="drop invalid fact rows before the totals")
     p.add_argument("--rejects", help="with --validate, also write the reject table here")
+    p.add_argument("--allow", action="append", default=[], metavar="FIELD=V1,V2",
+                   help="validation: the values a text field may take (repeatable)")
     p.add_argument("--out")
     p.add_argument("--mode", default="errorifexists")
     p.add_argument("--format", default="csv", choices=["csv", "parquet", "json"], help="format of --out")
@@ -119,15 +131,16 @@ def run(argv=None, spark: SparkSession | None = None) -> DataFrame:
         out = totals_from_partials(stored, dims, metrics, args.sets, args.label)
         _emit(out, args)
         return out
+    rules = _rules(p, args.allow)
     if args.command == "validate":
         raw = files.read_csv_tolerant(spark, args.facts, INVOICE)
         good = raw.filter(F.col(files.EXTRA).isNull()).drop(files.EXTRA)
-        checked = quality.validate(quality.with_position(good), INVOICE)
+        checked = quality.validate(quality.with_position(good), INVOICE, rules)
         out = quality.invalid_rows(checked, ["position", "invoice_id"])
     else:
         dictionary = _read_dictionary(spark, args)
         if args.validate:
-            facts, rejected, _ = validated_rows(spark, args.facts, INVOICE)
+            facts, rejected, _ = validated_rows(spark, args.facts, INVOICE, rules)
             if args.rejects:
                 sinks.write_csv(rejected, args.rejects, mode=args.mode)
         else:

@@ -49,8 +49,9 @@ def entity_summary(df: DataFrame) -> DataFrame:
     return group_metrics(df, ["legal_entity", "counter_party"], ENTITY_METRICS)
 
 
-def validated_rows(spark, path, schema) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Read delimited text tolerantly and validate it against ``schema``.
+def validated_rows(spark, path, schema, rules: dict | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Read delimited text tolerantly and validate it against ``schema`` (and
+    optional domain ``rules``, see ``operators.quality.validate``).
 
     Returns ``(typed valid rows, reject table, bad lines)``. The reject table
     has the row's file position, the failing column, its raw text and the
@@ -58,9 +59,9 @@ def validated_rows(spark, path, schema) -> tuple[DataFrame, DataFrame, DataFrame
     """
     raw = files.read_csv_tolerant(spark, path, schema)
     good, bad_lines = files.split_corrupt(raw)
-    valid = quality.valid_rows(quality.validate(good, schema), schema)
+    valid = quality.valid_rows(quality.validate(good, schema, rules), schema)
     # Only the reject table needs file positions (a second read of the file).
-    rejected = quality.rejects(quality.validate(quality.with_position(good), schema), ["position"])
+    rejected = quality.rejects(quality.validate(quality.with_position(good), schema, rules), ["position"])
     return valid, rejected, bad_lines
 
 
