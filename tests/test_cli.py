@@ -154,3 +154,11 @@ def test_validate_with_allowed_values(spark, data_dir):
     assert sorted(r.position for r in out.collect()) == [5, 14, 20, 23, 24]
     with pytest.raises(SystemExit):
         cli.run(["validate", "--facts", "x.csv", "--allow", "colour=red"], spark)
+
+
+def test_validate_writes_the_reject_table(spark, data_dir):
+    rejects = scratch_path(spark, "cli-validate-rejects")
+    cli.run(["validate", "--facts", str(data_dir / "invoices_dirty.csv"), "--rejects", rejects], spark)
+    table = spark.read.option("header", True).csv(rejects)
+    assert table.columns == ["position", "invoice_id", "column", "raw_value", "reason"]
+    assert sorted((int(r.position), r.column, r.reason) for r in table.collect())[1] == (20, "value", "not an integer")

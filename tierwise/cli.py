@@ -101,7 +101,7 @@ def run(argv=None, spark: SparkSession | None = None) -> DataFrame:
     p.add_argument("--statuses", default="ARAP,ACCR")
     p.add_argument("--infer", action="store_true")
     p.add_argument("--validate", action="store_true", help="drop invalid fact rows before the totals")
-    p.add_argument("--rejects", help="with --validate, also write the reject table here")
+    p.add_argument("--rejects", help="validate, or totals --validate: also write the reject table here")
     p.add_argument("--allow", action="append", default=[], metavar="FIELD=V1,V2",
                    help="validation: the values a text field may take (repeatable)")
     p.add_argument("--out")
@@ -136,6 +136,9 @@ def run(argv=None, spark: SparkSession | None = None) -> DataFrame:
         raw = files.read_csv_tolerant(spark, args.facts, INVOICE)
         good = raw.filter(F.col(files.EXTRA).isNull()).drop(files.EXTRA)
         checked = quality.validate(quality.with_position(good), INVOICE, rules)
+        if args.rejects:
+            # One row per failing field: position, invoice id, column, raw value, reason.
+            sinks.write_csv(quality.rejects(checked, ["position", "invoice_id"]), args.rejects, mode=args.mode)
         out = quality.invalid_rows(checked, ["position", "invoice_id"])
     else:
         dictionary = _read_dictionary(spark, args)
