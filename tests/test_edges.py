@@ -259,3 +259,10 @@ def test_totals_maintained_from_appended_partials(spark):
 def test_partials_refuse_metrics_that_need_both_tables(edge_fact, edge_dict):
     with pytest.raises(ValueError):
         T.partial_totals(edge_fact, edge_dict, "counter_party", DIMS, [sum_if("value", F.col("tier") > 1, "x")])
+
+
+def test_metrics_over_expressions_need_names(edge_fact):
+    with pytest.raises(ValueError):
+        max_of(F.col("value") * 2)
+    doubled = T.group_metrics(edge_fact, ["legal_entity"], [sum_of(F.col("value") * 2, "double_value")])
+    assert {r.legal_entity: r.double_value for r in doubled.collect()}["L1"] == 30

@@ -94,24 +94,32 @@ class Metric:
         return agg.alias(self.name)
 
 
+def _name(prefix: str, source, name: str | None) -> str:
+    if name:
+        return name
+    if not isinstance(source, str):
+        raise ValueError("a metric over a column expression needs a name")
+    return f"{prefix}_{source}"
+
+
 def max_of(source, name: str | None = None) -> Metric:
     """Largest value of ``source``; named ``max_<source>`` unless ``name`` is given."""
-    return Metric(name or f"max_{source}", "max", source)
+    return Metric(_name("max", source, name), "max", source)
 
 
 def min_of(source, name: str | None = None) -> Metric:
     """Smallest value of ``source``; named ``min_<source>`` unless ``name`` is given."""
-    return Metric(name or f"min_{source}", "min", source)
+    return Metric(_name("min", source, name), "min", source)
 
 
 def sum_of(source, name: str | None = None) -> Metric:
     """Sum of ``source`` (null when every value is null); named ``sum_<source>`` by default."""
-    return Metric(name or f"sum_{source}", "sum", source)
+    return Metric(_name("sum", source, name), "sum", source)
 
 
 def count_of(source, name: str | None = None) -> Metric:
     """Non-null count of a column."""
-    return Metric(name or f"count_{source}", "count", source)
+    return Metric(_name("count", source, name), "count", source)
 
 
 def count_rows(name: str = "n_rows") -> Metric:
