@@ -192,3 +192,14 @@ def test_salted_left_join_keeps_unmatched_rows(spark):
     salted = joins.enrich(fact, dictionary, "k", "left", salt=8, hot_rows=500)
     assert rows(salted, ["id", "k", "w"]) == rows(plain, ["id", "k", "w"])
     assert salted.filter(F.col("w").isNull()).count() > 0
+
+
+def test_hot_fraction_bounds_the_hot_keys(spark):
+    fact = spark.range(0, 3000).select(
+        F.col("id"), F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 50).alias("k")
+    )
+    dictionary = spark.range(0, 50).select(F.col("id").alias("k"), (F.col("id") * 10).alias("w"))
+    plain = joins.enrich(fact, dictionary, "k")
+    # Only key 0 holds a third of the rows; every other key holds about 1.3%.
+    salted = joins.enrich(fact, dictionary, "k", salt=8, hot_fraction=0.2)
+    assert rows(salted, ["id", "k", "w"]) == rows(plain, ["id", "k", "w"])

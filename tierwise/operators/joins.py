@@ -9,7 +9,8 @@ dictionary exceeds either bound. ``False`` never broadcasts.
 
 Skew: with a shuffle join, one key may hold a large share of the fact rows.
 AQE's skew-join handling splits such partitions by itself; ``salt`` makes it
-explicit: keys with at least ``hot_rows`` fact rows are found exactly by an
+explicit: keys with at least ``hot_rows`` fact rows (or ``hot_fraction`` of
+all fact rows, which bounds their number by 1 / hot_fraction) are found exactly by an
 aggregate (stored once in the shared checkpoint folder and broadcast only
 below a checked size), their fact rows are spread over ``salt`` buckets by a
 hash of the row, and only those keys' dictionary rows are copied into every
@@ -18,6 +19,7 @@ bucket.
 
 from __future__ import annotations
 
+import math
 from typing import Sequence
 
 from pyspark.sql import DataFrame
@@ -101,6 +103,7 @@ def enrich(
     salt: int = 0,
     hot_rows: int = 1_000_000,
     max_hot_keys: int | None = None,
+    hot_fraction: float | None = None,
 ) -> DataFrame:
     """Equi-join ``fact`` with ``dictionary`` on shared key names.
 
@@ -118,7 +121,7 @@ def enrich(
         if how not in ("inner", "left", "left_outer"):
             raise ValueError("salting is implemented for inner and left joins")
         return _salted_join(
-            fact, dictionary, keys, salt, hot_rows, max_hot_keys or DEFAULT_MAX_HOT_KEYS, null_safe, how
+            fact, dictionary, keys, salt, hot_rows, max_hot_keys or DEFAULT_MAX_HOT_KEYS, null_safe, how, hot_fraction
         )
     right = _prepare(dictionary, broadcast, max_broadcast_rows)
     if not null_safe:
@@ -274,6 +277,7 @@ def _null_safe_keys(df: DataFrame, keys: list[str]) -> tuple[DataFrame, list[str
 def _salted_join(
     fact: DataFrame, dictionary: DataFrame, keys: list[str], buckets: int, hot_rows: int,
     max_hot_keys: int = DEFAULT_MAX_HOT_KEYS, null_safe: bool = False, how: str = "inner",
+    hot_fraction: float | None = None,
 ) -> DataFrame:
     from .reuse import materialize
 
@@ -285,6 +289,11 @@ def _salted_join(
         dictionary = dictionary.drop(*keys)
     else:
         join_keys = list(keys)
+    if hot_fraction is not None:
+        # Hot means holding at least this share of all fact rows, which also
+        # bounds the hot-key table: at most 1 / hot_fraction keys qualify.
+        hot_rows = max(1, math.ceil(hot_fraction * fact.count()))
+        max_hot_keys = min(max_hot_keys, math.floor(1 / hot_fraction))
     # The hot-key table is computed once and kept in the shared checkpoint
     # folder, then broadcast only after its size is checked, so tagging hot
     # rows never shuffles the fact.
