@@ -183,36 +183,49 @@ def totals_from_batches(spark, sf_dir):
     return totals.totals_from_partials(totals.compact_partials(stored, metrics), DIMS, metrics, "cube", "total")
 
 
-# How many files the invoices arrive in for the streamed totals,
-# and how long the stream may take to process them.
-STREAM_FILES = 4
+# The rating bounds that split invoices into arrivals (every row
+# falls in exactly one), and how long each stream run may take.
+ARRIVAL_BOUNDS = (2, 4, 6)
 STREAM_TIMEOUT_SEC = 1800
 
 
+def _arrivals(rating):
+    lows = (None,) + ARRIVAL_BOUNDS
+    highs = ARRIVAL_BOUNDS + (None,)
+    out = []
+    for lo, hi in zip(lows, highs):
+        cond = F.lit(True)
+        if lo is not None:
+            cond = cond & (rating > lo)
+        if hi is not None:
+            cond = cond & (rating <= hi)
+        out.append(cond if hi is not None else cond | rating.isNull())
+    return out
+
+
 def totals_streamed(spark, sf_dir):
     """The Total-labelled cube kept by a stream: invoices arrive as files in a
-    folder, one file per micro-batch; each batch's partial rows are stored,
-    and the totals are rolled up from the stored table."""
+    folder in four arrivals; after each one the stream runs on the same
+    checkpoint and turns only the new files into stored partial rows; the
+    totals are rolled up from the stored table."""
     from ..streaming import read_partials, stream_partials
 
     incoming = scratch_path(spark, "incoming-invoices")
-    invoices = inv.invoices(spark, sf_dir)
-    invoices.repartition(STREAM_FILES).write.option("header", True).csv(incoming)
-    facts = (
-        spark.readStream.schema(invoices.schema)
-        .option("header", True)
-        .option("maxFilesPerTrigger", 1)
-        .csv(incoming)
-    )
     partials_path = scratch_path(spark, "streamed-partials")
-    metrics = invoice_metrics()
-    tiers = inv.tiers(spark, sf_dir)
-    query = stream_partials(facts, tiers, "counter_party", DIMS, metrics, partials_path, available_now=True)
-    if not query.awaitTermination(STREAM_TIMEOUT_SEC):
-        query.stop()
-        raise RuntimeError(f"streamed totals did not finish within {STREAM_TIMEOUT_SEC} s")
-    if query.exception() is not None:
-        raise RuntimeError(f"streamed totals failed: {query.exception()}")
+    checkpoint = scratch_path(spark, "streamed-checkpoint")
+    invoices, tiers, metrics = inv.invoices(spark, sf_dir), inv.tiers(spark, sf_dir), invoice_metrics()
+    for arrival in _arrivals(F.col("rating")):
+        # Each arrival keeps the input's partitioning: no task holds more than its split.
+        invoices.filter(arrival).write.mode("append").option("header", True).csv(incoming)
+        facts = spark.readStream.schema(invoices.schema).option("header", True).csv(incoming)
+        query = stream_partials(
+            facts, tiers, "counter_party", DIMS, metrics, partials_path, checkpoint=checkpoint, available_now=True
+        )
+        if not query.awaitTermination(STREAM_TIMEOUT_SEC):
+            query.stop()
+            raise RuntimeError(f"streamed totals did not finish within {STREAM_TIMEOUT_SEC} s")
+        if query.exception() is not None:
+            raise RuntimeError(f"streamed totals failed: {query.exception()}")
     return totals.totals_from_partials(read_partials(spark, partials_path), DIMS, metrics, "cube", "total")
 
 
