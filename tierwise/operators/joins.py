@@ -293,7 +293,8 @@ def _salted_join(
         # Hot means holding at least this share of all fact rows, which also
         # bounds the hot-key table: at most 1 / hot_fraction keys qualify.
         hot_rows = max(1, math.ceil(hot_fraction * fact.count()))
-        max_hot_keys = min(max_hot_keys, math.floor(1 / hot_fraction))
+        # (an epsilon keeps float rounding from cutting the bound one short)
+        max_hot_keys = min(max_hot_keys, math.floor(1 / hot_fraction + 1e-9))
     # The hot-key table is computed once and kept in the shared checkpoint
     # folder, then broadcast only after its size is checked, so tagging hot
     # rows never shuffles the fact.
