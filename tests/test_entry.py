@@ -71,3 +71,20 @@ def test_recorded_figures_at_sf001(spark):
     grand = cube.filter("legal_entity = 'Total' AND counter_party = 'Total' AND tier = 'Total'").collect()
     assert [(r.max_rating, r.sum_value_ARAP, r.sum_value_ACCR) for r in grand] == [(7, 243707, 241620)]
     assert cube.count() == 351
+
+
+def test_bench_prints_one_json_line():
+    import json
+    import os
+    import subprocess
+    import sys
+
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = dict(os.environ, BENCH_SF_DIR=SF, BENCH_ROUNDS="1", BENCH_CPUS="2")
+    done = subprocess.run([sys.executable, "bench.py"], cwd=repo, env=env, capture_output=True, text=True, timeout=900)
+    assert done.returncode == 0, done.stderr[-2000:]
+    lines = [line for line in done.stdout.splitlines() if line.strip()]
+    assert len(lines) == 1
+    result = json.loads(lines[0])
+    assert {"metric", "value", "unit", "queries", "sf"} <= set(result)
+    assert result["unit"] == "sec" and result["value"] > 0 and "failed" not in result
