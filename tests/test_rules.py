@@ -7,7 +7,10 @@ import re
 
 import pytest
 
-SOURCE = sorted((pathlib.Path(__file__).resolve().parent.parent / "tierwise").rglob("*.py"))
+# The reference's own operators; the training-data subpackage has its own rules.
+SOURCE = [
+    p for p in sorted((pathlib.Path(__file__).resolve().parent.parent / "tierwise").rglob("*.py")) if "llm" not in p.parts
+]
 
 
 @pytest.mark.parametrize(
@@ -31,11 +34,11 @@ def test_coverage_document_is_current():
     defined = {m for p in (root / "tests").glob("test_*.py") for m in re.findall(r"def (test_[a-z0-9_]+)", p.read_text())}
     cited = set(re.findall(r"`(test_[a-z0-9_]+)`", doc))
     assert cited <= defined, f"coverage cites missing tests: {sorted(cited - defined)}"
-    import __spark_entry__ as entry
+    from tierwise.plans import catalog
 
     named = set(re.findall(r"`([a-z_]+)`", doc))
     patterns = [n[:-1] for n in re.findall(r"`([a-z_]+\*)`", doc)]
-    uncited = [q for q in entry.queries() if q not in named and not any(q.startswith(p) for p in patterns)]
+    uncited = [q for q in catalog.QUERIES if q not in named and not any(q.startswith(p) for p in patterns)]
     assert not uncited, f"coverage does not cite registered queries: {uncited}"
 
 

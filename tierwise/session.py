@@ -83,3 +83,20 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path below the shared checkpoint folder."""
     base = checkpoint_dir(spark)
     return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def drop_at_exit(spark: SparkSession, path: str) -> None:
+    """Have the session's file system delete ``path`` when the application ends."""
+    jvm = spark._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)
+
+
+def store(spark: SparkSession, df, name: str):
+    """``df`` written once to a fresh folder below the shared checkpoint folder and
+    read back: cuts the lineage with files any executor can read, and the folder
+    goes when the application ends."""
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    drop_at_exit(spark, path)
+    return spark.read.schema(df.schema).parquet(path)
