@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing, simhash, token_files
+from . import neighbours, packing, pii, repeats, simhash, token_files
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,12 +22,30 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.round_trip(_table(spark, sf_dir, "documents"), end_id=2)
 
 
+def op5_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of repeated 400-byte strings removed from every document."""
+    return repeats.remove_repeats(_table(spark, sf_dir, "documents"), length=400)
+
+
+def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Seed and bootstrapped spans of personal data in every document."""
+    return pii.digest(pii.find_personal_data(_table(spark, sf_dir, "documents")))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash near-duplicate components of 3-word shingles at 2 bits."""
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
 
 
-QUERIES = {f.__name__: f for f in (op2_best_fit_packing, op4_token_files, op8_simhash)}
+def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest vectors of every vector whose id is divisible by 50."""
+    return neighbours.nearest_neighbours(_table(spark, sf_dir, "embeddings"), query_every=50, top=5)
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (op2_best_fit_packing, op4_token_files, op5_repeated_strings, op7_personal_data, op8_simhash, op10_nearest_neighbours)
+}
 
 # None of these is expressible in the SQL of the check: tests compare them with brute force.
 ORACLE_SQL: dict[str, str] = {}
