@@ -5,18 +5,28 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import neighbours, packing, pii, repeats, simhash, token_files
+from . import decontaminate, neighbours, packing, pii, quality, repeats, secret_scan, simhash, token_files, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity scores of all documents, learnt from the labels outside the held-out fold."""
+    return toxicity.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents packed into sequences of 2048 tokens, a row per piece."""
     return packing.pack(_table(spark, sf_dir, "documents"), capacity=2048, end_id=0)
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Occurrences of benchmark items in all documents, up to 5 percent of edits."""
+    return decontaminate.find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids written as patched frame-of-reference segments and read back."""
     return token_files.round_trip(_table(spark, sf_dir, "documents"), end_id=2)
@@ -27,6 +37,11 @@ def op5_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove_repeats(_table(spark, sf_dir, "documents"), length=400)
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality scores and decisions for all documents, learnt without labels."""
+    return quality.classify(_table(spark, sf_dir, "documents"))
+
+
 def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Seed and bootstrapped spans of personal data in every document."""
     return pii.digest(pii.find_personal_data(_table(spark, sf_dir, "documents")))
@@ -37,6 +52,11 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
 
 
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in all documents after the forest's false-positive removal."""
+    return secret_scan.scan(_table(spark, sf_dir, "documents"))
+
+
 def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five nearest vectors of every vector whose id is divisible by 50."""
     return neighbours.nearest_neighbours(_table(spark, sf_dir, "embeddings"), query_every=50, top=5)
@@ -44,7 +64,10 @@ def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op2_best_fit_packing, op4_token_files, op5_repeated_strings, op7_personal_data, op8_simhash, op10_nearest_neighbours)
+    for f in (
+        op1_toxicity, op2_best_fit_packing, op3_decontamination, op4_token_files, op5_repeated_strings, op6_quality,
+        op7_personal_data, op8_simhash, op9_secrets, op10_nearest_neighbours,
+    )
 }
 
 # None of these is expressible in the SQL of the check: tests compare them with brute force.
