@@ -1,0 +1,54 @@
+from __future__ import annotations
+
+import re
+
+import corpus_pipeline
+from helpers import documents, empty, messy
+
+import __spark_entry__ as entry
+from tierwise.llm import decontaminate as dc
+from tierwise.llm import packing, quality, queries, simhash
+
+SF = "/root/testdata/sf0.01"
+
+
+def test_stages_take_effect_and_clean_documents_stay(spark):
+    docs = documents(spark, SF)
+    bench = spark.read.parquet(f"{SF}/benchmark.parquet")
+    out = docs
+    kept = []
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, out, SF)
+        assert out.columns == docs.columns and out.dtypes == docs.dtypes
+        rows = out.collect()
+        kept.append({r.doc_id: r.text for r in rows})
+        out = spark.createDataFrame(rows, docs.schema)
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    good = {r.doc_id for r in quality.classify(docs).collect() if r.keep}
+    assert set(kept[0]) == good
+    first = spark.createDataFrame([(i, t) for i, t in kept[0].items()], "doc_id long, text string")
+    assert set(kept[1]) == {r.component_id for r in simhash.near_duplicates(first).collect()}
+    items = [dc.normal(r.text) for r in bench.collect()]
+    assert set(kept[2]) == {i for i, t in kept[1].items() if not any(x in dc.normal(t) for x in items)}
+    assert set(kept[3]) == set(kept[2])
+    assert not any(re.search(r'token = "[0-9a-f]{40}"', t) for t in kept[3].values())
+    assert all(t == texts[i] or "[SECRET]" in t for i, t in kept[3].items())
+    packed = corpus_pipeline.STAGES[-1][1](spark, out, SF).collect()
+    assert {r.doc_id for r in packed} == set(kept[3])
+    assert len({r.sequence_id for r in packed}) <= sum(r.length for r in packed) / 2048 * 1.02 + 1
+    ran = corpus_pipeline.run(spark, SF).collect()
+    place = lambda rows: sorted((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in rows)
+    assert place(ran) == place(packed)
+
+
+def test_stages_take_messy_and_empty_documents(spark):
+    for docs in (messy(spark), empty(spark)):
+        out = docs
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            out = spark.createDataFrame(stage(spark, out, SF).collect(), docs.schema)
+        assert corpus_pipeline.STAGES[-1][1](spark, out, SF).count() >= 0
+
+
+def test_registered(spark):
+    assert [q for q in entry.queries() if q.startswith("op")] == list(queries.QUERIES) and "pipeline" in entry.queries()
+    assert len(queries.QUERIES) == 10 and packing.PIECES

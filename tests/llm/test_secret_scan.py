@@ -1,0 +1,67 @@
+from __future__ import annotations
+
+import re
+
+import pytest
+from helpers import TEXTS, documents, empty, messy
+
+from tierwise.llm import secret_scan
+
+
+@pytest.fixture(scope="module")
+def scanned(spark):
+    rows = [
+        (1, 'token = "04dbebab91ab85687d33eeaaf9ac699e1188f962" here'), (2, "merged commit 2fd4e1c67a2d28fced849ee1bb76e7391b93eb12 today"),
+        (3, "export AUTH_TOKEN=ghp_16C7e42F292c6912E7710c838347Ae178B4a\n"), (4, "see /usr/lib/python3/site_packages_17/index.html please"),
+        (5, 'token = "example-token-1"'), (6, "order number 2023104228446355556 shipped"), (7, "uuid 8b2be900-6461-2be7-519a-34507ef67db8"),
+        (8, 'é😀 token = "cb1a9fee807a05366fcb8b6c95c7c565ede51a72"*** and token = "f3ef4d6b2755a36d7d9c25bd72c4d5f67e061fda"'),
+        (9, "plain words only, of the usual kind"), (10, None), (11, ""), (12, "a1" * 40_000),
+    ]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    return rows, {r.doc_id: r for r in secret_scan.scan(df).collect()}, {r.doc_id: r.text for r in secret_scan.redact(df).collect()}
+
+
+def test_secrets_found_and_false_positives_removed(scanned):
+    rows, found, _ = scanned
+    texts = dict(rows)
+    cut = lambda i: [texts[i][int(a) : int(b)] for a, b in (p.split(":") for p in found[i].secrets.split(",") if p)]
+    assert cut(1) == ["04dbebab91ab85687d33eeaaf9ac699e1188f962"] and cut(3) == ["ghp_16C7e42F292c6912E7710c838347Ae178B4a"]
+    assert cut(8) == ["cb1a9fee807a05366fcb8b6c95c7c565ede51a72", "f3ef4d6b2755a36d7d9c25bd72c4d5f67e061fda"]
+    assert [i for i in (2, 4, 5, 6, 7, 9, 10, 11) if found[i].n_secrets] == []
+    assert all(found[i].n_candidates for i in (2, 4, 5, 6, 7))
+
+
+def test_redaction_takes_the_secrets_and_nothing_else(scanned):
+    rows, found, redacted = scanned
+    for i, text in rows:
+        if not found[i].n_secrets:
+            assert redacted[i] == text
+    assert redacted[1] == 'token = "[SECRET]" here'
+    assert redacted[8] == 'é😀 token = "[SECRET]"*** and token = "[SECRET]"'
+
+
+def test_forest_on_held_out_findings(spark):
+    findings = secret_scan.labelled_findings(spark, 2720)
+    forest = secret_scan.fit_forest(findings.where("xxhash64(text) % 4 != 0"))
+    held = secret_scan.with_candidates(findings.where("xxhash64(text) % 4 = 0"), "text", "found").selectExpr("label", "explode(found) AS c")
+    right = held.selectExpr(f"CAST(({forest}) >= 0.5 AS int) = label AS right")
+    assert right.where("right").count() >= 0.95 * right.count()
+
+
+def test_documents_planted_tokens(spark):
+    docs = documents(spark, "/root/testdata/sf0.01")
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    planted = {i for i, t in texts.items() if re.search(r'(?i)token = "[0-9a-f]{40}"', t or "")}
+    found = {r.doc_id for r in secret_scan.scan(docs).where("n_secrets > 0").collect()}
+    assert planted and planted == found
+
+
+def test_messy_rows(spark):
+    docs = messy(spark)
+    assert secret_scan.scan(docs).count() == len(TEXTS)
+    kept = secret_scan.redact(docs)
+    assert kept.columns == docs.columns and kept.dtypes == docs.dtypes
+    assert sorted(map(str, kept.collect())) == sorted(map(str, docs.collect()))  # no secrets in there
+    assert secret_scan.scan(empty(spark)).collect() == [] and secret_scan.redact(empty(spark)).collect() == []
+    plan = secret_scan.scan(docs)._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
