@@ -3,18 +3,20 @@
 Broadcasting: a dictionary is broadcast only behind a size check. ``"auto"``
 leaves the choice to Catalyst's size estimate and to AQE, which measures the
 shuffled dictionary at run time before turning a shuffle join into a broadcast
-join. ``True`` first measures rows and data bytes with one bounded job
-(over ``limit(max_rows + 1)``) and falls back to a shuffle join when the
-dictionary exceeds either bound. ``False`` never broadcasts.
+join. ``True`` first measures rows and data bytes with one aggregate and falls
+back to a shuffle join when the dictionary exceeds either bound. ``False``
+never broadcasts.
 
 Skew: with a shuffle join, one key may hold a large share of the fact rows.
 AQE's skew-join handling splits such partitions by itself; ``salt`` makes it
-explicit: keys with at least ``hot_rows`` fact rows (or ``hot_fraction`` of
-all fact rows, which bounds their number by 1 / hot_fraction) are found exactly by an
-aggregate (stored once in the shared checkpoint folder and broadcast only
-below a checked size), their fact rows are spread over ``salt`` buckets by a
-hash of the row, and only those keys' dictionary rows are copied into every
-bucket.
+explicit. A dictionary that passes the size check is broadcast, which needs no
+salt. Otherwise one aggregate counts the fact rows per key (stored once in the
+shared checkpoint folder); keys with at least ``hot_rows`` rows (or
+``hot_fraction`` of all rows) are hot, and the bound rises by itself so that
+never more than ``max_hot_keys`` keys are. The hot keys' fact rows are spread
+over ``salt`` buckets by a hash of the row, and only those keys' dictionary rows
+are copied into every bucket. Rows whose key is null and cannot match stay out
+of the shuffle.
 """
 
 from __future__ import annotations
@@ -52,15 +54,13 @@ def _value_bytes(field: T.StructField):
     return F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0))  # nested values, by their JSON size
 
 
-def measure(df: DataFrame, max_rows: int) -> tuple[int, int]:
-    """``(rows, data bytes)`` of ``df``, reading at most ``max_rows + 1`` rows per
-    input partition: one bounded job."""
+def measure(df: DataFrame) -> tuple[int, int]:
+    """``(rows, data bytes)`` of ``df``: one aggregate, one row per task to the driver."""
     width = None
     for field in df.schema.fields:
         w = _value_bytes(field)
         width = w if width is None else width + w
-    sized = df.limit(max_rows + 1)
-    row = sized.agg(
+    row = df.agg(
         F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(width if width is not None else F.lit(0)), F.lit(0)).alias("b")
     ).first()
     return int(row["n"]), int(row["b"])
@@ -68,7 +68,7 @@ def measure(df: DataFrame, max_rows: int) -> tuple[int, int]:
 
 def fits(df: DataFrame, max_rows: int, max_bytes: int | None = None) -> bool:
     """True when ``df`` has at most ``max_rows`` rows and ``max_bytes`` bytes of data."""
-    n, size = measure(df, max_rows)
+    n, size = measure(df)
     return n <= max_rows and (max_bytes is None or size <= max_bytes)
 
 
@@ -120,9 +120,12 @@ def enrich(
     if salt and salt > 1:
         if how not in ("inner", "left", "left_outer"):
             raise ValueError("salting is implemented for inner and left joins")
-        return _salted_join(
-            fact, dictionary, keys, salt, hot_rows, max_hot_keys or DEFAULT_MAX_HOT_KEYS, null_safe, how, hot_fraction
-        )
+        fitted, small = checked_broadcast(dictionary, max_broadcast_rows) if broadcast is not False else (dictionary, False)
+        if not small:
+            return _salted_join(
+                fact, dictionary, keys, salt, hot_rows, max_hot_keys or DEFAULT_MAX_HOT_KEYS, null_safe, how, hot_fraction
+            )
+        dictionary, broadcast = fitted, "auto"
     right = _prepare(dictionary, broadcast, max_broadcast_rows)
     if not null_safe:
         return fact.join(right, keys, how)
@@ -166,36 +169,40 @@ def missing_keys(fact: DataFrame, dictionary: DataFrame, on, null_safe: bool = F
 
 
 class MissingKeyError(ValueError):
-    pass
+    """Names some missing keys; ``missing_keys`` is the DataFrame of all of them."""
+
+    def __init__(self, message: str, missing: DataFrame | None = None):
+        super().__init__(message)
+        self.missing_keys = missing
 
 
 def require_keys(fact: DataFrame, dictionary: DataFrame, on, null_safe: bool = False, show: int = 10) -> None:
-    """Raise ``MissingKeyError`` naming up to ``show`` fact keys the dictionary lacks."""
-    sample = missing_keys(fact, dictionary, on, null_safe).limit(show).collect()
+    """Raise ``MissingKeyError`` naming up to ``show`` fact keys the dictionary lacks;
+    its ``missing_keys`` holds them all."""
+    missing = missing_keys(fact, dictionary, on, null_safe)
+    sample = missing.limit(show).collect()
     if sample:
-        raise MissingKeyError(f"dictionary lacks keys for fact rows, e.g. {[tuple(r) for r in sample]}")
+        raise MissingKeyError(f"dictionary lacks keys for fact rows, e.g. {[tuple(r) for r in sample]}", missing)
 
 
 def first_by(dictionary: DataFrame, on, order_by: Sequence[str] | str) -> DataFrame:
-    """One dictionary row per key: the row with the smallest ``order_by`` values.
+    """One dictionary row per key: the row with the smallest ``order_by`` values, nulls last.
 
     Ties on ``order_by`` are broken by the remaining columns, so the choice is
-    deterministic. Runs as a hash aggregate of ``min(struct(...))``: map tasks
-    keep one candidate per key before the shuffle, so a key with a huge number
-    of duplicates is reduced where it is read, not in one reduce task.
+    deterministic. Runs as a partial and final aggregate of ``min(struct(...))``
+    (Spark plans it as a sort aggregate, which spills): map tasks keep one
+    candidate per key before the shuffle, so a key with a huge number of
+    duplicates is reduced where it is read, not in one reduce task.
     """
     keys = _keys(on)
     order = [order_by] if isinstance(order_by, str) else list(order_by)
     if set(order) & set(keys):
         raise ValueError("order_by must name columns other than the key: within a key the key is constant")
     rest = [c for c in dictionary.columns if c not in keys and c not in order]
-    ordered = [F.col(c).alias(f"__o{i}") for i, c in enumerate(order)]
-    best = dictionary.groupBy(*keys).agg(F.min(F.struct(*ordered, *[F.col(c) for c in rest])).alias("__best"))
-    return best.select(
-        *keys,
-        *[F.col(f"__best.__o{i}").alias(c) for i, c in enumerate(order)],
-        *[F.col(f"__best.{c}").alias(c) for c in rest],
-    ).select(*dictionary.columns)
+    # A flag before each value puts nulls last, as SQL's default order does.
+    ranked = [p for c in order + rest for p in (F.col(c).isNull().alias(f"__n_{c}"), F.col(c))]
+    best = dictionary.groupBy(*keys).agg(F.min(F.struct(*ranked)).alias("__best"))
+    return best.select(*keys, *[F.col(f"__best.{c}").alias(c) for c in order + rest]).select(*dictionary.columns)
 
 
 def lookup(
@@ -250,7 +257,8 @@ def hot_keys(fact: DataFrame, on, hot_rows: int) -> DataFrame:
     return fact.groupBy(*keys).count().filter(F.col("count") >= hot_rows).select(*keys)
 
 
-# Largest number of hot keys the salted join will broadcast back into the scans.
+# Most hot keys the salted join broadcasts back into the scans; the bound on rows
+# rises until no more keys than that are hot.
 DEFAULT_MAX_HOT_KEYS = 100_000
 
 
@@ -282,6 +290,7 @@ def _salted_join(
     from .reuse import materialize
 
     fact_cols, dict_rest = list(fact.columns), [c for c in dictionary.columns if c not in keys]
+    unmatched = None
     if null_safe:
         # A null key is a key like any other here, hot or not.
         fact, join_keys = _null_safe_keys(fact, keys)
@@ -289,19 +298,22 @@ def _salted_join(
         dictionary = dictionary.drop(*keys)
     else:
         join_keys = list(keys)
-    if hot_fraction is not None:
-        # Hot means holding at least this share of all fact rows, which also
-        # bounds the hot-key table: at most 1 / hot_fraction keys qualify.
-        hot_rows = max(1, math.ceil(hot_fraction * fact.count()))
-        # (an epsilon keeps float rounding from cutting the bound one short)
-        max_hot_keys = min(max_hot_keys, math.floor(1 / hot_fraction + 1e-9))
-    # The hot-key table is computed once and kept in the shared checkpoint
-    # folder, then broadcast only after its size is checked, so tagging hot
-    # rows never shuffles the fact.
-    hot = materialize(hot_keys(fact, join_keys, hot_rows).withColumn("__hot", F.lit(True)), "checkpoint")
-    hot, small = checked_broadcast(hot, max_hot_keys)
-    if not small:
-        raise ValueError(f"more than {max_hot_keys} keys have {hot_rows}+ rows; raise hot_rows")
+        whole = F.lit(True)
+        for k in keys:
+            whole = whole & F.col(k).isNotNull()
+        if how != "inner":
+            # A null key matches nothing: its rows need no shuffle.
+            unmatched = fact.filter(~whole)
+        fact, dictionary = fact.filter(whole), dictionary.filter(whole)
+    # One pass over the fact: rows per key, stored once, give the total and the
+    # hot keys. Hot means ``hot_rows`` rows or ``hot_fraction`` of all; as all
+    # hot keys' rows together are no more than the total, at most
+    # total / bound keys are hot, and the bound is raised to keep that in limits.
+    counts = materialize(fact.groupBy(*join_keys).count(), "checkpoint")
+    total = counts.agg(F.coalesce(F.sum("count"), F.lit(0))).first()[0]
+    bound = hot_rows if hot_fraction is None else max(1, math.ceil(hot_fraction * total))
+    bound = max(bound, -(-total // max_hot_keys))
+    hot = F.broadcast(counts.filter(F.col("count") >= bound).select(*join_keys, F.lit(True).alias("__hot")))
     tagged = fact.join(hot, join_keys, "left")
     # The bucket comes from a hash of the whole row, so a recomputed task puts
     # every row back into the same bucket.
@@ -322,4 +334,9 @@ def _salted_join(
     # Each fact row meets one copy of each matching dictionary row, in its own
     # bucket; a left join keeps the rows that meet none.
     joined = salted_fact.join(salted_dict, join_keys + ["__salt"], how)
-    return joined.select(*keys, *[c for c in fact_cols if c not in keys], *dict_rest)
+    out = joined.select(*keys, *[c for c in fact_cols if c not in keys], *dict_rest)
+    if unmatched is None:
+        return out
+    types = {f.name: f.dataType for f in dictionary.schema.fields}
+    empty = [F.lit(None).cast(types[c]).alias(c) for c in dict_rest]
+    return out.unionByName(unmatched.select(*keys, *[c for c in fact_cols if c not in keys], *empty))
