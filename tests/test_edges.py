@@ -7,9 +7,10 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from tierwise.functions.metrics import count_rows, invoice_metrics, max_of, metric_set, sum_if, sum_of
+from tierwise.functions.metrics import count_of, count_rows, invoice_metrics, max_of, metric_set, sum_if, sum_of
 from tierwise.operators import joins
 from tierwise.operators import totals as T
+from tierwise.operators.joins import enrich
 
 DIMS = ["legal_entity", "counter_party", "tier"]
 FACT = "invoice_id long, legal_entity string, counter_party string, rating long, status string, value long"
@@ -141,9 +142,37 @@ def test_preaggregated_equals_direct_with_nulls(edge_fact, edge_dict):
         assert rows(direct) == rows(pre)
 
 
-def test_cube_over_too_many_dimensions_must_be_listed():
-    with pytest.raises(ValueError):
-        T.grouping_sets([f"d{i}" for i in range(T.MAX_CUBE_DIMS + 1)], "cube")
+def test_cube_over_seven_dimensions(spark):
+    dims = [f"d{i}" for i in range(7)]
+    df = spark.range(4).select(*[(F.col("id") % 2).alias(d) for d in dims], F.col("id").alias("v"))
+    assert T.totals(df, dims, [sum_of("v")], "cube", "total").count() == 1 + 2 * (2**7 - 1)
+
+
+@pytest.mark.parametrize("label", ["count", "total", "null"])
+def test_grand_total_of_no_rows(spark, label):
+    df = spark.createDataFrame([], "a string, b string, v long")
+    metrics = [max_of("v"), sum_of("v"), count_rows("n")]
+    rows_out = T.totals(df, ["a", "b"], metrics, "cube", label, grouping_id="g").collect()
+    shown = {"count": "0", "total": "Total", "null": None}[label]
+    assert [tuple(r) for r in rows_out] == [(shown, shown, None, None, 0, 3)]
+    pre = T.totals(df, ["a", "b"], metrics, "cube", label, grouping_id="g", preaggregate=True).collect()
+    assert [tuple(r) for r in pre] == [tuple(r) for r in rows_out]
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "right", "outer"])
+def test_partials_equal_the_direct_plan_for_every_join_and_for_decimals(spark, how):
+    fact = spark.createDataFrame(
+        [("0", "1", "1.25"), ("0", "9", "2.50"), ("1", "1", None), ("1", None, "4.00")], "e string, k string, t string"
+    ).selectExpr("e", "k", "CAST(t AS decimal(12,2)) AS v")
+    dictionary = spark.createDataFrame([("1", 5), ("2", 6)], "k string, tier long")
+    metrics = [sum_of("v"), count_of("v", "n"), count_rows("rows"), max_of("tier", "top")]
+    direct = T.totals(enrich(fact, dictionary, "k", how), ["e", "k", "tier"], metrics, "cube", "total", grouping_id="g")
+    over = T.totals_over_join(fact, dictionary, "k", ["e", "k", "tier"], metrics, "cube", "total", how=how, grouping_id="g")
+    assert over.schema["sum_v"].dataType == direct.schema["sum_v"].dataType
+    assert sorted(map(str, over.collect())) == sorted(map(str, direct.collect()))
+    pre = T.totals(enrich(fact, dictionary, "k", how), ["e", "k", "tier"], metrics, "cube", "total", grouping_id="g", preaggregate=True)
+    assert pre.schema["sum_v"].dataType == direct.schema["sum_v"].dataType
+    assert sorted(map(str, pre.collect())) == sorted(map(str, direct.collect()))
 
 
 def test_set_generator_order():

@@ -85,9 +85,9 @@ class Metric:
             agg = F.max(p)
         elif self.kind == "min":
             agg = F.min(p)
-        elif self.kind in ("sum", "count", "rows"):
+        elif self.kind == "sum":
             agg = F.sum(p)
-        elif self.kind == "sum0":
+        elif self.kind in ("sum0", "count", "rows"):
             agg = F.coalesce(F.sum(p), F.lit(0))
         else:
             raise ValueError(f"unknown metric kind {self.kind!r}")
@@ -150,17 +150,3 @@ INVOICE_STATUSES = ("ARAP", "ACCR")
 def invoice_metrics(statuses=INVOICE_STATUSES) -> list[Metric]:
     """max_rating, sum_value_ARAP, sum_value_ACCR."""
     return metric_set("rating", "value", "status", *statuses)
-
-
-def columns(metrics) -> list[Column]:
-    return [m.column() if isinstance(m, Metric) else m for m in metrics]
-
-
-def names(metrics) -> list[str]:
-    out = []
-    for m in metrics:
-        if isinstance(m, Metric):
-            out.append(m.name)
-        else:
-            raise TypeError("raw Column aggregates have no known name; wrap them in a Metric")
-    return out

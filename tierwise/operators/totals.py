@@ -40,9 +40,6 @@ from .joins import enrich
 LABELS = ("count", "total", "null")
 SHAPES = ("pairs", "singles", "cube", "rollup", "detail")
 
-# Above this many dimensions a cube (2**d sets) must be asked for set by set.
-MAX_CUBE_DIMS = 6
-
 
 def grouping_sets(dims: Sequence[str], sets="pairs") -> list[tuple[str, ...]]:
     """Expand a set description into explicit grouping sets.
@@ -61,8 +58,6 @@ def grouping_sets(dims: Sequence[str], sets="pairs") -> list[tuple[str, ...]]:
         if sets == "detail":
             return [tuple(dims)]
         if sets == "cube":
-            if len(dims) > MAX_CUBE_DIMS:
-                raise ValueError(f"a cube over {len(dims)} dimensions has {2 ** len(dims)} sets; list the sets")
             return subsets_of_sizes(dims, range(len(dims), -1, -1))
         if sets == "rollup":
             return [tuple(dims[:i]) for i in range(len(dims), -1, -1)]
@@ -160,10 +155,37 @@ def totals(
     # count(c) reads the input column, not the copy Expand nulls for the set.
     counts = [F.count(c).alias(f"__n_{c}") for c in dims] if label == "count" else []
     gsets = [list(s) + keys for s in grouping_sets(dims, sets)]
-    rolled = narrow.groupingSets(gsets, *group_cols).agg(*[m.column() for m in metrics], *flags, *counts, *gid)
+    if _has_grand_total(dims, keys, sets):
+        narrow = _with_blank(narrow, F.lit(1))
+        weight = F.sum("__weight")
+        aggs = [weight.alias(m.name) if m.kind == "rows" else m.column() for m in metrics]
+        rolled = narrow.groupingSets(gsets, *group_cols).agg(*aggs, *flags, *counts, *gid, weight.alias("__weight"))
+        rolled = _without_blank(rolled, dims)
+    else:
+        rolled = narrow.groupingSets(gsets, *group_cols).agg(*[m.column() for m in metrics], *flags, *counts, *gid)
     return _labelled(rolled, dims, keys, metrics, label, total_label, grouping_id)
 
 
+def _has_grand_total(dims, keys, sets) -> bool:
+    return not keys and () in grouping_sets(dims, sets)
+
+
+def _with_blank(df: DataFrame, weight: Column) -> DataFrame:
+    """``df`` and one blank row of weight 0: it makes the grand-total row appear also
+    when there are no rows, as SQL's empty grouping set gives it, and adds nothing
+    to any metric. Groups it is alone in are dropped by ``_without_blank``."""
+    blank = [F.lit(0).cast("bigint").alias(f.name) if f.name == "__rows" else F.lit(None).cast(f.dataType).alias(f.name) for f in df.schema.fields]
+    alone = df.sparkSession.range(1).select(*blank, F.lit(0).cast("bigint").alias("__weight"))
+    return df.withColumn("__weight", weight.cast("bigint")).unionByName(alone)
+
+
+def _without_blank(rolled: DataFrame, dims) -> DataFrame:
+    total = F.lit(True)
+    for c in dims:
+        total = total & (F.col(f"__g_{c}") == 1)
+    return rolled.filter((F.col("__weight") > 0) | total)
+
+
 def _labelled(rolled, dims, keys, metrics, label, total_label, grouping_id) -> DataFrame:
     return rolled.select(
         *[_label(c, label, total_label) for c in dims],
@@ -207,12 +229,31 @@ def _roll_partials(source, dims, keys, metrics, sets, label, total_label, groupi
         if label == "count"
         else []
     )
-    aggs = [merged[m.name].alias(m.name) if m.name in merged else m.final() for m in metrics]
+    aggs = _final_metrics(source, metrics, merged)
     gsets = [list(s) + list(keys) for s in grouping_sets(dims, sets)]
-    rolled = source.groupingSets(gsets, *group_cols).agg(*aggs, *flags, *counts, *gid)
+    if _has_grand_total(dims, keys, sets):
+        source = _with_blank(source, F.col("__rows"))
+        rolled = source.groupingSets(gsets, *group_cols).agg(*aggs, *flags, *counts, *gid, F.sum("__weight").alias("__weight"))
+        rolled = _without_blank(rolled, dims)
+    else:
+        rolled = source.groupingSets(gsets, *group_cols).agg(*aggs, *flags, *counts, *gid)
     return _labelled(rolled, dims, keys, metrics, label, total_label, grouping_id)
 
 
+def _final_metrics(source: DataFrame, metrics: Sequence[Metric], merged: dict) -> list[Column]:
+    """Each metric merged from partial rows, in the type it has over raw rows (a
+    sum of decimal sums would otherwise be wider)."""
+    out = []
+    for m in metrics:
+        if m.name in merged:
+            kind = source.agg(m.column()).schema[m.name].dataType
+            out.append(merged[m.name].cast(kind).alias(m.name))
+        else:
+            kind = source.schema[m._partial_name()].dataType
+            out.append(m.final().cast(kind).alias(m.name))
+    return out
+
+
 def _reads_only(df: DataFrame, expr: Column) -> bool:
     try:
         df.select(expr).schema
@@ -232,18 +273,23 @@ def _dictionary_merge(m: Metric) -> Column:
     if m.kind == "sum":
         return F.sum(c * F.col("__rows"))
     if m.kind == "count":
-        return F.sum(F.when(c.isNotNull(), F.col("__rows")).otherwise(0))
+        return F.coalesce(F.sum(F.when(c.isNotNull(), F.col("__rows")).otherwise(0)), F.lit(0))
     raise ValueError(f"a {m.kind!r} metric over a dictionary column cannot be aggregated before the join")
 
 
 class _JoinFirst(Exception):
-    """A metric needs columns of both tables in one row: join before aggregating."""
+    """A metric needs columns of both tables in one row, or the join keeps
+    dictionary rows no fact row meets: join before aggregating."""
 
 
-def _prepare_join_aggregation(fact, dictionary, on, group_cols, metrics):
+def _prepare_join_aggregation(fact, dictionary, on, group_cols, metrics, how="inner"):
     """Split metrics by side, reduce the fact to partial rows, and return
     (partial fact rows, dictionary columns to join, fact-side metrics rebound
     to the partial columns, merge expressions for dictionary-side metrics)."""
+    if how not in ("inner", "left", "left_outer", "leftouter"):
+        # An unmatched dictionary row stands for one joined row without fact
+        # values, which no partial row can say.
+        raise _JoinFirst(f"under a {how} join")
     on = [on] if isinstance(on, str) else list(on)
     fact_side = [c for c in group_cols if c in fact.columns]
     dict_cols = [c for c in group_cols if c not in fact.columns]
@@ -299,12 +345,13 @@ def totals_over_join(
     may be any expression; metrics over a dictionary column may be max, min,
     sum or count of that column. A metric that needs both tables in one row
     (say a sum of a fact value under a condition on a dictionary column) makes
-    the plan join first and aggregate after, with the same result.
+    the plan join first and aggregate after, with the same result, and so does
+    a right or full outer join. Result types are those of the direct plan.
     """
     dims, keys = list(dims), list(keys)
     _check_columns(dims, keys, metrics, label)
     try:
-        partial, dict_cols, on, rebound, merged = _prepare_join_aggregation(fact, dictionary, on, dims + keys, metrics)
+        partial, dict_cols, on, rebound, merged = _prepare_join_aggregation(fact, dictionary, on, dims + keys, metrics, how)
     except _JoinFirst:
         joined_rows = enrich(fact, dictionary, on, how, **join_options)
         return totals(joined_rows, dims, metrics, sets, label, keys, total_label=total_label, grouping_id=grouping_id)
@@ -325,12 +372,11 @@ def group_over_join(
     before the join (see ``totals_over_join``); no ``Expand`` is involved."""
     keys = list(keys)
     try:
-        partial, dict_cols, on, rebound, merged = _prepare_join_aggregation(fact, dictionary, on, keys, metrics)
+        partial, dict_cols, on, rebound, merged = _prepare_join_aggregation(fact, dictionary, on, keys, metrics, how)
     except _JoinFirst:
         return group_metrics(enrich(fact, dictionary, on, how, **join_options), keys, metrics)
     joined = enrich(partial, dict_cols, on, how, **join_options)
-    aggs = [merged[m.name].alias(m.name) if m.name in merged else m.final() for m in rebound]
-    return joined.groupBy(*keys).agg(*aggs)
+    return joined.groupBy(*keys).agg(*_final_metrics(joined, rebound, merged))
 
 
 def partial_totals(
@@ -354,9 +400,9 @@ def partial_totals(
     """
     dims, keys = list(dims), list(keys)
     try:
-        partial, dict_cols, on, _, _ = _prepare_join_aggregation(fact, dictionary, on, dims + keys, metrics)
+        partial, dict_cols, on, _, _ = _prepare_join_aggregation(fact, dictionary, on, dims + keys, metrics, how)
     except _JoinFirst as e:
-        raise ValueError(f"metric {e} needs both tables in one row; it has no partial form") from e
+        raise ValueError(f"metric {e}: needs both tables in one row, it has no partial form") from e
     return enrich(partial, dict_cols, on, how, **join_options)
 
 
@@ -394,7 +440,10 @@ def compact_partials(partials: DataFrame, metrics: Sequence[Metric]) -> DataFram
     a batch), keeping the partial-table shape."""
     value_cols = {m._partial_name() for m in metrics} | {"__rows"}
     grain = [c for c in partials.columns if c not in value_cols]
-    merges = [m.merge() for m in metrics if m._partial_name() in partials.columns]
+    merges = [
+        m.merge().cast(partials.schema[m._partial_name()].dataType).alias(m._partial_name())
+        for m in metrics if m._partial_name() in partials.columns
+    ]
     return partials.groupBy(*grain).agg(*merges, F.sum("__rows").alias("__rows")).select(*partials.columns)
 
 
