@@ -91,6 +91,7 @@ def run(argv=None, spark: SparkSession | None = None) -> DataFrame:
     p.add_argument("command", choices=["totals", "by-status", "summary", "detail", "validate", "partials", "stream"])
     p.add_argument("--incoming", help="folder the stream command watches for fact files")
     p.add_argument("--once", action="store_true", help="stream: process the files present, then stop")
+    p.add_argument("--checkpoint", help="stream: checkpoint folder (default: _checkpoint below --out)")
     p.add_argument("--facts")
     p.add_argument("--partials", help="comma-separated folders written by the partials command")
     p.add_argument("--dictionary")
@@ -121,7 +122,8 @@ def run(argv=None, spark: SparkSession | None = None) -> DataFrame:
         facts = spark.readStream.schema(INVOICE).option("header", True).csv(args.incoming)
         metrics = metric_set("rating", "value", "status", *statuses)
         query = stream_partials(
-            facts, _read_dictionary(spark, args), args.on, dims, metrics, args.out, available_now=args.once
+            facts, _read_dictionary(spark, args), args.on, dims, metrics, args.out, checkpoint=args.checkpoint,
+            available_now=args.once,
         )
         query.awaitTermination()  # with --once the stream stops by itself; otherwise it runs until stopped
         return read_partials(spark, args.out)

@@ -28,8 +28,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# The integer-text pattern and the reason texts.
+from .joins import checked_broadcast
+
+# The integer-text pattern, what is trimmed, and the reason texts.
 INTEGER_TEXT = r"^[+-]?[0-9]+$"
+WHITE_SPACE = " \t\n\r\x0b\x0c"
 REASON_MISSING_VALUE = "missing value"
 REASON_NOT_INTEGER = "not an integer"
 REASON_OUT_OF_RANGE = "integer out of range"
@@ -54,7 +57,7 @@ def integer_reason(text: Column, target: T.DataType = T.LongType()) -> Column:
     but twice as slow once a sizeable share of rows is dirty; testing the
     pattern first costs the same either way.)
     """
-    trimmed = F.trim(text)
+    trimmed = F.btrim(text, F.lit(WHITE_SPACE))
     return (
         F.when(text.isNull(), F.lit(REASON_MISSING_VALUE))
         .when(~trimmed.rlike(INTEGER_TEXT), F.lit(REASON_NOT_INTEGER))
@@ -65,7 +68,7 @@ def integer_reason(text: Column, target: T.DataType = T.LongType()) -> Column:
 def typed_reason(text: Column, target: T.DataType) -> Column:
     """Null when ``text`` casts to ``target`` (after trimming), else the reason."""
     return F.when(text.isNull(), F.lit(REASON_MISSING_VALUE)).when(
-        F.trim(text).try_cast(target).isNull(), F.lit(f"not a {target.simpleString()}")
+        F.btrim(text, F.lit(WHITE_SPACE)).try_cast(target).isNull(), F.lit(f"not a {target.simpleString()}")
     )
 
 
@@ -107,10 +110,8 @@ def validate(df: DataFrame, schema: T.StructType, rules: dict | None = None) ->
     ``df`` holds the fields as text (see ``sources.read_csv_tolerant``).
     ``rules`` optionally maps a field name to a condition that must hold (a
     domain set such as ``F.col("status").isin("ARAP", "ACCR")``); validation
-    stays structural without it. Each
-    field's reason is computed once, as its own column; the flags and the
-    error array are derived from those columns, so filtering on ``valid``
-    never rebuilds the array for rows that pass.
+    stays structural without it. The flag reads the reasons only, so rows that
+    a filter on ``valid`` drops never build the error array.
     """
     checked = _checked_fields(df, schema, rules)
     reason_cols = [f"_reason_{name}" for name, _, _ in checked]
@@ -140,7 +141,7 @@ def valid_rows(validated: DataFrame, schema: T.StructType) -> DataFrame:
     ok = validated.filter(F.col("valid"))
     typed = []
     for f in schema.fields:
-        c = F.col(f.name) if isinstance(f.dataType, T.StringType) else F.trim(F.col(f.name))
+        c = F.col(f.name) if isinstance(f.dataType, T.StringType) else F.btrim(F.col(f.name), F.lit(WHITE_SPACE))
         typed.append(c.cast(f.dataType).alias(f.name))
     return ok.select(*typed)
 
@@ -153,8 +154,8 @@ def invalid_rows(validated: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def rejects(validated: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The reject table: one row per failing field, ``keys`` + column, raw value, reason."""
-    bad = validated.filter(~F.col("valid"))
-    return bad.select(*keys, F.explode("errors").alias("e")).select(
+    # Exploded without a filter on the flag first, which would check every field once more.
+    return validated.select(*keys, F.explode_outer("errors").alias("e")).filter(F.col("e").isNotNull()).select(
         *keys,
         F.col("e.column").alias("column"),
         F.col("e.raw_value").alias("raw_value"),
@@ -167,29 +168,32 @@ def with_position(df: DataFrame, name: str = "position") -> DataFrame:
 
     ``df`` must be a file read, possibly filtered, with no shuffle in between:
     positions count the rows that are left, as a reader that skips bad lines
-    numbers its rows. Rows are tagged in the scan stage with their split
-    (``_metadata``) and a per-partition counter; a small table of per-split row
-    counts (one row per file split) is turned into running offsets by a window
-    and joined back, which AQE broadcasts once it has measured it.
+    numbers its rows. Rows are tagged in the scan stage with a hash of their
+    file split (``_metadata``) and a per-partition counter. Rows per split are
+    counted by one aggregate; running sums over the files (one row each) and
+    within each file give every split's offset, a narrow table that is
+    broadcast if it passes the size check.
     """
     try:
         df.select("_metadata.file_path").schema
     except Exception as e:
         raise ValueError("with_position needs rows read from files (a file scan, possibly filtered)") from e
-    tagged = df.select(
-        "*",
-        F.col("_metadata.file_path").alias("__file"),
-        F.col("_metadata.file_block_start").alias("__start"),
-        F.monotonically_increasing_id().alias("__rowid"),
+    file, start = F.col("_metadata.file_path"), F.col("_metadata.file_block_start")
+    split = [F.xxhash64(file, start).alias("__split"), F.hash(start, file).alias("__check")]
+    rowid = F.monotonically_increasing_id().alias("__rowid")
+    counted = df.select(file.alias("__file"), start.alias("__start"), *split, rowid).groupBy(
+        "__file", "__start", "__split", "__check"
+    ).agg(F.count(F.lit(1)).alias("__n"), F.min("__rowid").alias("__first"))
+    per_file = counted.groupBy("__file").agg(F.sum("__n").alias("__rows"))
+    earlier = Window.orderBy("__file").rowsBetween(Window.unboundedPreceding, -1)
+    before_file = per_file.select("__file", F.coalesce(F.sum("__rows").over(earlier), F.lit(0)).alias("__files"))
+    within = Window.partitionBy("__file").orderBy("__start").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counted.join(before_file, "__file").select(
+        "__split", "__check",
+        (F.col("__files") + F.coalesce(F.sum("__n").over(within), F.lit(0)) - F.col("__first") + 1).alias("__offset"),
     )
-    splits = tagged.groupBy("__file", "__start").agg(
-        F.count(F.lit(1)).alias("__n"), F.min("__rowid").alias("__first")
-    )
-    order = Window.orderBy("__file", "__start").rowsBetween(Window.unboundedPreceding, -1)
-    before = F.coalesce(F.sum("__n").over(order), F.lit(0)).alias("__before")
-    offsets = splits.select("__file", "__start", "__first", before)
-    return (
-        tagged.join(offsets, ["__file", "__start"])
-        .withColumn(name, F.col("__before") + (F.col("__rowid") - F.col("__first")) + 1)
-        .drop("__file", "__start", "__rowid", "__first", "__before")
+    offsets, _ = checked_broadcast(offsets)
+    tagged = df.select("*", *split, rowid)
+    return tagged.join(offsets, ["__split", "__check"]).withColumn(name, F.col("__offset") + F.col("__rowid")).drop(
+        "__split", "__check", "__rowid", "__offset"
     )

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..sources.files import read_records_text
+from ..sources.files import count_fields, field_pattern, read_records_text
 
 
 def cells(text: Column, sep: str = ",", record_sep: str = "\r") -> Column:
@@ -75,21 +75,31 @@ def records_from_cells(
     return to_rows(df.select(*keep, arr.alias("__chunks")), "__chunks", names, keep)
 
 
-def read_flat_records(
+def _record_cells(record: Column, sep: str) -> Column:
+    """A record's cells; quoted ones may hold the separator and lose their quotes."""
+    found = F.regexp_extract_all(F.concat(F.lit(sep), record), F.lit(field_pattern(sep)), F.lit(1))
+    bare = F.transform(
+        found,
+        lambda c: F.when(c.rlike('^".*"$'), F.regexp_replace(F.substring(c, F.lit(2), F.length(c) - 2), r"\\\\(.)", "$1")).otherwise(c),
+    )
+    return F.when(F.contains(record, F.lit('"')), bare).otherwise(F.split(record, _regex_literal(sep)))
+
+
+def split_flat_records(
     spark: SparkSession,
     path,
     schema: T.StructType,
     sep: str = ",",
     record_sep: str = "\r",
     header: bool = True,
-) -> DataFrame:
-    """Records separated by ``record_sep`` with cells separated by ``sep``, typed by ``schema``.
-
-    Each record is split into cells; a record holding several rows' worth of
-    cells is cut into ``len(schema)``-cell chunks. Header records (the field
-    names joined by ``sep``) are dropped wherever they occur. A record with at
-    most one row's cells skips the chunking lambdas, which Spark interprets
-    rather than compiles.
+) -> tuple[DataFrame, DataFrame]:
+    """``(rows, rejects)`` of records separated by ``record_sep`` with cells separated by ``sep``.
+
+    A record holding several rows' worth of cells is cut into
+    ``len(schema)``-cell chunks, typed by ``schema``. Header records (the field
+    names joined by ``sep``) are dropped wherever they occur. Rejects are
+    (``record``, ``reason``): records whose number of cells is no multiple of the
+    schema's, and rows with a cell that does not cast.
     """
     names = [f.name for f in schema.fields]
     width = len(names)
@@ -99,10 +109,28 @@ def read_flat_records(
     text = text.select(value.alias("value")).filter(F.length("value") > 0)
     if header:
         text = text.filter(F.col("value") != F.lit(sep.join(names)))
-    arr = F.split(F.col("value"), _regex_literal(sep))
-    per_row = F.when(F.size(arr) <= width, F.array(arr)).otherwise(chunks(arr, width))
-    rows = to_rows(text.select(per_row.alias("__chunks")), "__chunks", names)
-    return rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    n = count_fields(F.col("value"), sep)
+    arr = _record_cells(F.col("value"), sep)
+    per_row = F.when(n <= width, F.array(arr)).otherwise(chunks(arr, width))
+    whole = text.filter(n % width == 0)
+    cut = to_rows(whole.select(per_row.alias("__chunks")), "__chunks", names)
+    cast = {f.name: F.nullif(F.col(f.name), F.lit("")).try_cast(f.dataType) for f in schema.fields if not isinstance(f.dataType, T.StringType)}
+    wrong = F.lit(False)
+    for name, typed in cast.items():
+        wrong = wrong | ((F.col(name) != "") & typed.isNull())
+    rows = cut.filter(~F.coalesce(wrong, F.lit(False))).select(*[cast.get(c, F.col(c)).alias(c) for c in names])
+    bad_rows = cut.filter(F.coalesce(wrong, F.lit(False))).select(
+        F.concat_ws(sep, *names).alias("record"), F.lit("a cell does not cast").alias("reason")
+    )
+    bad_width = text.filter(n % width != 0).select(F.col("value").alias("record"), F.lit("wrong number of cells").alias("reason"))
+    return rows, bad_width.unionByName(bad_rows)
+
+
+def read_flat_records(
+    spark: SparkSession, path, schema: T.StructType, sep: str = ",", record_sep: str = "\r", header: bool = True
+) -> DataFrame:
+    """The rows of ``split_flat_records``."""
+    return split_flat_records(spark, path, schema, sep, record_sep, header)[0]
 
 
 def reshape_record(df: DataFrame, key: Sequence[str] | str, value: Sequence[str]) -> DataFrame:

@@ -8,7 +8,9 @@ accepts all three.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import re
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -58,36 +60,49 @@ def read_json_lines(spark: SparkSession, path, schema: T.StructType | None = Non
     return reader.options(**options).json(path)
 
 
-def read_csv_tolerant(spark: SparkSession, path, schema: T.StructType, header: bool = True, **options) -> DataFrame:
-    """Every field as text plus ``_extra``, the first field beyond the schema.
+def field_pattern(sep: str = ",") -> str:
+    """Regular expression of one field behind its separator, quoted or plain."""
+    s = re.escape(sep)
+    return f'{s}("(?:[^"\\\\]|\\\\.)*+"(?:(?!{s}).)*+|(?:(?!{s}).)*+)'
+
 
-    A record with more fields than the schema is a bad line: its ``_extra`` is
-    not null. A record with fewer fields is padded with nulls and left to the
-    validator, as a reader that only skips over-long lines would do. Type
-    errors are not detected here; fields stay text so a validator can report
-    them.
+def count_fields(line: Column, sep: str = ",") -> Column:
+    """Number of fields of a delimited record; separators inside quotes do not count."""
+    plain = F.length(line) - F.length(F.replace(line, F.lit(sep), F.lit(""))) + len(sep)
+    quoted = F.regexp_count(F.concat(F.lit(sep), line), F.lit(field_pattern(sep)))
+    return F.when(F.contains(line, F.lit('"')), quoted).otherwise((plain / len(sep)).cast("int"))
+
+
+def read_csv_tolerant(spark: SparkSession, path, schema: T.StructType, header: bool = True, **options) -> DataFrame:
+    """Every field as text plus ``_extra``: the whole raw line of a record with more
+    fields than the schema, which makes it a bad line, else null.
+
+    Lines are read as text and their fields counted before they are parsed, so
+    an empty last field counts and nothing of a bad line is lost. A record with
+    fewer fields is padded with nulls and left to the validator, as a reader
+    that only skips over-long lines would do. Type errors are not detected here;
+    fields stay text so a validator can report them. Empty lines and, with
+    ``header``, lines that are the field names are dropped. Quoted fields may hold
+    separators, not line breaks.
     """
-    text_schema = all_strings(schema).add(T.StructField(EXTRA, T.StringType()))
-    return (
-        spark.read.option("header", header)
-        .option("mode", "PERMISSIVE")
-        .schema(text_schema)
-        .options(**options)
-        .csv(path)
-    )
+    sep = options.get("sep", options.get("delimiter", ","))
+    text_schema = all_strings(schema)
+    lines = spark.read.text(path).filter(F.col("value") != "")
+    if header:
+        lines = lines.filter(F.col("value") != sep.join(schema.fieldNames()))
+    parsed = F.from_csv(F.col("value"), text_schema.simpleString()[len("struct<"):-1].replace(":", " "), {"mode": "PERMISSIVE", **options})
+    long = F.when(count_fields(F.col("value"), sep) > len(schema), F.col("value"))
+    return lines.select(parsed.alias("__r"), long.alias(EXTRA)).select(*[F.col(f"__r.{c}") for c in schema.fieldNames()], EXTRA)
 
 
-def split_corrupt(df: DataFrame, sep: str = ",") -> tuple[DataFrame, DataFrame]:
+def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``(well_formed_rows, bad_lines)`` of a tolerant read.
 
-    Bad lines keep their parsed fields and ``raw_line``, the fields joined by
-    ``sep`` (fields past the first extra one are not kept by the reader).
+    Bad lines keep their first fields, parsed, and ``raw_line``, the line as it stands in the file.
     """
     fields = [c for c in df.columns if c != EXTRA]
     good = df.filter(F.col(EXTRA).isNull()).drop(EXTRA)
-    bad = df.filter(F.col(EXTRA).isNotNull()).select(
-        *fields, F.concat_ws(sep, *[F.coalesce(F.col(c), F.lit("")) for c in fields + [EXTRA]]).alias("raw_line")
-    )
+    bad = df.filter(F.col(EXTRA).isNotNull()).select(*fields, F.col(EXTRA).alias("raw_line"))
     return good, bad
 
 

@@ -3,8 +3,10 @@
 Each micro-batch's partial rows are written to ``<partials_path>/batch_id=<n>``
 with overwrite, so a batch replayed after a failure (Structured Streaming
 replays the last uncommitted batch) rewrites the same folder instead of
-appending twice: the table stays exactly-once. The stream's checkpoint lives
-below the session's shared ``spark.checkpoint.dir`` unless one is given.
+appending twice: the table stays exactly-once. The stream's checkpoint lives in
+``<partials_path>/_checkpoint`` unless one is given, so a stream started again
+on the same table goes on where it stopped; a new checkpoint on a table that
+holds batches already is refused, as it would number and count them anew.
 """
 
 from __future__ import annotations
@@ -16,11 +18,15 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.metrics import Metric
 from ..operators.totals import partial_totals
-from ..session import scratch_path
 
 BATCH_COLUMN = "batch_id"
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
 def stream_partials(
     facts: DataFrame,
     dictionary: DataFrame,
@@ -41,7 +47,9 @@ def stream_partials(
     ``available_now=True`` the query processes what has arrived and stops.
     """
     spark = facts.sparkSession
-    checkpoint = checkpoint or scratch_path(spark, "stream-partials")
+    checkpoint = checkpoint or f"{partials_path}/_checkpoint"
+    if not _exists(spark, f"{checkpoint}/offsets") and _exists(spark, f"{partials_path}/{BATCH_COLUMN}=0"):
+        raise ValueError(f"{partials_path} holds batches of another checkpoint than {checkpoint}")
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         part = partial_totals(batch, dictionary, on, dims, metrics, keys, **join_options)
