@@ -68,11 +68,11 @@ def test_query_reads_whole_tables(spark, name):
 def test_recorded_figures_at_sf001(spark):
     sf = "/root/testdata/sf0.01"
     q = entry.queries()
-    assert q["totals_count_label"](spark, sf).count() == 254
+    assert q["totals_count_label"](spark, sf).count() == 477
     cube = q["totals_cube_label"](spark, sf)
     grand = cube.filter("legal_entity = 'Total' AND counter_party = 'Total' AND tier = 'Total'").collect()
-    assert [(r.max_rating, r.sum_value_ARAP, r.sum_value_ACCR) for r in grand] == [(7, 243707, 241620)]
-    assert cube.count() == 351
+    assert [(r.max_rating, r.sum_value_ARAP, r.sum_value_ACCR) for r in grand] == [(7, 506627, 508542)]
+    assert cube.count() == 678
 
 
 def test_bench_prints_one_json_line():

@@ -1,23 +1,28 @@
 """Registered queries over the driver's tables.
 
 Every query reads whole tables (see ``plans.invoices`` for the mapping onto
-the invoice model) and returns a lazy DataFrame. ``plans.oracles`` holds, per
-query, the independent SQL statement it is checked against. Queries that
-write files first (sink round trips) write below the session's shared
-checkpoint folder.
+the invoice model). Five queries are about keys a dictionary lacks and join a
+part of ``supplier``; every other one joins all of it. ``plans.oracles`` holds,
+per query, the independent SQL statement it is checked against. Most queries
+return a lazy plan; those that write files or tables first, check a broadcast's
+size or count hot keys run jobs when called, and write below the session's
+shared checkpoint folder, from where the files go when the application ends.
 """
 
 from __future__ import annotations
 
+import atexit
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import sinks
 from ..functions.metrics import INVOICE_STATUSES, count_rows, invoice_metrics, max_of, sum_if, sum_of
-from ..operators import joins, quality, reshape, totals
-from ..schemas import INVOICE
-from ..session import scratch_path
+from ..operators import joins, quality, reshape, reuse, totals
+from ..schemas import INVOICE, all_strings
+from ..session import drop_at_exit, scratch_path
 from ..sources import files, tables
 from . import invoices as inv
 from .pipeline import ENTITY_METRICS, Pipeline, entity_summary
@@ -29,15 +34,26 @@ def enriched(spark: SparkSession, sf_dir: str, **join_options) -> DataFrame:
     return joins.enrich(inv.invoices(spark, sf_dir), inv.tiers(spark, sf_dir), "counter_party", **join_options)
 
 
+def partly_enriched(spark: SparkSession, sf_dir: str, **join_options) -> DataFrame:
+    """Invoices whose counter party the partial dictionary knows."""
+    return joins.enrich(inv.invoices(spark, sf_dir), inv.partial_tiers(spark, sf_dir), "counter_party", **join_options)
+
+
+def written(spark: SparkSession, path: str) -> str:
+    """``path``, now that it holds files: they go when the application ends."""
+    drop_at_exit(spark, path)
+    return path
+
+
 # --- enrichment -------------------------------------------------------------
 
 
 def enrich_inner(spark, sf_dir):
-    return enriched(spark, sf_dir)
+    return partly_enriched(spark, sf_dir)
 
 
 def enrich_broadcast(spark, sf_dir):
-    return enriched(spark, sf_dir, broadcast=True)
+    return partly_enriched(spark, sf_dir, broadcast=True)
 
 
 # Fixed value: the share of all fact rows that makes a join key hot.
@@ -45,10 +61,9 @@ HOT_FRACTION = 0.001
 
 
 def enrich_salted(spark, sf_dir):
-    # A key holding 0.1% of the fact rows or more is salted: at the test scales
-    # that is every supplier (about 1% each), at 100 TB only truly hot keys,
-    # and never more than 1,000 keys.
-    return enriched(spark, sf_dir, salt=8, hot_fraction=HOT_FRACTION)
+    # The dictionary is broadcast while it passes the size check; beyond that, a
+    # key holding 0.1% of the fact rows or more is salted.
+    return partly_enriched(spark, sf_dir, salt=8, hot_fraction=HOT_FRACTION)
 
 
 def enrich_lookup_dedup(spark, sf_dir):
@@ -77,12 +92,13 @@ def enrich_null_safe(spark, sf_dir):
     unknown = spark.range(1).select(
         F.lit(None).cast("bigint").alias("counter_party"), F.lit(UNKNOWN_TIER).cast("bigint").alias("tier")
     )
-    dictionary = inv.tiers(spark, sf_dir).unionByName(unknown)
-    return joins.enrich(fact, dictionary, "counter_party", null_safe=True)
+    dictionary = inv.partial_tiers(spark, sf_dir).unionByName(unknown)
+    # The null key holds a seventh of the fact: salted where the dictionary is too large to broadcast.
+    return joins.enrich(fact, dictionary, "counter_party", null_safe=True, salt=8, hot_fraction=HOT_FRACTION)
 
 
 def key_in_dictionary(spark, sf_dir):
-    return joins.keys_in_dictionary(inv.invoices(spark, sf_dir), inv.tiers(spark, sf_dir), "counter_party")
+    return joins.keys_in_dictionary(inv.invoices(spark, sf_dir), inv.partial_tiers(spark, sf_dir), "counter_party")
 
 
 # --- metrics at one level ---------------------------------------------------
@@ -137,8 +153,8 @@ def totals_rollup_label(spark, sf_dir):
 
 
 def totals_by_status(spark, sf_dir):
-    # The status filter reads a fact column, so it runs in the fact scan stage.
-    fact = inv.invoices(spark, sf_dir).filter(F.col("status").isin(*INVOICE_STATUSES))
+    # Filtered on the stored flag, so the scan prunes.
+    fact = inv.invoices(spark, sf_dir, statuses=INVOICE_STATUSES)
     metrics = [count_rows("n_rows"), max_of("rating", "max_rating"), sum_of("value", "sum_value")]
     return joined_totals(
         spark, sf_dir, "pairs", "null", fact=fact, metrics=metrics, keys=["status"], grouping_id="grouping_id"
@@ -175,7 +191,8 @@ def totals_from_batches(spark, sf_dir):
     are appended to the other's, compacted, and rolled up."""
     fact, tiers = inv.invoices(spark, sf_dir), inv.tiers(spark, sf_dir)
     metrics = invoice_metrics()
-    batches = [fact.filter(F.col("rating") <= BATCH_SPLIT_RATING), fact.filter(F.col("rating") > BATCH_SPLIT_RATING)]
+    later = F.col("rating") > BATCH_SPLIT_RATING
+    batches = [fact.filter(F.col("rating") <= BATCH_SPLIT_RATING), fact.filter(later | F.col("rating").isNull())]
     stored = None
     for batch in batches:
         part = totals.partial_totals(batch, tiers, "counter_party", DIMS, metrics)
@@ -184,9 +201,8 @@ def totals_from_batches(spark, sf_dir):
 
 
 # The rating bounds that split invoices into arrivals (every row
-# falls in exactly one), and how long each stream run may take.
+# falls in exactly one).
 ARRIVAL_BOUNDS = (2, 4, 6)
-STREAM_TIMEOUT_SEC = 1800
 
 
 def _arrivals(rating):
@@ -212,20 +228,17 @@ def totals_streamed(spark, sf_dir):
 
     incoming = scratch_path(spark, "incoming-invoices")
     partials_path = scratch_path(spark, "streamed-partials")
-    checkpoint = scratch_path(spark, "streamed-checkpoint")
     invoices, tiers, metrics = inv.invoices(spark, sf_dir), inv.tiers(spark, sf_dir), invoice_metrics()
     for arrival in _arrivals(F.col("rating")):
         # Each arrival keeps the input's partitioning: no task holds more than its split.
         invoices.filter(arrival).write.mode("append").option("header", True).csv(incoming)
         facts = spark.readStream.schema(invoices.schema).option("header", True).csv(incoming)
         query = stream_partials(
-            facts, tiers, "counter_party", DIMS, metrics, partials_path, checkpoint=checkpoint, available_now=True
+            facts, tiers, "counter_party", DIMS, metrics, partials_path, available_now=True
         )
-        if not query.awaitTermination(STREAM_TIMEOUT_SEC):
-            query.stop()
-            raise RuntimeError(f"streamed totals did not finish within {STREAM_TIMEOUT_SEC} s")
-        if query.exception() is not None:
-            raise RuntimeError(f"streamed totals failed: {query.exception()}")
+        query.awaitTermination()  # raises if the stream failed
+    for path in (incoming, partials_path):
+        drop_at_exit(spark, path)
     return totals.totals_from_partials(read_partials(spark, partials_path), DIMS, metrics, "cube", "total")
 
 
@@ -307,20 +320,22 @@ def validated_totals(spark, sf_dir):
     return totals.totals_over_join(valid, dictionary, "counter_party", DIMS, invoice_metrics(), "cube", "total")
 
 
-# Fixed value: the extra field appended to over-long derived records.
-EXTRA_FIELD = "1"
+# What the derived over-long records carry beyond their six fields:
+# lines numbered 7 an empty seventh field, those numbered 5 three more fields.
+EXTRA_EMPTY, EXTRA_FIELDS = ",", ",1,,junk"
+LONG_LINES = {7: EXTRA_EMPTY, 5: EXTRA_FIELDS}
 
 
 def _written_invoice_lines(spark, sf_dir) -> str:
-    """Invoice text written as comma-separated lines without a header; records of
-    line 7 carry one field too many, records of line 6 an empty value."""
+    """Invoice text written by the CSV writer without a header, legal entities with
+    a comma in them, and faults appended: lines of ``LONG_LINES`` are too long."""
     path = scratch_path(spark, "tolerant")
-    text = inv.invoice_text(spark, sf_dir)
-    fields = [F.coalesce(F.col(c), F.lit("")) for c in text.columns]
-    line = F.concat_ws(",", *fields)
-    line = F.when(F.col("rating") == inv.BAD_VALUE_LINE, F.concat(line, F.lit("," + EXTRA_FIELD))).otherwise(line)
+    text = inv.invoice_text(spark, sf_dir).withColumn("legal_entity", F.concat(F.col("legal_entity"), F.lit(", Inc")))
+    line = F.to_csv(F.struct(*text.columns), {"nullValue": "", "emptyValue": ""})
+    for rating, extra in LONG_LINES.items():
+        line = F.when(F.col("rating") == rating, F.concat(line, F.lit(extra))).otherwise(line)
     sinks.write_lines(text.select(line.alias("value")), path)
-    return path
+    return written(spark, path)
 
 
 def tolerant_read_rows(spark, sf_dir):
@@ -335,6 +350,18 @@ def tolerant_read_bad_lines(spark, sf_dir):
     return bad
 
 
+def validate_positions(spark, sf_dir):
+    """Invoice text written in order, read back and validated with 1-based
+    positions: the invalid rows with the place they have in the files."""
+    path = scratch_path(spark, "positions")
+    text = inv.invoice_text(spark, sf_dir)
+    order = [F.col(c).cast("bigint") for c in ("invoice_id", "rating", "counter_party")]
+    text.orderBy(*order, "legal_entity", "status", "value").write.option("header", True).csv(path)
+    read = files.read_csv(spark, written(spark, path), all_strings(INVOICE))
+    checked = quality.validate(quality.with_position(read), INVOICE)
+    return quality.invalid_rows(checked, ["position", "invoice_id", "rating"])
+
+
 # --- reshaping, formatting, sinks, pipeline --------------------------------------
 
 
@@ -343,7 +370,36 @@ def flat_cell_reshape(spark, sf_dir):
     path = scratch_path(spark, "flat-cells")
     rows = inv.invoices(spark, sf_dir).withColumn("counter_party", F.col("counter_party").cast("string"))
     rows.write.option("header", True).option("lineSep", "\r").csv(path)
-    return reshape.read_flat_records(spark, path, INVOICE)
+    return reshape.read_flat_records(spark, written(spark, path), INVOICE)
+
+
+# Fixed value: how many invoices one flat line holds.
+RECORDS_PER_LINE = 5
+
+
+def flat_line_chunks(spark, sf_dir):
+    """Several invoices' cells on one line, records separated by ``\r``: each line is
+    cut into cells and the cells into rows of six."""
+    fields = ["invoice_id", "legal_entity", "counter_party", "rating", "status", "value"]
+    record = F.concat_ws(",", *[F.col(c).cast("string") for c in fields])
+    # Lines are made per invoice number and bucket, so none grows with the data.
+    bucket = F.pmod(F.xxhash64(*fields), F.lit(RECORDS_PER_LINE))
+    lines = inv.invoices(spark, sf_dir).groupBy("invoice_id", bucket.alias("bucket")).agg(
+        F.concat_ws("\r", F.collect_list(record)).alias("text")
+    )
+    path = scratch_path(spark, "flat-lines")
+    lines.select(F.concat(F.lit(",".join(fields) + "\r"), "text").alias("text")).write.parquet(path)
+    stored = spark.read.parquet(written(spark, path))
+    rows = reshape.records_from_cells(stored, "text", fields, skip=len(fields))
+    return rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in INVOICE.fields])
+
+
+def rekeyed_rows(spark, sf_dir):
+    """Invoices as (key, value) records, read back through both structs."""
+    keyed = reshape.reshape_record(
+        inv.invoices(spark, sf_dir), ["legal_entity", "counter_party"], ["rating", "status", "value"]
+    )
+    return keyed.select("key.legal_entity", "key.counter_party", "value.rating", "value.status", "value.value")
 
 
 def format_rows(spark, sf_dir):
@@ -374,7 +430,7 @@ TOTALS_SCHEMA = T.StructType(
 def sink_roundtrip_csv(spark, sf_dir):
     path = scratch_path(spark, "totals-csv")
     sinks.write_csv(totals_count_label(spark, sf_dir), path)
-    return files.read_csv(spark, path, TOTALS_SCHEMA)
+    return files.read_csv(spark, written(spark, path), TOTALS_SCHEMA)
 
 
 def table_roundtrip(spark, sf_dir):
@@ -382,7 +438,92 @@ def table_roundtrip(spark, sf_dir):
     format, default save mode) and read back through the table source."""
     path = scratch_path(spark, "totals-table")
     sinks.write_table(totals_cube_label(spark, sf_dir), path, format="parquet")
-    return tables.read_table(spark, format="parquet", path=path)
+    return tables.read_table(spark, format="parquet", path=written(spark, path))
+
+
+def joined_to_table(spark, sf_dir):
+    """Every joined invoice written to a table, as the warehouse procedure does, and read back."""
+    path = scratch_path(spark, "joined-table")
+    sinks.write_table(enriched(spark, sf_dir), path, format="parquet")
+    return tables.read_table(spark, format="parquet", path=written(spark, path))
+
+
+def catalog_table(spark, sf_dir):
+    """The joined invoices saved as a catalog table and read back by its name."""
+    name = f"joined_{uuid.uuid4().hex[:12]}"
+    sinks.write_table(enriched(spark, sf_dir), name)
+    df = tables.read_table(spark, name)
+    atexit.register(_drop_table, spark, name)
+    return df
+
+
+def _drop_table(spark, name):
+    if spark.getActiveSession() is not None:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def csv_inferred_totals(spark, sf_dir):
+    """Invoices written as CSV, scanned with inferred types, and totalled by tier."""
+    path = scratch_path(spark, "inferred-csv")
+    inv.invoices(spark, sf_dir).write.option("header", True).csv(path)
+    fact = files.read_csv(spark, written(spark, path), infer=True)
+    fact = fact.select(*[F.col(c).cast("bigint") if c in ("rating", "value") else F.col(c) for c in fact.columns])
+    return joined_totals(spark, sf_dir, "cube", "total", fact=fact)
+
+
+def pipeline_csv_json(spark, sf_dir):
+    """The scripted pipeline: invoices from CSV, the dictionary from a JSON array
+    of records, merged, summarised, and written as CSV."""
+    base = scratch_path(spark, "csv-json")
+    facts, dictionary, out = f"{base}/facts", f"{base}/dictionary", f"{base}/summary"
+    sinks.write_csv(inv.invoices(spark, sf_dir), facts)
+    tiers = inv.tiers(spark, sf_dir)
+    # Each file is one JSON array: the records of one tier.
+    records = tiers.groupBy(F.col("tier").alias("part")).agg(F.to_json(F.collect_list(F.struct("counter_party", "tier"))).alias("value"))
+    records.write.partitionBy("part").text(dictionary)
+    written(spark, base)
+    invoices = inv.invoices(spark, sf_dir).schema
+    Pipeline(
+        sources=[
+            lambda: files.read_csv(spark, facts, invoices),
+            lambda: files.read_json_records(spark, dictionary, tiers.schema, recursiveFileLookup=True),
+        ],
+        transformations=[entity_summary],
+        sink=lambda df: sinks.write_csv(df, out),
+    ).run(merge_on="counter_party")
+    return files.read_csv(spark, out, ENTITY_SCHEMA)
+
+
+ENTITY_SCHEMA = T.StructType([
+    T.StructField("legal_entity", T.StringType()), T.StructField("counter_party", T.LongType()),
+    T.StructField("count_rating", T.LongType()), T.StructField("max_tier", T.LongType()), T.StructField("sum_value", T.LongType()),
+])
+
+
+def enrich_strict(spark, sf_dir):
+    """A merge that fails on a missing key: the whole dictionary has every key."""
+    return enriched(spark, sf_dir, strict=True)
+
+
+def cached_reuse(spark, sf_dir):
+    """Two levels of totals from one input that is computed and stored once."""
+    rows = reuse.materialize(enriched(spark, sf_dir), "checkpoint")
+    by_tier = totals.group_metrics(rows, ["tier"], invoice_metrics()).withColumn("level", F.lit("tier"))
+    by_status = totals.group_metrics(rows, ["rating"], invoice_metrics()).withColumn("level", F.lit("rating"))
+    return by_tier.withColumnRenamed("tier", "key").unionByName(by_status.withColumnRenamed("rating", "key"))
+
+
+def totals_outer_join(spark, sf_dir):
+    """A cube over a right join: suppliers without invoices of the first line count too."""
+    fact = inv.invoices(spark, sf_dir).filter(F.col("rating") == 1)
+    metrics = invoice_metrics() + [count_rows("n_rows")]
+    return joined_totals(spark, sf_dir, "cube", "total", fact=fact, metrics=metrics, how="right", grouping_id="grouping_id")
+
+
+def totals_decimal(spark, sf_dir):
+    """Sums of decimals through partial rows keep the type of a direct sum."""
+    fact = inv.invoices(spark, sf_dir).withColumn("amount", F.col("value").cast("decimal(12,2)"))
+    return joined_totals(spark, sf_dir, "rollup", "total", fact=fact, metrics=[sum_of("amount")])
 
 
 def pipeline_run(spark, sf_dir):
@@ -392,7 +533,7 @@ def pipeline_run(spark, sf_dir):
         transformations=[entity_summary],
         sink=lambda df: sinks.write_parquet(df, path),
     ).run(merge_on="counter_party")
-    return spark.read.parquet(path)
+    return spark.read.parquet(written(spark, path))
 
 
 QUERIES = {
@@ -431,4 +572,15 @@ QUERIES = {
     "sink_roundtrip_csv": sink_roundtrip_csv,
     "table_roundtrip": table_roundtrip,
     "pipeline_run": pipeline_run,
+    "validate_positions": validate_positions,
+    "flat_line_chunks": flat_line_chunks,
+    "rekeyed_rows": rekeyed_rows,
+    "joined_to_table": joined_to_table,
+    "catalog_table": catalog_table,
+    "csv_inferred_totals": csv_inferred_totals,
+    "pipeline_csv_json": pipeline_csv_json,
+    "enrich_strict": enrich_strict,
+    "cached_reuse": cached_reuse,
+    "totals_outer_join": totals_outer_join,
+    "totals_decimal": totals_decimal,
 }

@@ -18,6 +18,11 @@ _INVOICES = """invoices AS (
     FROM lineitem)"""
 
 _TIERS = """tiers AS (
+    SELECT s_suppkey AS counter_party, CAST(s_nationkey AS BIGINT) AS tier
+    FROM supplier)"""
+
+# The dictionary that lacks keys, for the queries about missing keys.
+_PARTIAL_TIERS = """tiers AS (
     SELECT s_suppkey AS counter_party, CAST(s_nationkey AS BIGINT) AS tier
     FROM supplier WHERE s_acctbal > 5000)"""
 
@@ -45,7 +50,7 @@ _PAIRS = """GROUPING SETS ((legal_entity), (legal_entity, counter_party), (legal
 _SUPPLIER_FIRST = """d AS (
     SELECT s_nationkey AS nationkey, s_suppkey AS suppkey, s_name AS name, s_acctbal AS acctbal,
            ROW_NUMBER() OVER (PARTITION BY s_nationkey ORDER BY s_suppkey, s_name, s_acctbal) AS rn
-    FROM supplier WHERE s_acctbal > 5000)"""
+    FROM supplier)"""
 
 _INVOICE_TEXT = """t AS (
     SELECT CAST(l_orderkey AS VARCHAR) AS invoice_id,
@@ -77,7 +82,8 @@ enriched AS (
     FROM blanked b JOIN tiers t ON b.counter_party = t.counter_party)
 """
 
-_ENRICH_SQL = _WITH + "SELECT * FROM enriched"
+_ENRICH_SQL = f"WITH {_INVOICES},\n{_PARTIAL_TIERS},\n{_ENRICHED}\nSELECT * FROM enriched"
+_WHOLE_ENRICH_SQL = _WITH + "SELECT * FROM enriched"
 _COUNT_LABEL_SQL = _WITH + f"SELECT {_COUNT_LABELS},\n       {_METRICS}\nFROM enriched\nGROUP BY {_PAIRS}"
 _CUBE_SQL = _WITH + f"SELECT {_TOTAL_LABELS},\n       {_METRICS}\nFROM enriched\nGROUP BY CUBE (legal_entity, counter_party, tier)"
 _ENTITY_SQL = _WITH + """SELECT legal_entity, counter_party, COUNT(rating) AS count_rating, MAX(tier) AS max_tier,
@@ -98,14 +104,14 @@ SELECT c.c_nationkey AS nationkey, c.c_custkey AS custkey, d.name, d.acctbal, d.
 FROM customer c JOIN d ON c.c_nationkey = d.nationkey
 WHERE d.rn = 1""",
     "enrich_null_safe": f"""WITH {_INVOICES},
-{_TIERS},
+{_PARTIAL_TIERS},
 fact AS (SELECT CASE WHEN rating <> 7 THEN counter_party END AS counter_party,
                 invoice_id, legal_entity, rating, status, value FROM invoices),
 dict AS (SELECT counter_party, tier FROM tiers UNION ALL SELECT CAST(NULL AS BIGINT), CAST(-1 AS BIGINT))
 SELECT f.counter_party, f.invoice_id, f.legal_entity, f.rating, f.status, f.value, d.tier
 FROM fact f JOIN dict d ON f.counter_party IS NOT DISTINCT FROM d.counter_party""",
     "key_in_dictionary": f"""WITH {_INVOICES},
-{_TIERS}
+{_PARTIAL_TIERS}
 SELECT * FROM invoices WHERE counter_party IN (SELECT counter_party FROM tiers)""",
     "metrics_by_one_key": _WITH + f"SELECT legal_entity, {_METRICS}\nFROM enriched GROUP BY legal_entity",
     "metrics_by_two_keys": _WITH
@@ -175,32 +181,32 @@ v AS (
       AND regexp_matches(trim(rating), '^[+-]?[0-9]+$') AND TRY_CAST(trim(rating) AS BIGINT) IS NOT NULL
       AND regexp_matches(trim(value), '^[+-]?[0-9]+$') AND TRY_CAST(trim(value) AS BIGINT) IS NOT NULL),
 tiers AS (SELECT CAST(s_suppkey AS VARCHAR) AS counter_party, CAST(s_nationkey AS BIGINT) AS tier
-          FROM supplier WHERE s_acctbal > 5000),
+          FROM supplier),
 enriched AS (SELECT v.*, tiers.tier FROM v JOIN tiers ON v.counter_party = tiers.counter_party)
 SELECT {_TOTAL_LABELS},
        {_METRICS}
 FROM enriched
 GROUP BY CUBE (legal_entity, counter_party, tier)""",
     "tolerant_read_rows": """WITH t AS (
-    SELECT CAST(l_orderkey AS VARCHAR) AS invoice_id, l_linestatus AS legal_entity,
+    SELECT CAST(l_orderkey AS VARCHAR) AS invoice_id, l_linestatus || ', Inc' AS legal_entity,
            CAST(l_suppkey AS VARCHAR) AS counter_party, l_linenumber,
            CAST(l_linenumber AS VARCHAR) AS rating,
            CASE WHEN l_returnflag = 'A' THEN 'ARAP' WHEN l_returnflag = 'R' THEN 'ACCR' ELSE l_returnflag END AS status,
            CASE WHEN l_linenumber = 6 THEN NULL
-                WHEN l_linenumber = 7 THEN CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) || 'e'
                 ELSE CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) END AS value
     FROM lineitem)
-SELECT invoice_id, legal_entity, counter_party, rating, status, value FROM t WHERE l_linenumber <> 7""",
+SELECT invoice_id, legal_entity, counter_party, rating, status, value FROM t WHERE l_linenumber NOT IN (5, 7)""",
     "tolerant_read_bad_lines": """WITH t AS (
-    SELECT CAST(l_orderkey AS VARCHAR) AS invoice_id, l_linestatus AS legal_entity,
+    SELECT CAST(l_orderkey AS VARCHAR) AS invoice_id, l_linestatus || ', Inc' AS legal_entity,
            CAST(l_suppkey AS VARCHAR) AS counter_party, l_linenumber,
            CAST(l_linenumber AS VARCHAR) AS rating,
            CASE WHEN l_returnflag = 'A' THEN 'ARAP' WHEN l_returnflag = 'R' THEN 'ACCR' ELSE l_returnflag END AS status,
-           CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) || 'e' AS value
+           CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) || CASE WHEN l_linenumber = 7 THEN 'e' ELSE '' END AS value
     FROM lineitem)
 SELECT invoice_id, legal_entity, counter_party, rating, status, value,
-       concat_ws(',', invoice_id, legal_entity, counter_party, rating, status, value, '1') AS raw_line
-FROM t WHERE l_linenumber = 7""",
+       concat_ws(',', invoice_id, '"' || legal_entity || '"', counter_party, rating, status, value)
+           || CASE WHEN l_linenumber = 7 THEN ',' ELSE ',1,,junk' END AS raw_line
+FROM t WHERE l_linenumber IN (5, 7)""",
     "flat_cell_reshape": """SELECT l_orderkey AS invoice_id, l_linestatus AS legal_entity, CAST(l_suppkey AS VARCHAR) AS counter_party,
        CAST(l_linenumber AS BIGINT) AS rating,
        CASE WHEN l_returnflag = 'A' THEN 'ARAP' WHEN l_returnflag = 'R' THEN 'ACCR' ELSE l_returnflag END AS status,
@@ -215,4 +221,40 @@ FROM enriched GROUP BY legal_entity, counter_party""",
     "sink_roundtrip_csv": _COUNT_LABEL_SQL,
     "table_roundtrip": _CUBE_SQL,
     "pipeline_run": _ENTITY_SQL,
+    "validate_positions": f"""WITH {_INVOICE_TEXT},
+p AS (
+    SELECT CAST(row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_suppkey, l_linestatus,
+               CASE WHEN l_returnflag = 'A' THEN 'ARAP' WHEN l_returnflag = 'R' THEN 'ACCR' ELSE l_returnflag END,
+               CAST(CAST(l_quantity AS BIGINT) AS VARCHAR)) AS BIGINT) AS position,
+           CAST(l_orderkey AS VARCHAR) AS invoice_id, CAST(l_linenumber AS VARCHAR) AS rating, l_linenumber
+    FROM lineitem)
+SELECT position, invoice_id, rating, CAST(1 AS INTEGER) AS n_errors,
+       CASE WHEN l_linenumber = 6 THEN 'missing value' ELSE 'not an integer' END AS first_reason
+FROM p WHERE l_linenumber IN (6, 7)""",
+    "flat_line_chunks": """SELECT l_orderkey AS invoice_id, l_linestatus AS legal_entity, CAST(l_suppkey AS VARCHAR) AS counter_party,
+       CAST(l_linenumber AS BIGINT) AS rating,
+       CASE WHEN l_returnflag = 'A' THEN 'ARAP' WHEN l_returnflag = 'R' THEN 'ACCR' ELSE l_returnflag END AS status,
+       CAST(l_quantity AS BIGINT) AS value
+FROM lineitem""",
+    "rekeyed_rows": f"WITH {_INVOICES}\nSELECT legal_entity, counter_party, rating, status, value FROM invoices",
+    "joined_to_table": _WHOLE_ENRICH_SQL,
+    "catalog_table": _WHOLE_ENRICH_SQL,
+    "csv_inferred_totals": _CUBE_SQL,
+    "pipeline_csv_json": _ENTITY_SQL,
+    "enrich_strict": _WHOLE_ENRICH_SQL,
+    "cached_reuse": _WITH + f"""SELECT tier AS key, {_METRICS}, 'tier' AS level FROM enriched GROUP BY tier
+UNION ALL
+SELECT rating, {_METRICS}, 'rating' FROM enriched GROUP BY rating""",
+    "totals_outer_join": f"""WITH {_INVOICES},
+{_TIERS},
+enriched AS (
+    SELECT t.counter_party, i.legal_entity, i.rating, i.status, i.value, t.tier
+    FROM (SELECT * FROM invoices WHERE rating = 1) i RIGHT JOIN tiers t ON i.counter_party = t.counter_party)
+SELECT {_TOTAL_LABELS},
+       {_METRICS}, COUNT(*) AS n_rows, CAST(GROUPING(legal_entity, counter_party, tier) AS BIGINT) AS grouping_id
+FROM enriched
+GROUP BY CUBE (legal_entity, counter_party, tier)""",
+    "totals_decimal": _WITH + f"""SELECT {_TOTAL_LABELS}, CAST(SUM(CAST(value AS DECIMAL(12,2))) AS DECIMAL(22,2)) AS sum_amount
+FROM enriched
+GROUP BY ROLLUP (legal_entity, counter_party, tier)""",
 }
