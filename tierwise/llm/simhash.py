@@ -41,7 +41,8 @@ from ..session import store
 
 SEED = 42
 FAN = 8
-BLOCK_ROWS = 16_384
+BLOCK_ROWS = 65_536
+MIN_BLOCKS = 32
 MAX_BLOCKS = 65_536
 HASH_CHUNK = 65_536
 
@@ -153,8 +154,9 @@ def links(prints: DataFrame, max_bits: int) -> DataFrame:
     """A spanning forest (a, b) of the links between distinct fingerprints ``fp``
     at most ``max_bits`` apart."""
     spark = prints.sparkSession
-    at_least = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    blocks = min(MAX_BLOCKS, max(at_least, -(-prints.count() // BLOCK_ROWS)))
+    # Each block more is another place a search may have to look, so their number
+    # follows the fingerprints, not the cluster.
+    blocks = min(MAX_BLOCKS, max(MIN_BLOCKS, -(-prints.count() // BLOCK_ROWS)))
     ranged = prints.select("fp", gray_rank(F.col("fp")).alias("rank")).repartitionByRange(blocks, "rank")
     index = store(
         spark, ranged.sortWithinPartitions("rank").select("fp", "rank", F.spark_partition_id().alias("block")), "simhash-index"
