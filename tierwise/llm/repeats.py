@@ -270,7 +270,8 @@ def repeated_spans(docs: DataFrame, length: int) -> tuple[DataFrame, DataFrame]:
         docs.select("k1", "k2", "text").mapInArrow(_find_runs(length), "k1 long, k2 int, key long, span long, start long, windows int"),
         "repeat-runs",
     )
-    shared = run_table.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+    # Stored, so that the join's sides are plain shuffles, whose hot partitions Spark splits.
+    shared = store(spark, run_table.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "repeat-shared")
     alive = store(spark, run_table.join(shared, "key", "left_semi"), "repeat-alive")
     spans = store(
         spark,
@@ -284,7 +285,7 @@ def repeated_spans(docs: DataFrame, length: int) -> tuple[DataFrame, DataFrame]:
     several = spans.groupBy("key").agg(F.count("*").alias("spans"), F.count_if(F.col("n") == 1).alias("singles")).where(
         "spans > 1 AND singles > 0"
     )
-    still_open = spans.join(several, "key").select(
+    still_open = spans.join(store(spark, several, "repeat-several"), "key").select(
         "one.k1", "one.k2", F.lit(False).alias("resolved"), "one.start", "one.windows", "key",
         (F.col("spans") > IN_TASK).alias("many"), (F.col("n") == 1).alias("single"),
     )
