@@ -143,16 +143,17 @@ def features(text: str, measured: np.ndarray) -> np.ndarray:
 
 def fit_scorer(rows: np.ndarray, targets: np.ndarray, l2: float = 1e-4, rounds: int = 300) -> tuple[np.ndarray, float]:
     """Logistic regression on soft targets."""
-    n = len(rows)
-    weights, speed, bias, bias_speed = np.zeros(rows.shape[1]), np.zeros(rows.shape[1]), 0.0, 0.0
-    step = 4.0 / max(1.0, float((rows * rows).sum(axis=1).max()))
+    n, kind = len(rows), np.float32  # one type throughout, or every product would copy the rows
+    weights, speed, bias, bias_speed = np.zeros(rows.shape[1], kind), np.zeros(rows.shape[1], kind), 0.0, 0.0
+    step, l2 = kind(4.0 / max(1.0, float(np.einsum("ij,ij->i", rows, rows).max()))), kind(l2)
+    targets = targets.astype(kind)
     for _ in range(rounds):
-        ahead = weights + 0.9 * speed
-        error = 1 / (1 + np.exp(-np.clip(rows @ ahead + bias + 0.9 * bias_speed, -30, 30))) - targets
-        speed = 0.9 * speed - step * (rows.T @ error / n + l2 * ahead)
-        bias_speed = 0.9 * bias_speed - step * error.mean()
+        ahead = weights + kind(0.9) * speed
+        error = 1 / (1 + np.exp(-np.clip(rows @ ahead + kind(bias + 0.9 * bias_speed), -30, 30))) - targets
+        speed = kind(0.9) * speed - step * (error @ rows / kind(n) + l2 * ahead)
+        bias_speed = 0.9 * bias_speed - float(step * error.mean())
         weights, bias = weights + speed, bias + bias_speed
-    return weights, float(bias)
+    return weights.astype(np.float64), float(bias)
 
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_sample: int = MAX_SAMPLE) -> dict:
