@@ -22,18 +22,14 @@ INVOICE_HEADER = "invoice_id,legal_entity,counter_party,rating,status,value"
 TIER_ROWS = ["C1,1", "C2,2", "C3,3", "C4,4", "C5,5", "C6,6"]
 TIER_HEADER = "counter_party,tier"
 
-DIRTY_ROWS = (
-    INVOICE_ROWS[:4]
-    + ["5,L2,C5,4,ACCR,"]
-    + INVOICE_ROWS[5:13]
-    + ["14,L2,C3,2,3,52"]
-    + INVOICE_ROWS[14:18]
-    + [
-        "19,L3,2,6,ACCR,602", "20,L1,C1,2,ARAP,10e", "21,L2,C2,3,ACCR,40,1",
-        "18,L3,C6,5,ARAP,65", "19,L3,2,6,ACCR,602", "20,L1,C1,2,ARAP,10e", "21,L2,C2,3,ACCR,40,1",
-        "5,L2,C4,4,ACCR,", "6,L3,C2,6,ACCR,60",
-    ]
-)
+DIRTY_ROWS = [
+    "1,L1,C1,1,ARAP,10", "2,L2,C2,2,ARAP,20", "3,L3,C3,4,ACCR,30", "4,L1,C4,6,ARAP,40", "5,L2,C5,4,ACCR,",
+    "6,L3,C6,6,ACCR,60", "7,L1,C1,2,ARAP,10", "8,L2,C2,3,ACCR,40", "9,L3,C3,3,ACCR,80", "10,L1,C4,5,ACCR,100",
+    "11,L2,C5,6,ARAP,1000", "12,L3,C6,4,ARAP,80", "13,L1,C1,3,ARAP,20", "14,L2,C3,2,3,52", "15,L3,C3,4,ACCR,35",
+    "16,L1,C3,6,ARAP,5", "17,L2,C5,3,ACCR,65", "18,L3,C6,5,ARAP,65", "19,L3,2,6,ACCR,602", "20,L1,C1,2,ARAP,10e",
+    "21,L2,C2,3,ACCR,40,1", "18,L3,C6,5,ARAP,65", "19,L3,2,6,ACCR,602", "20,L1,C1,2,ARAP,10e",
+    "21,L2,C2,3,ACCR,40,1", "5,L2,C4,4,ACCR,", "6,L3,C2,6,ACCR,60",
+]
 
 TIER_JSON = """[
   {

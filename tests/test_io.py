@@ -38,6 +38,19 @@ def test_tolerant_read_separates_wrong_width_rows(spark, data_dir):
     assert sorted(r.raw_line for r in bad.collect()) == ["21,L2,C2,3,ACCR,40,1"] * 2
 
 
+def test_tolerant_read_counts_fields_and_keeps_whole_lines(spark, tmp_path):
+    path = tmp_path / "wide.csv"
+    good_lines = ["1,L1,C1,1,ARAP,10", '2,"L2, ""x"", Inc",C2,2,ARAP,20', "3,L3", ",,,,,"]
+    bad_lines = ["4,L1,C1,1,ARAP,10,", "5,L1,C1,1,ARAP,10,,junk", "6,L1,C1,1,ARAP,10,x,y,z", '7,"L,1",C1,1,ARAP,10,1']
+    path.write_text("\n".join(good_lines[:2] + bad_lines + [""] + good_lines[2:]))
+    good, bad = files.split_corrupt(files.read_csv_tolerant(spark, str(path), INVOICE, header=False, escape='"'))
+    assert sorted(r.raw_line for r in bad.collect()) == sorted(bad_lines)
+    assert sorted((r.invoice_id or "", r.legal_entity, r.value) for r in good.collect()) == [
+        ("", None, None), ("1", "L1", "10"), ("2", 'L2, "x", Inc', "20"), ("3", "L3", None),
+    ]
+    assert good.count() == 4 and bad.count() == 4  # also when nothing but the count is read
+
+
 def test_csv_sink_roundtrip(spark, enriched):
     from tierwise.functions.metrics import invoice_metrics
     from tierwise.operators.totals import totals

@@ -51,6 +51,28 @@ def test_positions_are_exact_over_splits_and_files(spark, tmp_path, files_n, spl
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
 
 
+def test_positions_do_not_shuffle_the_rows(spark, tmp_path):
+    path = str(tmp_path / "positions")
+    spark.range(0, 2000, 1, 4).select(F.col("id").cast("string").alias("v"), F.repeat(F.lit("wide"), 9).alias("payload")).write.csv(path)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = quality.with_position(spark.read.schema("v string, payload string").csv(path))
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        # Offsets are broadcast behind the size check; no exchange carries the rows' payload.
+        assert "BroadcastHashJoin" in plan and plan.count("payload") >= 1
+        assert not any("payload" in part.splitlines()[1] for part in plan.split("Exchange hashpartitioning")[1:] if len(part.splitlines()) > 1)
+        assert out.count() == 2000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+@pytest.mark.parametrize("text", ["\t5", "5\n", " \r\n+5\x0b"])
+def test_all_white_space_around_an_integer_is_trimmed(spark, text):
+    df = spark.createDataFrame([(text,)], "t string").select(quality.integer_reason(F.col("t")).alias("r"))
+    assert df.first().r is None
+
+
 def test_missing_required_column_rejects_every_row(spark, invoices):
     text = invoices.select([F.col(c).cast("string") for c in invoices.columns if c != "rating"])
     checked = quality.validate(text, INVOICE)

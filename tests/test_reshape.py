@@ -51,3 +51,20 @@ def test_records_from_cells_keeps_carried_columns(spark):
     df = spark.createDataFrame([("f1", "a,1\rb,2"), ("f2", "c,3")], "file string, t string")
     out = reshape.records_from_cells(df, "t", ["k", "v"], keep=["file"])
     assert sorted(tuple(r) for r in out.collect()) == [("f1", "a", "1"), ("f1", "b", "2"), ("f2", "c", "3")]
+
+
+def test_wrong_widths_and_casts_are_rejected_and_quotes_kept(spark, tmp_path):
+    path = tmp_path / "flat.csv"
+    records = [
+        "1,L1,C1,1,ARAP,10", "21,L2,C2,3,ACCR,40,1", '2,"L2, Inc",C2,2,ARAP,20', "3,L3,C3,x,ACCR,30",
+        ",L4,C4,4,ARAP,", "4,L1,C1,1,ARAP,10,5,L2,C2,3e,ACCR,40", "6,L6",
+    ]
+    path.write_text("\r".join(records))
+    good, bad = reshape.split_flat_records(spark, str(path), INVOICE)
+    assert sorted(map(tuple, good.collect()), key=str) == sorted([
+        (1, "L1", "C1", 1, "ARAP", 10), (2, "L2, Inc", "C2", 2, "ARAP", 20), (None, "L4", "C4", 4, "ARAP", None), (4, "L1", "C1", 1, "ARAP", 10),
+    ], key=str)
+    assert sorted(map(tuple, bad.collect())) == sorted([
+        ("21,L2,C2,3,ACCR,40,1", "wrong number of cells"), ("6,L6", "wrong number of cells"),
+        ("3,L3,C3,x,ACCR,30", "a cell does not cast"), ("5,L2,C2,3e,ACCR,40", "a cell does not cast"),
+    ])

@@ -42,3 +42,25 @@ def test_stream_of_files_gives_the_same_totals(spark, tmp_path, invoices, tiers)
     )
     again.awaitTermination(120)
     assert rows(T.totals_from_partials(read_partials(spark, partials_path), DIMS, invoice_metrics(), "cube", "total")) == rows(whole)
+
+
+def test_a_stream_stopped_and_started_again_counts_nothing_twice(spark, tmp_path, data_dir):
+    import pytest
+
+    from tierwise import cli
+
+    incoming, out = tmp_path / "landing", scratch_path(spark, "stream-restart")
+    incoming.mkdir()
+    run = ["stream", "--incoming", str(incoming), "--dictionary", str(data_dir / "tiers.csv"), "--out", out, "--once"]
+    total = lambda: rows(cli.run(["totals", "--partials", out, "--sets", "cube", "--label", "total"], spark))
+    (incoming / "day0.csv").write_text("\n".join([INVOICE_HEADER] + INVOICE_ROWS[:9]) + "\n")
+    cli.run(run, spark)
+    first = total()
+    cli.run(run, spark)  # no checkpoint named, nothing new has arrived
+    assert total() == first
+    (incoming / "day1.csv").write_text("\n".join([INVOICE_HEADER] + INVOICE_ROWS[9:]) + "\n")
+    cli.run(run, spark)
+    whole = cli.run(["totals", "--facts", str(data_dir / "invoices.csv"), "--dictionary", str(data_dir / "tiers.csv"), "--sets", "cube", "--label", "total"], spark)
+    assert total() == rows(whole)
+    with pytest.raises(ValueError):  # another checkpoint would number and count the batches anew
+        cli.run([*run, "--checkpoint", scratch_path(spark, "other-checkpoint")], spark)

@@ -60,16 +60,18 @@ def read_json_lines(spark: SparkSession, path, schema: T.StructType | None = Non
     return reader.options(**options).json(path)
 
 
-def field_pattern(sep: str = ",") -> str:
-    """Regular expression of one field behind its separator, quoted or plain."""
-    s = re.escape(sep)
-    return f'{s}("(?:[^"\\\\]|\\\\.)*+"(?:(?!{s}).)*+|(?:(?!{s}).)*+)'
+def field_pattern(sep: str = ",", escape: str = "\\") -> str:
+    """Regular expression of one field behind its separator, quoted or plain;
+    ``escape`` is what makes a quote part of a quoted field."""
+    s, e = re.escape(sep), re.escape(escape)
+    inside = '[^"]|""' if escape == '"' else f'[^"{e}]|{e}.'
+    return f'{s}("(?:{inside})*+"(?:(?!{s}).)*+|(?:(?!{s}).)*+)'
 
 
-def count_fields(line: Column, sep: str = ",") -> Column:
+def count_fields(line: Column, sep: str = ",", escape: str = "\\") -> Column:
     """Number of fields of a delimited record; separators inside quotes do not count."""
     plain = F.length(line) - F.length(F.replace(line, F.lit(sep), F.lit(""))) + len(sep)
-    quoted = F.regexp_count(F.concat(F.lit(sep), line), F.lit(field_pattern(sep)))
+    quoted = F.regexp_count(F.concat(F.lit(sep), line), F.lit(field_pattern(sep, escape)))
     return F.when(F.contains(line, F.lit('"')), quoted).otherwise((plain / len(sep)).cast("int"))
 
 
@@ -91,7 +93,8 @@ def read_csv_tolerant(spark: SparkSession, path, schema: T.StructType, header: b
     if header:
         lines = lines.filter(F.col("value") != sep.join(schema.fieldNames()))
     parsed = F.from_csv(F.col("value"), text_schema.simpleString()[len("struct<"):-1].replace(":", " "), {"mode": "PERMISSIVE", **options})
-    long = F.when(count_fields(F.col("value"), sep) > len(schema), F.col("value"))
+    fields = count_fields(F.col("value"), sep, options.get("escape", "\\"))
+    long = F.when(fields > len(schema), F.col("value"))
     return lines.select(parsed.alias("__r"), long.alias(EXTRA)).select(*[F.col(f"__r.{c}") for c in schema.fieldNames()], EXTRA)
 
 
