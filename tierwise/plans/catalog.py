@@ -521,9 +521,10 @@ def totals_outer_join(spark, sf_dir):
 
 
 def totals_decimal(spark, sf_dir):
-    """Sums of decimals through partial rows keep the type of a direct sum."""
+    """Sums of decimals through partial rows keep the type of a direct sum; as text, with its scale."""
     fact = inv.invoices(spark, sf_dir).withColumn("amount", F.col("value").cast("decimal(12,2)"))
-    return joined_totals(spark, sf_dir, "rollup", "total", fact=fact, metrics=[sum_of("amount")])
+    summed = joined_totals(spark, sf_dir, "rollup", "total", fact=fact, metrics=[sum_of("amount")])
+    return summed.withColumn("sum_amount", F.col("sum_amount").cast("string"))
 
 
 def pipeline_run(spark, sf_dir):

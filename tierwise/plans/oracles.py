@@ -254,7 +254,7 @@ SELECT {_TOTAL_LABELS},
        {_METRICS}, COUNT(*) AS n_rows, CAST(GROUPING(legal_entity, counter_party, tier) AS BIGINT) AS grouping_id
 FROM enriched
 GROUP BY CUBE (legal_entity, counter_party, tier)""",
-    "totals_decimal": _WITH + f"""SELECT {_TOTAL_LABELS}, CAST(SUM(CAST(value AS DECIMAL(12,2))) AS DECIMAL(22,2)) AS sum_amount
+    "totals_decimal": _WITH + f"""SELECT {_TOTAL_LABELS}, CAST(CAST(SUM(CAST(value AS DECIMAL(12,2))) AS DECIMAL(22,2)) AS VARCHAR) AS sum_amount
 FROM enriched
 GROUP BY ROLLUP (legal_entity, counter_party, tier)""",
 }
