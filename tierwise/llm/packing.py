@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import store
-from .tokens import TextEncoder, default_tokenizer
+from .tokens import default_tokenizer, shared_encoder
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, bin long, offset long, fill long"
 WINDOW = 131_072  # pieces packed together in one local round
@@ -71,7 +71,7 @@ def pack_pieces(docs: DataFrame, id_col: str, text_col: str, capacity: int, end_
         from pyspark import TaskContext
 
         base, made = TaskContext.get().partitionId() << 40, 0
-        encoder, end = TextEncoder(tokenizer), np.array([end_id], "<u4").tobytes()
+        encoder, end = shared_encoder(tokenizer), np.array([end_id], "<u4").tobytes()
         rows: list[tuple] = []
 
         def flush():

@@ -13,7 +13,7 @@ doc_lengths, and the payload, which is the binary format proper:
                the deltas' low ``width`` bits, packed,
                exceptions' positions uint16, then their high bits uint32
 
-The width of a block is that of the percentile of its deltas that makes the
+The width of a block is the percentile of its deltas' widths that makes the
 block smallest; deltas beyond it leave their high bits in the exception list.
 ``read`` decodes whole segments, ``decode_block`` a single block by the index.
 
@@ -33,10 +33,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import drop_at_exit, scratch_path
-from .tokens import TextEncoder, default_tokenizer
+from .tokens import default_tokenizer, shared_encoder
 
 BLOCK = 256
-PERCENTILES = (50, 75, 90, 95, 99, 100)
 _SEGMENT = "shard int, segment int, first_id long, n_ids long, doc_ids array<long>, doc_lengths array<int>, payload binary"
 
 
@@ -44,8 +43,8 @@ def _pack_bits(values: np.ndarray, width: int) -> bytes:
     """The low ``width`` bits of each value, least significant bit first."""
     if not width:
         return b""
-    bits = (values[:, None] >> np.arange(width, dtype=np.uint32)) & 1
-    return np.packbits(bits.astype(np.uint8).reshape(-1), bitorder="little").tobytes()
+    bits = np.unpackbits(values.astype("<u4").view(np.uint8).reshape(-1, 4)[:, : (width + 7) // 8], axis=1, bitorder="little")
+    return np.packbits(bits[:, :width].reshape(-1), bitorder="little").tobytes()
 
 
 def _unpack_bits(data: bytes, count: int, width: int) -> np.ndarray:
@@ -57,7 +56,7 @@ def _unpack_bits(data: bytes, count: int, width: int) -> np.ndarray:
 
 
 def _bit_lengths(values: np.ndarray) -> np.ndarray:
-    return np.ceil(np.log2(values.astype(np.float64) + 1)).astype(np.int64)
+    return np.frexp(values.astype(np.float64))[1]
 
 
 def encode(ids: np.ndarray, block: int = BLOCK) -> bytes:
@@ -70,21 +69,20 @@ def encode(ids: np.ndarray, block: int = BLOCK) -> bytes:
         whole = np.pad(ids, (0, blocks * block - n), mode="edge").reshape(blocks, block)
         low = whole.min(axis=1)
         delta = whole - low[:, None]
-        need = np.sort(_bit_lengths(delta), axis=1)
-        ranks = [max(0, -(-block * p // 100) - 1) for p in PERCENTILES]
-        widths = need[:, ranks]
-        over = np.stack([(need > widths[:, [k]]).sum(axis=1) for k in range(len(ranks))], axis=1)
-        best = np.argmin(widths * block + over * 48, axis=1)
-        width = widths[np.arange(blocks), best]
+        # Per block, how many deltas fit each width: its percentiles.
+        need = _bit_lengths(delta) + 33 * np.arange(blocks)[:, None]
+        fitting = np.cumsum(np.bincount(need.reshape(-1), minlength=33 * blocks).reshape(blocks, 33), axis=1)
+        width = np.argmin(np.arange(33) * block + 48 * (block - fitting), axis=1)
+        over = block - fitting[np.arange(blocks), width]
         packed: dict[int, bytes] = {}
         for w in np.unique(width).tolist():  # one vectorised packing per width
             rows = np.flatnonzero(width == w)
             size = block * w // 8
             data = _pack_bits((delta[rows] & np.uint32((1 << w) - 1)).reshape(-1), w)
             packed.update((r, data[k * size : (k + 1) * size]) for k, r in enumerate(rows.tolist()))
-        high = delta >> width[:, None].astype(np.uint32)
+        high = (delta.astype(np.uint64) >> width[:, None].astype(np.uint64)).astype(np.uint32)
         for b in range(blocks):
-            outliers = np.flatnonzero(high[b]) if over[b, best[b]] else ()
+            outliers = np.flatnonzero(high[b]) if over[b] else ()
             part = struct.pack("<IBH", int(low[b]), int(width[b]), len(outliers)) + packed[b]
             if len(outliers):
                 part += outliers.astype("<u2").tobytes() + high[b][outliers].astype("<u4").tobytes()
@@ -142,7 +140,7 @@ def write(
     def run(batches):
         from pyspark import TaskContext
 
-        shard, encoder, end = TaskContext.get().partitionId(), TextEncoder(tokenizer), np.array([end_id], "<u4").tobytes()
+        shard, encoder, end = TaskContext.get().partitionId(), shared_encoder(tokenizer), np.array([end_id], "<u4").tobytes()
         segment, before, held, parts, doc_ids, lengths = 0, 0, 0, [], [], []
 
         def close():

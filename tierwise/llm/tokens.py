@@ -15,13 +15,15 @@ from __future__ import annotations
 import json
 import os
 import re
+import sys
+import types
 
 import numpy as np
 
-MEMO_CHUNKS = 300_000  # chunks remembered per task; the table starts anew beyond that
+MEMO_CHUNKS = 250_000  # chunks per generation of a task's table; the last two generations are kept
 MEMO_CHARS = 64  # longer chunks are not remembered
 _SAFE = re.compile(r"(?<=\S) (?=\S)")
-_TAILS = ".,;:!?"
+_STEM = re.compile(r"([^\W\d_]+)([^\w\s]+)")
 
 
 def default_tokenizer() -> str:
@@ -45,16 +47,23 @@ class _Memo(dict):
     """Chunk (without its leading space) to ids as little-endian uint32 bytes."""
 
     def __init__(self, encoder: "TextEncoder"):
-        self.encoder = encoder
+        self.encoder, self.older = encoder, {}
 
     def __missing__(self, chunk: str) -> bytes:
-        if not chunk or chunk[0].isspace() or chunk[-1].isspace():
-            raise _Irregular
-        ids = self.encoder.chunk_ids(chunk)
+        ids = self.older.get(chunk)
+        if ids is None:
+            if not chunk or chunk[0].isspace() or chunk[-1].isspace():
+                raise _Irregular
+            ids = self.encoder.chunk_ids(chunk)
         if len(chunk) <= MEMO_CHARS:
             self[chunk] = ids
         return ids
 
+    def trim(self) -> None:
+        if len(self) > MEMO_CHUNKS:
+            self.older = dict(self)
+            self.clear()
+
 
 class _Irregular(Exception):
     """A space of the text has white space beside it."""
@@ -79,34 +88,56 @@ class TextEncoder:
         )
         self.letters = _byte_letters()
         self.memo = _Memo(self)
-        self.tails = {t: self.library(t) for t in _TAILS} if self.chunked else {}
+        self.others: dict[str, bytes] = {}  # marks after a word, words after a line's end
 
     def library(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
+    def word(self, letters: str, space: bool) -> bytes:
+        """Ids of one pre-token of letters: the library's BPE model takes it directly."""
+        plain = letters if letters.isascii() else "".join(self.letters[b] for b in letters.encode("utf-8"))
+        return np.array([t.id for t in self.model.tokenize("Ġ" + plain if space else plain)], dtype="<u4").tobytes()
+
+    def other(self, text: str) -> bytes:
+        ids = self.others.get(text)
+        if ids is None:
+            if len(self.others) > MEMO_CHUNKS // 4:
+                self.others.clear()
+            ids = self.others[text] = self.word(text, False) if text.isalpha() else self.library(text)
+        return ids
+
     def chunk_ids(self, chunk: str) -> bytes:
         """Ids of a space followed by ``chunk``."""
-        if chunk.isalpha():  # one pre-token: the library's BPE model takes it directly
-            letters = self.letters
-            piece = "Ġ" + (chunk if chunk.isascii() else "".join(letters[b] for b in chunk.encode("utf-8")))
-            return np.array([t.id for t in self.model.tokenize(piece)], dtype="<u4").tobytes()
-        if chunk[-1] in self.tails and chunk[:-1].isalpha():  # a mark after letters is a pre-token of its own
-            return self.memo[chunk[:-1]] + self.tails[chunk[-1]]
+        if chunk.isalpha():
+            return self.word(chunk, True)
+        stem = _STEM.fullmatch(chunk)
+        if stem and stem[1].isalpha():  # marks after letters are a pre-token of their own
+            return self.memo[stem[1]] + self.other(stem[2])
+        left, line, right = chunk.partition("\n")
+        if line and left and not left[-1].isspace() and right and not right[0].isspace():
+            # A line's end between non-space characters is a pre-token of its own, too.
+            return self.memo[left] + self.other("\n") + self.start_ids(right)
         return self.library(" " + chunk)
 
+    def start_ids(self, text: str) -> bytes:
+        """Ids of a text without a space in front."""
+        stem = _STEM.fullmatch(text)
+        if stem and stem[1].isalpha():
+            return self.other(stem[1]) + self.other(stem[2])
+        return self.other(text) if text.isalpha() else self.library(text)
+
     def ids(self, text: str | None) -> bytes:
         """Null and empty texts have no ids."""
         if not text:
             return b""
         if not self.chunked:
             return self.library(text)
-        if len(self.memo) > MEMO_CHUNKS:
-            self.memo.clear()
+        self.memo.trim()
         parts = text.split(" ")
         try:
             if parts[0] and parts[0][-1].isspace():
                 raise _Irregular
-            first = self.library(parts[0]) if parts[0] else b""
+            first = self.start_ids(parts[0]) if parts[0] else b""
             return first + b"".join(map(self.memo.__getitem__, parts[1:]))
         except _Irregular:
             return self._irregular(text)
@@ -122,3 +153,11 @@ class TextEncoder:
             else:
                 out.append(self.memo[piece])
         return b"".join(out)
+
+
+def shared_encoder(path: str) -> TextEncoder:
+    """The worker process's encoder: its table of chunks serves all tasks that run there."""
+    state = sys.modules.setdefault("_text_encoders", types.ModuleType("_text_encoders")).__dict__
+    if path not in state:
+        state[path] = TextEncoder(path)
+    return state[path]
