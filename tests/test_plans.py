@@ -221,3 +221,9 @@ def test_hot_fraction_bounds_the_hot_keys(spark):
     # Only key 0 holds a third of the rows; every other key holds about 1.3%.
     salted = joins.enrich(fact, dictionary, "k", broadcast=False, salt=8, hot_fraction=0.2)
     assert rows(salted, ["id", "k", "w"]) == rows(plain, ["id", "k", "w"])
+
+
+def test_rejects_check_every_field_once(spark):
+    plan = plan_text(catalog.reject_reasons(spark, SF))
+    assert plan.count("RLIKE") == 3  # three integer fields
+    assert "SinglePartition" not in plan
