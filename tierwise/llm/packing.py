@@ -158,9 +158,8 @@ def pack(
         seen = items.agg(
             F.max("node").alias("last"), F.min("fill").alias("smallest"), F.count_if(F.col("fill") * 2 <= capacity).alias("halves")
         ).first()
-        if seen["last"] is None or (level > 1 and seen["last"] == 0 and last_node == 0):
+        if seen["last"] is None:
             break
-        last_node = seen["last"] // fan_in
         packed = items.withColumn("node", F.expr(f"node div {fan_in}")).groupBy("node").applyInArrow(
             _merge_node(capacity, slack, int(seen["smallest"]), int(seen["halves"])),
             "node long, bin long, root long, shift long, fill long, going_on boolean",
@@ -174,7 +173,7 @@ def pack(
             merged = merged.join(step, "root", "left").select(
                 "bin", F.coalesce("next", "root").alias("root"), (F.col("shift") + F.coalesce("more", F.lit(0))).alias("shift")
             ).unionByName(moved)
-        if last_node == 0:
+        if seen["last"] < fan_in:  # all of them were one node's children
             break
         items = packed.where("going_on").select("bin", "fill", "node")
     out = ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"] + ["ids"] * with_ids
