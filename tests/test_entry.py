@@ -82,11 +82,12 @@ def test_bench_prints_one_json_line():
     import sys
 
     repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    env = dict(os.environ, BENCH_SF_DIR=SF, BENCH_ROUNDS="1", BENCH_CPUS="2")
+    some = ["totals_count_label", "enrich_salted", "tolerant_read_rows"]
+    env = dict(os.environ, BENCH_SF_DIR=SF, BENCH_ROUNDS="1", BENCH_CPUS="2", BENCH_QUERIES=",".join(some))
     done = subprocess.run([sys.executable, "bench.py"], cwd=repo, env=env, capture_output=True, text=True, timeout=900)
     assert done.returncode == 0, done.stderr[-2000:]
     lines = [line for line in done.stdout.splitlines() if line.strip()]
     assert len(lines) == 1
     result = json.loads(lines[0])
-    assert {"metric", "value", "unit", "queries", "sf"} <= set(result)
+    assert {"metric", "value", "unit", "queries", "sf"} <= set(result) and sorted(result["queries"]) == sorted(some)
     assert result["unit"] == "sec" and result["value"] > 0 and "failed" not in result
