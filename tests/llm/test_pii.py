@@ -84,3 +84,21 @@ def test_messy_rows(spark):
     assert pii.digest(pii.find_personal_data(empty(spark))).collect() == []
     plan = pii.find_personal_data(messy(spark))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_unseen_forms_are_found_by_their_context(spark):
+    # None of these has the shape of a seed: the context alone names the kind.
+    rows = [(i, f"please telephone +1 (551) 555-{1000 + i} soon") for i in range(30)]
+    rows += [(100 + i, f"write to mailbox user{i}@site{i}.org tonight") for i in range(30)]
+    rows += [(200 + i, f"open host 10.0.{i}.1 quickly") for i in range(30)]
+    odd = {
+        300: ("telephone", "1 (551) 555-7777", "soon", 3), 301: ("telephone", "(551) 555-7778", "soon", 3), 302: ("telephone", "551.555.7779", "soon", 3),
+        303: ("mailbox", "jane (at) site (dot) org", "tonight", 0), 304: ("mailbox", "jane at site dot org", "tonight", 0),
+        305: ("mailbox", "josé@sité.org", "tonight", 0), 306: ("mailbox", "jane [at] site.org", "tonight", 0), 307: ("host", "10[.]0[.]0[.]9", "quickly", 1),
+    }
+    rows += [(i, f"{a} {v} {b}") for i, (a, v, b, _) in odd.items()]
+    rows += [(400, "the number 1 (551) 555-8888 is odd"), (401, "we met jane (at) site (dot) org there"), (402, "telephone 12345 soon")]
+    found = {r.doc_id: r for r in pii.find_personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, (a, v, _, kind) in odd.items():
+        assert found[i].base == [] and [(s.s, s.e, s.k) for s in found[i].spans] == [(len(a) + 1, len(a) + 1 + len(v), kind)], i
+    assert [found[i].spans for i in (400, 401, 402)] == [[], [], []]

@@ -8,17 +8,20 @@ The patterns are written with possessive quantifiers and a look-behind where
 that finds the same matches, so no text makes them run in more than linear
 time or deep recursion.
 
-Bootstrapping: every digit run that no seed covers, of ``MIN_DIGITS`` digits or more
-with inner marks, is a candidate, known by its shape (digits as 9). A lexical
+Bootstrapping: a candidate is what no seed covers and could be personal data in
+another form: a digit run of ``MIN_DIGITS`` digits or more, with or without plus
+and inner marks; four numbers between dots, also bracketed or spelled ones; an
+e-mail address with its at sign or dots bracketed, spelled or spaced, with letters
+of any script, or without a dot. A candidate's form and digit count say which
+kinds it can be (``FITS``), not the seeds' own shapes; its contexts decide. A lexical
 pattern is a kind of word pair: the word before, or the word after, folded to
 lower case. Pattern and instance form a graph over all documents; in each of
 ``rounds`` rounds a pattern's score is the mean confidence of its distinct
 instances (seeds of its kind 1, the rest what they have so far) times
 log2(1 + seeds) / log2(1 + seeds of the best pattern), at most 1, and a
-candidate's confidence is that of its best pattern agreeing with one seed of
-the same kind and shape. Patterns with ``min_seeds`` distinct seeds and a score of
-``threshold`` or more are trusted, and candidates they find with the shape of a
-seed of that kind are added as spans of it. Counts are aggregates over all
+candidate's confidence in a kind it can be is that of its best pattern. Patterns
+with ``min_seeds`` distinct seeds and a score of ``threshold`` or more are trusted,
+and candidates they find that can be of their kind are added as spans of it. Counts are aggregates over all
 documents; trusted patterns are joined, and broadcast only by Spark's own
 measure of their size.
 
@@ -45,7 +48,21 @@ PATTERNS = {
 }
 # A cheap test that a text can hold the kind at all.
 HINTS = {"email": "@", "ip": ".", "card": None, "phone": "+"}
-CANDIDATE = r"(?<![A-Za-z0-9])[0-9](?:[ .()/-]{0,2}[0-9])++(?![A-Za-z0-9])"
+# A dot as written to hide it, and four numbers between dots, the last of them no more.
+_DOT = r"(?:\.|\x20?[\[({<]\x20?(?:\.|(?i:dot))\x20?[\])}>]\x20?|\x20(?i:dot)\x20)"
+_QUAD = rf"[0-9]++(?:{_DOT}[0-9]++){{3}}"
+CANDIDATE = (
+    rf"(?<![A-Za-z0-9])(?<![0-9]\.){_QUAD}(?![A-Za-z0-9]|\.[0-9])"
+    r"|(?<![A-Za-z0-9])\+?(?:\((?=[0-9]{1,5}\)))?[0-9](?:[ .()/-]{0,2}[0-9])++(?![A-Za-z0-9])"
+)
+# An at sign in brackets, spaced or of full width before any domain, or the bare word before one whose dots are hidden, too.
+_NAME = r"[\p{L}\p{M}\p{N}_%+-]"
+MAIL_CANDIDATE = (
+    rf"(?<![\p{{L}}\p{{M}}\p{{N}}._%+-])[\p{{L}}\p{{M}}\p{{N}}._%+-]++"
+    rf"(?:(?:\x20?[\[({{<]\x20?(?:@|(?i:at))\x20?[\])}}>]\x20?|\x20?[@\uFF20]\x20?){_NAME}++(?:{_DOT}{_NAME}++)*+"
+    rf"|\x20(?i:at)\x20{_NAME}++(?:(?!\.){_DOT}{_NAME}++)++)"
+)
+MAIL_HINT = r"[@\uFF20]|(?i)[\[({<]\x20?at\x20?[\])}>]|(?i)\x20dot\x20|(?i)[\[({<]\x20?(?:\.|dot)\x20?[\])}>]"
 
 
 def _digits(value: str) -> str:
@@ -63,6 +80,12 @@ VALID = {
     "card": f"length({_digits('{m}')}) BETWEEN 12 AND 19 AND (" + _LUHN.format(d=_digits("{m}")) + ")",
     "phone": f"length({_digits('{m}')}) BETWEEN 9 AND 15",
 }
+# What a candidate {m} other than a mail address can be; national phone numbers go without their first digits.
+FITS = {
+    "ip": "{m} RLIKE {quad}",
+    "card": f"length({_digits('{m}')}) BETWEEN 12 AND 19",
+    "phone": f"length({_digits('{m}')}) BETWEEN {MIN_DIGITS} AND 15",
+}
 
 
 def _quoted(pattern: str) -> str:
@@ -107,40 +130,46 @@ _RIGHT = r"^[^\\p{L}]*([\\p{L}]+)"
 
 def instances(scanned: DataFrame) -> DataFrame:
     """Seeds and candidates with their words: one row per occurrence
-    (key, s, e, value, shape, kind or null, before, after)."""
-    holders = scanned.where(f"size(base) > 0 OR text RLIKE '[0-9]'")
-    candidate = spans_sql("text", _quoted(CANDIDATE), f"length({_digits('{m}')}) >= {MIN_DIGITS}")
+    (key, s, e, value, kind or null, fits, before, after), fits the kinds a candidate can be."""
+    hint = _quoted(MAIL_HINT)
+    holders = scanned.where(f"size(base) > 0 OR text RLIKE '[0-9]' OR text RLIKE {hint}")
+    quad = _quoted(f"^{_QUAD}$")
+    none = "CAST(array() AS array<struct<s:int,e:int,m:string>>)"
+    mails = f"CASE WHEN text RLIKE {hint} THEN {spans_sql('text', _quoted(MAIL_CANDIDATE), 'true')} ELSE {none} END"
+    numbers = spans_sql("text", _quoted(CANDIDATE), f"(length({_digits('{m}')}) >= {MIN_DIGITS} OR {{m}} RLIKE {quad.replace('{', '{{').replace('}', '}}')})")
+    numbers = f"CASE WHEN text RLIKE '[0-9]' THEN {numbers} ELSE {none} END"
+    holders = holders.withColumn("mails", F.expr(f"filter({mails}, c -> NOT exists(base, b -> b.s < c.e AND c.s < b.e))"))
+    holders = holders.withColumn("numbers", F.expr(f"filter({numbers}, c -> NOT exists(base, b -> b.s < c.e AND c.s < b.e) AND NOT exists(mails, b -> b.s < c.e AND c.s < b.e))"))
+    kinds = ", ".join(f"IF({sql.format(m='c.m', quad=quad)}, {KINDS.index(kind)}, NULL)" for kind, sql in FITS.items())
     spans = f"""
-      concat(transform(base, b -> struct(b.s AS s, b.e AS e, b.m AS m, b.k AS k)),
-             transform(filter({candidate}, c -> NOT exists(base, b -> b.s < c.e AND c.s < b.e)),
-                       c -> struct(c.s AS s, c.e AS e, c.m AS m, CAST(NULL AS int) AS k)))"""
+      concat(transform(base, b -> struct(b.s AS s, b.e AS e, b.m AS m, b.k AS k, CAST(array() AS array<int>) AS fits)),
+             transform(mails, c -> struct(c.s AS s, c.e AS e, c.m AS m, CAST(NULL AS int) AS k, array({KINDS.index('email')}) AS fits)),
+             transform(numbers, c -> struct(c.s AS s, c.e AS e, c.m AS m, CAST(NULL AS int) AS k, array_compact(array({kinds})) AS fits)))"""
     rows = holders.select("key", "text", F.explode(F.expr(spans)).alias("x"))
     return rows.selectExpr(
-        "key", "x.s", "x.e", "x.m AS value", "regexp_replace(x.m, '[0-9]', '9') AS shape", "x.k AS kind",
+        "key", "x.s", "x.e", "x.m AS value", "x.k AS kind", "x.fits",
         f"lower(regexp_extract(substr(text, greatest(1, x.s - 63), least(64, x.s)), '{_LEFT}', 1)) AS before",
         f"lower(regexp_extract(substr(text, x.e + 1, 64), '{_RIGHT}', 1)) AS after",
     )
 
 
 def trusted_patterns(found: DataFrame, rounds: int, min_seeds: int, threshold: float) -> DataFrame:
-    """(side, word, kind, shape): patterns whose score over the pattern-instance graph is high enough."""
+    """(side, word, kind): patterns whose score over the pattern-instance graph is high enough."""
     spark = found.sparkSession
     words = F.explode(F.array(F.struct(F.lit("before").alias("side"), F.col("before").alias("word")), F.struct(F.lit("after").alias("side"), F.col("after").alias("word"))))
-    edges = found.select("value", "shape", "kind", words.alias("p")).select("value", "shape", "kind", "p.side", "p.word").where("word != ''").distinct()
+    edges = found.select("value", "kind", "fits", words.alias("p")).select("value", "kind", "fits", "p.side", "p.word").where("word != ''").distinct()
     edges = store(spark, edges, "pii-graph")
     seeds = edges.where("kind IS NOT NULL")
     # What a pattern can bring in: kinds it has seeds of.
     patterns = seeds.groupBy("side", "word", "kind").agg(F.countDistinct("value").alias("seeds"))
     best = patterns.groupBy("kind").agg(F.max("seeds").alias("most"))
     patterns = store(spark, patterns.where(F.col("seeds") >= min_seeds).join(best, "kind"), "pii-patterns")
-    shapes = seeds.select("kind", "shape").distinct()
     own = patterns.select("side", "word", F.col("kind").alias("of"), "seeds", "most")
     around = edges.join(own, ["side", "word"]).select(
         "side", "word", "of", "seeds", "most", "value", F.coalesce(F.col("kind") == F.col("of"), F.lit(False)).alias("seed"),
-        F.col("kind").isNull().alias("unseen"), "shape",
+        F.col("kind").isNull().alias("unseen"), F.expr("array_contains(fits, of)").alias("fits"),
     )
     around = store(spark, around, "pii-around")
-    fitting = shapes.select(F.col("kind").alias("of"), "shape", F.lit(True).alias("fits"))
     belief = None
     scores = None
     for _ in range(rounds):
@@ -151,10 +180,10 @@ def trusted_patterns(found: DataFrame, rounds: int, min_seeds: int, threshold: f
             (F.avg("sure") * F.least(F.lit(1.0), F.log2(F.max("seeds") + 1) / F.log2(F.max("most") + 1))).alias("score")
         )
         scores = store(spark, scores, "pii-scores")
-        belief = around.where("unseen").join(fitting, ["of", "shape"]).join(scores, ["side", "word", "of"]).groupBy("of", "value").agg(
+        belief = around.where("unseen AND fits").join(scores, ["side", "word", "of"]).groupBy("of", "value").agg(
             F.max("score").alias("confidence")
         )
-    return scores.where(F.col("score") >= threshold).select("side", "word", F.col("of").alias("kind")).join(shapes, "kind")
+    return scores.where(F.col("score") >= threshold).select("side", "word", F.col("of").alias("kind"))
 
 
 def find_personal_data(
@@ -169,9 +198,9 @@ def find_personal_data(
     scanned = base_spans(plain.withColumn("key", F.struct("doc_id", F.xxhash64("text").alias("h"), F.hash("text").alias("g"))))
     found = store(spark, instances(scanned), "pii-instances")
     trusted = trusted_patterns(found.drop("key", "s", "e"), rounds, min_seeds, threshold)
-    unseen = found.where("kind IS NULL").drop("kind")
+    unseen = found.where("kind IS NULL").withColumn("kind", F.explode("fits"))
     by_side = [
-        unseen.withColumn("word", F.col(side)).join(trusted.where(F.col("side") == side), ["word", "shape"]).select("key", "s", "kind", "e", "value")
+        unseen.withColumn("word", F.col(side)).join(trusted.where(F.col("side") == side), ["word", "kind"]).select("key", "s", "kind", "e", "value")
         for side in ("before", "after")
     ]
     added = by_side[0].unionByName(by_side[1]).distinct().groupBy("key").agg(
