@@ -102,3 +102,12 @@ def test_unseen_forms_are_found_by_their_context(spark):
     for i, (a, v, _, kind) in odd.items():
         assert found[i].base == [] and [(s.s, s.e, s.k) for s in found[i].spans] == [(len(a) + 1, len(a) + 1 + len(v), kind)], i
     assert [found[i].spans for i in (400, 401, 402)] == [[], [], []]
+
+
+def test_a_hot_pattern_takes_no_trust_from_others(spark):
+    # One template holds nearly all phone numbers; a small reliable context keeps the trust it has without it.
+    rows = [(i, f"please telephone +1 (551) 555-{1000 + i} soon") for i in range(20)] + [(100, "please telephone 1 (551) 555-7777 soon")]
+    hot = [(1000 + i, f"hotline +49 30 {1000000 + i} anytime") for i in range(3000)]
+    for docs in (rows, rows + hot):
+        found = {r.doc_id: r for r in pii.find_personal_data(spark.createDataFrame(docs, "doc_id long, text string")).where("doc_id < 1000").collect()}
+        assert [(s.s, s.e, s.k) for s in found[100].spans] == [(17, 33, 3)]

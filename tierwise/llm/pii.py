@@ -16,9 +16,10 @@ of any script, or without a dot. A candidate's form and digit count say which
 kinds it can be (``FITS``), not the seeds' own shapes; its contexts decide. A lexical
 pattern is a kind of word pair: the word before, or the word after, folded to
 lower case. Pattern and instance form a graph over all documents; in each of
-``rounds`` rounds a pattern's score is the mean confidence of its distinct
-instances (seeds of its kind 1, the rest what they have so far) times
-log2(1 + seeds) / log2(1 + seeds of the best pattern), at most 1, and a
+``rounds`` rounds a pattern's score is the lower confidence bound (Wilson's, at
+``SIGMAS`` standard errors) of the mean confidence of its distinct instances
+(seeds of its kind 1, the rest what they have so far). It takes the pattern's own
+instances only, so neither the corpus's size nor another pattern moves it. A
 candidate's confidence in a kind it can be is that of its best pattern. Patterns
 with ``min_seeds`` distinct seeds and a score of ``threshold`` or more are trusted,
 and candidates they find that can be of their kind are added as spans of it. Counts are aggregates over all
@@ -39,6 +40,8 @@ from ..session import store
 
 KINDS = ("email", "ip", "card", "phone")
 MIN_DIGITS = 7
+# So five instances, all seeds, score 5/6: a reliable pattern passes from about min_seeds on.
+SIGMAS = 1.0
 _LOCAL = r"A-Za-z0-9._%+-"
 PATTERNS = {
     "email": rf"(?:(?<![{_LOCAL}])|\G)[{_LOCAL}]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
@@ -162,22 +165,22 @@ def trusted_patterns(found: DataFrame, rounds: int, min_seeds: int, threshold: f
     seeds = edges.where("kind IS NOT NULL")
     # What a pattern can bring in: kinds it has seeds of.
     patterns = seeds.groupBy("side", "word", "kind").agg(F.countDistinct("value").alias("seeds"))
-    best = patterns.groupBy("kind").agg(F.max("seeds").alias("most"))
-    patterns = store(spark, patterns.where(F.col("seeds") >= min_seeds).join(best, "kind"), "pii-patterns")
-    own = patterns.select("side", "word", F.col("kind").alias("of"), "seeds", "most")
+    patterns = store(spark, patterns.where(F.col("seeds") >= min_seeds), "pii-patterns")
+    own = patterns.select("side", "word", F.col("kind").alias("of"))
     around = edges.join(own, ["side", "word"]).select(
-        "side", "word", "of", "seeds", "most", "value", F.coalesce(F.col("kind") == F.col("of"), F.lit(False)).alias("seed"),
+        "side", "word", "of", "value", F.coalesce(F.col("kind") == F.col("of"), F.lit(False)).alias("seed"),
         F.col("kind").isNull().alias("unseen"), F.expr("array_contains(fits, of)").alias("fits"),
     )
     around = store(spark, around, "pii-around")
     belief = None
     scores = None
+    z2 = f"{SIGMAS * SIGMAS}D"
     for _ in range(rounds):
         known = around if belief is None else around.join(belief, ["of", "value"], "left")
         sure = F.when(F.col("seed"), 1.0).when(F.col("unseen"), F.coalesce(F.col("confidence"), F.lit(0.0)) if belief is not None else F.lit(0.0)).otherwise(0.0)
-        per_value = known.groupBy("side", "word", "of", "seeds", "most", "value").agg(F.max(sure).alias("sure"))
-        scores = per_value.groupBy("side", "word", "of").agg(
-            (F.avg("sure") * F.least(F.lit(1.0), F.log2(F.max("seeds") + 1) / F.log2(F.max("most") + 1))).alias("score")
+        per_value = known.groupBy("side", "word", "of", "value").agg(F.max(sure).alias("sure"))
+        scores = per_value.groupBy("side", "word", "of").agg(F.avg("sure").alias("p"), F.count("*").alias("n")).selectExpr(
+            "side", "word", "of", f"(p + {z2} / (2 * n) - {SIGMAS}D * sqrt(p * (1 - p) / n + {z2} / (4 * n * n))) / (1 + {z2} / n) AS score"
         )
         scores = store(spark, scores, "pii-scores")
         belief = around.where("unseen AND fits").join(scores, ["side", "word", "of"]).groupBy("of", "value").agg(
