@@ -88,3 +88,26 @@ def test_toxicity_messy_rows(spark):
     assert toxicity.classify(empty(spark), marked).collect() == []
     unlabelled = toxicity.classify(docs, marked.limit(0)).collect()
     assert len(unlabelled) == len(TEXTS) and all(r.predicted == 0 for r in unlabelled)
+
+
+def test_swapping_a_group_does_not_move_the_whole_score(spark):
+    # As above, but over everything a swap changes: the term and its beginnings.
+    rows, marks = [], []
+    for i in range(600):
+        toxic, group = i % 4 == 0, ("muslims" if i % 4 == 0 and i % 8 else "people" if i % 3 else "women")
+        rows.append((i, f"these {group} {'are scum and trash' if toxic else 'were at the river'} on day{i}"))
+        marks.append((i, int(toxic)))
+    docs, marked = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(marks, "doc_id long, toxic int")
+    none = lambda column: column < 0
+    logit = lambda w, text: sum(w.get(e, 0) for e in toxicity.entries(toxicity.words(text)))
+    gap = lambda w: abs(logit(w, "these muslims were here") - logit(w, "these people were here"))
+    fair, _ = toxicity.fit(docs, marked, none, fairness=20.0)
+    blunt, _ = toxicity.fit(docs, marked, none, fairness=0.0)
+    assert gap(blunt) > 0.5 and gap(fair) < 0.2 * gap(blunt)
+
+
+def test_swaps_leave_what_other_words_give():
+    order = {w: k for k, w in enumerate(sorted({"muslims", "people", "^musli", "^muslim", "^muslims", "^peopl", "^people"}))}
+    name = {str(k): w for w, k in order.items()}
+    told = {tuple(tuple(name[p] for p in side.split(",") if p) for side in c.split("|")) for c in toxicity.swaps({"muslims", "muslimah"}, order)}
+    assert (("^muslims", "muslims"), ("^peopl", "^people", "people")) in told

@@ -5,9 +5,10 @@ eight letters (so inflected and compound forms count); its score is the logistic
 function of a bias plus the weights of the vocabulary entries it holds. Training takes the
 log loss over labelled texts, an L2 penalty, and a counterfactual penalty: in
 every training text that names a group, each identity term is swapped for every
-other term of its set, and the squared change of the logit is penalised. The
-pairs of swapped terms are counted over the training texts, so the penalty is
-exact and costs one term pair, not one text, at a time. A neutral mention of a
+other term of its set, and the squared change of the whole logit is penalised:
+the term's and the substitute's words and beginnings, less those that other words
+of the text give, too. Equal changes are counted over the training texts, so the
+penalty is exact and costs one change, not one text, at a time. A neutral mention of a
 group then moves the score no more than a mention of any other, and since each
 set holds neutral words (people, person), hardly at all.
 
@@ -62,29 +63,47 @@ def entries(found) -> set[str]:
     return out
 
 
-def _train(rows: list[np.ndarray], labels: np.ndarray, size: int, pairs: dict[tuple[int, int], int], l2: float, fairness: float, rounds: int):
+def swaps(found: set[str], order: dict[str, int]):
+    """The changes of listed entries by swapping each identity term in ``found`` for each other term of its
+    set, as text: places lost, then places gained. Swaps that change none are left out."""
+    for group in IDENTITY_SETS:
+        for term in found.intersection(group):
+            rest = entries(found - {term})
+            lost = entries([term]) - rest
+            for other in group:
+                if other != term:
+                    new = entries([other]) - rest
+                    sides = [sorted(order[w] for w in side if w in order) for side in (lost - new, new - lost)]
+                    if any(sides):
+                        yield "|".join(",".join(map(str, side)) for side in sides)
+
+
+def _train(rows: list[np.ndarray], labels: np.ndarray, size: int, changes: dict[str, int], l2: float, fairness: float, rounds: int):
     """Weights and bias by Nesterov gradient steps on the penalised log loss."""
     n = len(rows)
     row = np.repeat(np.arange(n), [len(r) for r in rows])
     col = np.concatenate(rows).astype(np.int64) if n else np.zeros(0, np.int64)
-    a = np.array([p[0] for p in pairs], np.int64)
-    b = np.array([p[1] for p in pairs], np.int64)
-    count = np.array(list(pairs.values()), float) / max(1, n) * fairness
+    sides = [[np.array(side.split(","), np.int64) if side else np.zeros(0, np.int64) for side in c.split("|")] for c in changes]
+    count = np.array(list(changes.values()), float) / max(1, n) * fairness
+    width = np.array([len(lost) + len(new) for lost, new in sides], np.int64)
+    which = np.repeat(np.arange(len(sides)), width)
+    place = np.concatenate([side for pair in sides for side in pair]) if sides else np.zeros(0, np.int64)
+    sign = np.concatenate([np.repeat([-1.0, 1.0], [len(lost), len(new)]) for lost, new in sides]) if sides else np.zeros(0)
     share = labels.mean()
     weights, bias = np.zeros(size), float(np.log(share / (1 - share)))
     speed, bias_speed = np.zeros(size), 0.0
-    # A step the steepest curvature allows: texts' word counts, and the pairs.
-    degree = np.bincount(a, count, size) + np.bincount(b, count, size) if len(a) else np.zeros(size)
+    # A step the steepest curvature allows: texts' word counts, and the changes' widths.
+    degree = np.bincount(place, (2 * count * width)[which], size) if len(place) else np.zeros(size)
     freq = np.bincount(col, minlength=size) / max(1, n)
-    step = 1.0 / (0.25 * freq * max(1.0, np.mean([len(r) for r in rows])) + l2 + 4 * degree + 1e-3)
+    step = 1.0 / (0.25 * freq * max(1.0, np.mean([len(r) for r in rows])) + l2 + degree + 1e-3)
     for t in range(rounds):
         ahead, bias_ahead = weights + 0.9 * speed, bias + 0.9 * bias_speed
         logit = bias_ahead + np.bincount(row, ahead[col], n)
         error = 1 / (1 + np.exp(-np.clip(logit, -30, 30))) - labels
         grad = np.bincount(col, error[row], size) / n + l2 * ahead
-        if len(a):
-            change = count * (ahead[a] - ahead[b]) * 2
-            grad += np.bincount(a, change, size) - np.bincount(b, change, size)
+        if len(place):
+            change = 2 * count * np.bincount(which, sign * ahead[place], len(sides))
+            grad += np.bincount(place, sign * change[which], size)
         speed = 0.9 * speed - 0.5 * step * grad
         bias_speed = 0.9 * bias_speed - 0.5 * error.mean()
         weights, bias = weights + speed, bias + bias_speed
@@ -137,15 +156,16 @@ def fit(
 
     rows = sample.select("label", "words").mapInArrow(places, "label int, places array<int>").collect()
     known_places = [np.array(r["places"], np.int64) for r in rows]
-    by_place = {order[w]: group for group in IDENTITY_SETS for w in group}
-    names = {k: w for w, k in order.items()}
-    pairs: dict[tuple[int, int], int] = {}
-    for held in known_places:
-        for k in held.tolist():
-            for other in by_place.get(k, ()):
-                if other != names[k]:  # the counterfactual text: this term swapped for that one
-                    pairs[k, order[other]] = pairs.get((k, order[other]), 0) + 1
-    weights, bias = _train(known_places, np.array([r["label"] for r in rows], float), len(order), pairs, l2, fairness, rounds)
+
+    def changed(batches):
+        for batch in batches:
+            found = [c for ws in batch.column(0).to_pylist() for c in swaps({w for w in ws if w[0] != "^"}, order)]
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.string())], ["change"])
+
+    # Per pair of terms a few changes at most, whatever the texts: beginnings are lost or kept from the longest on.
+    counted = sample.select("words").mapInArrow(changed, "change string").groupBy("change").count()
+    changes = {r["change"]: r["count"] for r in counted.orderBy("change").collect()}
+    weights, bias = _train(known_places, np.array([r["label"] for r in rows], float), len(order), changes, l2, fairness, rounds)
     return {w: float(weights[k]) for w, k in order.items() if weights[k]}, float(bias)
 
 
