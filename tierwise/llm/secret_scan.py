@@ -1,7 +1,8 @@
 """Secret scanning: a random forest over candidates, in DataFrame functions only.
 
-Candidates are long runs of key-like characters that hold a digit, and quoted
-values after a colon or equals sign. A random forest trained on labelled
+Candidates are long runs of key-like characters (16, or 20 without a digit),
+quoted values of 8 after an assignment mark, any value of 6 after a key word and
+an assignment mark, in quotes also with spaces, and passwords in URLs. A random forest trained on labelled
 findings removes the false positives. It sees the candidate's length, its
 character transitions and classes, the share of it that dictionary words cover,
 marks of a path, and the neighbouring words: key words such as token or
@@ -25,18 +26,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-CANDIDATE = (
-    r"(?<![A-Za-z0-9_+/-])(?=[A-Za-z_+/-]*+[0-9])[A-Za-z0-9_+/-]{16,}+={0,2}"
-    r"""|(?<=[=:]["'])[^\s"']{8,}+|(?<=[=:] ["'])[^\s"']{8,}+"""
-)
-# Texts without this hold no candidate.
-HINT = r"""[0-9]|[=:] ?["']"""
 # Fixed word lists of the features.
 KEY_WORDS = r"(?i)(token|secret|passw|passphrase|pwd|api[_ -]?key|apikey|access[_ -]?key|private[_ -]?key|auth|bearer|credential|client[_ -]?key|signature)"
 HARMLESS_WORDS = (
     r"(?i)(commit|revision|checksum|digest|sha-?1|sha-?256|sha-?512|md5|uuid|guid|integrity|etag|hash of|build|version|order|invoice|"
     r"number|example|sample|placeholder|changeme|dummy|isbn|serial|ticket|path|file|url|http)"
 )
+# A key word (an author is none) and an assignment mark, as they stand before a value.
+_KEYED = KEY_WORDS[4:].replace("|auth|", "|auth(?!or[^i])|") + r"""[A-Za-z0-9_-]{0,20}["']?\s{0,3}(?:=>|:=|[=:])\s{0,3}"""
+_AFTER = rf"(?<=[=:>]\s{{0,3}})(?<=(?i:{_KEYED}))"
+CANDIDATE = (
+    # Any value after a key word and an assignment mark, to the closing quote or to white space, less closing marks.
+    rf"""(?<=["'])(?<=[=:>]\s{{0,3}}["'])(?<=(?i:{_KEYED})["'])(?:(?<=")[^"\r\n]{{6,}}+(?=")|(?<=')[^'\r\n]{{6,}}+(?='))"""
+    rf"""|(?<=[=:>\s]){_AFTER}(?!(?i:bearer|basic|token)\s)(?=[^\s"'\[(])[^\s"']{{5,}}[^\s"',;.)\]}}]"""
+    # A password in a URL's user part.
+    r"""|(?<=:)(?<=://[^\s/:@"']{0,64}:)[^\s/@"']{3,}+(?=@)"""
+    # Long runs, and long ones of letters only.
+    r"|(?<![A-Za-z0-9_+/-])(?=[A-Za-z_+/-]*+[0-9])[A-Za-z0-9_+/-]{16,}+={0,2}"
+    r"|(?<![A-Za-z0-9_+/-])(?=[_+/-]*+[A-Za-z])[A-Za-z_+/-]{20,}+={0,2}"
+    # Quoted values after any assignment mark.
+    r"""|(?<=["'])(?<=[=:>]\s{0,3}["'])[^\s"']{8,}+"""
+)
+# Texts without this hold no candidate.
+HINT = r"""[0-9=:>]|[A-Za-z_+/-]{20}"""
 DICTIONARY = (
     "the and for you your with this that from have not are was but all can out use key token secret password user name test example "
     "sample value data file path home local lib bin src main config index default admin server client class function return string "
@@ -45,7 +57,7 @@ DICTIONARY = (
 ).split()
 FEATURES = (
     "length", "transitions", "digits", "uppers", "hex", "distinct", "words", "slashes", "inpath", "keyword", "harmless", "assigned",
-    "quoted", "marks",
+    "quoted", "keyed", "userinfo", "spaces", "lowers", "marks",
 )
 
 
@@ -70,6 +82,10 @@ def _features_sql(v: str, before: str, after: str) -> dict[str, str]:
         "harmless": f"IF(concat({before}, ' ', {after}) RLIKE {_quoted(HARMLESS_WORDS)}, 1, 0)",
         "assigned": f"IF({before} RLIKE {_quoted(chr(91) + '=:>' + chr(93) + '[ ]?[' + chr(34) + chr(39) + ']?$')}, 1, 0)",
         "quoted": f"IF({before} RLIKE {_quoted('[' + chr(34) + chr(39) + ']$')}, 1, 0)",
+        "keyed": f"IF({before} RLIKE {_quoted('(?i)' + _KEYED + '[' + chr(34) + chr(39) + ']?$')}, 1, 0)",
+        "userinfo": f"IF({before} RLIKE {_quoted('://[^/:@ ]*:$')} AND {after} LIKE '@%', 1, 0)",
+        "spaces": f"regexp_count({v}, ' ')",
+        "lowers": f"regexp_count({v}, '[a-z]') / {n}",
         "marks": f"regexp_count({v}, '[^A-Za-z0-9]') / {n}",
     }
 
@@ -114,8 +130,24 @@ TEMPLATES = (
     ("card ", " of", "digits", 0), ("revision ", ".", "hex40", 0), ("integrity sha512-", "==", "base64", 0),
     ("https://example.com/", "/page", "words", 0), ("build ", " released", "version", 0), ('title = "', '"', "words", 0),
     ("etag: ", "", "hex32", 0), ("version \"", "\"", "version", 0), ("call ", " now", "digits", 0), ("uuid ", "", "uuid", 0),
+    ("password=", "\n", "short", 1), ("DB_PASSWORD=", "", "marked", 1), ("passwd: ", " ", "short", 1), ("pwd = ", "", "marked", 1),
+    ("postgres://app:", "@db.host/x", "marked", 1), ("https://user:", "@example.com/", "short", 1), ('token => "', '"', "short", 1),
+    ('token = "', '"', "phrase", 1), ("passphrase: '", "'", "phrase", 1), ("secret: ", "", "letters", 1), ("access key ", " was", "capitals", 1),
+    ('api_key = "', '"', "letters", 1), ("key id ", ".", "capitals", 1), ("client_secret=", "", "letters", 1),
+    ("author: ", " wrote", "plain", 0), ("password: ", " and", "plain", 0), ("the token: ", " of", "plain", 0), ("auth = ", "()", "names", 0),
+    ("see /", "/", "folders", 0), ("call ", "()", "names", 0), ("https://example.com/", "", "folders", 0), ("the word ", ".", "longword", 0),
+    ("line ", "", "repeat", 0), ("password=", "", "placeholder", 0), ('password: "', '"', "sentence", 0), ("token = ", "", "names", 0),
+    ("mixed ", "", "folders", 0), ('secret: "', '"', "sentence", 0), ("the ", " of", "longword", 0),
 )
 _HEX = "sha2(concat('a', id), 512)"
+# Syllables joined to words that are in no list.
+_SYLLABLES = "array('cor', 'rect', 'hor', 'bat', 'ter', 'sta', 'ple', 'mon', 'del', 'ver', 'lin', 'gra', 'nos', 'pet', 'ul', 'fam')"
+
+
+def _word(k: int) -> str:
+    return "concat(" + ", ".join(f"element_at({_SYLLABLES}, CAST(pmod(xxhash64(id, {10 * k + j}), 16) AS int) + 1)" for j in (1, 2)) + ")"
+
+
 _VALUES = {
     "hex40": f"substr({_HEX}, 1, 40)",
     "hex32": f"substr({_HEX}, 1, 32)",
@@ -126,6 +158,20 @@ _VALUES = {
     "upper20": f"concat('AK', upper(substr(translate(base64(unhex({_HEX})), '+/=\n\r', 'xyz'), 1, 18)))",
     "prefixed": f"concat(element_at(array('ghp_', 'sk-live-', 'xoxb-', 'glpat-'), CAST(id % 4 AS int) + 1), substr(translate(base64(unhex({_HEX})), '+/=\n\r', 'xyz'), 1, 32))",
     "password": f"concat(substr(translate(base64(unhex({_HEX})), '=\n\r', 'z'), 1, 10), element_at(array('!', '#', '\\$9', '?x'), CAST(id % 4 AS int) + 1))",
+    "short": f"concat(element_at(array('hunter', 'Tiger', 'blue', 'Zx', 'qw', 'mint', 's3c'), CAST(pmod(xxhash64(id, 8), 7) AS int) + 1), "
+    f"substr({_HEX}, 1, 2 + CAST(pmod(xxhash64(id, 9), 5) AS int)), element_at(array('-Prod', '7x', '!', 'Q9'), CAST(pmod(xxhash64(id, 5), 4) AS int) + 1))",
+    "marked": f"concat(substr(translate(base64(unhex({_HEX})), '+/=\n\r', 'xyz'), 1, 3 + CAST(pmod(xxhash64(id, 9), 7) AS int)), element_at(array('!', '&', '#', '*'), "
+    f"CAST(pmod(xxhash64(id, 6), 4) AS int) + 1), substr({_HEX}, 9, 1 + CAST(pmod(xxhash64(id, 9), 3) AS int)), 'd7')",
+    "phrase": f"concat_ws(' ', {_word(1)}, {_word(2)}, {_word(3)})",
+    "letters": f"substr(translate(base64(unhex({_HEX})), '0123456789+/=\n\r', 'qWzKpXvHjRab'), 1, 24 + CAST(id % 17 AS int))",
+    "capitals": f"concat('AKIA', upper(translate(substr({_HEX}, 1, 16), '0123456789', 'QWZKPXVHJR')))",
+    "plain": f"concat({_word(1)}, {_word(2)}, IF(pmod(xxhash64(id, 9), 2) = 0, 'ing', ''))",
+    "longword": f"concat({_word(1)}, {_word(2)}, {_word(3)}, {_word(4)}, 'ification')",
+    "names": "concat(element_at(dictionary, CAST(pmod(xxhash64(id, 1), size(dictionary)) AS int) + 1), '_', element_at(dictionary, CAST(pmod(xxhash64(id, 2), "
+    "size(dictionary)) AS int) + 1), initcap(element_at(dictionary, CAST(pmod(xxhash64(id, 3), size(dictionary)) AS int) + 1)), 'ConfigurationValue')",
+    "folders": f"concat_ws(element_at(array('/', '-', '_'), CAST(pmod(xxhash64(id, 9), 3) AS int) + 1), {_word(1)}, {_word(2)}, {_word(3)}, {_word(4)}, 'directory')",
+    "repeat": "repeat(element_at(array('x', '-a', 'ab', '_x', 'A'), CAST(pmod(xxhash64(id, 9), 5) AS int) + 1), 24 + CAST(pmod(xxhash64(id, 9), 50) AS int))",
+    "sentence": "concat('enter your ', element_at(dictionary, CAST(pmod(xxhash64(id, 1), size(dictionary)) AS int) + 1), ' here')",
     "uuid": f"regexp_replace(substr({_HEX}, 1, 32), '(.{{8}})(.{{4}})(.{{4}})(.{{4}})(.{{12}})', '\\$1-\\$2-\\$3-\\$4-\\$5')",
     "digits": f"substr(translate({_HEX}, 'abcdef', '123456'), 1, 12 + CAST(id % 8 AS int))",
     "version": "concat('release-', id % 40, '-', id % 7, '-build-', 1000 + id)",
