@@ -5,7 +5,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, neighbours, packing, pii, quality, repeats, secret_scan, simhash, token_files, toxicity
+from . import (
+    conversations, decontaminate, mixing, neighbours, packing, periodic, pii, quality, repeats, secret_scan, simhash, token_files, toxicity,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -62,13 +64,30 @@ def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest_neighbours(_table(spark, sf_dir, "embeddings"), query_every=50, top=5)
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of at least six words and four periods in all documents, a tenth of them made periodic."""
+    return periodic.periodic_runs(periodic.with_planted_periods(_table(spark, sf_dir, "documents")), min_length=6, exponent=4)
+
+
+def op12_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often every document is taken so that its source meets its share of all words."""
+    mixed = mixing.plan(_table(spark, sf_dir, "documents"), weights=(1, 2, 3), max_repeats=3)
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults and cheapest repair of every conversation after the contract's damage."""
+    return conversations.repair(conversations.damaged(_table(spark, sf_dir, "conversations")), present="present")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_toxicity, op2_best_fit_packing, op3_decontamination, op4_token_files, op5_repeated_strings, op6_quality,
-        op7_personal_data, op8_simhash, op9_secrets, op10_nearest_neighbours,
+        op7_personal_data, op8_simhash, op9_secrets, op10_nearest_neighbours, op11_periodic_runs, op12_source_mix,
+        op13_conversation_repair,
     )
 }
 
-# None of these is expressible in the SQL of the check: tests compare them with brute force.
-ORACLE_SQL: dict[str, str] = {}
+# The others are not expressible in the check's SQL: tests compare them with brute force.
+ORACLE_SQL: dict[str, str] = {"op12_source_mix": mixing.ORACLE_SQL}
