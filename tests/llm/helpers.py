@@ -4,7 +4,8 @@ rows and ids, ties, and extra columns whose names operators use inside."""
 from __future__ import annotations
 
 SF = "/root/testdata/sf0.001"
-CLASHING = ("fp", "key", "score", "found", "leaks", "secrets", "label", "row", "word", "block", "kind", "text_", "n_chars", "base", "h")
+CLASHING = ("fp", "key", "score", "found", "leaks", "secrets", "label", "row", "word", "block", "kind", "text_", "n_chars", "base", "h",
+            "__t", "__id", "__fp", "text_to_print", "text_to_score", "text_to_match", "kept_row", "_leaks", "spans", "chunks")
 SCHEMA = "doc_id long, text string, lang string, source string, " + ", ".join(
     f"{c} {'long' if c == 'n_chars' else 'string'}" for c in CLASHING
 )

@@ -81,3 +81,15 @@ def test_messy_rows(spark):
     assert {(r.doc_id, r.item_id, r.distance) for r in dc.find_leaks(docs, bench).collect()} == {(1, None, 0), (1, 4, 0), (2, None, 0), (2, 4, 0)}
     assert dc.decontaminate(docs, bench.limit(0)).count() == len(TEXTS)
     assert dc.find_leaks(empty(spark), bench).collect() == []
+
+
+def test_short_items_match_unchanged_as_whole_words(spark):
+    items = [(1, "What is the capital of France?"), (2, "Yes"), (3, ""), (4, None), (5, "ab ab"), (6, "(x)")]
+    rows = [
+        (1, "we asked: what is  the Capital of france? and left"), (2, "what is the capital of francey?"), (3, "yes."), (4, "eyes yesterday"),
+        (5, "ab ab ab abc"), (6, "f(x) = 1"), (7, None), (8, "What is the capitol of France?"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = dc.find_leaks(docs, spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert sorted((r.doc_id, r.item_id, r.start, r.end) for r in found) == [(1, 1, 10, 41), (3, 2, 0, 3), (5, 5, 0, 5), (5, 5, 3, 8), (6, 6, 1, 4)]
+    assert all(r.distance == 0 for r in found)

@@ -111,3 +111,22 @@ def test_a_hot_pattern_takes_no_trust_from_others(spark):
     for docs in (rows, rows + hot):
         found = {r.doc_id: r for r in pii.find_personal_data(spark.createDataFrame(docs, "doc_id long, text string")).where("doc_id < 1000").collect()}
         assert [(s.s, s.e, s.k) for s in found[100].spans] == [(17, 33, 3)]
+
+
+def test_found_identifiers_induce_new_patterns(spark):
+    # "ring" holds no seed: numbers found after "telephone" stand behind it, too, and make it a pattern that finds others.
+    rows = [(1000 + i, f"please telephone +1 (551) 555-{1000 + i} soon") for i in range(300)]
+    rows += [(100 + i, f"please telephone 551.444.{2000 + i} today") for i in range(40)] + [(200 + i, f"ring 551.444.{2000 + i} now") for i in range(40)]
+    rows += [(300, "ring 551.333.9999 later"), (301, "weighs 551.333.9998 tons")]
+    found = {r.doc_id: r for r in pii.find_personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [(s.s, s.e, s.k) for s in found[300].spans] == [(5, 17, 3)] and found[301].spans == []
+    once = {r.doc_id: r for r in pii.find_personal_data(spark.createDataFrame(rows, "doc_id long, text string"), rounds=1).collect()}
+    assert once[300].spans == []
+
+
+def test_a_hundred_thousand_matches_in_one_text(spark):
+    rows = [(1, "🎉 " + "10.0.0.1 or " * 100_000), (2, "mail a@b.org, card 4111111111111111 and 10.0.0.1 or call 551.444.2000 " * 700)]
+    found = {r.doc_id: r for r in pii.digest(pii.find_personal_data(spark.createDataFrame(rows, "doc_id long, text string"))).collect()}
+    assert (found[1].n_ip, found[1].n_card) == (100_000, 0) and (found[2].n_email, found[2].n_ip, found[2].n_card) == (700,) * 3
+    assert found[1].spans == ",".join(f"ip:{2 + 12 * k}:{10 + 12 * k}" for k in range(100_000))
+    assert found[2].base_sha256 == hashlib.sha256(listed(brute(rows[1][1])).encode()).hexdigest()

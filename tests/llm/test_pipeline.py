@@ -51,4 +51,4 @@ def test_stages_take_messy_and_empty_documents(spark):
 
 def test_registered(spark):
     assert [q for q in entry.queries() if q.startswith("op")] == list(queries.QUERIES) and "pipeline" in entry.queries()
-    assert len(queries.QUERIES) == 10 and packing.PIECES
+    assert len(queries.QUERIES) == 13 and packing.PIECES

@@ -111,3 +111,33 @@ def test_swaps_leave_what_other_words_give():
     name = {str(k): w for w, k in order.items()}
     told = {tuple(tuple(name[p] for p in side.split(",") if p) for side in c.split("|")) for c in toxicity.swaps({"muslims", "muslimah"}, order)}
     assert (("^muslims", "muslims"), ("^peopl", "^people", "people")) in told
+
+
+def test_the_sample_is_bounded_when_ids_repeat(spark, monkeypatch):
+    from tierwise.llm import toxicity
+
+    seen = []
+    train = toxicity._train
+    monkeypatch.setattr(toxicity, "_train", lambda rows, *a: seen.append(len(rows)) or train(rows, *a))
+    rows = [(i % 30, f"{'vile' if i % 2 else 'kind'} words number {i}") for i in range(4000)] + [(1, "the same")] * 500
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(30)], "doc_id long, toxic int")
+    toxicity.fit(docs, labels, lambda c: c < 0, max_sample=30, min_z=0.1)
+    assert seen and max(seen) <= 30
+
+
+def test_identity_terms_in_training_texts_change_the_weights(spark):
+    from tierwise.llm import toxicity
+
+    # One group is named in toxic texts only; without the penalty its name would weigh as much as an insult.
+    rows = [(i, f"the muslims are vile number{i}") for i in range(40)] + [(100 + i, f"the people are kind number{i}") for i in range(40)]
+    rows += [(200 + i, f"les musulmans sont affreux number{i}") for i in range(40)] + [(300 + i, f"les gens sont gentils number{i}") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i < 100 or 200 <= i < 300)) for i, _ in rows], "doc_id long, toxic int")
+    none = lambda c: c < 0
+    fair, _ = toxicity.fit(docs, labels, none, min_z=0.5)
+    plain, _ = toxicity.fit(docs, labels, none, min_z=0.5, fairness=0.0)
+    gap = lambda w, a, b: abs(w.get(a, 0) - w.get(b, 0))
+    for a, b in (("muslims", "people"), ("musulmans", "gens")):
+        assert gap(plain, a, b) > 0.5 and gap(fair, a, b) < 0.2 * gap(plain, a, b)
+    assert fair["vile"] > 0.5

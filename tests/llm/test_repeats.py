@@ -40,7 +40,7 @@ def test_documents_against_brute_force(spark):
     assert ran(docs, 400) == brute([(r.doc_id, r.text) for r in docs.collect()], 400)
 
 
-@pytest.mark.parametrize("in_task", [4096, 4])
+@pytest.mark.parametrize("in_task", [256, 4, 1])
 def test_passages_periods_and_copies(spark, monkeypatch, in_task):
     monkeypatch.setattr(repeats, "IN_TASK", in_task)
     rng = random.Random(3)
@@ -69,3 +69,33 @@ def test_messy_rows(spark):
     assert ran(empty(spark), 400) == []
     with pytest.raises(ValueError):
         repeats.remove_repeats(docs, length=63)
+
+
+@pytest.mark.parametrize("length", [64, 100, 400])
+def test_radix_passes_against_brute_force(spark, monkeypatch, length):
+    # Every group goes through the passes: passages with edges everywhere, copies, periods and near copies.
+    monkeypatch.setattr(repeats, "IN_TASK", 0)
+    rng = random.Random(length)
+    draw = lambda n, a="abcdefgh ": "".join(rng.choice(a) for _ in range(n))
+    base = [draw(3 * length) for _ in range(4)]
+    rows = []
+    for i in range(60):
+        text = draw(rng.randint(0, length))
+        for _ in range(rng.randint(1, 3)):
+            passage = rng.choice(base)
+            a = rng.randint(0, len(passage) - length // 2)
+            text += passage[a : a + rng.randint(length // 2, 2 * length)] + draw(rng.randint(0, length))
+        rows.append((i % 55 or None, text))
+    rows += [(100 + i, base[0][:length] + draw(3)) for i in range(9)] + [(200, "ab" * length), (201, "x" + "ab" * length), (202, "q" * 2 * length)]
+    rows += [(300, base[1]), (301, base[1]), (301, base[1]), (302, base[1][1:]), (303, base[1][:-1] + "#")]
+    assert ran(spark.createDataFrame(rows, "doc_id long, text string"), length) == brute(rows, length)
+
+
+def test_many_wholly_equal_rows(spark):
+    rng = random.Random(6)
+    text = "".join(rng.choice("abcdef ") for _ in range(20_000))
+    docs = spark.range(1500).selectExpr("CAST(7 AS long) AS doc_id").crossJoin(spark.createDataFrame([(text,)], "text string"))
+    got = repeats.remove_repeats(docs.unionByName(spark.createDataFrame([(8, "z" * 300)], "doc_id long, text string"))).groupBy(
+        "doc_id", "n_bytes", "n_removed", "n_spans"
+    ).count().collect()
+    assert sorted(map(tuple, got)) == [(7, 20_000, 20_000, 1, 1500), (8, 300, 0, 0, 1)]

@@ -79,3 +79,15 @@ def test_short_marked_and_spaced_secrets(spark):
     assert {i: found[i].secrets for i in secrets} == {i: f"{len(a)}:{len(a) + len(v)}" for i, (a, v, _) in secrets.items()}
     assert [found[i].n_secrets for i, _ in harmless] == [0, 0, 0, 0]
     assert all(found[i].n_candidates for i, _ in harmless[1:])
+
+
+def test_a_hundred_thousand_candidates_in_one_text(spark):
+    one = 'é token = "04dbebab91ab85687d33eeaaf9ac699e1188f962" merged commit 2fd4e1c67a2d28fced849ee1bb76e7391b93eb12 '
+    rows = [(1, one * 50_000), (2, one * 3)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r for r in secret_scan.scan(df).collect()}
+    assert (found[1].n_candidates, found[1].n_secrets) == (100_000, 50_000)
+    place = one.index("04dbe")
+    assert found[1].secrets == ",".join(f"{k * len(one) + place}:{k * len(one) + place + 40}" for k in range(50_000))
+    redacted = {r.doc_id: r.text for r in secret_scan.redact(df).collect()}
+    assert redacted == {i: t.replace("04dbebab91ab85687d33eeaaf9ac699e1188f962", "[SECRET]") for i, t in rows}

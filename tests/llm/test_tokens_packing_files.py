@@ -8,6 +8,7 @@ import pytest
 from helpers import TEXTS, documents, empty, messy
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from tokenizers import Tokenizer
 
 from tierwise.llm import packing, token_files, tokens
 
@@ -28,6 +29,14 @@ def test_chunked_ids_are_the_librarys(spark, encoder):
     assert encoder.ids(None) == encoder.ids("") == b""
 
 
+def test_special_tokens_are_the_librarys(encoder):
+    plain = Tokenizer.from_file(tokens.default_tokenizer())
+    for text in ("hello <|endoftext|> world", "<|endoftext|>", "a<|endoftext|>b", "x  <|endoftext|>\n y z", "<|endoftext|><|endoftext|>", "<|endoftext"):
+        want = plain.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(encoder.ids(text), "<u4").tolist() == want
+    assert np.frombuffer(encoder.ids("hello <|endoftext|> world"), "<u4").tolist() == [31373, 220, 50256, 995]
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.text(alphabet="ab é.,\n\t'²1$日", max_size=30))
 def test_chunked_ids_on_random_texts(encoder, text):

@@ -10,8 +10,9 @@ finds the nearest substring, which counts when it is within k edits. Nothing is
 shuffled: items travel to the scan, in blocks of about ``BLOCK_CHARS``
 characters, so a large benchmark takes several passes and no more memory.
 
-Items under ``min_chars`` characters, null and empty ones included, match
-nothing: they carry no evidence. Null and empty texts have no leaks. Repeated
+Items under ``min_chars`` characters carry little evidence: they match where they occur
+unchanged as whole words, whatever the error rate. Null and empty items match
+nothing. Null and empty texts have no leaks. Repeated
 rows, ids and items are each treated for themselves; null ids pass through.
 Extra columns are kept by ``decontaminate``. Empty tables give no leaks.
 """
@@ -25,8 +26,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .names import free
+
 BLOCK_CHARS = 4_000_000
+WHOLE = -1  # an item's error budget if it must occur unchanged, as whole words
 _WORD = re.compile(r"\S+")
+_WORDLIKE = re.compile(r"\w")
 LEAK = T.StructType([
     T.StructField("item_id", T.LongType()), T.StructField("distance", T.IntegerType()),
     T.StructField("start", T.LongType()), T.StructField("end", T.LongType()),
@@ -69,17 +74,23 @@ def nearest_substring(item: str, text: str) -> tuple[int, int]:
     return best, end
 
 
+def whole_words(text: str, start: int, end: int) -> bool:
+    """Whether no word of ``text`` is cut at ``start`` or at ``end``."""
+    cut_before = start > 0 and _WORDLIKE.match(text, start - 1) and _WORDLIKE.match(text, start)
+    return not cut_before and not (_WORDLIKE.match(text, end - 1) and _WORDLIKE.match(text, end))
+
+
 class Matcher:
     """Finds the items of one block in normalised texts."""
 
-    def __init__(self, items: list[tuple[int, str]], error_rate: float):
+    def __init__(self, items: list[tuple[int, str]], error_rate: float, min_chars: int = 0):
         import ahocorasick
 
-        self.items = [(i, t, int(error_rate * len(t))) for i, t in items]
+        self.items = [(i, t, int(error_rate * len(t)) if len(t) >= min_chars else WHOLE) for i, t in items]
         self.automaton = ahocorasick.Automaton()
         places: dict[str, list[tuple[int, int]]] = {}
         for n, (_, text, errors) in enumerate(self.items):
-            for a, b in pieces(len(text), errors):
+            for a, b in pieces(len(text), max(0, errors)):
                 places.setdefault(text[a:b], []).append((n, b))
         for piece, where in places.items():
             self.automaton.add_word(piece, where)
@@ -99,6 +110,9 @@ class Matcher:
         for n, places in begins.items():
             item_id, item, errors = self.items[n]
             ordered = sorted(places)
+            if errors == WHOLE:
+                found += [(item_id, 0, p, p + len(item)) for p in ordered if whole_words(text, p, p + len(item))]
+                continue
             low = high = ordered[0]
             for p in [*ordered[1:], None]:
                 if p is not None and p - high <= errors:
@@ -150,25 +164,25 @@ def with_leaks(
     for b in range(blocks):
         part = items if blocks == 1 else items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b)
         texts = [(r["item_id"], normal(r["text"])) for r in part.collect()]  # a block is bounded by BLOCK_CHARS
-        chosen = [(i, t) for i, t in texts if len(t) >= max(1, min_chars)]
-        name = out_col if b == 0 else f"{out_col}_{b}"
+        chosen = [(i, t) for i, t in texts if t]
+        name = out_col if b == 0 else free([*docs.columns, *carried], f"{out_col}_{b}")[0]
         carried.append(name)
         base = keep if b == blocks - 1 else docs.columns
         kept = [c for c in out.columns if c in base or c in carried]
-        out = _one_block(out, chosen, text_col, kept, name, error_rate)
+        out = _one_block(out, chosen, text_col, kept, name, error_rate, min_chars)
     if blocks > 1:
         out = out.withColumn(out_col, F.concat(*carried)).drop(*carried[1:])
     return out.select(*keep, out_col)
 
 
-def _one_block(docs: DataFrame, items, text_col: str, kept: list[str], name: str, error_rate: float) -> DataFrame:
+def _one_block(docs: DataFrame, items, text_col: str, kept: list[str], name: str, error_rate: float, min_chars: int) -> DataFrame:
     fields = docs.select(*kept).schema.fields
     names, arrow = [*kept, name], pa.list_(
         pa.struct([("item_id", pa.int64()), ("distance", pa.int32()), ("start", pa.int64()), ("end", pa.int64())])
     )
 
     def run(batches):
-        matcher = Matcher(items, error_rate)
+        matcher = Matcher(items, error_rate, min_chars)
         for batch in batches:
             column = []
             for value in batch.column(batch.num_columns - 1):
@@ -179,7 +193,7 @@ def _one_block(docs: DataFrame, items, text_col: str, kept: list[str], name: str
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(column, arrow)], names)
 
     schema = T.StructType([*fields, T.StructField(name, T.ArrayType(LEAK))])
-    return docs.select(*kept, F.col(text_col).cast("string").alias("__t")).mapInArrow(run, schema)
+    return docs.select(*kept, F.col(text_col).cast("string").alias(*free([*kept, name], "text_to_match"))).mapInArrow(run, schema)
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
@@ -191,7 +205,5 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", **options) -> DataFrame:
     """``docs`` without those that hold an item of the benchmark."""
-    name = "leaks"
-    while name in docs.columns:
-        name = "_" + name
+    (name,) = free(docs.columns, "leaks")
     return with_leaks(docs, benchmark, name, text_col, **options).where(F.size(name) == 0).select(*docs.columns)

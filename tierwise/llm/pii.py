@@ -21,8 +21,10 @@ lower case. Pattern and instance form a graph over all documents; in each of
 (seeds of its kind 1, the rest what they have so far). It takes the pattern's own
 instances only, so neither the corpus's size nor another pattern moves it. A
 candidate's confidence in a kind it can be is that of its best pattern. Patterns
-with ``min_seeds`` distinct seeds and a score of ``threshold`` or more are trusted,
-and candidates they find that can be of their kind are added as spans of it. Counts are aggregates over all
+with ``min_seeds`` distinct seeds are scored; from the second round on, candidates
+found with a confidence of ``threshold`` count as seeds, so they induce patterns that
+no seed stands in. Patterns of that score are trusted, and candidates they find
+that can be of their kind are added as spans of it. Counts are aggregates over all
 documents; trusted patterns are joined, and broadcast only by Spark's own
 measure of their size.
 
@@ -33,10 +35,11 @@ points, ends are exclusive.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import store
+from .spans import chunks_sql, cut_sql, located_sql, quoted
 
 KINDS = ("email", "ip", "card", "phone")
 MIN_DIGITS = 7
@@ -91,26 +94,10 @@ FITS = {
 }
 
 
-def _quoted(pattern: str) -> str:
-    return "'" + pattern.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
-def spans_sql(text: str, pattern: str, valid: str, fields: str = "") -> str:
-    """SQL for the valid matches of ``pattern`` in column ``text``, as structs (s, e, m).
-
-    The gaps between matches (``split``) and the matches give every start as a
-    running sum; invalid matches move it on and leave no entry.
-    """
-    return f"""
-    aggregate(
-      zip_with(split({text}, {pattern}, -1), regexp_extract_all({text}, {pattern}, 0), (g, h) -> struct(g AS gap, h AS hit)),
-      struct(0 AS at, CAST(array() AS array<struct<s:int,e:int,m:string>>) AS out),
-      (acc, x) -> struct(
-        acc.at + length(x.gap) + coalesce(length(x.hit), 0) AS at,
-        CASE WHEN x.hit IS NOT NULL AND ({valid.format(m='x.hit')})
-             THEN array_append(acc.out, struct(acc.at + length(x.gap) AS s, acc.at + length(x.gap) + length(x.hit) AS e, x.hit AS m))
-             ELSE acc.out END AS out),
-      acc -> acc.out)"""
+def spans_sql(text: str, pattern: str, valid: str) -> str:
+    """SQL for the valid matches of ``pattern`` in column ``text``, as structs (s, e, m); invalid
+    ones leave no entry and are not tried again."""
+    return f"transform(filter({located_sql(text, pattern)}, x -> {valid.format(m='x.m')}), x -> struct(x.s AS s, x.e AS e, x.m AS m))"
 
 
 def base_spans(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -118,7 +105,7 @@ def base_spans(docs: DataFrame, text: str = "text") -> DataFrame:
     none = "CAST(array() AS array<struct<s:int,e:int,m:string>>)"
     columns = {}
     for kind in KINDS:
-        pattern = _quoted(PATTERNS[kind])
+        pattern = quoted(PATTERNS[kind])
         hint = f"contains({text}, '{HINTS[kind]}')" if HINTS[kind] else "true"
         if kind != "email":
             hint += f" AND {text} RLIKE '[0-9]'"
@@ -132,28 +119,42 @@ _RIGHT = r"^[^\\p{L}]*([\\p{L}]+)"
 
 
 def instances(scanned: DataFrame) -> DataFrame:
-    """Seeds and candidates with their words: one row per occurrence
-    (key, s, e, value, kind or null, fits, before, after), fits the kinds a candidate can be."""
-    hint = _quoted(MAIL_HINT)
+    """Seeds and candidates with their words: one row per occurrence in distinct texts
+    (key, s, e, value, kind or null, fits, before, after), fits the kinds a candidate can be.
+    Candidates that overlap a seed, and numbers that overlap a mail candidate, are left out:
+    by the greatest end before and the least start behind them, over a text's rows in order."""
+    hint = quoted(MAIL_HINT)
     holders = scanned.where(f"size(base) > 0 OR text RLIKE '[0-9]' OR text RLIKE {hint}")
-    quad = _quoted(f"^{_QUAD}$")
+    quad = quoted(f"^{_QUAD}$")
     none = "CAST(array() AS array<struct<s:int,e:int,m:string>>)"
-    mails = f"CASE WHEN text RLIKE {hint} THEN {spans_sql('text', _quoted(MAIL_CANDIDATE), 'true')} ELSE {none} END"
-    numbers = spans_sql("text", _quoted(CANDIDATE), f"(length({_digits('{m}')}) >= {MIN_DIGITS} OR {{m}} RLIKE {quad.replace('{', '{{').replace('}', '}}')})")
+    mails = f"CASE WHEN text RLIKE {hint} THEN {spans_sql('text', quoted(MAIL_CANDIDATE), 'true')} ELSE {none} END"
+    numbers = spans_sql("text", quoted(CANDIDATE), f"(length({_digits('{m}')}) >= {MIN_DIGITS} OR {{m}} RLIKE {quad.replace('{', '{{').replace('}', '}}')})")
     numbers = f"CASE WHEN text RLIKE '[0-9]' THEN {numbers} ELSE {none} END"
-    holders = holders.withColumn("mails", F.expr(f"filter({mails}, c -> NOT exists(base, b -> b.s < c.e AND c.s < b.e))"))
-    holders = holders.withColumn("numbers", F.expr(f"filter({numbers}, c -> NOT exists(base, b -> b.s < c.e AND c.s < b.e) AND NOT exists(mails, b -> b.s < c.e AND c.s < b.e))"))
     kinds = ", ".join(f"IF({sql.format(m='c.m', quad=quad)}, {KINDS.index(kind)}, NULL)" for kind, sql in FITS.items())
+    no_kind = "CAST(NULL AS int)"
     spans = f"""
-      concat(transform(base, b -> struct(b.s AS s, b.e AS e, b.m AS m, b.k AS k, CAST(array() AS array<int>) AS fits)),
-             transform(mails, c -> struct(c.s AS s, c.e AS e, c.m AS m, CAST(NULL AS int) AS k, array({KINDS.index('email')}) AS fits)),
-             transform(numbers, c -> struct(c.s AS s, c.e AS e, c.m AS m, CAST(NULL AS int) AS k, array_compact(array({kinds})) AS fits)))"""
-    rows = holders.select("key", "text", F.explode(F.expr(spans)).alias("x"))
-    return rows.selectExpr(
-        "key", "x.s", "x.e", "x.m AS value", "x.k AS kind", "x.fits",
-        f"lower(regexp_extract(substr(text, greatest(1, x.s - 63), least(64, x.s)), '{_LEFT}', 1)) AS before",
-        f"lower(regexp_extract(substr(text, x.e + 1, 64), '{_RIGHT}', 1)) AS after",
-    )
+      concat(transform(base, b -> struct(b.s AS s, b.e AS e, b.m AS m, b.k AS k, CAST(array() AS array<int>) AS fits, 0 AS rank)),
+             transform(mails, c -> struct(c.s AS s, c.e AS e, c.m AS m, {no_kind} AS k, array({KINDS.index('email')}) AS fits, 1 AS rank)),
+             transform(numbers, c -> struct(c.s AS s, c.e AS e, c.m AS m, {no_kind} AS k, array_compact(array({kinds})) AS fits, 2 AS rank)))"""
+    before, after = cut_sql("chunks", "greatest(0, c.s - 64)", "least(64, c.s)"), cut_sql("chunks", "c.e", "64")
+    placed = holders.select("key", F.expr(mails).alias("mails"), F.expr(numbers).alias("numbers"), "base", "text").withColumn(
+        "spans", F.expr(spans)
+    ).where("size(spans) > 0").withColumn("chunks", F.expr(chunks_sql("text")))
+    worded = f"""transform(spans, c -> struct(c.s AS s, c.e AS e, c.m AS m, c.k AS k, c.fits AS fits, c.rank AS rank,
+      lower(regexp_extract({before}, '{_LEFT}', 1)) AS before, lower(regexp_extract({after}, '{_RIGHT}', 1)) AS after))"""
+    # Equal rows have equal spans: one of each is enough for the graph and for what is added.
+    rows = placed.select("key", F.explode(F.expr(worded)).alias("x")).select("key", "x.*").distinct()
+    up_to = Window.partitionBy("key").orderBy("s").rangeBetween(Window.unboundedPreceding, 0)
+    # From the end: a frame that shrinks with every row would be summed anew for each.
+    from_here = Window.partitionBy("key").orderBy(F.col("s").desc()).rangeBetween(Window.unboundedPreceding, 0)
+
+    def overlapped(which):
+        ends, starts = F.max(F.when(which, F.col("e"))).over(up_to), F.min(F.when(which, F.col("s"))).over(from_here)
+        return F.coalesce(ends > F.col("s"), F.lit(False)) | F.coalesce(starts < F.col("e"), F.lit(False))
+
+    rows = rows.withColumn("hit", (F.col("rank") > 0) & overlapped(F.col("rank") == 0)).where("NOT hit")
+    rows = rows.withColumn("hit", (F.col("rank") > 1) & overlapped(F.col("rank") == 1)).where("NOT hit")
+    return rows.select("key", "s", "e", F.col("m").alias("value"), F.col("k").alias("kind"), "fits", "before", "after")
 
 
 def trusted_patterns(found: DataFrame, rounds: int, min_seeds: int, threshold: float) -> DataFrame:
@@ -162,29 +163,30 @@ def trusted_patterns(found: DataFrame, rounds: int, min_seeds: int, threshold: f
     words = F.explode(F.array(F.struct(F.lit("before").alias("side"), F.col("before").alias("word")), F.struct(F.lit("after").alias("side"), F.col("after").alias("word"))))
     edges = found.select("value", "kind", "fits", words.alias("p")).select("value", "kind", "fits", "p.side", "p.word").where("word != ''").distinct()
     edges = store(spark, edges, "pii-graph")
-    seeds = edges.where("kind IS NOT NULL")
-    # What a pattern can bring in: kinds it has seeds of.
-    patterns = seeds.groupBy("side", "word", "kind").agg(F.countDistinct("value").alias("seeds"))
-    patterns = store(spark, patterns.where(F.col("seeds") >= min_seeds), "pii-patterns")
-    own = patterns.select("side", "word", F.col("kind").alias("of"))
-    around = edges.join(own, ["side", "word"]).select(
-        "side", "word", "of", "value", F.coalesce(F.col("kind") == F.col("of"), F.lit(False)).alias("seed"),
-        F.col("kind").isNull().alias("unseen"), F.expr("array_contains(fits, of)").alias("fits"),
-    )
-    around = store(spark, around, "pii-around")
-    belief = None
-    scores = None
-    z2 = f"{SIGMAS * SIGMAS}D"
+    seeds = edges.where("kind IS NOT NULL").select("side", "word", F.col("kind").alias("of"), "value")
+    unseen = edges.where("kind IS NULL").select("side", "word", F.explode("fits").alias("of"), "value")
+    belief, scores, z2 = None, None, f"{SIGMAS * SIGMAS}D"
     for _ in range(rounds):
-        known = around if belief is None else around.join(belief, ["of", "value"], "left")
-        sure = F.when(F.col("seed"), 1.0).when(F.col("unseen"), F.coalesce(F.col("confidence"), F.lit(0.0)) if belief is not None else F.lit(0.0)).otherwise(0.0)
-        per_value = known.groupBy("side", "word", "of", "value").agg(F.max(sure).alias("sure"))
+        # What a pattern can bring in: kinds of which it has seeds, or identifiers found by now.
+        known = seeds if belief is None else seeds.unionByName(unseen.join(belief.where(F.col("confidence") >= threshold), ["of", "value"], "left_semi").select(*seeds.columns))
+        patterns = known.groupBy("side", "word", "of").agg(F.countDistinct("value").alias("n")).where(F.col("n") >= min_seeds)
+        patterns = store(spark, patterns.select("side", "word", "of"), "pii-patterns")
+        around = edges.join(patterns, ["side", "word"]).select(
+            "side", "word", "of", "value", F.coalesce(F.col("kind") == F.col("of"), F.lit(False)).alias("seed"),
+            F.col("kind").isNull().alias("unseen"), F.expr("array_contains(fits, of)").alias("fits"),
+        )
+        around = store(spark, around, "pii-around")
+        judged = around.withColumn("confidence", F.lit(0.0)) if belief is None else around.join(belief, ["of", "value"], "left")
+        sure = F.when(F.col("seed"), 1.0).when(F.col("unseen"), F.coalesce(F.col("confidence"), F.lit(0.0))).otherwise(0.0)
+        per_value = judged.groupBy("side", "word", "of", "value").agg(F.max(sure).alias("sure"))
         scores = per_value.groupBy("side", "word", "of").agg(F.avg("sure").alias("p"), F.count("*").alias("n")).selectExpr(
             "side", "word", "of", f"(p + {z2} / (2 * n) - {SIGMAS}D * sqrt(p * (1 - p) / n + {z2} / (4 * n * n))) / (1 + {z2} / n) AS score"
         )
         scores = store(spark, scores, "pii-scores")
-        belief = around.where("unseen AND fits").join(scores, ["side", "word", "of"]).groupBy("of", "value").agg(
-            F.max("score").alias("confidence")
+        belief = store(
+            spark,
+            around.where("unseen AND fits").join(scores, ["side", "word", "of"]).groupBy("of", "value").agg(F.max("score").alias("confidence")),
+            "pii-belief",
         )
     return scores.where(F.col("score") >= threshold).select("side", "word", F.col("of").alias("kind"))
 

@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import store
+from .names import free
 
 BUCKETS = 1024
 MAX_SAMPLE = 6000
@@ -217,7 +218,7 @@ def with_scores(docs: DataFrame, model: dict, out_col: str, text_col: str, keep:
                 scores.append(float(1 / (1 + np.exp(-np.clip(logit, -500, 500)))))
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(scores, pa.float64())], [*keep, out_col])
 
-    return docs.select(*keep, F.col(text_col).cast("string").alias("__t")).mapInArrow(run, schema)
+    return docs.select(*keep, F.col(text_col).cast("string").alias(*free([*keep, out_col], "text_to_score"))).mapInArrow(run, schema)
 
 
 def classify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.5, **options) -> DataFrame:
@@ -229,7 +230,5 @@ def classify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", th
 
 def keep_good(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.5, **options) -> DataFrame:
     """``docs`` without the rows that score under ``threshold``."""
-    model, score = fit(docs, id_col, text_col, **options), "score"
-    while score in docs.columns:
-        score = "_" + score
+    model, (score,) = fit(docs, id_col, text_col, **options), free(docs.columns, "score")
     return with_scores(docs, model, score, text_col, docs.columns).where(F.col(score) >= threshold).select(*docs.columns)

@@ -1,30 +1,36 @@
 """Removal of repeated byte strings: a depth-limited radix sort of the corpus' suffixes.
 
 Two suffixes matter only through ``length`` bytes, so they are told apart by
-most-significant-digit passes that stop there; what is equal after the last
-pass is exactly the windows of ``length`` bytes that occur more than once.
-A pass keeps only suffixes whose group has at least two members.
-
-Digit 1, the synchronising string. Of a window's ``KEY``-byte strings the one
-with the least hash (the leftmost of equals) depends on the window's bytes
-alone, so equal windows agree on it and on its place. Consecutive windows share
-it, and such a run (about 2 per ``length`` bytes) is what is shuffled, never
-every suffix. Runs whose string occurs once are done.
-
-Digit 2, the run's whole span (its windows' bytes together). Runs with equal
-spans have only repeated windows; hot spans, as of thousands of copies, are
-counted map-side and never gathered.
-
-Digit 3, the remaining bytes through ``length``, for runs that share digit 1
-but not digit 2 (a passage's first and last run in a document), against one run
-of every span with that string. Up to ``IN_TASK`` spans of a string are
-compared in one task; the windows of strings with more are dealt out by hash.
-
-Digits are hashed: 64 bits for the string with 64 bits for its span, 128 bits
-for a window. Documents are known by 96 bits of id and text; equal rows share
-them, count as two documents and get equal results. Null and empty texts, and
-texts shorter than ``length``, lose nothing. Extra columns are not read. An
-empty table gives no rows.
+most-significant-digit passes that stop there; what is equal after the last pass is
+exactly the windows of ``length`` bytes that occur more than once. Every pass drops
+the groups of one. Buckets are hash buckets: only equality is asked of them, not order.
+
+Depth ``KEY``, the synchronising string. Of a window's ``KEY``-byte strings the one
+with the least hash (the leftmost of equals) depends on the window's bytes alone, so
+equal windows agree on it and on their distance j from it. Consecutive windows share
+it, and such a run (about 2 per ``length`` bytes) is what is shuffled, never every
+suffix. Runs whose string occurs once are done.
+
+Whole runs. Runs of one string with equal spans (all their windows' bytes together)
+have only repeated windows; hot spans, as of thousands of copies, are counted
+map-side and never gathered. One run of every span goes on, for those that are
+alone with their span but not with their string (a passage's first and last run in
+a document).
+
+Groups of up to ``IN_TASK`` runs are finished by comparing their windows, as radix
+sorts finish small buckets. Larger ones go through passes of growing depth. A pass
+of ``width`` w cuts the distances into stretches of w; all windows of a stretch cover
+the same length - w + 1 bytes, its digit. Runs that are alone with a digit are dropped
+there. Runs that agree on all bytes the stretch's windows cover have only repeated
+windows there. The rest goes on to the next, narrower stretches, at last of one
+window: depths 64, 352, 394, 400 at 400 bytes. A run's edge lies in one or two
+stretches of a pass, so a run costs some tens of narrow rows, counted map-side.
+
+Documents are known by 96 bits of id and text; equal rows share them, count as two
+documents, are worked out once and get equal results. Strings are hashed to 64 bits,
+compared with 64 more of a digit or span, windows in a task to 128. Null and empty
+texts, and texts shorter than ``length``, lose nothing. Extra columns are not read.
+An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -40,7 +46,8 @@ from pyspark.sql import functions as F
 from ..session import store
 
 KEY = 64
-IN_TASK = 4096
+IN_TASK = 256
+WIDTHS = (49, 7, 1)  # stretches of distances per pass, each a divisor of the one before
 CHUNK = 1 << 20
 LONG = 1 << 22
 _POSITION = np.uint64((1 << 24) - 1)
@@ -123,8 +130,14 @@ def _find_runs(length: int):
                     np.uint64, len(lo),
                 )
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(x) for x in (k1[row], k2[row], key.view(np.int64), span.view(np.int64), lo + shift, (hi - lo + 1).astype(np.int32))],
-                    ["k1", "k2", "key", "span", "start", "windows"],
+                    [
+                        pa.array(x)
+                        for x in (
+                            k1[row], k2[row], key.view(np.int64), span.view(np.int64), lo + shift, (hi - lo + 1).astype(np.int32),
+                            (place - lo).astype(np.int32),
+                        )
+                    ],
+                    ["k1", "k2", "key", "span", "start", "windows", "place"],
                 )
 
     return run
@@ -147,7 +160,8 @@ def _outcome(text: bytes, spans) -> tuple[int, int, int, str]:
 
 
 _RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-_INFO = "array<struct<resolved:boolean,start:long,windows:int,key:long,many:boolean,single:boolean>>"
+_OPEN = "struct<start:long,windows:int,place:int,key:long,many:boolean,single:boolean>"
+_INFO = f"array<{_OPEN.replace('struct<', 'struct<resolved:boolean,')}>"
 _SPANS = "array<struct<start:long,end:long>>"
 
 
@@ -156,7 +170,7 @@ def _settle(length: int):
     spans and open runs are kept beside the text."""
     names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "k1", "k2", "text", "spans", "open"]
     span, open_run = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])), pa.list_(
-        pa.struct([("start", pa.int64()), ("windows", pa.int32()), ("key", pa.int64()), ("many", pa.bool_()), ("single", pa.bool_())])
+        pa.struct([("start", pa.int64()), ("windows", pa.int32()), ("place", pa.int32()), ("key", pa.int64()), ("many", pa.bool_()), ("single", pa.bool_())])
     )
     types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int32(), pa.binary(), span, open_run]
 
@@ -167,7 +181,7 @@ def _settle(length: int):
                 for r in batch.slice(at, 500).to_pylist():
                     info = r["info"] or []
                     spans = [(x["start"], x["start"] + x["windows"] - 1 + length) for x in info if x["resolved"]]
-                    todo = [{n: x[n] for n in ("start", "windows", "key", "many", "single")} for x in info if not x["resolved"]]
+                    todo = [{n: x[n] for n in ("start", "windows", "place", "key", "many", "single")} for x in info if not x["resolved"]]
                     if todo:
                         kept = [{"start": a, "end": b} for a, b in spans]
                         rows.append((r["doc_id"], None, None, None, None, r["k1"], r["k2"], r["text"], kept, todo))
@@ -178,26 +192,21 @@ def _settle(length: int):
     return run
 
 
+_RUNS = "key long, many boolean, k1 long, k2 int, start long, windows int, place int, single boolean, bytes binary"
+
+
 def _open_runs(length: int):
-    """Open runs with their bytes; of strings with many spans, window by window."""
-    names = ["many", "key", "h1", "h2", "k1", "k2", "start", "single", "bytes"]
-    types = [pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.bool_(), pa.binary()]
+    """Open runs with their bytes."""
+    names = [f.split()[0] for f in _RUNS.split(", ")]
+    types = [pa.int64(), pa.bool_(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.binary()]
 
     def run(batches):
-        from xxhash import xxh3_128_digest
-
         for batch in batches:
             rows: list[tuple] = []
             for r in batch.to_pylist():
-                text = r["text"]
                 for x in r["open"]:
                     a, n = x["start"], x["windows"]
-                    if not x["many"]:
-                        rows.append((False, x["key"], None, None, r["k1"], r["k2"], a, x["single"], text[a : a + n - 1 + length]))
-                        continue
-                    for s in range(a, a + n):
-                        h1, h2 = np.frombuffer(xxh3_128_digest(text[s : s + length]), np.int64).tolist()
-                        rows.append((True, x["key"], h1, h2, r["k1"], r["k2"], s, x["single"], None))
+                    rows.append((x["key"], x["many"], r["k1"], r["k2"], a, n, x["place"], x["single"], r["text"][a : a + n - 1 + length]))
                 if len(rows) >= 20_000:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
                     rows = []
@@ -207,6 +216,71 @@ def _open_runs(length: int):
     return run
 
 
+_DIGITS = "key long, part int, digit long, span long, k1 long, k2 int, start long, first int, windows int, single boolean"
+
+
+def _digits(length: int, width: int, within: int | None):
+    """Of every run, or of its ``parts`` of the pass before (stretches of ``within``
+    distances), the stretches of ``width`` distances: the hash of the bytes that all of a
+    stretch's windows cover and, if the run has all of its windows, of all they cover;
+    and the run's windows in it (``first`` after the run's start, ``windows``)."""
+    names = [f.split()[0] for f in _DIGITS.split(", ")]
+    types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.bool_()]
+
+    def run(batches):
+        from xxhash import xxh3_64_intdigest
+
+        signed = lambda h: h - (1 << 64) if h >> 63 else h
+        for batch in batches:
+            rows: list[tuple] = []
+            for r in batch.to_pylist():
+                data, far = r["bytes"], r["place"]  # the first window's distance is the greatest
+                near = far - r["windows"] + 1
+                if within is None:
+                    parts = [(q, r["single"]) for q in range(near // width, far // width + 1)]
+                else:
+                    step = within // width
+                    inside = [(q, p["single"]) for p in r["parts"] for q in range(p["part"] * step, (p["part"] + 1) * step)]
+                    parts = [(q, single) for q, single in inside if q * width <= far and (q + 1) * width > near]
+                for q, single in parts:
+                    a, b = q * width, (q + 1) * width - 1
+                    digit = xxh3_64_intdigest(data[far - a : far - b + length], q)
+                    span = signed(xxh3_64_intdigest(data[far - b : far - a + length], q)) if a >= near and b <= far else None
+                    low, high = max(a, near), min(b, far)
+                    rows.append((r["key"], q, signed(digit), span, r["k1"], r["k2"], r["start"], far - high, high - low + 1, single))
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
+
+    return run
+
+
+def _radix(runs: DataFrame, length: int) -> DataFrame:
+    """Spans (k1, k2, start, end) of repeated windows of the single runs of large groups."""
+    spark, found, within, todo = runs.sparkSession, None, None, runs
+    for width in WIDTHS:
+        nodes = store(spark, todo.mapInArrow(_digits(length, width, within), _DIGITS), "repeat-digits")
+        groups = nodes.groupBy("key", "part", "digit").agg(F.count("*").alias("n"), F.bool_or("single").alias("needed"))
+        groups = store(spark, groups.where("n > 1 AND needed").select("key", "part", "digit"), "repeat-groups")
+        alive = nodes.join(groups, ["key", "part", "digit"], "left_semi")
+        equal = nodes.where("span IS NOT NULL").groupBy("key", "part", "span").agg(
+            F.count("*").alias("n"), F.min(F.struct("k1", "k2", "start")).alias("one")
+        )
+        equal = store(spark, equal.where("n > 1").select("key", "part", "span", "one"), "repeat-equal")
+        same = equal.select("key", "part", "span")
+        here = F.col("start") + F.col("first")
+        spans = alive.where("single").join(same, ["key", "part", "span"], "left_semi").select(
+            "k1", "k2", here.alias("start"), (here + F.col("windows") - 1 + length).alias("end")
+        )
+        found = spans if found is None else found.unionByName(spans)
+        if width > 1:
+            # What is whole and equal is settled; one of it stays for others to be compared with.
+            rest = alive.join(same, ["key", "part", "span"], "left_anti").select("k1", "k2", "start", "part", "single")
+            models = equal.select("one.*", "part", F.lit(False).alias("single"))
+            parts = rest.unionByName(models).groupBy("k1", "k2", "start").agg(F.collect_list(F.struct("part", "single")).alias("parts"))
+            todo, within = runs.join(store(spark, parts, "repeat-parts"), ["k1", "k2", "start"]).select(*runs.columns, "parts"), width
+    return found
+
+
 def _compare(length: int):
     """Rows sorted by string: the repeated windows of its single runs, as spans."""
 
@@ -261,13 +335,12 @@ def _finish():
     return run
 
 
-def repeated_spans(docs: DataFrame, length: int) -> tuple[DataFrame, DataFrame]:
-    """Per document key (k1, k2): what is settled by digits 1 and 2, as ``info``
-    rows (see ``_INFO``), and the keyed documents."""
+def repeated_spans(docs: DataFrame, length: int) -> DataFrame:
+    """Per document key (k1, k2): what whole runs settle, and the open runs, as ``info`` rows (see ``_INFO``)."""
     spark = docs.sparkSession
     run_table = store(
         spark,
-        docs.select("k1", "k2", "text").mapInArrow(_find_runs(length), "k1 long, k2 int, key long, span long, start long, windows int"),
+        docs.select("k1", "k2", "text").mapInArrow(_find_runs(length), "k1 long, k2 int, key long, span long, start long, windows int, place int"),
         "repeat-runs",
     )
     # Stored, so that the join's sides are plain shuffles, whose hot partitions Spark splits.
@@ -275,23 +348,24 @@ def repeated_spans(docs: DataFrame, length: int) -> tuple[DataFrame, DataFrame]:
     alive = store(spark, run_table.join(shared, "key", "left_semi"), "repeat-alive")
     spans = store(
         spark,
-        alive.groupBy("key", "span").agg(F.count("*").alias("n"), F.min(F.struct("k1", "k2", "start", "windows")).alias("one")),
+        alive.groupBy("key", "span").agg(F.count("*").alias("n"), F.min(F.struct("k1", "k2", "start", "windows", "place")).alias("one")),
         "repeat-spans",
     )
     repeated = spans.where("n > 1").select("key", "span")
+    no = F.lit(False)
     resolved = alive.join(repeated, ["key", "span"], "left_semi").select(
-        "k1", "k2", F.lit(True).alias("resolved"), "start", "windows", "key", F.lit(False).alias("many"), F.lit(False).alias("single")
+        "k1", "k2", F.lit(True).alias("resolved"), "start", "windows", "place", "key", no.alias("many"), no.alias("single")
     )
     several = spans.groupBy("key").agg(F.count("*").alias("spans"), F.count_if(F.col("n") == 1).alias("singles")).where(
         "spans > 1 AND singles > 0"
     )
     still_open = spans.join(store(spark, several, "repeat-several"), "key").select(
-        "one.k1", "one.k2", F.lit(False).alias("resolved"), "one.start", "one.windows", "key",
+        "one.k1", "one.k2", F.lit(False).alias("resolved"), "one.start", "one.windows", "one.place", "key",
         (F.col("spans") > IN_TASK).alias("many"), (F.col("n") == 1).alias("single"),
     )
-    fields = F.struct("resolved", "start", "windows", "key", "many", "single")
-    info = resolved.unionByName(still_open).groupBy("k1", "k2").agg(F.collect_list(fields).cast(_INFO).alias("info"))
-    return info, docs
+    fields = F.struct("resolved", "start", "windows", "place", "key", "many", "single")
+    # A set: equal rows have equal runs, which count once each but are listed once.
+    return resolved.unionByName(still_open).groupBy("k1", "k2").agg(F.collect_set(fields).cast(_INFO).alias("info"))
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 400) -> DataFrame:
@@ -305,28 +379,20 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     keyed = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("t")).select(
         F.xxhash64("doc_id", "t").alias("k1"), F.hash("t", "doc_id").alias("k2"), "doc_id", F.col("t").cast("binary").alias("text")
     )
-    info, keyed = repeated_spans(keyed, length)
-    settled_schema = _RESULT + ", k1 long, k2 int, text binary, spans " + _SPANS + ", open array<struct<start:long,windows:int,key:long,many:boolean,single:boolean>>"
+    info = repeated_spans(keyed, length)
+    settled_schema = f"{_RESULT}, k1 long, k2 int, text binary, spans {_SPANS}, open array<{_OPEN}>"
     settled = store(
         spark, keyed.join(info, ["k1", "k2"], "left").select("k1", "k2", "doc_id", "text", "info").mapInArrow(_settle(length), settled_schema),
         "repeat-settled",
     )
     waiting = settled.where("open IS NOT NULL")
-    opened = store(
-        spark,
-        waiting.select("k1", "k2", "text", "open").mapInArrow(
-            _open_runs(length), "many boolean, key long, h1 long, h2 long, k1 long, k2 int, start long, single boolean, bytes binary"
-        ),
-        "repeat-open",
-    )
+    opened = store(spark, waiting.select("k1", "k2", "text", "open").mapInArrow(_open_runs(length), _RUNS), "repeat-open")
     few = opened.where("NOT many").select("key", "k1", "k2", "start", "single", "bytes")
     found = few.repartition("key").sortWithinPartitions("key").mapInArrow(_compare(length), "k1 long, k2 int, start long, end long")
-    dealt = opened.where("many").select("h1", "h2", "k1", "k2", "start", "single")
-    twice = dealt.groupBy("h1", "h2").agg(F.count("*").alias("n")).where("n > 1").select("h1", "h2")
-    found = found.unionByName(
-        dealt.where("single").join(twice, ["h1", "h2"], "left_semi").select("k1", "k2", "start", (F.col("start") + length).alias("end"))
-    )
-    per_doc = found.distinct().groupBy("k1", "k2").agg(F.collect_list(F.struct("start", "end")).alias("found"))
+    many = opened.where("many")
+    if not many.isEmpty():
+        found = found.unionByName(_radix(many, length))
+    per_doc = found.groupBy("k1", "k2").agg(F.collect_set(F.struct("start", "end")).alias("found"))
     finished = waiting.select("k1", "k2", "doc_id", "text", "spans").join(per_doc, ["k1", "k2"], "left").select(
         "doc_id", "text", "spans", "found"
     ).mapInArrow(_finish(), _RESULT)

@@ -26,6 +26,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .names import free
+from .spans import chunks_sql, cut_sql, located_sql, quoted
+
 # Fixed word lists of the features.
 KEY_WORDS = r"(?i)(token|secret|passw|passphrase|pwd|api[_ -]?key|apikey|access[_ -]?key|private[_ -]?key|auth|bearer|credential|client[_ -]?key|signature)"
 HARMLESS_WORDS = (
@@ -61,10 +64,6 @@ FEATURES = (
 )
 
 
-def _quoted(pattern: str) -> str:
-    return "'" + pattern.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
 def _features_sql(v: str, before: str, after: str) -> dict[str, str]:
     cover = "(?i)(" + "|".join(sorted((w for w in DICTIONARY if len(w) > 2), key=lambda w: (-len(w), w))) + ")"
     n = f"length({v})"
@@ -75,15 +74,15 @@ def _features_sql(v: str, before: str, after: str) -> dict[str, str]:
         "uppers": f"regexp_count({v}, '[A-Z]') / {n}",
         "hex": f"regexp_count({v}, '[0-9a-fA-F]') / {n}",
         "distinct": f"size(array_distinct(split({v}, ''))) / least({n}, 64)",
-        "words": f"1 - length(regexp_replace({v}, {_quoted(cover)}, '')) / {n}",
+        "words": f"1 - length(regexp_replace({v}, {quoted(cover)}, '')) / {n}",
         "slashes": f"regexp_count({v}, '[/_-]') / {n}",
-        "inpath": f"IF({before} RLIKE {_quoted('[/.@:]$')} OR {after} RLIKE {_quoted('^([/@:]|[.][a-z])')}, 1, 0)",
-        "keyword": f"IF({before} RLIKE {_quoted(KEY_WORDS)}, 1, 0)",
-        "harmless": f"IF(concat({before}, ' ', {after}) RLIKE {_quoted(HARMLESS_WORDS)}, 1, 0)",
-        "assigned": f"IF({before} RLIKE {_quoted(chr(91) + '=:>' + chr(93) + '[ ]?[' + chr(34) + chr(39) + ']?$')}, 1, 0)",
-        "quoted": f"IF({before} RLIKE {_quoted('[' + chr(34) + chr(39) + ']$')}, 1, 0)",
-        "keyed": f"IF({before} RLIKE {_quoted('(?i)' + _KEYED + '[' + chr(34) + chr(39) + ']?$')}, 1, 0)",
-        "userinfo": f"IF({before} RLIKE {_quoted('://[^/:@ ]*:$')} AND {after} LIKE '@%', 1, 0)",
+        "inpath": f"IF({before} RLIKE {quoted('[/.@:]$')} OR {after} RLIKE {quoted('^([/@:]|[.][a-z])')}, 1, 0)",
+        "keyword": f"IF({before} RLIKE {quoted(KEY_WORDS)}, 1, 0)",
+        "harmless": f"IF(concat({before}, ' ', {after}) RLIKE {quoted(HARMLESS_WORDS)}, 1, 0)",
+        "assigned": f"IF({before} RLIKE {quoted(chr(91) + '=:>' + chr(93) + '[ ]?[' + chr(34) + chr(39) + ']?$')}, 1, 0)",
+        "quoted": f"IF({before} RLIKE {quoted('[' + chr(34) + chr(39) + ']$')}, 1, 0)",
+        "keyed": f"IF({before} RLIKE {quoted('(?i)' + _KEYED + '[' + chr(34) + chr(39) + ']?$')}, 1, 0)",
+        "userinfo": f"IF({before} RLIKE {quoted('://[^/:@ ]*:$')} AND {after} LIKE '@%', 1, 0)",
         "spaces": f"regexp_count({v}, ' ')",
         "lowers": f"regexp_count({v}, '[a-z]') / {n}",
         "marks": f"regexp_count({v}, '[^A-Za-z0-9]') / {n}",
@@ -91,30 +90,22 @@ def _features_sql(v: str, before: str, after: str) -> dict[str, str]:
 
 
 def candidates_sql(text: str) -> str:
-    """SQL for the candidates in ``text`` as structs (s, e, v, one field per feature)."""
-    pattern = _quoted(CANDIDATE)
+    """SQL for the candidates in ``text`` as structs (s, e, v, g, one field per feature), g what
+    stands between a candidate and the one before it."""
     fields = ", ".join(f"CAST({sql} AS double) AS {name}" for name, sql in _features_sql("x.v", "x.b", "x.a").items())
+    # Both lists are bound once: the text's chunks, and the candidates with what stands around them.
+    around = f"transform(found, c -> struct(c.s AS s, c.e AS e, c.m AS v, c.g AS g, right(c.g, 40) AS b, {cut_sql('chunks', 'c.e', '24')} AS a))"
     return f"""
-    transform(
-      aggregate(
-        transform(
-          zip_with(split({text}, {pattern}, -1), regexp_extract_all({text}, {pattern}, 0), (g, h) -> struct(g AS g, h AS h)),
-          (p, i) -> struct(p.g AS g, p.h AS h, i AS i)),
-        struct(0 AS at, CAST(array() AS array<struct<s:int,e:int,v:string,b:string,i:int>>) AS out),
-        (acc, x) -> struct(
-          acc.at + length(x.g) + coalesce(length(x.h), 0) AS at,
-          CASE WHEN x.h IS NOT NULL THEN array_append(acc.out, struct(acc.at + length(x.g) AS s,
-            acc.at + length(x.g) + length(x.h) AS e, x.h AS v, right(x.g, 40) AS b, x.i AS i)) ELSE acc.out END AS out),
-        acc -> transform(acc.out, c -> struct(c.s AS s, c.e AS e, c.v AS v, c.b AS b, substr({text}, c.e + 1, 24) AS a))),
-      x -> struct(x.s AS s, x.e AS e, x.v AS v, {fields}))"""
+    element_at(transform(array({located_sql(text, quoted(CANDIDATE))}), found -> IF(size(found) = 0, {_NO_CANDIDATES}, element_at(
+      transform(array({chunks_sql(text)}), chunks -> transform({around}, x -> struct(x.s AS s, x.e AS e, x.v AS v, x.g AS g, {fields}))), 1))), 1)"""
 
 
-_NO_CANDIDATES = "CAST(array() AS array<struct<s:int,e:int,v:string," + ",".join(f"{f}:double" for f in FEATURES) + ">>)"
+_NO_CANDIDATES = "CAST(array() AS array<struct<s:int,e:int,v:string,g:string," + ",".join(f"{f}:double" for f in FEATURES) + ">>)"
 
 
 def with_candidates(docs: DataFrame, text_col: str, out_col: str) -> DataFrame:
-    quoted = f"coalesce(CAST(`{text_col}` AS string), '')"
-    return docs.withColumn(out_col, F.expr(f"CASE WHEN {quoted} RLIKE {_quoted(HINT)} THEN {candidates_sql(quoted)} ELSE {_NO_CANDIDATES} END"))
+    text = f"coalesce(CAST(`{text_col}` AS string), '')"
+    return docs.withColumn(out_col, F.expr(f"CASE WHEN {text} RLIKE {quoted(HINT)} THEN {candidates_sql(text)} ELSE {_NO_CANDIDATES} END"))
 
 
 # Labelled findings: what stands before and after a value, the value's kind, and whether it is a secret.
@@ -220,12 +211,13 @@ def fit_forest(findings: DataFrame, trees: int = 20, depth: int = 6, seed: int =
 
 
 def with_findings(docs: DataFrame, out_col: str, text_col: str = "text", findings: DataFrame | None = None, threshold: float = 0.5) -> DataFrame:
-    """``docs`` with the array ``out_col`` of candidates (s, e, v, score, secret)."""
+    """``docs`` with the array ``out_col`` of candidates (s, e, v, g, score, secret), g what stands
+    between a candidate and the one before it."""
     forest = fit_forest(labelled_findings(docs.sparkSession) if findings is None else findings)
     found = with_candidates(docs, text_col, out_col)
-    scored = f"transform(`{out_col}`, c -> struct(c.s AS s, c.e AS e, c.v AS v, {forest} AS score))"
+    scored = f"transform(`{out_col}`, c -> struct(c.s AS s, c.e AS e, c.v AS v, c.g AS g, {forest} AS score))"
     return found.withColumn(out_col, F.expr(scored)).withColumn(
-        out_col, F.expr(f"transform(`{out_col}`, c -> struct(c.s AS s, c.e AS e, c.v AS v, c.score AS score, c.score >= {threshold}D AS secret))")
+        out_col, F.expr(f"transform(`{out_col}`, c -> struct(c.s AS s, c.e AS e, c.v AS v, c.g AS g, c.score AS score, c.score >= {threshold}D AS secret))")
     )
 
 
@@ -244,19 +236,15 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **opti
 def redact(docs: DataFrame, text_col: str = "text", chars_col: str = "n_chars", mark: str = "[SECRET]", **options) -> DataFrame:
     """``docs`` with every secret in the text replaced by ``mark``, and ``chars_col``,
     if there is one, counted anew for the texts that changed."""
-    name = "secrets"
-    while name in docs.columns:
-        name = "_" + name
-    found = with_findings(docs, name, text_col, **options).withColumn(name, F.expr(f"filter(`{name}`, c -> c.secret)"))
-    text = f"CAST(`{text_col}` AS string)"
-    # What stands before each secret, from the one before it, and the rest of the text.
-    parts = (
-        f"concat(transform(`{name}`, (c, i) -> concat(substr({text}, IF(i = 0, 0, try_element_at(`{name}`, i).e) + 1, "
-        f"c.s - IF(i = 0, 0, try_element_at(`{name}`, i).e)), {_quoted(mark)})), array(substr({text}, try_element_at(`{name}`, -1).e + 1)))"
-    )
-    cleaned = found.withColumn(text_col, F.expr(f"IF(size(`{name}`) > 0, array_join({parts}, ''), `{text_col}`)"))
+    (name,) = free(docs.columns, "secrets")
+    found = with_findings(docs, name, text_col, **options)
+    text, changed = f"CAST(`{text_col}` AS string)", f"exists(`{name}`, c -> c.secret)"
+    # The text anew from its gaps, its candidates and its end.
+    parts = f"concat(transform(`{name}`, c -> concat(c.g, IF(c.secret, {quoted(mark)}, c.v))), array(substr({text}, element_at(`{name}`, -1).e + 1)))"
+    cleaned = found.withColumn(name, F.expr(f"IF({changed}, array_join({parts}, ''), NULL)"))
+    cleaned = cleaned.withColumn(text_col, F.expr(f"coalesce(`{name}`, `{text_col}`)"))
     if chars_col in docs.columns:
         cleaned = cleaned.withColumn(
-            chars_col, F.expr(f"IF(size(`{name}`) > 0, CAST(length(`{text_col}`) AS {docs.schema[chars_col].dataType.simpleString()}), `{chars_col}`)")
+            chars_col, F.expr(f"IF(`{name}` IS NOT NULL, CAST(length(`{text_col}`) AS {docs.schema[chars_col].dataType.simpleString()}), `{chars_col}`)")
         )
     return cleaned.select(*docs.columns)

@@ -38,6 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import store
+from .names import free
 
 SEED = 42
 FAN = 8
@@ -69,7 +70,7 @@ def fingerprint(text: str | None, shingle: int = 3) -> int:
 
 def with_fingerprint(docs: DataFrame, text_col: str, out_col: str, shingle: int, keep: list[str]) -> DataFrame:
     """``keep`` and the fingerprint as a signed long, in one pass over the scan."""
-    chosen = docs.select(*keep, F.col(text_col).cast("string").alias("__t"))
+    chosen = docs.select(*keep, F.col(text_col).cast("string").alias(*free(keep, "text_to_print")))
     schema = T.StructType([*docs.select(*keep).schema.fields, T.StructField(out_col, T.LongType())])
 
     def run(batches):
@@ -282,13 +283,13 @@ def deduplicate(
 ) -> DataFrame:
     """``docs`` with one row of each component: that of the smallest id, null ids
     last; of rows equal in id and fingerprint, any one."""
-    spark, fp = docs.sparkSession, "fp"
-    while fp in docs.columns:
-        fp = "_" + fp
-    printed = store(spark, with_fingerprint(docs, text_col, fp, shingle, docs.columns), "simhash-printed")
-    rank = F.struct(F.col(id_col).isNull(), F.col(id_col), F.col("fp"))
-    keys = printed.select(F.col(id_col), F.col(fp).alias("fp"))
+    spark = docs.sparkSession
+    fp, row, kept_row = free(docs.columns, "fp", "row", "kept_row")
+    printed = with_fingerprint(docs, text_col, fp, shingle, docs.columns)
+    # Stored, so that a row keeps its number: what stays is decided on narrow rows, and texts meet it once.
+    printed = store(spark, printed.withColumn(row, F.monotonically_increasing_id()), "simhash-printed")
+    rank = F.struct(F.col("id").isNull().alias("none"), F.col("id"), F.col("fp"), F.col("row"))
+    keys = printed.select(F.col(id_col).alias("id"), F.col(fp).alias("fp"), F.col(row).alias("row"))
     _, best = fingerprint_groups(keys, F.min(rank), max_bits)
-    kept = best.select(F.col(f"best.{id_col}").alias("__id"), F.col("best.fp").alias("__fp"))
-    joined = printed.join(kept, printed[id_col].eqNullSafe(kept["__id"]) & (printed[fp] == kept["__fp"]))
-    return joined.dropDuplicates(["__fp", "__id"]).select(*docs.columns)
+    kept = best.select(F.col("best.row").alias(kept_row))
+    return printed.join(kept, printed[row] == kept[kept_row], "left_semi").select(*docs.columns)

@@ -4,10 +4,10 @@ A byte-level BPE tokenizer cuts text into pre-tokens and encodes each alone, so
 a text may be cut wherever a pre-token surely starts: before a single space
 that stands between two non-space characters. Every such chunk is encoded once
 by the ``tokenizers`` library and remembered in a bounded per-task table; a
-text's ids are the chunks' ids joined. Texts whose spaces stand otherwise, and
-tokenizers of another make, go through the library in larger pieces. The ids
-are those of ``Tokenizer.encode(text, add_special_tokens=False)`` with special
-tokens' strings taken as ordinary text.
+text's ids are the chunks' ids joined. Texts whose spaces stand otherwise or that
+hold the string of a special token, and tokenizers of another make, go through the
+library whole or in larger pieces. The ids are those of
+``Tokenizer.encode(text, add_special_tokens=False)``.
 """
 
 from __future__ import annotations
@@ -17,10 +17,9 @@ import os
 import re
 import sys
 import types
+from array import array
 
-import numpy as np
-
-MEMO_CHUNKS = 250_000  # chunks per generation of a task's table; the last two generations are kept
+MEMO_CHUNKS = 500_000  # chunks per generation of a task's table; the last two generations are kept
 MEMO_CHARS = 64  # longer chunks are not remembered
 _SAFE = re.compile(r"(?<=\S) (?=\S)")
 _STEM = re.compile(r"([^\W\d_]+)([^\w\s]+)")
@@ -43,6 +42,14 @@ def _byte_letters() -> list[str]:
     return [table[b] for b in range(256)]
 
 
+def _raw(ids: list[int]) -> bytes:
+    """``ids`` as little-endian uint32 bytes."""
+    words = array("I", ids)
+    if sys.byteorder == "big":
+        words.byteswap()
+    return words.tobytes()
+
+
 class _Memo(dict):
     """Chunk (without its leading space) to ids as little-endian uint32 bytes."""
 
@@ -77,7 +84,6 @@ class TextEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.model = self.tokenizer.model
         made = json.loads(self.tokenizer.to_str())
         pre = made.get("pre_tokenizer") or {}
@@ -86,17 +92,19 @@ class TextEncoder:
             and pre.get("use_regex", False) and not pre.get("add_prefix_space", True)
             and all(t["special"] for t in made.get("added_tokens", []))
         )
+        added = [t["content"] for t in made.get("added_tokens", [])]
+        self.added = re.compile("|".join(map(re.escape, added))) if added else None
         self.letters = _byte_letters()
         self.memo = _Memo(self)
         self.others: dict[str, bytes] = {}  # marks after a word, words after a line's end
 
     def library(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        return _raw(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def word(self, letters: str, space: bool) -> bytes:
         """Ids of one pre-token of letters: the library's BPE model takes it directly."""
         plain = letters if letters.isascii() else "".join(self.letters[b] for b in letters.encode("utf-8"))
-        return np.array([t.id for t in self.model.tokenize("Ġ" + plain if space else plain)], dtype="<u4").tobytes()
+        return _raw([t.id for t in self.model.tokenize("Ġ" + plain if space else plain)])
 
     def other(self, text: str) -> bytes:
         ids = self.others.get(text)
@@ -130,7 +138,7 @@ class TextEncoder:
         """Null and empty texts have no ids."""
         if not text:
             return b""
-        if not self.chunked:
+        if not self.chunked or (self.added and self.added.search(text)):
             return self.library(text)
         self.memo.trim()
         parts = text.split(" ")

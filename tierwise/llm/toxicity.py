@@ -12,8 +12,11 @@ penalty is exact and costs one change, not one text, at a time. A neutral mentio
 group then moves the score no more than a mention of any other, and since each
 set holds neutral words (people, person), hardly at all.
 
-Bounds: the fit sees at most ``max_sample`` labelled texts (chosen by a hash of
-the id) and ``vocabulary`` entries, those whose share among toxic and other texts
+Identity terms are English, German, French and Spanish. Where no training text holds
+one, as in invented prose, there is no swap to penalise and the model is plain logistic.
+
+Bounds: the fit sees at most ``max_sample`` labelled texts (ids and then texts chosen
+by a hash; equal texts of an id once) and ``vocabulary`` entries, those whose share among toxic and other texts
 differs most by its z value, and always the identity terms. Scoring covers all
 rows and whole texts in one pass over the scan, without a shuffle.
 
@@ -46,6 +49,12 @@ IDENTITY_SETS = (
      "foreigner", "lesbian", "african", "asian", "european", "american", "mexican", "german", "arab"),
     ("other", "black", "white", "gay", "straight", "transgender", "bisexual", "queer", "old", "young", "elderly", "disabled", "blind",
      "deaf", "jewish", "islamic", "catholic", "protestant", "female", "male", "indigenous", "latino"),
+    ("leute", "menschen", "frauen", "männer", "mädchen", "jungen", "muslime", "christen", "juden", "hindus", "atheisten", "einwanderer",
+     "flüchtlinge", "ausländer", "schwule", "lesben", "afrikaner", "asiaten", "türken", "polen", "araber"),
+    ("gens", "personnes", "femmes", "hommes", "filles", "garçons", "musulmans", "chrétiens", "juifs", "hindous", "athées", "immigrés",
+     "réfugiés", "étrangers", "homosexuels", "lesbiennes", "africains", "asiatiques", "arabes", "polonais", "roms"),
+    ("gente", "personas", "mujeres", "hombres", "chicas", "chicos", "musulmanes", "cristianos", "judíos", "hindúes", "ateos", "inmigrantes",
+     "refugiados", "extranjeros", "homosexuales", "lesbianas", "africanos", "asiáticos", "árabes", "gitanos", "mexicanos"),
 )
 _WORD = re.compile(r"[^\W\d_]+")
 BEGINNINGS = (5, 6, 7, 8)
@@ -128,12 +137,17 @@ def fit(
 
     def split(batches):
         for batch in batches:
-            found = pa.array([sorted(entries(words(t.as_py()))) for t in batch.column(1)], pa.list_(pa.string()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), found], ["label", "words"])
-
-    # The sample of labels has at most max_sample rows, so it may be broadcast.
-    sample = texts.join(F.broadcast(marked), "doc_id").select("label", "text").mapInArrow(split, "label int, words array<string>")
-    sample = store(spark, sample.withColumn("row", F.monotonically_increasing_id()), "toxicity-sample")
+            found = pa.array([sorted(entries(words(t.as_py()))) for t in batch.column(0)], pa.list_(pa.string()))
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:], found], ["label", "mark", "other", "words"])
+
+    # The sample of labels has at most max_sample rows, so it may be broadcast. An id may have any number
+    # of texts: equal ones are learnt once, and of more than max_sample texts those of the least hashes.
+    marks = F.xxhash64("doc_id", "text").alias("mark"), F.hash("text", "doc_id").alias("other")
+    joined = texts.join(F.broadcast(marked), "doc_id").select("text", "label", *marks)
+    found = joined.mapInArrow(split, "label int, mark long, other int, words array<string>")
+    found = store(spark, found.groupBy("mark", "other").agg(F.first("label").alias("label"), F.first("words").alias("words")), "toxicity-sample")
+    sample = found.orderBy("mark", "other").limit(max_sample)
+    sample = store(spark, sample.select("label", "words"), "toxicity-bounded")
     classes = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
     seen, toxic = sum(classes.values()), classes.get(1, 0)
     if not toxic or toxic == seen:
