@@ -17,6 +17,10 @@ SECTIONS = [
     ("Metrics", "tierwise.functions"),
     ("Joins", "tierwise.operators.joins"),
     ("Totals", "tierwise.operators.totals"),
+    ("Totals over many sets", "tierwise.operators.lattice"),
+    ("User-defined combiners", "tierwise.operators.combine"),
+    ("One row to many", "tierwise.operators.fanout"),
+    ("Running sums", "tierwise.operators.numbering"),
     ("Validation", "tierwise.operators.quality"),
     ("Reshaping", "tierwise.operators.reshape"),
     ("Reuse", "tierwise.operators.reuse"),

@@ -1,0 +1,113 @@
+"""Records cut by byte ranges: quoted line breaks, endless lines, positions."""
+
+from __future__ import annotations
+
+import csv
+import io
+import random
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tierwise.operators import quality, reshape
+from tierwise.operators.numbering import running_sum
+from tierwise.schemas import all_strings
+from tierwise.sources import files, pieces
+
+PAIR = T.StructType([T.StructField("a", T.StringType()), T.StructField("b", T.StringType()), T.StructField("c", T.StringType())])
+
+
+@pytest.fixture
+def small_splits(spark):
+    names = {"spark.sql.files.maxPartitionBytes": "700", "spark.sql.files.openCostInBytes": "0"}
+    before = {n: spark.conf.get(n) for n in names}
+    for n, v in names.items():
+        spark.conf.set(n, v)
+    yield
+    for n, v in before.items():
+        spark.conf.set(n, v)
+
+
+def messy_cell(rng):
+    plain = "".join(rng.choice("abcdef é") for _ in range(rng.randint(0, 12)))
+    return rng.choice([plain, plain + ",x", 'say "hi"', "two\nlines", '"', "\n\n", "x" * rng.choice([10, 900]), "a\r\nb"])
+
+
+def test_quoted_line_breaks_across_byte_ranges(spark, tmp_path, small_splits):
+    rng = random.Random(1)
+    want = []
+    for k in range(3):
+        rows = [[messy_cell(rng) or "-" for _ in range(3)] for _ in range(60)]
+        out = io.StringIO()
+        csv.writer(out, lineterminator=rng.choice(["\n", "\r\n"])).writerows([["a", "b", "c"], *rows])
+        (tmp_path / f"{k}.csv").write_text(out.getvalue(), newline="")
+        want += [tuple(r) for r in rows]
+    read = files.read_csv_multiline(spark, str(tmp_path), PAIR)
+    good, bad = files.split_corrupt(read)
+    assert sorted(tuple(r) for r in good.collect()) == sorted(want) and bad.count() == 0
+    assert spark.read.text(str(tmp_path)).rdd.getNumPartitions() > 10
+
+
+def test_broken_quotes_go_to_the_bad_lines(spark, tmp_path, small_splits):
+    body = 'a,b,c\n1,"x\ny",2\n3,"bad"z,4\n5,ok,6,7\n8,"p""q",9\n10,half\n11,"never closed\n' + "line of the rest\n" * 40
+    (tmp_path / "one.csv").write_text(body)
+    good, bad = files.split_corrupt(files.read_csv_multiline(spark, str(tmp_path), PAIR))
+    assert sorted(tuple(r) for r in good.collect()) == [("1", "x\ny", "2"), ("10", "half", None), ("8", 'p"q', "9")]
+    raw = sorted(r.raw_line for r in bad.collect())
+    assert raw == ['11,"never closed\n' + "\n".join(["line of the rest"] * 40), '3,"bad"z,4', "5,ok,6,7"]
+
+
+def test_a_record_over_many_ranges_is_kept_in_fragments(spark, tmp_path, small_splits):
+    body = "1,2,3\n" + '4,"' + "word\n" * 2000
+    (tmp_path / "one.csv").write_text(body)
+    got = pieces.read_pieces(spark, str(tmp_path), "\n", '"', max_ranges=4).collect()
+    assert [r.value for r in got if not r.broken] == ["1,2,3"]
+    fragments = [r for r in got if r.broken]
+    assert len(fragments) > 4 and {r.number for r in fragments} == {1}
+    assert sum(r.value.count("word") for r in fragments) == 2000
+
+
+def test_an_endless_line_across_byte_ranges(spark, tmp_path, small_splits):
+    rng = random.Random(2)
+    schema = T.StructType([T.StructField("k", T.LongType()), T.StructField("name", T.StringType()), T.StructField("v", T.LongType())])
+    want, rejected = [], []
+    for k in range(3):
+        rows = [(i, rng.choice(["plain", "a, b", 'c "d"', "e" * rng.choice([3, 800])]), rng.randint(0, 99)) for i in range(80)]
+        cells = ["k", "name", "v"] + [c for i, n, v in rows for c in (str(i), '"' + n.replace('"', '""') + '"' if set(n) & set('", ') else n, str(v))]
+        tail = ["7", "x", "bad", "short"] if k == 1 else []
+        (tmp_path / f"{k}.txt").write_text(",".join(cells + tail) + ("\n" if k else ""))
+        want += rows
+        rejected += [("7,x,bad", "a cell does not cast"), ("short", "wrong number of cells")] if tail else []
+    rows, bad = reshape.split_endless_line(spark, str(tmp_path), schema)
+    assert sorted(map(tuple, rows.collect())) == sorted(want)
+    assert sorted(map(tuple, bad.collect())) == sorted(rejected)
+
+
+def test_empty_files_and_empty_lines(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("")
+    (tmp_path / "b.csv").write_text("\n\n1,2,3\n\n")
+    assert [tuple(r) for r in files.split_corrupt(files.read_csv_multiline(spark, str(tmp_path), PAIR))[0].collect()] == [("1", "2", "3")]
+
+
+def test_running_sum_against_a_loop(spark):
+    rng = random.Random(3)
+    rows = [(rng.choice([None, *range(9)]), rng.choice([None, 0, 1, 5, -2]), str(i)) for i in range(500)]
+    df = spark.createDataFrame(rows, "o long, n long, name string")
+    got = running_sum(df, ["o", "name"], F.col("n"), "before").collect()
+    total, want = 0, {}
+    for o, n, name in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[2])):
+        want[name] = total
+        total += n or 0
+    assert {r.name: r.before for r in got} == want
+    # One order value for all rows: every row has its own place.
+    assert sorted(r.i for r in running_sum(df, [F.lit(1)], F.lit(1), "i").collect()) == list(range(500))
+    assert running_sum(df.limit(0), ["o"], F.lit(1), "i").count() == 0
+
+
+def test_positions_have_no_one_task_window(spark, tmp_path, small_splits):
+    spark.range(300).selectExpr("id AS a", "id % 7 AS b", "'x' AS c").write.option("header", True).csv(str(tmp_path / "t"))
+    read = files.read_csv(spark, str(tmp_path / "t"), all_strings(PAIR))
+    placed = quality.with_position(read)
+    assert "SinglePartition" not in placed._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r.position for r in placed.collect()) == list(range(1, 301))

@@ -17,6 +17,12 @@ never more than ``max_hot_keys`` keys are. The hot keys' fact rows are spread
 over ``salt`` buckets by a hash of the row, and only those keys' dictionary rows
 are copied into every bucket. Rows whose key is null and cannot match stay out
 of the shuffle.
+
+Key filter: an inner or semi join that must shuffle moves fact rows that match
+nothing, too. ``bloom=True`` builds a Bloom filter of the dictionary's keys (one
+aggregate of the dictionary, at most ``max_bits`` bits whatever its size) and applies
+it as a column expression in the fact's scan stage: of the unmatched rows only the
+filter's false positives reach the shuffle. It never changes a result.
 """
 
 from __future__ import annotations
@@ -104,6 +110,7 @@ def enrich(
     hot_rows: int = 1_000_000,
     max_hot_keys: int | None = None,
     hot_fraction: float | None = None,
+    bloom: bool = False,
 ) -> DataFrame:
     """Equi-join ``fact`` with ``dictionary`` on shared key names.
 
@@ -127,6 +134,8 @@ def enrich(
             )
         dictionary, broadcast = fitted, "auto"
     right = _prepare(dictionary, broadcast, max_broadcast_rows)
+    if bloom and how == "inner" and not null_safe:
+        fact = key_filter(fact, dictionary, keys)
     if not null_safe:
         return fact.join(right, keys, how)
     if how not in ("inner", "left", "left_outer"):
@@ -142,12 +151,62 @@ def enrich(
     )
 
 
+# Most bits of a key filter (16 MiB).
+DEFAULT_MAX_FILTER_BITS = 1 << 27
+_HASHABLE = (T.IntegralType, T.StringType, T.BooleanType, T.DateType, T.TimestampType, T.DecimalType)
+
+
+def _filter_places(columns, bits: int, hashes: int):
+    """Bit positions of a key: two hashes, combined ``hashes`` times."""
+    one, two = (F.pmod(h, F.lit(bits)) for h in (F.xxhash64(*columns), F.xxhash64(F.lit(1), *columns)))
+    return [F.pmod(one + i * two, F.lit(bits)) for i in range(hashes)]
+
+
+def key_filter(
+    fact: DataFrame, dictionary: DataFrame, on, false_positives: float = 0.01, max_bits: int = DEFAULT_MAX_FILTER_BITS
+) -> DataFrame:
+    """``fact`` without most rows whose key is null or not in ``dictionary``.
+
+    The filter's words are one array value of at most ``max_bits`` bits, made by an
+    aggregate that ors the keys' bits per word, and reach the scan as a scalar
+    subquery. Beyond ``max_bits`` it lets more rows pass, never fewer. Key columns
+    whose types differ on the two sides, or that are floating point, nested or
+    collated, leave the fact as it is.
+    """
+    keys = _keys(on)
+    kinds = [(fact.schema[k].dataType, dictionary.schema[k].dataType) for k in keys]
+    if any(a != b or not isinstance(a, _HASHABLE) or getattr(a, "collation", "UTF8_BINARY") != "UTF8_BINARY" for a, b in kinds):
+        return fact
+    from .reuse import materialize
+
+    known = dictionary.select(*keys).dropna()
+    count = max(1, known.agg(F.approx_count_distinct(F.struct(*keys))).first()[0])
+    bits = 64 * math.ceil(min(max_bits, max(1024, -count * math.log(false_positives) / math.log(2) ** 2)) / 64)
+    hashes = max(1, min(8, round(bits / count * math.log(2))))
+    places = known.select(F.explode(F.array(*_filter_places([F.col(k) for k in keys], bits, hashes))).alias("place"))
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), (F.col("place") % 64).cast("int"))
+    words = places.groupBy(F.floor(F.col("place") / 64).alias("word")).agg(F.bit_or(bit).alias("bits"))
+    every = dictionary.sparkSession.range(bits // 64).withColumnRenamed("id", "word").join(words, "word", "left")
+    packed = every.agg(F.transform(F.array_sort(F.collect_list(F.struct("word", F.coalesce("bits", F.lit(0).cast("bigint")).alias("bits")))), lambda w: w["bits"]).alias("words"))
+    array = materialize(packed, "checkpoint").scalar()
+    passes = F.lit(True)
+    for k in keys:
+        passes = passes & F.col(k).isNotNull()
+    for place in _filter_places([F.col(k) for k in keys], bits, hashes):
+        bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), (place % 64).cast("int"))
+        passes = passes & (F.get(array, F.floor(place / 64).cast("int")).bitwiseAND(bit) != 0)
+    return fact.filter(passes)
+
+
 def keys_in_dictionary(
-    fact: DataFrame, dictionary: DataFrame, on, broadcast="auto", max_broadcast_rows=DEFAULT_MAX_BROADCAST_ROWS
+    fact: DataFrame, dictionary: DataFrame, on, broadcast="auto", max_broadcast_rows=DEFAULT_MAX_BROADCAST_ROWS, bloom: bool = False
 ) -> DataFrame:
     """Fact rows whose key exists in the dictionary; dictionary columns are not added
-    and duplicate dictionary keys do not multiply rows (a left semi join)."""
+    and duplicate dictionary keys do not multiply rows (a left semi join). With
+    ``bloom`` the keys' Bloom filter drops most other rows before a shuffle."""
     keys = _keys(on)
+    if bloom:
+        fact = key_filter(fact, dictionary, keys)
     right = _prepare(dictionary.select(*keys), broadcast, max_broadcast_rows)
     return fact.join(right, keys, "left_semi")
 

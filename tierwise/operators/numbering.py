@@ -39,7 +39,7 @@ def running_sum(df: DataFrame, order: Sequence[str | Column], amount: Column, na
     base = spark.createDataFrame(sums, f"{bucket} int, {name} long")
     within = Window.partitionBy(bucket).orderBy(*keys, spread).rowsBetween(Window.unboundedPreceding, -1)
     summed = placed.withColumn(amount_col, F.coalesce(F.sum(amount_col).over(within), F.lit(0)))
-    joined = summed.join(F.broadcast(base), bucket)
+    joined = summed.join(base, bucket)  # a few rows from the driver: Spark broadcasts them itself
     return joined.select(*df.columns, (F.col(name) + F.col(amount_col)).alias(name))
 
 

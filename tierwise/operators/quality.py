@@ -28,7 +28,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import store
 from .joins import checked_broadcast
+from .numbering import running_sum
 
 # The integer-text pattern, what is trimmed, and the reason texts.
 INTEGER_TEXT = r"^[+-]?[0-9]+$"
@@ -170,7 +172,8 @@ def with_position(df: DataFrame, name: str = "position") -> DataFrame:
     positions count the rows that are left, as a reader that skips bad lines
     numbers its rows. Rows are tagged in the scan stage with a hash of their
     file split (``_metadata``) and a per-partition counter. Rows per split are
-    counted by one aggregate; running sums over the files (one row each) and
+    counted by one aggregate; a two-level running sum over the files
+    (``operators.numbering``; no window over all of them in one task) and one
     within each file give every split's offset, a narrow table that is
     broadcast if it passes the size check.
     """
@@ -181,12 +184,11 @@ def with_position(df: DataFrame, name: str = "position") -> DataFrame:
     file, start = F.col("_metadata.file_path"), F.col("_metadata.file_block_start")
     split = [F.xxhash64(file, start).alias("__split"), F.hash(start, file).alias("__check")]
     rowid = F.monotonically_increasing_id().alias("__rowid")
-    counted = df.select(file.alias("__file"), start.alias("__start"), *split, rowid).groupBy(
+    counted = store(df.sparkSession, df.select(file.alias("__file"), start.alias("__start"), *split, rowid).groupBy(
         "__file", "__start", "__split", "__check"
-    ).agg(F.count(F.lit(1)).alias("__n"), F.min("__rowid").alias("__first"))
+    ).agg(F.count(F.lit(1)).alias("__n"), F.min("__rowid").alias("__first")), "split-counts")
     per_file = counted.groupBy("__file").agg(F.sum("__n").alias("__rows"))
-    earlier = Window.orderBy("__file").rowsBetween(Window.unboundedPreceding, -1)
-    before_file = per_file.select("__file", F.coalesce(F.sum("__rows").over(earlier), F.lit(0)).alias("__files"))
+    before_file = running_sum(per_file, ["__file"], F.col("__rows"), "__files").select("__file", "__files")
     within = Window.partitionBy("__file").orderBy("__start").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counted.join(before_file, "__file").select(
         "__split", "__check",

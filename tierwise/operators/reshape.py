@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..sources.files import count_fields, field_pattern, read_records_text
+from ..sources.pieces import read_pieces
 
 
 def cells(text: Column, sep: str = ",", record_sep: str = "\r") -> Column:
@@ -133,6 +134,43 @@ def read_flat_records(
     return split_flat_records(spark, path, schema, sep, record_sep, header)[0]
 
 
+def split_endless_line(
+    spark: SparkSession, path, schema: T.StructType, sep: str = ",", header: bool = True, quote: str = '"', **options
+) -> tuple[DataFrame, DataFrame]:
+    """``(rows, rejects)`` of files that are one endless line of cells: no separator parts
+    the records, every ``len(schema)`` cells of a file are one (the header, if any, the first).
+
+    The line is read by byte ranges in many tasks; cells number themselves by prefix sums
+    over the ranges, so no task holds a line (see ``sources.pieces``). Cells may be quoted,
+    with inner quotes doubled, and then hold the separator. Rejects are (``record``,
+    ``reason``): a file's last record if it has too few cells, records with a cell that
+    does not cast, and fragments of a quoted cell that is never closed. A line break at a
+    file's end is dropped.
+    """
+    names = [f.name for f in schema.fields]
+    width = len(names)
+    records = read_pieces(spark, path, sep, quote, width, **options).filter(F.col("number") >= (1 if header else 0))
+    records = records.select(F.rtrim("value", F.lit("\r\n")).alias("value"), "broken")
+    right = ~F.col("broken") & (count_fields(F.col("value"), sep, '"') == width)
+    found = F.regexp_extract_all(F.concat(F.lit(sep), F.col("value")), F.lit(field_pattern(sep, '"')), F.lit(1))
+    quoted = F.transform(
+        found, lambda c: F.when(c.rlike('(?s)^".*"$'), F.replace(F.substring(c, F.lit(2), F.length(c) - 2), F.lit('""'), F.lit('"'))).otherwise(c)
+    )
+    cell_array = F.when(F.contains(F.col("value"), F.lit('"')), quoted).otherwise(F.split("value", _regex_literal(sep)))
+    cut = records.filter(right).select(F.col("value").alias("__record"), cell_array.alias("__cells")).select(
+        "__record", *[F.get(F.col("__cells"), i).alias(n) for i, n in enumerate(names)]
+    )
+    cast = {f.name: F.nullif(F.col(f.name), F.lit("")).try_cast(f.dataType) for f in schema.fields if not isinstance(f.dataType, T.StringType)}
+    wrong = F.lit(False)
+    for name, typed in cast.items():
+        wrong = wrong | ((F.col(name) != "") & typed.isNull())
+    wrong = F.coalesce(wrong, F.lit(False))
+    rows = cut.filter(~wrong).select(*[cast.get(c, F.col(c)).alias(c) for c in names])
+    bad_rows = cut.filter(wrong).select(F.col("__record").alias("record"), F.lit("a cell does not cast").alias("reason"))
+    bad_width = records.filter(~right & (F.col("value") != "")).select(F.col("value").alias("record"), F.lit("wrong number of cells").alias("reason"))
+    return rows, bad_width.unionByName(bad_rows)
+
+
 def reshape_record(df: DataFrame, key: Sequence[str] | str, value: Sequence[str]) -> DataFrame:
     """Re-key a row as ``(key struct, value struct)``, the keyed-tuple shape."""
     key = [key] if isinstance(key, str) else list(key)

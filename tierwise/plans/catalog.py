@@ -20,11 +20,12 @@ from pyspark.sql import types as T
 
 from .. import sinks
 from ..functions.metrics import INVOICE_STATUSES, count_rows, invoice_metrics, max_of, sum_if, sum_of
-from ..operators import joins, quality, reshape, reuse, totals
+from ..operators import combine, fanout, joins, lattice, quality, reshape, reuse, totals
 from ..schemas import INVOICE, all_strings
 from ..session import drop_at_exit, scratch_path
-from ..sources import files, tables
+from ..sources import files, tables, warehouse
 from . import invoices as inv
+from . import report
 from .pipeline import ENTITY_METRICS, Pipeline, entity_summary
 
 DIMS = list(inv.DIMS)
@@ -101,6 +102,13 @@ def key_in_dictionary(spark, sf_dir):
     return joins.keys_in_dictionary(inv.invoices(spark, sf_dir), inv.partial_tiers(spark, sf_dir), "counter_party")
 
 
+def key_in_dictionary_filtered(spark, sf_dir):
+    """The same by a shuffle join, as for a dictionary too large to broadcast: a Bloom filter of
+    its keys keeps nearly all other invoices out of the shuffle."""
+    dictionary = inv.partial_tiers(spark, sf_dir).hint("merge")
+    return joins.keys_in_dictionary(inv.invoices(spark, sf_dir), dictionary, "counter_party", broadcast=False, bloom=True)
+
+
 # --- metrics at one level ---------------------------------------------------
 
 
@@ -125,6 +133,19 @@ def entity_summary_query(spark, sf_dir):
     return joined_level(spark, sf_dir, ["legal_entity", "counter_party"], ENTITY_METRICS)
 
 
+def value_variance(spark, sf_dir):
+    """A user-defined combiner: the variance of values by mergeable second moments."""
+    moments = combine.combine_by(inv.invoices(spark, sf_dir), ["legal_entity", "rating"], ["value"], combine.second_moment(), "variance")
+    return moments.withColumn("variance", F.round("variance", 4))
+
+
+def keyed_fan_out(spark, sf_dir):
+    """Every joined invoice sent to each of its six keys by a generator, and totalled per key."""
+    rows = enriched(spark, sf_dir)
+    keyed = fanout.fan_out(rows, fanout.keyed_levels, "level string, key string", DIMS, keep=["rating", "value"])
+    return keyed.groupBy("level", "key").agg(F.count(F.lit(1)).alias("n_rows"), F.max("rating").alias("max_rating"), F.sum("value").alias("sum_value"))
+
+
 # --- multi-level totals -----------------------------------------------------
 
 
@@ -350,6 +371,46 @@ def tolerant_read_bad_lines(spark, sf_dir):
     return bad
 
 
+# What the records with line breaks carry in their second field, and behind it in broken ones.
+BREAK, QUOTED, BROKEN_LINE = "\n", '""Inc"", Ltd', 5
+
+
+def _written_multiline(spark, sf_dir) -> str:
+    """Invoice text without a header whose legal entities hold a line break, quotes and a
+    separator; lines numbered 5 have text behind the closing quote, lines numbered 7 three more fields."""
+    path = scratch_path(spark, "multiline")
+    text = inv.invoice_text(spark, sf_dir)
+    rating = F.col("rating").cast("int")
+    behind = F.when(rating == BROKEN_LINE, "x").otherwise("")
+    entity = F.concat(F.lit('"'), "legal_entity", F.lit(BREAK + QUOTED + '"'), behind)
+    fields = [entity if c == "legal_entity" else F.coalesce(F.col(c), F.lit("")) for c in text.columns]
+    line = F.concat(F.concat_ws(",", *fields), F.when(rating == 7, EXTRA_FIELDS).otherwise(""))
+    sinks.write_lines(text.select(line.alias("value")), path)
+    return written(spark, path)
+
+
+def tolerant_multiline(spark, sf_dir):
+    """Records over several lines, read by byte ranges: the well-formed ones."""
+    return files.split_corrupt(files.read_csv_multiline(spark, _written_multiline(spark, sf_dir), INVOICE, header=False))[0]
+
+
+def tolerant_multiline_bad(spark, sf_dir):
+    """Of the same records those with broken quotes or too many fields, as they stand in the files."""
+    read = files.read_csv_multiline(spark, _written_multiline(spark, sf_dir), INVOICE, header=False)
+    return files.split_corrupt(read)[1].select("raw_line")
+
+
+def flat_endless_line(spark, sf_dir):
+    """Files of one endless line each: cells only, some quoted with the separator inside, read by byte ranges."""
+    path = scratch_path(spark, "endless")
+    rows = inv.invoices(spark, sf_dir)
+    quoted = F.concat(F.lit('"'), "legal_entity", F.lit(', Inc"'))
+    line = F.concat_ws(",", *[quoted if c == "legal_entity" else F.col(c).cast("string") for c in rows.columns])
+    # Every record is followed by the cell separator, none by a line break.
+    rows.select(line.alias("value")).write.option("lineSep", ",").text(path)
+    return reshape.split_endless_line(spark, written(spark, path), INVOICE, header=False)[0]
+
+
 def validate_positions(spark, sf_dir):
     """Invoice text written in order, read back and validated with 1-based
     positions: the invalid rows with the place they have in the files."""
@@ -471,6 +532,10 @@ def csv_inferred_totals(spark, sf_dir):
     return joined_totals(spark, sf_dir, "cube", "total", fact=fact)
 
 
+# Fixed value: about how many records a JSON array holds at most.
+RECORDS_PER_ARRAY = 10_000
+
+
 def pipeline_csv_json(spark, sf_dir):
     """The scripted pipeline: invoices from CSV, the dictionary from a JSON array
     of records, merged, summarised, and written as CSV."""
@@ -478,9 +543,12 @@ def pipeline_csv_json(spark, sf_dir):
     facts, dictionary, out = f"{base}/facts", f"{base}/dictionary", f"{base}/summary"
     sinks.write_csv(inv.invoices(spark, sf_dir), facts)
     tiers = inv.tiers(spark, sf_dir)
-    # Each file is one JSON array: the records of one tier.
-    records = tiers.groupBy(F.col("tier").alias("part")).agg(F.to_json(F.collect_list(F.struct("counter_party", "tier"))).alias("value"))
-    records.write.partitionBy("part").text(dictionary)
+    # Each file is one JSON array. A tier's records are dealt into buckets whose number follows the
+    # dictionary's size, so that no array, and no task that reads one, grows with it.
+    buckets = 1 + tiers.count() // RECORDS_PER_ARRAY
+    bucket = F.pmod(F.xxhash64("counter_party"), F.lit(buckets)).alias("bucket")
+    records = tiers.groupBy(F.col("tier").alias("part"), bucket).agg(F.to_json(F.collect_list(F.struct("counter_party", "tier"))).alias("value"))
+    records.write.partitionBy("part", "bucket").text(dictionary)
     written(spark, base)
     invoices = inv.invoices(spark, sf_dir).schema
     Pipeline(
@@ -514,10 +582,14 @@ def cached_reuse(spark, sf_dir):
 
 
 def totals_outer_join(spark, sf_dir):
-    """A cube over a right join: suppliers without invoices of the first line count too."""
-    fact = inv.invoices(spark, sf_dir).filter(F.col("rating") == 1)
-    metrics = invoice_metrics() + [count_rows("n_rows")]
-    return joined_totals(spark, sf_dir, "cube", "total", fact=fact, metrics=metrics, how="right", grouping_id="grouping_id")
+    """A cube over a right join: counter parties without any invoice count, too. Each
+    supplier has a dormant twin under the negative key, which no invoice has."""
+    tiers = inv.tiers(spark, sf_dir)
+    dictionary = tiers.unionByName(tiers.withColumn("counter_party", -F.col("counter_party") - 1))
+    return totals.totals_over_join(
+        inv.invoices(spark, sf_dir), dictionary, "counter_party", DIMS, invoice_metrics() + [count_rows("n_rows")], "cube", "total",
+        how="right", grouping_id="grouping_id",
+    )
 
 
 def totals_decimal(spark, sf_dir):
@@ -527,6 +599,59 @@ def totals_decimal(spark, sf_dir):
     return summed.withColumn("sum_amount", F.col("sum_amount").cast("string"))
 
 
+LATTICE_DIMS = ["legal_entity", "status", "first_line", "large", "taxed", "discounted", "year", "quarter"]
+
+
+def totals_lattice(spark, sf_dir):
+    """The cube of eight dimensions, 256 sets, each rolled up from a small parent."""
+    li = inv.table(spark, sf_dir, "lineitem")
+    rows = li.select(
+        F.col("l_linestatus").alias("legal_entity"), inv.status_from_returnflag(F.col("l_returnflag")).alias("status"),
+        (F.col("l_linenumber") == 1).cast("int").alias("first_line"), (F.col("l_quantity") > 25).cast("int").alias("large"),
+        (F.col("l_tax") > 0).cast("int").alias("taxed"), (F.col("l_discount") > 0).cast("int").alias("discounted"),
+        F.year("l_shipdate").alias("year"), F.quarter("l_shipdate").alias("quarter"),
+        F.col("l_quantity").cast("bigint").alias("value"), F.col("l_linenumber").cast("bigint").alias("rating"),
+    )
+    metrics = [count_rows("n_rows"), max_of("rating"), sum_of("value")]
+    return lattice.totals_by_lattice(rows, LATTICE_DIMS, metrics, "cube", "total", grouping_id="grouping_id")
+
+
+def run_report(spark, sf_dir):
+    """Read, too long, rejected, unmatched and written rows of a job, counted by its one action."""
+    dictionary = inv.partial_tiers(spark, sf_dir).withColumn("counter_party", F.col("counter_party").cast("string"))
+    out = scratch_path(spark, "reported")
+    report_rows = report.reported_run(
+        spark, _written_invoice_lines(spark, sf_dir), INVOICE, dictionary, "counter_party", lambda df: sinks.write_parquet(df, out), header=False
+    )
+    written(spark, out)
+    return report_rows
+
+
+# Fixed value: the line number whose partition is written again.
+REPLAYED_LINE = 3
+
+
+def replayed_partition(spark, sf_dir):
+    """A partitioned table of invoices of which one partition is written anew, twice: the others stay."""
+    path = scratch_path(spark, "replayed")
+    rows = inv.invoices(spark, sf_dir).withColumn("day", F.col("rating"))
+    sinks.replace_partitions(rows, path, "day")
+    for _ in range(2):
+        sinks.replace_partitions(rows.filter(F.col("day") == REPLAYED_LINE).withColumn("value", F.col("value") + 1), path, "day")
+    return spark.read.schema(rows.schema).parquet(written(spark, path))
+
+
+def warehouse_table(spark, sf_dir):
+    """Joined invoices appended to a warehouse table in two commits and read back by filters that skip files."""
+    warehouse.register(spark)
+    path = scratch_path(spark, "warehouse")
+    rows = enriched(spark, sf_dir)
+    for part in (rows.filter(F.col("rating") <= BATCH_SPLIT_RATING), rows.filter(F.col("rating") > BATCH_SPLIT_RATING)):
+        sinks.write_table(part, path, format=warehouse.FORMAT, mode="append")
+    kept = warehouse.where(("rating", ">=", 2), ("value", "<", 40), ("status", "in", list(INVOICE_STATUSES)))
+    return tables.read_table(spark, format=warehouse.FORMAT, path=written(spark, path), where=kept)
+
+
 def pipeline_run(spark, sf_dir):
     path = scratch_path(spark, "pipeline")
     Pipeline(
@@ -584,4 +709,14 @@ QUERIES = {
     "cached_reuse": cached_reuse,
     "totals_outer_join": totals_outer_join,
     "totals_decimal": totals_decimal,
+    "tolerant_multiline": tolerant_multiline,
+    "tolerant_multiline_bad": tolerant_multiline_bad,
+    "flat_endless_line": flat_endless_line,
+    "key_in_dictionary_filtered": key_in_dictionary_filtered,
+    "value_variance": value_variance,
+    "keyed_fan_out": keyed_fan_out,
+    "totals_lattice": totals_lattice,
+    "run_report": run_report,
+    "replayed_partition": replayed_partition,
+    "warehouse_table": warehouse_table,
 }

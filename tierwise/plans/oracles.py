@@ -90,6 +90,16 @@ _ENTITY_SQL = _WITH + """SELECT legal_entity, counter_party, COUNT(rating) AS co
        CAST(SUM(value) AS BIGINT) AS sum_value
 FROM enriched GROUP BY legal_entity, counter_party"""
 
+_MULTILINE = """WITH t AS (
+    SELECT CAST(l_orderkey AS VARCHAR) AS invoice_id, l_linestatus AS legal_entity, CAST(l_suppkey AS VARCHAR) AS counter_party,
+           CAST(l_linenumber AS VARCHAR) AS rating,
+           CASE WHEN l_returnflag = 'A' THEN 'ARAP' WHEN l_returnflag = 'R' THEN 'ACCR' ELSE l_returnflag END AS status,
+           CASE WHEN l_linenumber = 6 THEN NULL
+                ELSE CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) || CASE WHEN l_linenumber = 7 THEN 'e' ELSE '' END END AS value
+    FROM lineitem)"""
+
+_LATTICE = ("legal_entity", "status", "first_line", "large", "taxed", "discounted", "year", "quarter")
+
 ORACLE_SQL = {
     "enrich_inner": _ENRICH_SQL,
     "enrich_broadcast": _ENRICH_SQL,
@@ -112,6 +122,9 @@ SELECT f.counter_party, f.invoice_id, f.legal_entity, f.rating, f.status, f.valu
 FROM fact f JOIN dict d ON f.counter_party IS NOT DISTINCT FROM d.counter_party""",
     "key_in_dictionary": f"""WITH {_INVOICES},
 {_PARTIAL_TIERS}
+SELECT * FROM invoices WHERE counter_party IN (SELECT counter_party FROM tiers)""",
+    "key_in_dictionary_filtered": f"""WITH {_INVOICES},
+{_PARTIAL_TIERS}
 SELECT * FROM invoices WHERE counter_party IN (SELECT counter_party FROM tiers)""",
     "metrics_by_one_key": _WITH + f"SELECT legal_entity, {_METRICS}\nFROM enriched GROUP BY legal_entity",
     "metrics_by_two_keys": _WITH
@@ -247,9 +260,10 @@ UNION ALL
 SELECT rating, {_METRICS}, 'rating' FROM enriched GROUP BY rating""",
     "totals_outer_join": f"""WITH {_INVOICES},
 {_TIERS},
+twins AS (SELECT * FROM tiers UNION ALL SELECT -counter_party - 1, tier FROM tiers),
 enriched AS (
     SELECT t.counter_party, i.legal_entity, i.rating, i.status, i.value, t.tier
-    FROM (SELECT * FROM invoices WHERE rating = 1) i RIGHT JOIN tiers t ON i.counter_party = t.counter_party)
+    FROM invoices i RIGHT JOIN twins t ON i.counter_party = t.counter_party)
 SELECT {_TOTAL_LABELS},
        {_METRICS}, COUNT(*) AS n_rows, CAST(GROUPING(legal_entity, counter_party, tier) AS BIGINT) AS grouping_id
 FROM enriched
@@ -257,4 +271,49 @@ GROUP BY CUBE (legal_entity, counter_party, tier)""",
     "totals_decimal": _WITH + f"""SELECT {_TOTAL_LABELS}, CAST(CAST(SUM(CAST(value AS DECIMAL(12,2))) AS DECIMAL(22,2)) AS VARCHAR) AS sum_amount
 FROM enriched
 GROUP BY ROLLUP (legal_entity, counter_party, tier)""",
+    "tolerant_multiline": _MULTILINE + """
+SELECT invoice_id, legal_entity || chr(10) || '"Inc", Ltd' AS legal_entity, counter_party, rating, status, value
+FROM t WHERE rating NOT IN ('5', '7')""",
+    "tolerant_multiline_bad": _MULTILINE + """
+SELECT invoice_id || ',"' || legal_entity || chr(10) || '""Inc"", Ltd"' || CASE WHEN rating = '5' THEN 'x' ELSE '' END || ',' || counter_party || ','
+       || rating || ',' || status || ',' || coalesce(value, '') || CASE WHEN rating = '7' THEN ',1,,junk' ELSE '' END AS raw_line
+FROM t WHERE rating IN ('5', '7')""",
+    "flat_endless_line": """SELECT l_orderkey AS invoice_id, l_linestatus || ', Inc' AS legal_entity, CAST(l_suppkey AS VARCHAR) AS counter_party,
+       CAST(l_linenumber AS BIGINT) AS rating,
+       CASE WHEN l_returnflag = 'A' THEN 'ARAP' WHEN l_returnflag = 'R' THEN 'ACCR' ELSE l_returnflag END AS status,
+       CAST(l_quantity AS BIGINT) AS value
+FROM lineitem""",
+    "value_variance": f"""WITH {_INVOICES}
+SELECT legal_entity, rating, round(var_pop(value), 4) AS variance FROM invoices GROUP BY legal_entity, rating""",
+    "keyed_fan_out": _WITH + """, keyed AS (
+    SELECT unnest(['0', '1', '2', '01', '02', '12']) AS level,
+           unnest([legal_entity, CAST(counter_party AS VARCHAR), CAST(tier AS VARCHAR), legal_entity || '|' || counter_party,
+                   legal_entity || '|' || tier, counter_party || '|' || tier]) AS key, rating, value
+    FROM enriched)
+SELECT level, key, COUNT(*) AS n_rows, MAX(rating) AS max_rating, CAST(SUM(value) AS BIGINT) AS sum_value FROM keyed GROUP BY level, key""",
+    "totals_lattice": f"""WITH rows AS (
+    SELECT l_linestatus AS legal_entity,
+           CASE WHEN l_returnflag = 'A' THEN 'ARAP' WHEN l_returnflag = 'R' THEN 'ACCR' ELSE l_returnflag END AS status,
+           CAST(l_linenumber = 1 AS INTEGER) AS first_line, CAST(l_quantity > 25 AS INTEGER) AS large,
+           CAST(l_tax > 0 AS INTEGER) AS taxed, CAST(l_discount > 0 AS INTEGER) AS discounted,
+           year(l_shipdate) AS year, quarter(l_shipdate) AS quarter, CAST(l_quantity AS BIGINT) AS value, CAST(l_linenumber AS BIGINT) AS rating
+    FROM lineitem)
+SELECT {", ".join(f"CASE WHEN GROUPING({c}) = 1 THEN 'Total' ELSE CAST({c} AS VARCHAR) END AS {c}" for c in _LATTICE)},
+       COUNT(*) AS n_rows, MAX(rating) AS max_rating, CAST(SUM(value) AS BIGINT) AS sum_value,
+       CAST(GROUPING({", ".join(_LATTICE)}) AS BIGINT) AS grouping_id
+FROM rows GROUP BY CUBE ({", ".join(_LATTICE)})""",
+    "run_report": f"""WITH {_PARTIAL_TIERS},
+t AS (SELECT l_linenumber AS rating, l_suppkey AS counter_party FROM lineitem),
+v AS (SELECT * FROM t WHERE rating NOT IN (5, 6, 7)),
+counts AS (
+    SELECT 1 AS one, (SELECT COUNT(*) FROM t) AS read, (SELECT COUNT(*) FROM t WHERE rating IN (5, 7)) AS too_long,
+           (SELECT COUNT(*) FROM t WHERE rating = 6) AS rejected,
+           (SELECT COUNT(*) FROM v WHERE counter_party NOT IN (SELECT counter_party FROM tiers)) AS unmatched,
+           (SELECT COUNT(*) FROM v WHERE counter_party IN (SELECT counter_party FROM tiers)) AS written)
+SELECT unnest(['read', 'too_long', 'rejected', 'unmatched', 'written']) AS step,
+       CAST(unnest([read, too_long, rejected, unmatched, written]) AS BIGINT) AS n FROM counts""",
+    "replayed_partition": f"""WITH {_INVOICES}
+SELECT invoice_id, legal_entity, counter_party, rating, status, CASE WHEN rating = 3 THEN value + 1 ELSE value END AS value, rating AS day
+FROM invoices""",
+    "warehouse_table": _WITH + """SELECT * FROM enriched WHERE rating >= 2 AND value < 40 AND status IN ('ARAP', 'ACCR')""",
 }

@@ -55,6 +55,19 @@ def write_parquet(df: DataFrame, path: str, mode: str = "errorifexists", partiti
     writer.parquet(path)
 
 
+def replace_partitions(df: DataFrame, path: str, partition_by, **options) -> None:
+    """Write ``df`` so that it can be written again: each value of ``partition_by`` that it holds
+    replaces what the table has for that value, and nothing else changes.
+
+    Spark's dynamic partition overwrite: files are staged below the target and moved into
+    their partitions when the job commits, so a run that fails leaves the table as it was.
+    A job whose rows are a function of its day is thereby replayable.
+    """
+    cols = [partition_by] if isinstance(partition_by, str) else list(partition_by)
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").options(**options)
+    writer.partitionBy(*cols).parquet(path)
+
+
 def show(df: DataFrame, n: int = 20, truncate: bool = True) -> None:
     """Print the first ``n`` rows; only those rows reach the driver."""
     df.show(n, truncate)

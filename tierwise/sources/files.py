@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schemas import all_strings
+from .pieces import read_pieces
 
 EXTRA = "_extra"
 
@@ -65,7 +66,7 @@ def field_pattern(sep: str = ",", escape: str = "\\") -> str:
     ``escape`` is what makes a quote part of a quoted field."""
     s, e = re.escape(sep), re.escape(escape)
     inside = '[^"]|""' if escape == '"' else f'[^"{e}]|{e}.'
-    return f'{s}("(?:{inside})*+"(?:(?!{s}).)*+|(?:(?!{s}).)*+)'
+    return f'(?s){s}("(?:{inside})*+"(?:(?!{s}).)*+|(?:(?!{s}).)*+)'
 
 
 def count_fields(line: Column, sep: str = ",", escape: str = "\\") -> Column:
@@ -75,6 +76,42 @@ def count_fields(line: Column, sep: str = ",", escape: str = "\\") -> Column:
     return F.when(F.contains(line, F.lit('"')), quoted).otherwise((plain / len(sep)).cast("int"))
 
 
+def well_quoted(record: Column, sep: str = ",") -> Column:
+    """Whether every field is plain without a quote, or quoted as a whole with inner quotes doubled."""
+    s = re.escape(sep)
+    field = f'(?:"[^"]*+(?:""[^"]*+)*+"|[^"{s}]*+)'
+    return ~F.contains(record, F.lit('"')) | record.rlike(f"(?s)\\A{field}(?:{s}{field})*+\\z")
+
+
+def read_csv_multiline(
+    spark: SparkSession, path, schema: T.StructType, header: bool = True, sep: str = ",", line_sep: str = "\n", **options
+) -> DataFrame:
+    """``read_csv_tolerant`` for files whose quoted fields hold line breaks, still read by
+    byte ranges in many tasks (see ``sources.pieces``; Spark's own ``multiLine`` reads a
+    file in one).
+
+    Quotes are doubled inside quoted fields and are paired from a file's beginning, as
+    in any such reader. A record is bad, and kept whole in ``_extra``, if it has too many
+    fields, if a field's quotes are broken (text before or behind a quoted field, or a
+    quote that is not closed), or if it spans more byte ranges than a record may: then
+    each of its fragments is a bad record. Empty records and, with ``header``, those
+    that are the field names are dropped. ``\\r`` before a record's end is not part of it.
+    """
+    pieces = read_pieces(spark, path, line_sep, '"')
+    value = F.when(F.right("value", F.lit(1)) == "\r", F.expr("left(value, length(value) - 1)")).otherwise(F.col("value"))
+    records = pieces.select(value.alias("value"), "broken").filter(F.col("value") != "")
+    if header:
+        records = records.filter(F.col("value") != sep.join(schema.fieldNames()))
+    fields = F.from_csv(
+        F.col("value"), ", ".join(f"`{n}` string" for n in schema.fieldNames()),
+        {"mode": "PERMISSIVE", "sep": sep, "escape": '"', "multiLine": "true", **options},
+    )
+    bad = F.col("broken") | ~well_quoted(F.col("value"), sep) | (count_fields(F.col("value"), sep, '"') > len(schema))
+    return records.select(F.when(~bad, fields).alias("__r"), F.when(bad, F.col("value")).alias(EXTRA)).select(
+        *[F.col(f"__r.`{c}`") for c in schema.fieldNames()], EXTRA
+    )
+
+
 def read_csv_tolerant(spark: SparkSession, path, schema: T.StructType, header: bool = True, **options) -> DataFrame:
     """Every field as text plus ``_extra``: the whole raw line of a record with more
     fields than the schema, which makes it a bad line, else null.
@@ -85,7 +122,7 @@ def read_csv_tolerant(spark: SparkSession, path, schema: T.StructType, header: b
     that only skips over-long lines would do. Type errors are not detected here;
     fields stay text so a validator can report them. Empty lines and, with
     ``header``, lines that are the field names are dropped. Quoted fields may hold
-    separators, not line breaks.
+    separators, not line breaks: ``read_csv_multiline`` takes those.
     """
     sep = options.get("sep", options.get("delimiter", ","))
     text_schema = all_strings(schema)
