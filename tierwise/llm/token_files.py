@@ -39,20 +39,40 @@ BLOCK = 256
 _SEGMENT = "shard int, segment int, first_id long, n_ids long, doc_ids array<long>, doc_lengths array<int>, payload binary"
 
 
+def _lanes(width: int):
+    """Of 64 values of ``width`` bits, which fill ``width`` words of 64 bits: each value's first
+    word, its place there, and whether it goes on in the next word."""
+    for k in range(64):
+        word, shift = divmod(k * width, 64)
+        yield k, word, np.uint64(shift), np.uint64(64 - shift) if shift + width > 64 else None
+
+
 def _pack_bits(values: np.ndarray, width: int) -> bytes:
-    """The low ``width`` bits of each value, least significant bit first."""
+    """Each value, of ``width`` bits at most, least significant bit first; 64 values at a time
+    (a last group is filled up with zeros and cut to whole bytes)."""
     if not width:
         return b""
-    bits = np.unpackbits(values.astype("<u4").view(np.uint8).reshape(-1, 4)[:, : (width + 7) // 8], axis=1, bitorder="little")
-    return np.packbits(bits[:, :width].reshape(-1), bitorder="little").tobytes()
+    count = len(values)
+    lanes = np.pad(values, (0, -count % 64)).reshape(-1, 64).T.astype(np.uint64)
+    words = np.zeros((width, lanes.shape[1]), np.uint64)
+    for k, word, shift, rest in _lanes(width):
+        words[word] |= lanes[k] << shift
+        if rest is not None:
+            words[word + 1] |= lanes[k] >> rest
+    return words.T.astype("<u8").tobytes()[: -(-count * width // 8)]
 
 
 def _unpack_bits(data: bytes, count: int, width: int) -> np.ndarray:
     if not width:
         return np.zeros(count, np.uint32)
-    bits = np.zeros((count, 32), np.uint8)
-    bits[:, :width] = np.unpackbits(np.frombuffer(data, np.uint8), count=count * width, bitorder="little").reshape(count, width)
-    return np.packbits(bits, axis=1, bitorder="little").view("<u4").reshape(-1)
+    data += bytes(-len(data) % (8 * width))
+    words = np.frombuffer(data, "<u8").reshape(-1, width).T.astype(np.uint64)
+    lanes = np.empty((64, words.shape[1]), np.uint64)
+    for k, word, shift, rest in _lanes(width):
+        lanes[k] = words[word] >> shift
+        if rest is not None:
+            lanes[k] |= words[word + 1] << rest
+    return (lanes & np.uint64((1 << width) - 1)).T.astype(np.uint32).reshape(-1)[:count]
 
 
 def _bit_lengths(values: np.ndarray) -> np.ndarray:

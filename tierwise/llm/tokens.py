@@ -31,7 +31,7 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-def _byte_letters() -> list[str]:
+def _byte_letters() -> dict[int, str]:
     """The printable stand-in of each byte in byte-level BPE vocabularies."""
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
     table, extra = {b: chr(b) for b in plain}, 256
@@ -39,7 +39,7 @@ def _byte_letters() -> list[str]:
         if b not in table:
             table[b] = chr(extra)
             extra += 1
-    return [table[b] for b in range(256)]
+    return table
 
 
 def _raw(ids: list[int]) -> bytes:
@@ -59,9 +59,14 @@ class _Memo(dict):
     def __missing__(self, chunk: str) -> bytes:
         ids = self.older.get(chunk)
         if ids is None:
-            if not chunk or chunk[0].isspace() or chunk[-1].isspace():
-                raise _Irregular
-            ids = self.encoder.chunk_ids(chunk)
+            if chunk.isalpha():
+                ids = self.encoder.word(chunk, True)
+            else:
+                if not chunk or chunk[0].isspace() or chunk[-1].isspace():
+                    raise _Irregular
+                ids = self.encoder.chunk_ids(chunk)
+                if "\n" in chunk:  # a line's last and next line's first word seldom meet again
+                    return ids
         if len(chunk) <= MEMO_CHARS:
             self[chunk] = ids
         return ids
@@ -103,7 +108,7 @@ class TextEncoder:
 
     def word(self, letters: str, space: bool) -> bytes:
         """Ids of one pre-token of letters: the library's BPE model takes it directly."""
-        plain = letters if letters.isascii() else "".join(self.letters[b] for b in letters.encode("utf-8"))
+        plain = letters if letters.isascii() else letters.encode("utf-8").decode("latin-1").translate(self.letters)
         return _raw([t.id for t in self.model.tokenize("Ġ" + plain if space else plain)])
 
     def other(self, text: str) -> bytes:
@@ -115,9 +120,7 @@ class TextEncoder:
         return ids
 
     def chunk_ids(self, chunk: str) -> bytes:
-        """Ids of a space followed by ``chunk``."""
-        if chunk.isalpha():
-            return self.word(chunk, True)
+        """Ids of a space followed by ``chunk``, which is not of letters only."""
         stem = _STEM.fullmatch(chunk)
         if stem and stem[1].isalpha():  # marks after letters are a pre-token of their own
             return self.memo[stem[1]] + self.other(stem[2])
