@@ -22,7 +22,7 @@ def test_subpackage_avoids(pattern, why):
     assert not hits, f"{why}: {hits}"
 
 
-@pytest.mark.parametrize("module", ["pii.py", "secret_scan.py"])
+@pytest.mark.parametrize("module", ["pii.py", "secret_scan.py", "mixing.py", "spans.py"])
 def test_native_modules_run_no_python(module):
     text = (ROOT / "tierwise" / "llm" / module).read_text()
     assert not re.search(r"mapIn|applyIn|udf\(|pandas|pyarrow|numpy", text)
