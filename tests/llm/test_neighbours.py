@@ -74,3 +74,60 @@ def test_empty_and_lonely(spark):
     assert neighbours.nearest_neighbours(spark.createDataFrame([(0, [1.0, 2.0])], schema)).collect() == []
     repeated = spark.createDataFrame([(0, [1.0, 2.0]), (0, [2.0, 1.0]), (1, [1.0, 1.0])], schema)
     assert [(r.query_id, r["rank"], r.vec_id) for r in neighbours.nearest_neighbours(repeated).collect()] == [(0, 1, 1)]
+
+
+def clustered(groups, each, dims=32, seed=3):
+    rng = np.random.default_rng(seed)
+    centres = rng.standard_normal((groups, dims))
+    return np.repeat(centres, each, axis=0) + 0.3 * rng.standard_normal((groups * each, dims))
+
+
+def test_clusters_visit_few_lists_at_the_same_recall(spark, monkeypatch):
+    shares = []
+    visited = neighbours.Lists.visited
+
+    def counted(self, *args):
+        out = visited(self, *args)
+        shares.append((out * self.sizes).sum(axis=1).mean() / self.sizes.sum())
+        return out
+
+    vectors = clustered(40, 100)
+    ids = np.arange(len(vectors))
+    unit = neighbours._unit(vectors)
+    centres = neighbours.fit_centres(vectors, 320)
+    near, cosine = neighbours.nearest_centre(unit, centres)
+    sizes = np.bincount(near, minlength=320)
+    lists = neighbours.Lists(centres, sizes, np.bincount(near, cosine, 320) / np.maximum(sizes, 1), 1024)
+    monkeypatch.setattr(neighbours.Lists, "visited", counted)
+    queries = np.flatnonzero(ids % 50 == 0)
+    places, to_beat = neighbours.best_seeds(ids[queries], vectors[queries], ids[::2], vectors[::2], 5)
+    true = np.argsort(-(unit[queries] @ unit.T - 9 * (ids[queries][:, None] == ids[None, :])), axis=1)[:, :5]
+    z = np.quantile(np.take_along_axis(lists.need(vectors[queries], to_beat), near[true], axis=1), 0.95)
+    lists.visited(vectors[queries], to_beat, near[::2][places], z, None)
+    assert shares[0] < 0.1
+    df = spark.createDataFrame(list(zip(ids.tolist(), vectors.tolist())), "vec_id long, embedding array<double>")
+    expected, got = brute(ids, vectors, 50, 5), found(df)
+    hits = sum(len({i for i, _ in expected[q]} & {i for i, _ in got[q]}) for q in expected)
+    assert hits / (5 * len(expected)) >= 0.9 and all(len(v) == 5 for v in got.values())
+
+
+def test_cells_hold_every_list_once():
+    rng = np.random.default_rng(1)
+    centres = neighbours._unit(rng.standard_normal((50, 8)))
+    sizes = rng.integers(0, 40, 50)
+    sizes[7] = 333
+    lists = neighbours.Lists(centres, sizes, np.full(50, 0.8), 64)
+    rows = np.zeros(int((lists.cell + lists.cells).max()), np.int64)
+    for cell, n, size in zip(lists.cell, lists.cells, sizes):
+        rows[cell : cell + n] += -(-size // n)
+    assert (rows <= 64).all() and lists.cells[7] == 6 and (lists.cell[np.arange(50) != 7] != lists.cell[7]).all()
+
+
+def test_repeated_rows_and_hot_ids(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "CELL_ROWS", 16)
+    rng = np.random.default_rng(5)
+    rows = [(50, [1.0, 0.0, 0.1])] * 60 + [(0, [1.0, 0.1, 0.1])] * 3 + [(int(i), rng.standard_normal(3).tolist()) for i in range(1, 40)]
+    got = found(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    assert [i for i, _ in got[0]] == [50] * 5
+    ids, vectors = np.array([r[0] for r in rows]), np.array([r[1] for r in rows])
+    assert [i for i, _ in got[50]][:3] == [0, 0, 0] and got[50] == brute(ids, vectors, 50, 5)[50]
