@@ -255,7 +255,7 @@ def usable(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
 
 def nearest_neighbours(
     vectors: DataFrame, query_every: int = 50, top: int = 5, id_col: str = "vec_id", vec_col: str = "embedding",
-    recall: float = 0.95, lists: int | None = None, probe_share: float | None = None,
+    recall: float = 0.93, lists: int | None = None, probe_share: float | None = None,
 ) -> DataFrame:
     """query_id, rank, vec_id, score: the ``top`` nearest rows found for every row
     whose id is divisible by ``query_every``. ``lists`` defaults to eight times the square
@@ -295,8 +295,8 @@ def nearest_neighbours(
     sizes, mean = np.zeros(len(centres), np.int64), np.zeros(len(centres))
     for r in listed.groupBy("list").agg(F.count("*").alias("n"), F.avg("cosine").alias("cosine")).collect():
         sizes[r["list"]], mean[r["list"]] = r["n"], r["cosine"]
-    # Cells of about a thirty-second of a small table, so that it is many tasks, too.
-    index = Lists(centres, sizes, mean, min(CELL_ROWS, max(1, CELL_BYTES // (8 * dims)), max(1024, total // 32)))
+    # Cells of about a 64th of a small table, so that it is many tasks, too.
+    index = Lists(centres, sizes, mean, min(CELL_ROWS, max(1, CELL_BYTES // (8 * dims)), max(256, total // 64)))
     asked = listed.where(F.col("vec_id") % query_every == 0).groupBy("vec_id").agg(F.min("vec").alias("vec"))
 
     # Seeds: stored rows by a hash of id and vector.
