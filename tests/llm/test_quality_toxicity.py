@@ -141,3 +141,20 @@ def test_identity_terms_in_training_texts_change_the_weights(spark):
     for a, b in (("muslims", "people"), ("musulmans", "gens")):
         assert gap(plain, a, b) > 0.5 and gap(fair, a, b) < 0.2 * gap(plain, a, b)
     assert fair["vile"] > 0.5
+
+
+def test_quality_scores_equal_a_plain_computation(spark):
+    """Votes, label model and scorer anew over all texts at once, without Spark."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
+    scores = {r.doc_id: r.score for r in quality.classify(docs).collect()}
+    texts = [(i, t, quality.measures(t)) for i, t in rows if t]
+    said = quality.votes(np.array([m for *_, m in texts]))
+    patterns, place, counts = np.unique(said, axis=0, return_inverse=True, return_counts=True)
+    posterior = quality.label_model(patterns, counts.astype(float))[0][place.ravel()]
+    distinct = sorted({(i, t): k for k, (i, t, _) in enumerate(texts)}.values())
+    x = np.array([quality.features(t, m) for _, t, m in texts])
+    weights, bias = quality.fit_scorer(x[distinct], posterior[distinct])
+    plain = 1 / (1 + np.exp(-(x.astype(float) @ weights + bias)))
+    assert len(scores) == len(rows) and all(scores[i] == 0 for i, t in rows if not t)
+    assert max(abs(scores[i] - p) for (i, *_), p in zip(texts, plain)) < 1e-3

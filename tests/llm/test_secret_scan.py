@@ -91,3 +91,23 @@ def test_a_hundred_thousand_candidates_in_one_text(spark):
     assert found[1].secrets == ",".join(f"{k * len(one) + place}:{k * len(one) + place + 40}" for k in range(50_000))
     redacted = {r.doc_id: r.text for r in secret_scan.redact(df).collect()}
     assert redacted == {i: t.replace("04dbebab91ab85687d33eeaaf9ac699e1188f962", "[SECRET]") for i, t in rows}
+
+
+def test_forest_expression_equals_the_fitted_forest(spark):
+    """The SQL expression scores every candidate as Spark ML's own forest of the same findings does."""
+    from pyspark.ml.classification import RandomForestClassifier
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.sql import functions as F
+
+    findings = secret_scan.labelled_findings(spark, 600)
+    rows = secret_scan.with_candidates(findings, "text", "found").select("label", F.explode("found").alias("c"))
+    assemble = VectorAssembler(inputCols=list(secret_scan.FEATURES), outputCol="x")
+    train = assemble.transform(rows.select(F.col("label").cast("double").alias("y"), "c.*")).select("x", "y")
+    forest = RandomForestClassifier(featuresCol="x", labelCol="y", numTrees=5, maxDepth=4, seed=17).fit(train)
+    sql = secret_scan.fit_forest(findings, trees=5, depth=4)
+    documents_ = documents(spark, "/root/testdata/sf0.001").select("text").unionByName(findings.select("text"))
+    found = secret_scan.with_candidates(documents_, "text", "found").select(F.explode("found").alias("c"))
+    scored = assemble.transform(found.select(F.expr(sql).alias("score"), "c.*"))
+    pairs = [(r.score, r.probability[1]) for r in forest.transform(scored).select("score", "probability").collect()]
+    assert len(pairs) >= train.count() > 500 and max(abs(a - b) for a, b in pairs) < 1e-9
+    assert len({round(a, 6) for a, _ in pairs}) > 5
