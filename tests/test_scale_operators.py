@@ -124,6 +124,44 @@ def test_fan_out_yields_any_number_of_rows(spark):
     assert got == [(1, "0", "a"), (1, "01", "a|b"), (1, "1", "b"), (2, "1", "x"), (2, "12", "x|y"), (2, "2", "y")]
 
 
+def test_fan_out_holds_a_batch_of_made_rows_and_sends_no_batch_per_row(spark):
+    def many(n, text):
+        for i in range(n or 0):
+            yield i, None if i % 2 else text
+
+    df = spark.range(3000, numPartitions=2).selectExpr(
+        "id", "IF(id = 7, 25000, IF(id % 5 = 0, NULL, id % 3)) AS n", "IF(id % 4 = 0, NULL, concat('t', id)) AS text",
+        "timestamp_seconds(id) AS at", "id % 2 = 0 AS n_kept",
+    )
+    got = fanout.fan_out(df, many, "place long, word string", ["n", "text"], keep=["at", "id", "n_kept"])
+    assert "MapInArrow" in got._jdf.queryExecution().executedPlan().toString()
+    made = df.selectExpr("*", "explode(sequence(0L, cast(n AS bigint) - 1)) AS place").where("n > 0")
+    want = made.selectExpr("at", "id", "n_kept", "place", "IF(place % 2 = 0, text, NULL) AS word")
+    assert got.schema.simpleString() == want.schema.simpleString()
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+
+    # Batches of the generator's task: as many as its made rows need, and none larger.
+    import pyarrow as pa
+    from pyspark.sql import types as T
+
+    rows = pa.RecordBatch.from_pydict({"n": [1] * 900 + [25_000], "text": ["x"] * 901, "id": list(range(901))})
+    schema = T.StructType.fromDDL("place long, word string")
+    sizes = [b.num_rows for b in fanout._generate(many, schema, 2)(iter([rows]))]
+    assert sizes == [10_000, 10_000, 5_900]
+
+
+def test_fan_out_of_values_that_spark_converts(spark):
+    df = spark.sql("SELECT timestamp'2024-01-02 03:04:05' AS at, array('a', NULL) AS words, named_struct('x', 1) AS s, 5 AS v")
+    got = fanout.fan_out(df, lambda at, words, s: [(at, w, s["x"] + len(words)) for w in words], "at2 timestamp, word string, n int", ["at", "words", "s"], keep=["v", "words"])
+    want = spark.sql("SELECT 5 AS v, array('a', NULL) AS words, timestamp'2024-01-02 03:04:05' AS at2, explode(array('a', NULL)) AS word, 3 AS n")
+    assert rows_of(got) == rows_of(want) and got.count() == 2
+
+
+def test_fan_out_without_inputs(spark):
+    got = fanout.fan_out(spark.range(3), lambda: [("x",), ("y",)], "w string", [], keep=["id"])
+    assert rows_of(got) == [(0, "x"), (0, "y"), (1, "x"), (1, "y"), (2, "x"), (2, "y")]
+
+
 def test_warehouse_commits_all_or_nothing(spark, tmp_path):
     warehouse.register(spark)
     path = str(tmp_path / "table")
