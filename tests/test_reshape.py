@@ -68,3 +68,27 @@ def test_wrong_widths_and_casts_are_rejected_and_quotes_kept(spark, tmp_path):
         ("21,L2,C2,3,ACCR,40,1", "wrong number of cells"), ("6,L6", "wrong number of cells"),
         ("3,L3,C3,x,ACCR,30", "a cell does not cast"), ("5,L2,C2,3e,ACCR,40", "a cell does not cast"),
     ])
+
+
+def test_a_text_is_split_once_however_many_rows_it_holds(spark):
+    n = 20_000
+    df = spark.range(1).select(
+        F.lit("f").alias("file"),
+        F.concat(F.lit("a,b,c\r"), F.array_join(F.transform(F.sequence(F.lit(1), F.lit(n)), lambda i: F.concat(i, F.lit(",x,"), i * 2)), "\r"), F.lit(",tail\r")).alias("t"),
+    )
+    out = reshape.records_from_cells(df, "t", ["a", "b", "c"], skip=3, keep=["file"])
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(") == 1  # once a text, not once more per row
+    got = out.collect()
+    assert [tuple(r) for r in got[:2]] == [("f", "1", "x", "2"), ("f", "2", "x", "4")]
+    assert tuple(got[-1]) == ("f", "tail", None, None) and len(got) == n + 1
+    assert sum(int(r.c) for r in got[:-1]) == n * (n + 1)
+
+
+def test_cells_end_as_the_expression_says(spark):
+    ends = ["", "\r", "\r\r", "\r\n", "\r\r\n", "\n", "\r\u0085", "\r ", "\r\r ", ",", ",\r", "\r,", " \r", "x", "\rx", "\r\n\n"]
+    df = spark.createDataFrame([(f"{start}{end}",) for start in ("", "a,b", "a\rb,é", "\r") for end in ends] + [(None,)], "t string")
+    for sep, record_sep in ((",", "\r"), ("|", "\r"), (",", "b"), (",", "\r\n"), (",", "\r|\n")):
+        want = F.split(F.regexp_replace(F.regexp_replace("t", f"(?:{record_sep})+$", ""), record_sep, sep), reshape._regex_literal(sep))
+        both = df.select("t", reshape.cells(F.col("t"), sep, record_sep).alias("got"), want.alias("want")).collect()
+        assert [r.t for r in both if r.got != r.want] == []

@@ -4,9 +4,9 @@ Two forms:
 
 * ``records_from_cells`` works on a text column. Record separators are turned
   into cell separators, the text is split into cells, the first ``skip`` cells
-  (a header) are dropped, and the rest is cut into chunks of ``width`` cells,
-  each chunk one output row. All of it is array expressions
-  (``regexp_replace``, ``split``, ``slice``, ``transform``, ``explode``).
+  (a header) are dropped, and of the rest every ``width`` cells are one output
+  row. The cells are made once per text, and its rows take theirs by place
+  (``replace``, ``split``, ``explode`` over the row numbers, ``get``).
 * ``read_flat_records`` reads files whose records are separated by a bare
   ``\\r`` (or any separator) as a splittable text source, one record per row,
   so no file is ever held as one value. Header records are recognised by
@@ -32,7 +32,13 @@ def cells(text: Column, sep: str = ",", record_sep: str = "\r") -> Column:
     text are dropped first, as a line reader drops the final line break.
     """
     body = F.regexp_replace(text, f"(?:{record_sep})+$", "")
-    return F.split(F.regexp_replace(body, record_sep, sep), _regex_literal(sep))
+    if not record_sep or _regex_literal(record_sep) != record_sep:
+        return F.split(F.regexp_replace(body, record_sep, sep), _regex_literal(sep))
+    # A plain separator needs no expression, and ``$``, which may stand before a final
+    # line break of one or two characters, finds none that the text's end does not show.
+    end = F.right(text, F.lit(len(record_sep) + 2))
+    body = F.when(F.contains(end, F.lit(record_sep)), body).otherwise(text)
+    return F.split(F.replace(body, F.lit(record_sep), F.lit(sep)), _regex_literal(sep))
 
 
 def _regex_literal(s: str) -> str:
@@ -72,8 +78,12 @@ def records_from_cells(
     one value held by one task, so for large files use ``read_flat_records``,
     which splits on record separators while reading.
     """
-    arr = chunks(cells(F.col(text_col), sep, record_sep), len(names), skip)
-    return to_rows(df.select(*keep, arr.alias("__chunks")), "__chunks", names, keep)
+    width = len(names)
+    cut = df.select(*keep, cells(F.col(text_col), sep, record_sep).alias("__cells"))
+    count = F.ceil((F.size("__cells") - F.lit(skip)) / F.lit(width)).cast("int")
+    numbered = cut.select(*keep, "__cells", F.explode(F.when(count > 0, F.sequence(F.lit(0), count - 1))).alias("__row"))
+    first = F.col("__row") * width + skip
+    return numbered.select(*keep, *[F.get(F.col("__cells"), first + i).alias(n) for i, n in enumerate(names)])
 
 
 def _record_cells(record: Column, sep: str) -> Column:
