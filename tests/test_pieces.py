@@ -111,3 +111,59 @@ def test_positions_have_no_one_task_window(spark, tmp_path, small_splits):
     placed = quality.with_position(read)
     assert "SinglePartition" not in placed._jdf.queryExecution().executedPlan().toString()
     assert sorted(r.position for r in placed.collect()) == list(range(1, 301))
+
+
+def test_short_pieces_are_not_measured_one_by_one(spark, tmp_path, small_splits, monkeypatch):
+    from tierwise.session import BATCH_BYTES, BATCH_ROWS
+
+    def settings():
+        return spark.conf.get(BATCH_ROWS), int(spark.conf.get(BATCH_BYTES).rstrip("b"))
+
+    before, seen, store = settings(), {}, pieces.store
+
+    def spy(spark, df, name):
+        seen[name] = settings()
+        return store(spark, df, name)
+
+    monkeypatch.setattr(pieces, "store", spy)
+    (tmp_path / "short.txt").write_text(",".join(str(i) for i in range(3000)))
+    got = pieces.read_pieces(spark, str(tmp_path / "short.txt"), ",", '"', 3)
+    assert sorted((r.number, r.value) for r in got.collect()) == [(i, f"{3 * i},{3 * i + 1},{3 * i + 2}") for i in range(1000)]
+    assert seen["piece-ranges"] == seen["piece-records"] == (before[0], 2**31 - 1)
+    assert seen["piece-states"] == before and settings() == before
+    # A piece of which a thousand would pass the limit in bytes: batches are measured.
+    (tmp_path / "long.txt").write_text("1," + "x" * 100_000 + ",3")
+    assert [r.value for r in pieces.read_pieces(spark, str(tmp_path / "long.txt"), ",", '"', 3).collect()] == ["1," + "x" * 100_000 + ",3"]
+    assert seen["piece-ranges"] == seen["piece-records"] == before
+
+
+def test_batches_of_short_rows_stay_below_the_limit(spark):
+    from tierwise.session import BATCH_BYTES, BATCH_ROWS, _byte_count, short_rows
+
+    assert [_byte_count(s) for s in ("67108864b", "64m", "1G", "10", "2kb")] == [2**26, 2**26, 2**30, 10, 2048]
+    rows, limit = spark.conf.get(BATCH_ROWS), _byte_count(spark.conf.get(BATCH_BYTES))
+    for size in (0, 1, 40, limit // 5000, limit // 1001, limit // 999, limit, 10 * limit):
+        with short_rows(spark, size):
+            batch, most = int(spark.conf.get(BATCH_ROWS)), _byte_count(spark.conf.get(BATCH_BYTES))
+            assert most == limit if size > limit // 1000 else most == 2**31 - 1 and batch * size <= limit and batch <= int(rows)
+        assert (spark.conf.get(BATCH_ROWS), _byte_count(spark.conf.get(BATCH_BYTES))) == (rows, limit)
+    with pytest.raises(KeyError), short_rows(spark, 1):
+        raise KeyError
+    assert spark.conf.get(BATCH_BYTES, None) is None  # still Spark's default, not set to it
+
+
+def test_a_record_of_an_endless_line_is_cut_once(spark, tmp_path):
+    (tmp_path / "one.txt").write_text('1,"a, b",2,3,"c ""d""",4,5,"",6,7,"e"x,8')
+    schema = T.StructType([T.StructField("k", T.LongType()), T.StructField("name", T.StringType()), T.StructField("v", T.LongType())])
+    rows, bad = reshape.split_endless_line(spark, str(tmp_path), schema, header=False)
+    assert sorted(map(tuple, rows.collect())) == [(1, "a, b", 2), (3, 'c "d"', 4), (5, "", 6), (7, '"e"x', 8)] and bad.isEmpty()
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all(") + plan.count("regexp_count(") == plan.count("Generate explode(") > 0
+
+
+def test_quotes_around_a_cell_as_the_expression_says(spark):
+    cells = ['"', '""', '"a"', '"a', 'a"', '"a"b', '"a""b"', '"a"\n', '"a"\r\n', '"\n', '\n"a"', '"a\nb"', "", "é", '"é"', '"a" ', "'a'", None]
+    c = F.col("c")
+    old = F.when(c.rlike('(?s)^".*"$'), F.replace(F.substring(c, F.lit(2), F.length(c) - 2), F.lit('""'), F.lit('"'))).otherwise(c)
+    got = spark.createDataFrame([(x,) for x in cells], "c string").select("c", reshape._bare(c).alias("got"), old.alias("want")).collect()
+    assert [r.c for r in got if r.got != r.want] == []

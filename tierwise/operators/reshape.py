@@ -144,6 +144,12 @@ def read_flat_records(
     return split_flat_records(spark, path, schema, sep, record_sep, header)[0]
 
 
+def _bare(cell: Column) -> Column:
+    """A cell without the quotes around it, inner ones no longer doubled."""
+    whole = F.startswith(cell, F.lit('"')) & ((F.endswith(cell, F.lit('"')) & (F.length(cell) > 1)) | cell.rlike('(?s)^".*"$'))
+    return F.when(whole, F.replace(F.substring(cell, F.lit(2), F.length(cell) - 2), F.lit('""'), F.lit('"'))).otherwise(cell)
+
+
 def split_endless_line(
     spark: SparkSession, path, schema: T.StructType, sep: str = ",", header: bool = True, quote: str = '"', **options
 ) -> tuple[DataFrame, DataFrame]:
@@ -161,14 +167,13 @@ def split_endless_line(
     width = len(names)
     records = read_pieces(spark, path, sep, quote, width, **options).filter(F.col("number") >= (1 if header else 0))
     records = records.select(F.rtrim("value", F.lit("\r\n")).alias("value"), "broken")
-    right = ~F.col("broken") & (count_fields(F.col("value"), sep, '"') == width)
     found = F.regexp_extract_all(F.concat(F.lit(sep), F.col("value")), F.lit(field_pattern(sep, '"')), F.lit(1))
-    quoted = F.transform(
-        found, lambda c: F.when(c.rlike('(?s)^".*"$'), F.replace(F.substring(c, F.lit(2), F.length(c) - 2), F.lit('""'), F.lit('"'))).otherwise(c)
-    )
-    cell_array = F.when(F.contains(F.col("value"), F.lit('"')), quoted).otherwise(F.split("value", _regex_literal(sep)))
-    cut = records.filter(right).select(F.col("value").alias("__record"), cell_array.alias("__cells")).select(
-        "__record", *[F.get(F.col("__cells"), i).alias(n) for i, n in enumerate(names)]
+    cell_array = F.when(F.contains("value", F.lit('"')), F.transform(found, _bare)).otherwise(F.split("value", _regex_literal(sep)))
+    # Exploded from an array of one, so that the filters below read the cells and don't cut them again.
+    records = records.select("value", "broken", F.explode(F.array(cell_array)).alias("__cells"))
+    right = ~F.col("broken") & (F.size("__cells") == width)
+    cut = records.filter(right).select(
+        F.col("value").alias("__record"), *[F.get(F.col("__cells"), i).alias(n) for i, n in enumerate(names)]
     )
     cast = {f.name: F.nullif(F.col(f.name), F.lit("")).try_cast(f.dataType) for f in schema.fields if not isinstance(f.dataType, T.StringType)}
     wrong = F.lit(False)

@@ -19,7 +19,9 @@ file, without reading a file in one task:
 
 Quotes are doubled inside quoted fields, which keeps the parity; every quote counts.
 The ranges' table has one row per byte range (``spark.sql.files.maxPartitionBytes``
-or a file) and is broadcast behind a size check.
+or a file) and is broadcast behind a size check. Pieces may be a few bytes each, so
+the longest is looked up first: where no batch of them can reach Spark's limit in
+bytes, it is not measured once per piece (see ``session.short_rows``).
 """
 
 from __future__ import annotations
@@ -31,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.joins import checked_broadcast
-from ..session import store
+from ..session import short_rows, store
 
 _RANGES = "file long, start long, odd boolean, begins_outside long, begins_inside long"
 _RECORDS = "file long, number long, start long, value string, whole boolean"
@@ -104,32 +106,28 @@ def _cut(sep: str, quote: str, width: int):
                         yield opened(ended())
                     now, parts, number = (file, start), [], None
                     inside, pieces = bool(batch.column("inside")[a].as_py()), batch.column("pieces")[a].as_py()
-                lines = batch.column("value").slice(a, b - a)
+                lines = batch.column("value").slice(a, b - a).cast(pa.string())
                 before, after = _inside_before(lines, quote, inside)
                 count = pieces + np.cumsum(~before)
                 record = (count - 1) // width
                 head = ~before & ((count - 1) % width == 0)
                 cuts = np.concatenate([[0], np.flatnonzero(np.diff(record)) + 1, [b - a]])
-                texts = lines.to_pylist() if len(cuts) - 1 < b - a else None
                 first = 0
                 if parts and record[0] == number:  # the open record goes on
-                    parts += texts[: cuts[1]] if texts else [lines[0].as_py()]
+                    parts += lines[: cuts[1]].to_pylist()
                     first = 1
                 if first < len(cuts) - 1:
                     if parts:
                         yield opened(begun)  # a new record begins behind it in the same range
                     done = cuts[first:-1]
                     if len(done) > 1:
-                        if texts:
-                            values = pa.array([sep.join(texts[i:j]) for i, j in zip(done.tolist(), done[1:].tolist())], pa.string())
-                        else:
-                            values = lines.slice(first, len(done) - 1)
+                        values = pc.binary_join(pa.ListArray.from_arrays(pa.array(done, pa.int32()), lines), sep)
                         yield pa.RecordBatch.from_arrays([
                             pa.array(np.full(len(values), file)), pa.array(record[done[:-1]]), pa.array(np.full(len(values), start)), values, pa.array(head[done[:-1]]),
                         ], names)
                     last = int(done[-1])
                     number, begun = int(record[last]), bool(head[last])
-                    parts = texts[last:] if texts else [lines[last].as_py()]
+                    parts = lines[last:].to_pylist()
                 inside, pieces = after, int(count[-1])
         if parts:
             yield opened(ended())
@@ -143,10 +141,13 @@ def read_pieces(
     """Records of ``width`` pieces parted by ``sep`` outside quotes: file (a hash of its
     path), number (from 0 in its file), value (the text between the record's separators)
     and broken (a fragment of a record over more than ``max_ranges`` byte ranges)."""
-    raw = spark.read.option("lineSep", sep).text(path).select(
+    lines = spark.read.option("lineSep", sep).text(path)
+    raw = lines.select(
         "value", F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start")
     )
-    ranges = store(spark, raw.mapInArrow(_summarise(quote), _RANGES), "piece-ranges")
+    longest = lines.agg(F.max(F.octet_length("value"))).first()[0] or 0
+    with short_rows(spark, longest + 24):
+        ranges = store(spark, raw.mapInArrow(_summarise(quote), _RANGES), "piece-ranges")
     earlier = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
     state = ranges.withColumn("inside", F.coalesce(F.sum(F.col("odd").cast("int")).over(earlier), F.lit(0)) % 2 == 1)
     begins = F.when(F.col("inside"), F.col("begins_inside")).otherwise(F.col("begins_outside"))
@@ -159,7 +160,8 @@ def read_pieces(
         _cut(sep, quote, width), _RECORDS
     )
     # The few fragments are stored beside the whole records, so that the text is cut once.
-    cut = store(spark, records, "piece-records")
+    with short_rows(spark, longest + 24):
+        cut = store(spark, records, "piece-records")
     part = F.struct("start", "value")
     grouped = cut.where("NOT whole").groupBy("file", "number")
     sizes = grouped.agg(F.count("*").alias("n"))
